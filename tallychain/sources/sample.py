@@ -1,0 +1,347 @@
+"""Source files of a payment chain, derived from an orders / lineitem pair.
+
+Every order and every line is used. The shapes (quoted ids, text dates,
+negative fees, missing rows) are those of the real files, so the normalisers in
+``relations`` run on them unchanged. Gaps are planted by rules on the order key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tallychain.config import GATEWAY_CODES, MONEY
+
+# Id family by last digit of the order key.
+FAMILIES = ("gen", "gen", "sub", "wgSub", "w", "walletTop", "mr", "sd", "ott", "SRVC")
+METHODS = ("UPI", "CARD", "NETBANKING", "WALLET")
+NETWORKS = ("VISA", "MASTER", "RUPAY")
+
+
+def _pick(values: tuple[str, ...] | list[str], index: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+
+
+def _quoted(col: Column) -> Column:
+    return F.concat(F.lit("'"), col, F.lit("'"))
+
+
+def order_spine(orders: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    order_id = F.concat_ws("_", _pick(FAMILIES, k % 10), k.cast("string"))
+    return orders.select(
+        k.alias("k"),
+        F.col("o_custkey").alias("cust"),
+        order_id.alias("order_id"),
+        F.concat(F.lit("h-"), order_id, F.lit("-1")).alias("hub_txn_id"),
+        _pick(GATEWAY_CODES, F.col("o_custkey") % 4).alias("gateway"),
+        F.col("o_totalprice").cast(MONEY).alias("amount"),
+        F.when(F.col("o_orderstatus") == "P", "PENDING").otherwise("SUCCESS").alias("status"),
+        F.col("o_orderstatus").alias("order_status"),
+        F.col("o_orderdate").cast("date").alias("created_date"),
+        F.col("o_orderpriority").alias("flow"),
+    )
+
+
+def _in_hub(k: Column) -> Column:
+    return k % 97 != 0
+
+
+def hub_txn(orders: DataFrame) -> DataFrame:
+    s = order_spine(orders)
+    return s.where(_in_hub(F.col("k"))).select(
+        "order_id",
+        "hub_txn_id",
+        F.col("amount").cast("double").alias("amount"),
+        "order_status",
+        F.col("status").alias("payment_status"),
+        F.col("gateway").alias("payment_gateway"),
+        F.col("created_date").cast("string").alias("order_date_created"),
+        F.concat(F.lit("c-"), F.col("cust")).alias("customer_id"),
+        F.col("flow").alias("payment_flow"),
+    )
+
+
+def hub_refund(orders: DataFrame) -> DataFrame:
+    """One refund per 29th hub order, two for every second of those."""
+    k = F.col("k")
+    n = F.explode(F.sequence(F.lit(1), F.when(k % 58 == 0, 2).otherwise(1)))
+    s = order_spine(orders).where(_in_hub(k) & (k % 29 == 0)).withColumn("n", n)
+    return s.select(
+        "order_id",
+        F.col("hub_txn_id").alias("refund_txn_id"),
+        F.concat_ws("-", F.lit("r"), k, F.col("n")).alias("refund_unique_id"),
+        (F.col("amount") - F.col("n")).cast("double").alias("refund_amount"),
+        F.when(k % 145 == 0, "PENDING").otherwise("SUCCESS").alias("refund_status"),
+        F.when(k % 58 == 0, "PARTIAL").otherwise("FULL").alias("refund_type"),
+        F.date_add("created_date", (F.col("n") * 6 - 3).cast("int"))
+        .cast("string")
+        .alias("refund_date"),
+        F.col("gateway").alias("payment_gateway"),
+    )
+
+
+def gateway_txn_feed(orders: DataFrame) -> DataFrame:
+    """Gateway transaction rows; some hub rows are missing, some rows are not in the hub."""
+    k, gw = F.col("k"), F.col("gateway")
+    s = order_spine(orders).where(~_in_hub(k) | (k % 53 != 0))
+    short = (gw == "GW_C") & (k % 31 == 0)
+    amount = (
+        F.when(short & (k % 62 == 0), F.lit(0).cast(MONEY))
+        .when(short, F.col("amount") - 5)
+        .otherwise(F.col("amount"))
+    )
+    day = F.col("created_date")
+    ok = F.col("status") == "SUCCESS"
+    return s.select(
+        "gateway",
+        F.when(gw == "GW_A", _quoted(F.col("hub_txn_id")))
+        .when(gw == "GW_D", F.col("order_id"))
+        .otherwise(F.col("hub_txn_id"))
+        .alias("raw_order_id"),
+        amount.cast("double").alias("raw_amount"),
+        F.when(gw == "GW_A", F.when(ok, "TXN_SUCCESS").otherwise("PENDING"))
+        .when(gw == "GW_B", F.when(ok, "SUCCESS").otherwise("FAILED"))
+        .when(gw == "GW_C", F.when(ok, "captured").otherwise("failed"))
+        .otherwise(F.when(ok, "payment").otherwise("adjustment"))
+        .alias("raw_status"),
+        F.when(gw == "GW_A", _quoted(F.concat(day.cast("string"), F.lit(" 10:00:00"))))
+        .when(gw == "GW_C", F.concat(F.date_format(day, "dd-MM-yyyy"), F.lit(" 10:00")))
+        .otherwise(day.cast("string"))
+        .alias("raw_date"),
+        _pick(METHODS, k % 4).alias("mode"),
+        F.concat(F.lit("bank"), (k % 5).cast("string")).alias("bank_name"),
+        F.when(k % 3 == 0, F.concat(F.lit("E0"), (k % 7).cast("string"))).alias("error_description"),
+        F.when(k % 8 == 0, 2.5).when(k % 8 == 1, 0.0).alias("discount"),
+        F.when(k % 6 == 0, 1.5).otherwise(0.0).alias("subvention"),
+    )
+
+
+def settlement_feed(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """One settlement row per line, in each gateway's own conventions."""
+    spine = order_spine(orders).select("k", "order_id", "hub_txn_id", "gateway")
+    rows = lineitem.join(spine, lineitem["l_orderkey"] == spine["k"])
+    gw, part, line = F.col("gateway"), F.col("l_partkey"), F.col("l_linenumber")
+    refund = F.col("l_returnflag") == "R"
+    untyped = (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O") & (line == 7)
+    odd = line % 2 == 1
+
+    rows = rows.select(
+        "*",
+        F.col("l_extendedprice").cast(MONEY).alias("gross"),
+        (F.col("l_extendedprice") * F.col("l_tax") * 0.01).cast(MONEY).alias("fee_total"),
+        F.col("l_shipdate").cast("date").cast("string").alias("day"),
+        _pick(METHODS, part % 4).alias("method"),
+    ).withColumn("tax", (F.col("fee_total") * F.lit(0.18).cast("decimal(2,2)")).cast(MONEY))
+
+    def typed(ref: Column, none: Column, pay: str) -> Column:
+        return F.when(refund, ref).when(untyped, none).otherwise(pay)
+
+    kind = (
+        F.when(gw == "GW_A", typed(F.lit("REFUND"), F.lit(None), "ACQUIRING"))
+        .when(gw == "GW_B", typed(F.when(odd, "REFUND").otherwise("REVERSAL"), F.lit(None), "PAYMENT"))
+        .when(
+            gw == "GW_C",
+            typed(F.when(odd, "Refunded").otherwise("Chargebacked"), F.lit(None), "captured"),
+        )
+        .otherwise(typed(F.lit("refund"), F.lit("adjustment"), "payment"))
+    )
+    adj_id = F.concat(F.lit("ADJ_"), part.cast("string"))
+    wallet_id = _quoted(F.concat(F.lit("w-"), F.col("order_id")))
+    gross, fee, tax, day = (F.col(c) for c in ("gross", "fee_total", "tax", "day"))
+    credit = (gw == "GW_B") & refund
+    card = F.col("method") == "CARD"
+    return rows.select(
+        "gateway",
+        F.when((gw == "GW_C") & (part % 500 == 0), adj_id)
+        .when((gw == "GW_A") & (part % 499 == 0), wallet_id)
+        .when(gw == "GW_A", _quoted(F.col("hub_txn_id")))
+        .when(gw == "GW_D", F.col("order_id"))
+        .otherwise(F.col("hub_txn_id"))
+        .alias("raw_order_id"),
+        gross.cast("double").alias("raw_gross"),
+        F.when(gw != "GW_D", F.when(credit, gross + fee).otherwise(gross - fee).cast("double")).alias(
+            "raw_net"
+        ),
+        F.when(credit, fee)
+        .when(gw == "GW_B", -fee)
+        .when((gw == "GW_D") & (fee == 0), F.lit(None))
+        .otherwise(fee - tax)
+        .cast("double")
+        .alias("raw_fee"),
+        F.when(credit, tax)
+        .when(gw == "GW_B", -tax)
+        .when((gw == "GW_D") & (fee == 0), F.lit(None))
+        .otherwise(tax)
+        .cast("double")
+        .alias("raw_tax"),
+        F.when((gw == "GW_A") & refund, _quoted(F.concat(day, F.lit(" 16:24:17"))))
+        .when(gw == "GW_C", F.concat(day, F.lit(" 14:30:00")))
+        .otherwise(day)
+        .alias("raw_settled_on"),
+        F.concat_ws("-", gw, day).alias("utr"),
+        kind.alias("txn_type"),
+        F.when(refund, "REFUND").otherwise("PAYMENT").alias("payment_type"),
+        F.when(odd, "COMPLETED").alias("txn_status"),
+        "method",
+        F.when(card, _pick(NETWORKS, part % 3)).alias("network"),
+        F.when(card, F.when(part % 2 == 0, "credit").otherwise("debit")).alias("card_type"),
+    )
+
+
+def gateway_refund_feed(orders: DataFrame) -> DataFrame:
+    """Refunds as the gateways report them; every seventh refunded order is missing."""
+    k, gw = F.col("k"), F.col("gateway")
+    n = F.explode(F.sequence(F.lit(1), F.when(k % 58 == 0, 2).otherwise(1)))
+    s = (
+        order_spine(orders)
+        .where(_in_hub(k) & (k % 29 == 0) & (k % 203 != 0))
+        .withColumn("n", n)
+    )
+    settled = F.date_add("created_date", (F.col("n") * 6 - 2).cast("int")).cast("string")
+    asked = F.date_add("created_date", (F.col("n") * 6 - 3).cast("int")).cast("string")
+    return s.select(
+        "gateway",
+        F.when(gw == "GW_A", _quoted(F.col("hub_txn_id")))
+        .when(gw == "GW_D", F.col("order_id"))
+        .otherwise(F.col("hub_txn_id"))
+        .alias("raw_refund_id"),
+        F.when(gw == "GW_A", _quoted(F.col("hub_txn_id")))
+        .when(gw == "GW_D", F.col("order_id"))
+        .otherwise(F.col("hub_txn_id"))
+        .alias("raw_original_id"),
+        (F.col("amount") - F.col("n")).cast("double").alias("raw_amount"),
+        (F.col("amount") - F.col("n") - 1).cast("double").alias("raw_settled_amount"),
+        F.when(gw == "GW_A", _quoted(F.concat(settled, F.lit(" 16:24:17"))))
+        .otherwise(settled)
+        .alias("raw_settled_on"),
+        F.when(gw == "GW_A", _quoted(F.concat(asked, F.lit(" 09:00:00"))))
+        .otherwise(asked)
+        .alias("raw_txn_date"),
+    )
+
+
+def ledger_sources(orders: DataFrame) -> dict[str, DataFrame]:
+    """The eight ledger tables by name."""
+    k = F.col("k")
+    amount = F.col("amount") + F.when(k % 211 == 0, 1).otherwise(0)
+    s = order_spine(orders).select(
+        "*",
+        amount.cast(MONEY).alias("paid"),
+        F.date_format("created_date", "MMM d, yyyy").alias("day_name"),
+        F.col("created_date").cast("string").alias("day"),
+        F.concat(F.lit("m-"), F.col("cust")).alias("mobile"),
+    )
+    booked = (k % 50 != 0) & (k % 40 != 4)
+    digit = k % 10
+    paid = F.col("paid").cast("double")
+
+    def rows(cond: Column) -> DataFrame:
+        return s.where(cond)
+
+    return {
+        "ledger_booking": rows(booked & (digit < 2) & (k % 3 == 0)).select(
+            F.col("order_id").alias("booking_txn_id"),
+            paid.alias("booking_fee"),
+            F.col("day_name").alias("created_on"),
+            F.when(k % 9 != 0, F.when(F.col("status") == "SUCCESS", "TXN_SUCCESS").otherwise("PENDING"))
+            .alias("resultstatus"),
+            F.col("cust").alias("account_id"),
+            "mobile",
+        ),
+        "ledger_revenue": rows(booked & (digit < 4)).select(
+            F.col("order_id").alias("transaction_id"),
+            F.when(k % 77 == 0, 0.0).otherwise(paid).alias("totalpaid"),
+            F.when(k % 13 == 0, "cash").otherwise("online").alias("mode"),
+            F.col("day_name").alias("recharge_dt"),
+            F.col("flow").alias("plan_type"),
+            F.col("cust").alias("account_id"),
+            "mobile",
+        ),
+        "ledger_net_income": rows(booked & ((digit == 4) | ((digit == 2) & (k % 3 == 0)))).select(
+            F.col("order_id").alias("txn_id"),
+            paid.alias("amount"),
+            F.col("day").alias("txn_dt"),
+            F.when(k % 17 == 0, "cash").otherwise("online").alias("mode"),
+            F.lit("wallet").alias("rev_mode"),
+            F.concat(F.lit("p-"), (F.col("cust") % 100).cast("string")).alias("partner"),
+            "mobile",
+        ),
+        "ledger_mobile": rows(booked & (digit == 6)).select(
+            F.col("order_id").alias("transaction_id"),
+            paid.alias("pay_amount"),
+            F.col("day").alias("createdate"),
+        ),
+        "ledger_deposit": rows(booked & (digit == 7)).select(
+            F.col("order_id").alias("sd_txn_id"),
+            F.when(k % 3 == 0, F.col("hub_txn_id")).otherwise(F.col("order_id")).alias("transaction_id"),
+            paid.alias("sd_amount"),
+            F.col("day_name").alias("created_on"),
+            F.col("cust").alias("account_id"),
+            "mobile",
+        ),
+        "ledger_ott": rows(booked & (digit == 8)).select(
+            F.col("order_id").alias("transaction_id"),
+            paid.alias("pay_amount"),
+            F.col("day").alias("createdate"),
+        ),
+        "ledger_topup": rows(booked & (digit == 5)).select(
+            F.col("order_id").alias("transaction_id"),
+            paid.alias("amount"),
+            F.when(k % 4 == 1, F.col("day_name"))
+            .otherwise(F.concat(F.col("day"), F.lit(" 10:00:00")))
+            .alias("datetime"),
+        ),
+        "ledger_refunded": rows(k % 100 == 0).select(
+            F.col("order_id").alias("transaction_id"),
+            paid.alias("pay_amount"),
+            F.date_add("created_date", 5).cast("string").alias("dt"),
+            F.lit("online").alias("payment_mode"),
+            F.lit("REFUNDED").alias("txn_status"),
+        ),
+    }
+
+
+def bank_feed(settlement: DataFrame, gateway_refund: DataFrame, orders: DataFrame) -> DataFrame:
+    """Daily deposits: 99.5 % of the expected transfer, with days missing on either side."""
+    from tallychain.functions.status import bank_label
+
+    sums = settlement.groupBy("gateway", "settled_date").agg(
+        F.count_if("is_forward").alias("n_forward"),
+        F.coalesce(F.sum(F.when(F.col("is_forward"), F.col("sett_net"))), F.lit(0)).alias("forward"),
+        F.coalesce(F.sum(F.when(F.col("is_refund"), F.col("sett_net"))), F.lit(0)).alias("stray"),
+    )
+    netted = (
+        gateway_refund.where(F.col("gateway") == "GW_A")
+        .groupBy("gateway", "settled_date")
+        .agg(F.sum("settled_amount").alias("netted"))
+    )
+    daily = sums.join(netted, ["gateway", "settled_date"], "left").where(
+        ~F.dayofmonth("settled_date").isin(7, 21)
+    )
+    expected = F.when(F.col("n_forward") == 0, F.col("stray")).otherwise(
+        F.col("forward") - F.coalesce(F.col("netted"), F.lit(0))
+    )
+    rate = F.lit(0.995).cast("decimal(4,3)")
+    matched = daily.select(
+        "gateway",
+        F.col("settled_date").alias("day"),
+        (expected.cast(MONEY) * rate).cast(MONEY).alias("amount"),
+    )
+    # Deposits from before the first settlement file.
+    early = (
+        order_spine(orders)
+        .where(F.col("created_date") < F.lit("1995-02-01").cast("date"))
+        .groupBy("gateway", F.date_sub("created_date", 365).alias("day"))
+        .agg((F.sum("amount").cast(MONEY) * F.lit(0.01).cast("decimal(2,2)")).cast(MONEY).alias("amount"))
+    )
+    both = matched.unionByName(early)
+    return both.select(
+        F.concat(F.col("day").cast("string"), F.lit(" 11:00:00")).cast("timestamp_ntz").alias("transaction"),
+        bank_label(F.col("gateway")).alias("payment_gateway"),
+        F.col("amount").cast("double").alias("deposit_amt"),
+        F.concat_ws(" ", F.lit("RTGS"), F.col("gateway"), F.col("day").cast("string")).alias(
+            "transaction_remarks"
+        ),
+        F.date_format("day", "MMM-yy").alias("month"),
+    )
