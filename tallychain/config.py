@@ -9,9 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MONEY = "decimal(18,2)"
 #: Type of a summed amount: cluster-wide totals do not fit into MONEY.
 MONEY_SUM = "decimal(38,2)"
@@ -123,8 +120,3 @@ class Period:
         """The calendar month before ``start``."""
         first = self.start
         return Period(date(first.year - (first.month == 1), (first.month - 2) % 12 + 1, 1), first)
-
-    def contains(self, col: Column | str) -> Column:
-        # A plain range: it reaches the Parquet scan, year(col) = ... would not.
-        c = F.col(col) if isinstance(col, str) else col
-        return (c >= F.lit(self.start)) & (c < F.lit(self.end))

@@ -5,39 +5,49 @@ All parsers give null for junk, so that one bad row does not end a job.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from datetime import date
 
+from tallychain.config import Period
 from tallychain.functions.text import strip_quotes
 
 
-def parse_quoted_date(col: Column) -> Column:
+def parse_quoted_date(x: str) -> str:
     """``'2026-01-15 16:24:17'`` with literal quotes."""
-    return F.substring(strip_quotes(col), 1, 10).try_cast("date")
+    return parse_text_date(strip_quotes(x))
 
 
-def parse_text_date(col: Column) -> Column:
+def parse_text_date(x: str) -> str:
     """ISO date or timestamp text."""
-    return F.substring(col.cast("string"), 1, 10).try_cast("date")
+    return f"try_cast(left({x}, 10) AS DATE)"
 
 
-def parse_dmy_date(col: Column) -> Column:
+def parse_dmy_date(x: str) -> str:
     """``15-01-2026 10:00``; the time part is ignored."""
-    return F.try_to_timestamp(F.substring(col, 1, 10), F.lit("dd-MM-yyyy")).cast("date")
+    return f"CAST(try_to_timestamp(left({x}, 10), 'dd-MM-yyyy') AS DATE)"
 
 
-def parse_month_name_date(col: Column) -> Column:
+def parse_month_name_date(x: str) -> str:
     """``Jan 5, 2026``, falling back to ISO text."""
     # The two shapes never overlap, so only one parser runs per row.
-    return F.when(
-        col.rlike("^[A-Za-z]"), F.try_to_timestamp(col, F.lit("MMM d, yyyy")).cast("date")
-    ).otherwise(parse_text_date(col))
+    return (
+        f"CASE WHEN {x} RLIKE '^[A-Za-z]' THEN CAST(try_to_timestamp({x}, 'MMM d, yyyy') AS DATE) "
+        f"ELSE {parse_text_date(x)} END"
+    )
 
 
-def month_label(col: Column) -> Column:
-    """``yyyy-MM``."""
-    return F.substring(col.cast("date").cast("string"), 1, 7)
+def month_label(x: str) -> str:
+    """``yyyy-MM`` of a date."""
+    return f"left(CAST({x} AS STRING), 7)"
 
 
-def month_start(col: Column) -> Column:
-    return F.trunc(col, "month")
+def month_start(x: str) -> str:
+    return f"trunc({x}, 'MM')"
+
+
+def between(x: str, start: date, end: date) -> str:
+    """Half-open range. A plain range reaches the Parquet scan, ``year(x) = ...`` would not."""
+    return f"({x} >= DATE'{start}' AND {x} < DATE'{end}')"
+
+
+def in_period(x: str, period: Period) -> str:
+    return between(x, period.start, period.end)

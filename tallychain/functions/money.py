@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tallychain.config import (
     CLEAN_BELOW_PCT,
     DAILY_OUTLIER,
@@ -14,64 +11,58 @@ from tallychain.config import (
 )
 
 
-def money(col: Column) -> Column:
-    return col.try_cast(MONEY)
+def money(x: str) -> str:
+    """Decimal of a number or text; null for junk."""
+    return f"try_cast({x} AS {MONEY})"
 
 
-def total(col: Column | str) -> Column:
-    """Sum that is 0 over no rows."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(F.sum(c).cast(MONEY_SUM), F.lit(0).cast(MONEY_SUM))
+coerce_numeric = money
 
 
-def total_where(cond: Column, col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return total(F.when(cond, c))
+def total(x: str, where: str | None = None) -> str:
+    """Sum that is 0 over no rows."""
+    return f"coalesce({total_or_null(x, where)}, 0)"
 
 
-def total_or_null(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c).cast(MONEY_SUM)
+def total_or_null(x: str, where: str | None = None) -> str:
+    picked = f"CASE WHEN {where} THEN {x} END" if where else x
+    return f"CAST(sum({picked}) AS {MONEY_SUM})"
 
 
-def safe_pct(part: Column, whole: Column) -> Column:
+def safe_pct(part: str, whole: str) -> str:
     """part / whole in percent as a double, 0 when whole is 0 or null."""
-    ratio = F.try_divide(part.cast("double") * 100, whole.cast("double"))
-    return F.coalesce(ratio, F.lit(0.0))
-
+    return f"coalesce(try_divide(CAST({part} AS DOUBLE) * 100, CAST({whole} AS DOUBLE)), 0D)"
 
-def coerce_numeric(col: Column) -> Column:
-    return col.try_cast(MONEY)
 
-
-def settlement_net(gateway: Column, gross: Column, fee: Column, tax: Column, file_net: Column) -> Column:
+def settlement_net(gateway: str, gross: str, fee: str, tax: str, file_net: str) -> str:
     """Net by gateway: the file's own net, except where none is delivered (GW_D)."""
-    zero = F.lit(0).cast(MONEY)
-    computed = gross - F.coalesce(fee, zero) - F.coalesce(tax, zero)
-    return F.when(gateway == "GW_D", computed).otherwise(file_net).cast(MONEY)
+    computed = f"{gross} - coalesce({fee}, 0) - coalesce({tax}, 0)"
+    return f"CAST(CASE WHEN {gateway} = 'GW_D' THEN {computed} ELSE {file_net} END AS {MONEY})"
 
 
-def settlement_fee(gateway: Column, fee: Column, tax: Column) -> Column:
+def settlement_fee(gateway: str, fee: str, tax: str) -> str:
     """Positive fee including tax. GW_B delivers one negative total that includes tax."""
-    zero = F.lit(0).cast(MONEY)
-    both = F.coalesce(fee, zero) + F.coalesce(tax, zero)
-    return F.when(gateway == "GW_B", F.abs(F.coalesce(fee, zero))).otherwise(both).cast(MONEY)
+    both = f"coalesce({fee}, 0) + coalesce({tax}, 0)"
+    return (
+        f"CAST(CASE WHEN {gateway} = 'GW_B' THEN abs(coalesce({fee}, 0)) "
+        f"ELSE {both} END AS {MONEY})"
+    )
 
 
-def fee_sign_class(signed_fee: Column) -> Column:
-    """Negative = charged to the merchant. A null fee counts as credited, as in a plain CASE."""
+def fee_sign_class(signed_fee: str) -> str:
+    """Negative = charged to the merchant. A null fee falls through to credited."""
     return (
-        F.when(signed_fee < 0, "charged").when(signed_fee == 0, "none").otherwise("credited")
+        f"CASE WHEN {signed_fee} < 0 THEN 'charged' WHEN {signed_fee} = 0 THEN 'none' "
+        f"ELSE 'credited' END"
     )
 
 
-def outlier_flag(diff: Column) -> Column:
-    return F.abs(diff) > DAILY_OUTLIER
+def outlier_flag(diff: str) -> str:
+    return f"abs({diff}) > {DAILY_OUTLIER}"
 
 
-def gap_status(pct: Column) -> Column:
+def gap_status(pct: str) -> str:
     return (
-        F.when(F.abs(pct) < CLEAN_BELOW_PCT, "CLEAN")
-        .when(F.abs(pct) < REVIEW_BELOW_PCT, "REVIEW")
-        .otherwise("MISMATCH")
+        f"CASE WHEN abs({pct}) < {CLEAN_BELOW_PCT} THEN 'CLEAN' "
+        f"WHEN abs({pct}) < {REVIEW_BELOW_PCT} THEN 'REVIEW' ELSE 'MISMATCH' END"
     )

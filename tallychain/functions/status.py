@@ -2,125 +2,106 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tallychain.config import GATEWAYS, Period
 from tallychain.functions.text import is_adjustment, is_partner_wallet
 
-REFUND_STATUSES = ("Refunded", "Chargebacked")
-
 
-def is_refund_row(gateway: Column, txn_type: Column) -> Column:
-    kind = F.coalesce(txn_type, F.lit(""))
+def is_refund_row(gateway: str, txn_type: str) -> str:
     return (
-        F.when(gateway == "GW_A", kind == "REFUND")
-        .when(gateway == "GW_B", kind.contains("REVERSAL") | kind.contains("REFUND"))
-        .when(gateway == "GW_C", kind.isin(*REFUND_STATUSES))
-        .otherwise(kind == "refund")
+        f"coalesce(CASE {gateway} WHEN 'GW_A' THEN {txn_type} = 'REFUND' "
+        f"WHEN 'GW_B' THEN contains({txn_type}, 'REVERSAL') OR contains({txn_type}, 'REFUND') "
+        f"WHEN 'GW_C' THEN {txn_type} IN ('Refunded', 'Chargebacked') "
+        f"ELSE {txn_type} = 'refund' END, false)"
     )
 
 
-def is_forward_row(gateway: Column, txn_type: Column) -> Column:
+def is_forward_row(gateway: str, txn_type: str) -> str:
     """Rows that carry a customer payment. GW_C marks refunds on the payment row itself."""
-    kind = F.coalesce(txn_type, F.lit(""))
     return (
-        F.when(gateway == "GW_A", kind == "ACQUIRING")
-        .when(
-            gateway == "GW_B",
-            txn_type.isNotNull() & ~kind.contains("REVERSAL") & ~kind.contains("REFUND"),
-        )
-        .when(gateway == "GW_C", F.lit(True))
-        .otherwise(kind == "payment")
+        f"coalesce(CASE {gateway} WHEN 'GW_A' THEN {txn_type} = 'ACQUIRING' "
+        f"WHEN 'GW_B' THEN NOT contains({txn_type}, 'REVERSAL') AND NOT contains({txn_type}, 'REFUND') "
+        f"WHEN 'GW_C' THEN true ELSE {txn_type} = 'payment' END, false)"
     )
 
 
-def non_refund_status(status: Column) -> Column:
-    return status.isNull() | ~status.isin(*REFUND_STATUSES)
+def non_refund_status(status: str) -> str:
+    return f"({status} IS NULL OR {status} NOT IN ('Refunded', 'Chargebacked'))"
+
+
+def gateway_success(gateway: str, status: str) -> str:
+    """The status text that counts as success differs by gateway."""
+    arms = " ".join(
+        f"WHEN '{g.code}' THEN " + (f"{status} = '{g.success_status}'" if g.success_status else "true")
+        for g in GATEWAYS
+    )
+    return f"coalesce(CASE {gateway} {arms} END, false)"
 
 
-def settle_key(gateway: Column, order_id: Column, hub_txn_id: Column) -> Column:
+def settle_key(gateway: str, order_id: str, hub_txn_id: str) -> str:
     """The hub id that the gateway's files carry."""
-    by_order = [g.code for g in GATEWAYS if g.hub_key == "order_id"]
-    return F.when(gateway.isin(*by_order), order_id).otherwise(hub_txn_id)
+    by_order = ", ".join(f"'{g.code}'" for g in GATEWAYS if g.hub_key == "order_id")
+    return f"CASE WHEN {gateway} IN ({by_order}) THEN {order_id} ELSE {hub_txn_id} END"
 
 
-def bank_label(gateway: Column) -> Column:
-    out = F
-    for g in GATEWAYS:
-        out = out.when(gateway == g.code, g.bank_label)
-    return out
+def bank_label(gateway: str) -> str:
+    arms = " ".join(f"WHEN '{g.code}' THEN '{g.bank_label}'" for g in GATEWAYS)
+    return f"CASE {gateway} {arms} END"
 
 
-def gateway_of_label(label: Column) -> Column:
-    out = F
-    for g in GATEWAYS:
-        out = out.when(label == g.bank_label, g.code)
-    return out
+def gateway_of_label(label: str) -> str:
+    arms = " ".join(f"WHEN '{g.bank_label}' THEN '{g.code}'" for g in GATEWAYS)
+    return f"CASE {label} {arms} END"
 
 
-def l2_match(hub_order_id: Column) -> Column:
-    return F.when(hub_order_id.isNotNull(), "MATCHED").otherwise("SETT_ONLY")
+def l2_match(hub_id: str) -> str:
+    return f"CASE WHEN {hub_id} IS NOT NULL THEN 'MATCHED' ELSE 'SETT_ONLY' END"
 
 
-def l1_match(hub_order_id: Column, ledger_txn_id: Column) -> Column:
+def l1_match(hub_id: str, ledger_id: str) -> str:
     """Ledger match is tested before partner wallet; ``trace_status`` does it the other way."""
     return (
-        F.when(hub_order_id.isNull(), "NO_HUB")
-        .when(ledger_txn_id.isNotNull(), "MATCHED")
-        .when(is_partner_wallet(hub_order_id), "PARTNER_WALLET")
-        .otherwise("HUB_ONLY")
+        f"CASE WHEN {hub_id} IS NULL THEN 'NO_HUB' WHEN {ledger_id} IS NOT NULL THEN 'MATCHED' "
+        f"WHEN {is_partner_wallet(hub_id)} THEN 'PARTNER_WALLET' ELSE 'HUB_ONLY' END"
     )
 
 
-def trace_status_basic(hub_order_id: Column, ledger_txn_id: Column) -> Column:
+def trace_status_basic(hub_id: str, ledger_id: str) -> str:
     return (
-        F.when(hub_order_id.isNull(), "MISSING_HUB")
-        .when(is_partner_wallet(hub_order_id), "PARTNER_WALLET")
-        .when(ledger_txn_id.isNotNull(), "FULLY_TRACED")
-        .otherwise("MISSING_LEDGER")
+        f"CASE WHEN {hub_id} IS NULL THEN 'MISSING_HUB' "
+        f"WHEN {is_partner_wallet(hub_id)} THEN 'PARTNER_WALLET' "
+        f"WHEN {ledger_id} IS NOT NULL THEN 'FULLY_TRACED' ELSE 'MISSING_LEDGER' END"
     )
 
 
 def trace_status(
-    gateway: Column,
-    settlement_id: Column,
-    hub_order_id: Column,
-    ledger_txn_id: Column,
-    in_refunded: Column,
-    in_topup: Column,
-) -> Column:
+    gateway: str, settlement_id: str, hub_id: str, ledger_id: str, refunded: str, topup: str
+) -> str:
     """Refunded and topup are fallbacks: they count only without a main-ledger match."""
     return (
-        F.when(is_adjustment(gateway, settlement_id), "PG_ADJUSTMENT")
-        .when(hub_order_id.isNull(), "MISSING_HUB")
-        .when(is_partner_wallet(hub_order_id), "PARTNER_WALLET")
-        .when(ledger_txn_id.isNotNull(), "FULLY_TRACED")
-        .when(in_refunded, "REFUNDED")
-        .when(in_topup & hub_order_id.startswith("walletTop_"), "WALLET_TOPUP")
-        .otherwise("MISSING_LEDGER")
+        f"CASE WHEN {is_adjustment(gateway, settlement_id)} THEN 'PG_ADJUSTMENT' "
+        f"WHEN {hub_id} IS NULL THEN 'MISSING_HUB' "
+        f"WHEN {is_partner_wallet(hub_id)} THEN 'PARTNER_WALLET' "
+        f"WHEN {ledger_id} IS NOT NULL THEN 'FULLY_TRACED' "
+        f"WHEN {refunded} THEN 'REFUNDED' "
+        f"WHEN {topup} AND startswith({hub_id}, 'walletTop_') THEN 'WALLET_TOPUP' "
+        f"ELSE 'MISSING_LEDGER' END"
     )
 
 
-def hub_category(
-    hub_id: Column, gateway_txn_id: Column, status: Column, source_month: Column, month: str
-) -> Column:
-    ok = status == "SUCCESS"
+def hub_category(hub_id: str, gw_id: str, status: str, source_month: str, month: str) -> str:
     return (
-        F.when(hub_id.isNull() & gateway_txn_id.isNull(), "5 orphan")
-        .when(hub_id.isNull(), "4 gateway only")
-        .when(ok & (source_month == month), "1 period success")
-        .when(ok, "2 other month success")
-        .otherwise("3 not success")
+        f"CASE WHEN {hub_id} IS NULL AND {gw_id} IS NULL THEN '5 orphan' "
+        f"WHEN {hub_id} IS NULL THEN '4 gateway only' "
+        f"WHEN {status} = 'SUCCESS' AND {source_month} = '{month}' THEN '1 period success' "
+        f"WHEN {status} = 'SUCCESS' THEN '2 other month success' ELSE '3 not success' END"
     )
 
 
-def source_month_bucket(created: Column, period: Period) -> Column:
+def source_month_bucket(created: str, period: Period) -> str:
     prev = period.previous()
     return (
-        F.when(created.isNull(), "NOT_IN_HUB")
-        .when(created < F.lit(prev.start), "EARLIER")
-        .when(created < F.lit(period.start), "PREVIOUS_MONTH")
-        .when(created < F.lit(period.end), "THIS_MONTH")
-        .otherwise("LATER")
+        f"CASE WHEN {created} IS NULL THEN 'NOT_IN_HUB' "
+        f"WHEN {created} < DATE'{prev.start}' THEN 'EARLIER' "
+        f"WHEN {created} < DATE'{period.start}' THEN 'PREVIOUS_MONTH' "
+        f"WHEN {created} < DATE'{period.end}' THEN 'THIS_MONTH' ELSE 'LATER' END"
     )

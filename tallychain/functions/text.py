@@ -1,54 +1,53 @@
-"""Id and label expressions."""
+"""Id and label expressions.
 
-from __future__ import annotations
+All functions in this package take and return Spark SQL expression text, for
+use in ``selectExpr``, ``where`` and ``expr``: one call per expression instead
+of one per operator, which keeps plan building cheap.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from tallychain.config import PARTNER_PREFIXES, PATTERNS, ROUTES
 
 
-def strip_quotes(col: Column) -> Column:
+def strip_quotes(x: str) -> str:
     """Remove the literal single quotes some files wrap around values."""
-    return F.btrim(col, F.lit("'"))
+    return f"btrim({x}, chr(39))"
 
 
-def order_prefix(hub_id: Column, settlement_id: Column) -> Column:
+def order_prefix(hub_id: str, settlement_id: str) -> str:
     """First '_' token of the hub id, or of the settlement id if there is none."""
-    return F.split_part(F.coalesce(hub_id, settlement_id), F.lit("_"), F.lit(1))
+    return f"split_part(coalesce({hub_id}, {settlement_id}), '_', 1)"
 
 
-def order_pattern(order_id: Column) -> Column:
-    """Id family as ``family_*``; ``startswith`` keeps '_' literal."""
-    out = F
-    for family in PATTERNS:
-        out = out.when(order_id.startswith(f"{family}_"), f"{family}_*")
-    return out.otherwise("other")
+def order_pattern(order_id: str) -> str:
+    """Id family as ``family_*``; ``startswith`` keeps '_' literal, LIKE would not."""
+    arms = " ".join(f"WHEN startswith({order_id}, '{p}_') THEN '{p}_*'" for p in PATTERNS)
+    return f"CASE {arms} ELSE 'other' END"
 
 
-def order_pattern_regex(order_id: Column) -> Column:
+def order_pattern_regex(order_id: str) -> str:
     """Leading letters before the first '_' as ``letters_*``, else ``other``."""
-    head = F.regexp_extract(order_id, r"^([a-zA-Z]+)_", 1)
-    return F.when(head != "", F.concat(head, F.lit("_*"))).otherwise("other")
+    return (
+        f"CASE WHEN {order_id} RLIKE '^[a-zA-Z]+_' "
+        f"THEN concat(regexp_extract({order_id}, '^([a-zA-Z]+)_', 1), '_*') ELSE 'other' END"
+    )
 
 
-def expected_ledger(pattern: Column) -> Column:
+def expected_ledger(pattern: str) -> str:
     """Ledger table an id family is booked in; null when it has none."""
-    pairs = [F.lit(x) for item in ROUTES.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), pattern)
+    arms = " ".join(f"WHEN '{p}' THEN '{t}'" for p, t in ROUTES.items())
+    return f"CASE {pattern} {arms} END"
 
 
-def is_partner_wallet(order_id: Column) -> Column:
-    out = F.lit(False)
-    for prefix in PARTNER_PREFIXES:
-        out = out | order_id.startswith(prefix)
-    return out
+def is_partner_wallet(order_id: str) -> str:
+    tests = " OR ".join(f"startswith({order_id}, '{p}')" for p in PARTNER_PREFIXES)
+    return f"({tests})"
 
 
-def is_adjustment(gateway: Column, settlement_id: Column) -> Column:
+def is_adjustment(gateway: str, settlement_id: str) -> str:
     """Gateway bookkeeping rows that never had an order."""
-    return F.coalesce(
-        ((gateway == "GW_C") & settlement_id.startswith("ADJ_"))
-        | ((gateway == "GW_A") & settlement_id.startswith("w-")),
-        F.lit(False),
+    return (
+        f"coalesce(({gateway} = 'GW_C' AND startswith({settlement_id}, 'ADJ_')) "
+        f"OR ({gateway} = 'GW_A' AND startswith({settlement_id}, 'w-')), false)"
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallychain.config import LOOKUP_LEDGERS, MONEY, Period
 from tallychain.functions import status as st
-from tallychain.functions.dates import month_label
+from tallychain.functions.dates import in_period, month_label
 from tallychain.functions.text import order_prefix
+from tallychain.operators.frames import group
 
 
 def ledger_lookup(ledger: DataFrame) -> DataFrame:
@@ -18,30 +19,22 @@ def ledger_lookup(ledger: DataFrame) -> DataFrame:
     shuffle and nothing is sorted. A tie inside one ledger goes to the smallest
     amount.
     """
-    rank, amount = F.col("priority"), F.col("ledger_amount")
-    per_rank = [
-        F.min(F.when(rank == x.priority, amount)).alias(f"amount_{x.priority}")
-        for x in LOOKUP_LEDGERS
-    ]
-    best = (
-        ledger.where(F.col("order_id").isNotNull())
-        .groupBy("order_id")
-        .agg(
-            F.min(rank).alias("best"),
-            F.max(F.col("ledger_table") == "ledger_refunded").alias("in_refunded"),
-            F.max(F.col("ledger_table") == "ledger_topup").alias("in_topup"),
-            *per_rank,
-        )
+    ranks = [x.priority for x in LOOKUP_LEDGERS]
+    best = group(
+        ledger.where("order_id IS NOT NULL"),
+        "order_id",
+        "min(priority) AS best",
+        "max(ledger_table = 'ledger_refunded') AS in_refunded",
+        "max(ledger_table = 'ledger_topup') AS in_topup",
+        *[f"min(CASE WHEN priority = {r} THEN ledger_amount END) AS amount_{r}" for r in ranks],
     )
-    table, picked = F, F
-    for x in LOOKUP_LEDGERS:
-        table = table.when(F.col("best") == x.priority, x.table)
-        picked = picked.when(F.col("best") == x.priority, F.col(f"amount_{x.priority}"))
-    return best.select(
+    tables = " ".join(f"WHEN {x.priority} THEN '{x.table}'" for x in LOOKUP_LEDGERS)
+    amounts = " ".join(f"WHEN {r} THEN amount_{r}" for r in ranks)
+    return best.selectExpr(
         "order_id",
-        F.when(F.col("best").isNotNull(), F.col("order_id")).alias("ledger_txn_id"),
-        table.alias("ledger_table"),
-        picked.alias("ledger_amount"),
+        "CASE WHEN best IS NOT NULL THEN order_id END AS ledger_txn_id",
+        f"CASE best {tables} END AS ledger_table",
+        f"CASE best {amounts} END AS ledger_amount",
         "in_refunded",
         "in_topup",
     )
@@ -54,8 +47,11 @@ def hub_traced(hub: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def bank_daily(bank: DataFrame) -> DataFrame:
     """One row per gateway and day."""
-    return bank.groupBy("gateway", "bank_date").agg(
-        F.sum("deposit").cast(MONEY).alias("bank_daily_deposit")
+    return group(
+        bank,
+        ["gateway", "bank_date"],
+        f"CAST(sum(deposit) AS {MONEY}) AS bank_daily_deposit",
+        "count(*) AS deposits",
     )
 
 
@@ -76,15 +72,15 @@ def recon_base(
     """
     rows = settlement.where("is_forward")
     if period is not None:
-        rows = rows.where(period.contains("settled_date"))
-    traced = hub_traced(hub, ledger).select(
-        F.col("gateway").alias("hub_gateway"),
+        rows = rows.where(in_period("settled_date", period))
+    traced = hub_traced(hub, ledger).selectExpr(
+        "gateway AS hub_gateway",
         "settle_key",
-        F.col("order_id").alias("hub_order_id"),
+        "order_id AS hub_order_id",
         "hub_txn_id",
-        F.col("amount").alias("hub_amount"),
-        F.col("status").alias("hub_status"),
-        F.col("created_date").alias("hub_created_date"),
+        "amount AS hub_amount",
+        "status AS hub_status",
+        "created_date AS hub_created_date",
         "source_month",
         "ledger_txn_id",
         "ledger_table",
@@ -92,27 +88,34 @@ def recon_base(
         "in_refunded",
         "in_topup",
     )
-    deposits = bank_daily(bank).withColumnRenamed("gateway", "bank_gateway")
+    deposits = bank_daily(bank).selectExpr(
+        "gateway AS bank_gateway", "bank_date", "bank_daily_deposit"
+    )
     joined = rows.join(
         traced,
-        (F.col("gateway") == F.col("hub_gateway"))
-        & (F.col("settlement_order_id") == F.col("settle_key")),
+        F.expr("gateway = hub_gateway AND settlement_order_id = settle_key"),
         "left",
     ).join(
         F.broadcast(deposits),
-        (F.col("gateway") == F.col("bank_gateway")) & (F.col("settled_date") == F.col("bank_date")),
+        F.expr("gateway = bank_gateway AND settled_date = bank_date"),
         "left",
     )
-    hub_id, ledger_id, sett_id = (
-        F.col(c) for c in ("hub_order_id", "ledger_txn_id", "settlement_order_id")
+    hub_id, ledger_id, sett_id = "hub_order_id", "ledger_txn_id", "settlement_order_id"
+    status = st.trace_status(
+        "gateway",
+        sett_id,
+        hub_id,
+        ledger_id,
+        "coalesce(in_refunded, false)",
+        "coalesce(in_topup, false)",
     )
-    return joined.select(
+    return joined.selectExpr(
         "gateway",
         "settlement_order_id",
         "bank_date",
         "bank_daily_deposit",
         "settled_date",
-        month_label(F.col("settled_date")).alias("recon_month"),
+        f"{month_label('settled_date')} AS recon_month",
         "sett_gross",
         "sett_net",
         "sett_fee",
@@ -124,22 +127,15 @@ def recon_base(
         "hub_status",
         "hub_gateway",
         "hub_created_date",
-        st.l2_match(hub_id).alias("l2_match"),
+        f"{st.l2_match(hub_id)} AS l2_match",
         "ledger_txn_id",
         "ledger_table",
         "ledger_amount",
-        st.l1_match(hub_id, ledger_id).alias("l1_match"),
-        order_prefix(hub_id, sett_id).alias("order_id_prefix"),
-        st.trace_status(
-            F.col("gateway"),
-            sett_id,
-            hub_id,
-            ledger_id,
-            F.coalesce("in_refunded", F.lit(False)),
-            F.coalesce("in_topup", F.lit(False)),
-        ).alias("trace_status"),
-        st.trace_status_basic(hub_id, ledger_id).alias("trace_status_basic"),
-        (F.col("hub_amount") - F.col("sett_gross")).cast(MONEY).alias("diff_hub_vs_sett"),
-        (F.col("ledger_amount") - F.col("hub_amount")).cast(MONEY).alias("diff_ledger_vs_hub"),
+        f"{st.l1_match(hub_id, ledger_id)} AS l1_match",
+        f"{order_prefix(hub_id, sett_id)} AS order_id_prefix",
+        f"{status} AS trace_status",
+        f"{st.trace_status_basic(hub_id, ledger_id)} AS trace_status_basic",
+        f"CAST(hub_amount - sett_gross AS {MONEY}) AS diff_hub_vs_sett",
+        f"CAST(ledger_amount - hub_amount AS {MONEY}) AS diff_ledger_vs_hub",
         "source_month",
     )

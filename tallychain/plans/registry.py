@@ -29,21 +29,25 @@ class Chain:
     def orders(self) -> DataFrame:
         return self.table("orders")
 
+    @cached_property
+    def spine(self) -> DataFrame:
+        return sample.order_spine(self.orders)
+
     @cached_property
     def hub(self) -> DataFrame:
-        return relations.hub(sample.hub_txn(self.orders))
+        return relations.hub(sample.hub_txn(self.spine))
 
     @cached_property
     def hub_refund(self) -> DataFrame:
-        return relations.hub_refund(sample.hub_refund(self.orders))
+        return relations.hub_refund(sample.hub_refund(self.spine))
 
     @cached_property
     def gateway_txn(self) -> DataFrame:
-        return relations.gateway_txn(sample.gateway_txn_feed(self.orders))
+        return relations.gateway_txn(sample.gateway_txn_feed(self.spine))
 
     @cached_property
     def settlement_feed(self) -> DataFrame:
-        return sample.settlement_feed(self.orders, self.table("lineitem"))
+        return sample.settlement_feed(self.spine, self.table("lineitem"))
 
     @cached_property
     def settlement(self) -> DataFrame:
@@ -51,11 +55,11 @@ class Chain:
 
     @cached_property
     def gateway_refund(self) -> DataFrame:
-        return relations.gateway_refund(sample.gateway_refund_feed(self.orders))
+        return relations.gateway_refund(sample.gateway_refund_feed(self.spine))
 
     @cached_property
     def ledger_sources(self) -> dict[str, DataFrame]:
-        return sample.ledger_sources(self.orders)
+        return sample.ledger_sources(self.spine)
 
     @cached_property
     def ledger(self) -> DataFrame:
@@ -63,7 +67,7 @@ class Chain:
 
     @cached_property
     def bank_feed(self) -> DataFrame:
-        return sample.bank_feed(self.settlement, self.gateway_refund, self.orders)
+        return sample.bank_feed(self.settlement, self.gateway_refund, self.spine)
 
     @cached_property
     def bank(self) -> DataFrame:

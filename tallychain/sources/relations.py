@@ -13,12 +13,9 @@ are plain equi-joins and filters are plain ranges.
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import DataFrame
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from tallychain.config import GATEWAYS, LEDGERS, Ledger
+from tallychain.config import LEDGERS, MONEY, Ledger
 from tallychain.functions.dates import (
     month_label,
     parse_dmy_date,
@@ -29,105 +26,88 @@ from tallychain.functions.dates import (
 from tallychain.functions.money import money, settlement_fee, settlement_net
 from tallychain.functions.status import (
     gateway_of_label,
+    gateway_success,
     is_forward_row,
     is_refund_row,
     settle_key,
 )
 from tallychain.functions.text import strip_quotes
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+from tallychain.operators.frames import union_all
 
 
 def hub(raw: DataFrame) -> DataFrame:
-    created = parse_text_date(F.col("order_date_created"))
-    return raw.select(
+    return raw.selectExpr(
         "order_id",
         "hub_txn_id",
-        settle_key(F.col("payment_gateway"), F.col("order_id"), F.col("hub_txn_id")).alias(
-            "settle_key"
-        ),
-        F.col("payment_gateway").alias("gateway"),
-        money(F.col("amount")).alias("amount"),
-        F.col("payment_status").alias("status"),
+        f"{settle_key('payment_gateway', 'order_id', 'hub_txn_id')} AS settle_key",
+        "payment_gateway AS gateway",
+        f"{money('amount')} AS amount",
+        "payment_status AS status",
         "order_status",
-        created.alias("created_date"),
-        month_label(created).alias("source_month"),
+        f"{parse_text_date('order_date_created')} AS created_date",
+        f"{month_label(parse_text_date('order_date_created'))} AS source_month",
         "customer_id",
         "payment_flow",
     )
 
 
 def hub_refund(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "order_id",
-        strip_quotes(F.col("refund_txn_id")).alias("refund_txn_id"),
+        f"{strip_quotes('refund_txn_id')} AS refund_txn_id",
         "refund_unique_id",
-        money(F.col("refund_amount")).alias("refund_amount"),
+        f"{money('refund_amount')} AS refund_amount",
         "refund_status",
         "refund_type",
-        parse_text_date(F.col("refund_date")).alias("refund_date"),
-        F.col("payment_gateway").alias("gateway"),
+        f"{parse_text_date('refund_date')} AS refund_date",
+        "payment_gateway AS gateway",
     )
 
 
-def _gateway_success(gateway: Column, status: Column) -> Column:
-    out = F
-    for g in GATEWAYS:
-        ok = F.lit(True) if g.success_status is None else status == g.success_status
-        out = out.when(gateway == g.code, ok)
-    return F.coalesce(out, F.lit(False))
-
-
 def gateway_txn(feed: DataFrame) -> DataFrame:
-    gw, raw_date = F.col("gateway"), F.col("raw_date")
-    day = F.when(gw == "GW_C", parse_dmy_date(raw_date)).otherwise(parse_quoted_date(raw_date))
-    return feed.select(
+    return feed.selectExpr(
         "gateway",
-        strip_quotes(F.col("raw_order_id")).alias("gw_key"),
-        money(F.col("raw_amount")).alias("amount"),
-        F.col("raw_status").alias("status"),
-        _gateway_success(gw, F.col("raw_status")).alias("is_success"),
-        day.alias("txn_date"),
+        f"{strip_quotes('raw_order_id')} AS gw_key",
+        f"{money('raw_amount')} AS amount",
+        "raw_status AS status",
+        f"{gateway_success('gateway', 'raw_status')} AS is_success",
+        f"""CASE WHEN gateway = 'GW_C' THEN {parse_dmy_date('raw_date')}
+                 ELSE {parse_quoted_date('raw_date')} END AS txn_date""",
         "mode",
         "bank_name",
         "error_description",
-        money(F.col("discount")).alias("discount"),
-        money(F.col("subvention")).alias("subvention"),
+        f"{money('discount')} AS discount",
+        f"{money('subvention')} AS subvention",
     )
 
 
 def settlement(feed: DataFrame) -> DataFrame:
-    gw = F.col("gateway")
-    rows = feed.select(
+    clean = feed.selectExpr(
         "gateway",
-        strip_quotes(F.col("raw_order_id")).alias("settlement_order_id"),
-        parse_quoted_date(F.col("raw_settled_on")).alias("settled_date"),
-        money(F.col("raw_gross")).alias("sett_gross"),
-        money(F.col("raw_net")).alias("file_net"),
-        money(F.col("raw_fee")).alias("file_fee"),
-        money(F.col("raw_tax")).alias("file_tax"),
-        F.col("utr").alias("sett_utr"),
-        F.col("txn_type").alias("sett_txn_type"),
+        f"{strip_quotes('raw_order_id')} AS settlement_order_id",
+        f"{parse_quoted_date('raw_settled_on')} AS settled_date",
+        f"{money('raw_gross')} AS sett_gross",
+        f"{money('raw_net')} AS file_net",
+        f"{money('raw_fee')} AS file_fee",
+        f"{money('raw_tax')} AS file_tax",
+        "utr AS sett_utr",
+        "txn_type AS sett_txn_type",
         "payment_type",
         "txn_status",
         "method",
         "network",
         "card_type",
     )
-    gross, net = F.col("sett_gross"), F.col("file_net")
-    fee, tax = F.col("file_fee"), F.col("file_tax")
-    positive = settlement_fee(gw, fee, tax)
-    return rows.select(
+    fee = settlement_fee("gateway", "file_fee", "file_tax")
+    return clean.selectExpr(
         "gateway",
         "settlement_order_id",
         "settled_date",
         "sett_gross",
-        settlement_net(gw, gross, fee, tax, net).alias("sett_net"),
-        positive.alias("sett_fee"),
-        F.abs(F.coalesce(tax, F.lit(0))).cast("decimal(18,2)").alias("sett_tax"),
-        F.when(gw == "GW_B", fee).otherwise(-positive).alias("signed_fee"),
+        f"{settlement_net('gateway', 'sett_gross', 'file_fee', 'file_tax', 'file_net')} AS sett_net",
+        f"{fee} AS sett_fee",
+        f"CAST(abs(coalesce(file_tax, 0)) AS {MONEY}) AS sett_tax",
+        f"CAST(CASE WHEN gateway = 'GW_B' THEN file_fee ELSE -{fee} END AS {MONEY}) AS signed_fee",
         "sett_utr",
         "sett_txn_type",
         "payment_type",
@@ -135,45 +115,45 @@ def settlement(feed: DataFrame) -> DataFrame:
         "method",
         "network",
         "card_type",
-        is_forward_row(gw, F.col("sett_txn_type")).alias("is_forward"),
-        is_refund_row(gw, F.col("sett_txn_type")).alias("is_refund"),
+        f"{is_forward_row('gateway', 'sett_txn_type')} AS is_forward",
+        f"{is_refund_row('gateway', 'sett_txn_type')} AS is_refund",
     )
 
 
 def gateway_refund(feed: DataFrame) -> DataFrame:
-    return feed.select(
+    return feed.selectExpr(
         "gateway",
-        strip_quotes(F.col("raw_refund_id")).alias("refund_key"),
-        strip_quotes(F.col("raw_original_id")).alias("original_key"),
-        money(F.col("raw_amount")).alias("amount"),
-        money(F.col("raw_settled_amount")).alias("settled_amount"),
-        parse_quoted_date(F.col("raw_settled_on")).alias("settled_date"),
-        parse_quoted_date(F.col("raw_txn_date")).alias("txn_date"),
+        f"{strip_quotes('raw_refund_id')} AS refund_key",
+        f"{strip_quotes('raw_original_id')} AS original_key",
+        f"{money('raw_amount')} AS amount",
+        f"{money('raw_settled_amount')} AS settled_amount",
+        f"{parse_quoted_date('raw_settled_on')} AS settled_date",
+        f"{parse_quoted_date('raw_txn_date')} AS txn_date",
     )
 
 
-def _ledger_date(spec: Ledger) -> Column:
-    col = F.col(spec.date)
-    return parse_text_date(col) if spec.date_style == "iso" else parse_month_name_date(col)
+def _ledger_date(spec: Ledger) -> str:
+    return (parse_text_date if spec.date_style == "iso" else parse_month_name_date)(spec.date)
 
 
 def ledger_one(spec: Ledger, raw: DataFrame) -> DataFrame:
-    def text(name: str | None) -> Column:
-        return F.col(name).cast("string") if name else F.lit(None).cast("string")
-
-    return raw.select(
-        F.col(spec.key).alias("order_id"),
-        F.lit(spec.table).alias("ledger_table"),
-        money(F.col(spec.amount)).alias("ledger_amount"),
-        _ledger_date(spec).alias("ledger_date"),
-        text(spec.status).alias("ledger_status"),
-        text(spec.mode).alias("mode"),
-        text(spec.plan).alias("plan"),
-        text(spec.account).alias("account_id"),
-        text(spec.mobile).alias("mobile"),
-        text(spec.alt_key or spec.key).alias("alt_key"),
-        F.lit(spec.priority).cast("int").alias("priority"),
-        F.coalesce(F.expr(spec.scope), F.lit(False)).alias("in_scope"),
+    def text(name: str | None) -> str:
+        return f"CAST({name or 'NULL'} AS STRING)"
+
+    rank = "NULL" if spec.priority is None else str(spec.priority)
+    return raw.selectExpr(
+        f"{spec.key} AS order_id",
+        f"'{spec.table}' AS ledger_table",
+        f"{money(spec.amount)} AS ledger_amount",
+        f"{_ledger_date(spec)} AS ledger_date",
+        f"{text(spec.status)} AS ledger_status",
+        f"{text(spec.mode)} AS mode",
+        f"{text(spec.plan)} AS plan",
+        f"{text(spec.account)} AS account_id",
+        f"{text(spec.mobile)} AS mobile",
+        f"{text(spec.alt_key or spec.key)} AS alt_key",
+        f"CAST({rank} AS INT) AS priority",
+        f"coalesce({spec.scope}, false) AS in_scope",
     )
 
 
@@ -183,12 +163,11 @@ def ledger(raw: dict[str, DataFrame]) -> DataFrame:
 
 
 def bank(raw: DataFrame) -> DataFrame:
-    day = F.col("transaction").cast("date")
-    return raw.select(
-        gateway_of_label(F.col("payment_gateway")).alias("gateway"),
-        F.col("payment_gateway").alias("bank_label"),
-        day.alias("bank_date"),
-        money(F.col("deposit_amt")).alias("deposit"),
-        F.col("transaction_remarks").alias("remarks"),
-        F.col("month").alias("month_text"),
+    return raw.selectExpr(
+        f"{gateway_of_label('payment_gateway')} AS gateway",
+        "payment_gateway AS bank_label",
+        "CAST(transaction AS DATE) AS bank_date",
+        f"{money('deposit_amt')} AS deposit",
+        "transaction_remarks AS remarks",
+        "month AS month_text",
     )

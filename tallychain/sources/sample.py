@@ -7,341 +7,286 @@ negative fees, missing rows) are those of the real files, so the normalisers in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tallychain.config import GATEWAY_CODES, MONEY
+from tallychain.config import MONEY
+from tallychain.functions.status import bank_label
+from tallychain.operators.frames import group
 
 # Id family by last digit of the order key.
-FAMILIES = ("gen", "gen", "sub", "wgSub", "w", "walletTop", "mr", "sd", "ott", "SRVC")
-METHODS = ("UPI", "CARD", "NETBANKING", "WALLET")
-NETWORKS = ("VISA", "MASTER", "RUPAY")
+FAMILY = """CASE o_orderkey % 10 WHEN 0 THEN 'gen' WHEN 1 THEN 'gen' WHEN 2 THEN 'sub'
+    WHEN 3 THEN 'wgSub' WHEN 4 THEN 'w' WHEN 5 THEN 'walletTop' WHEN 6 THEN 'mr'
+    WHEN 7 THEN 'sd' WHEN 8 THEN 'ott' ELSE 'SRVC' END"""
+GATEWAY = "CASE o_custkey % 4 WHEN 0 THEN 'GW_A' WHEN 1 THEN 'GW_B' WHEN 2 THEN 'GW_C' ELSE 'GW_D' END"
 
 
-def _pick(values: tuple[str, ...] | list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _method(x: str) -> str:
+    return f"CASE {x} % 4 WHEN 0 THEN 'UPI' WHEN 1 THEN 'CARD' WHEN 2 THEN 'NETBANKING' ELSE 'WALLET' END"
 
 
-def _quoted(col: Column) -> Column:
-    return F.concat(F.lit("'"), col, F.lit("'"))
+def _quoted(x: str) -> str:
+    return f"concat(chr(39), {x}, chr(39))"
 
 
-def order_spine(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    order_id = F.concat_ws("_", _pick(FAMILIES, k % 10), k.cast("string"))
-    return orders.select(
-        k.alias("k"),
-        F.col("o_custkey").alias("cust"),
-        order_id.alias("order_id"),
-        F.concat(F.lit("h-"), order_id, F.lit("-1")).alias("hub_txn_id"),
-        _pick(GATEWAY_CODES, F.col("o_custkey") % 4).alias("gateway"),
-        F.col("o_totalprice").cast(MONEY).alias("amount"),
-        F.when(F.col("o_orderstatus") == "P", "PENDING").otherwise("SUCCESS").alias("status"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.col("o_orderdate").cast("date").alias("created_date"),
-        F.col("o_orderpriority").alias("flow"),
-    )
-
+#: an order's id as the gateway's own files carry it
+RAW_ID = (
+    f"CASE gateway WHEN 'GW_A' THEN {_quoted('hub_txn_id')} "
+    "WHEN 'GW_D' THEN order_id ELSE hub_txn_id END"
+)
+IN_HUB = "k % 97 <> 0"
 
-def _in_hub(k: Column) -> Column:
-    return k % 97 != 0
 
-
-def hub_txn(orders: DataFrame) -> DataFrame:
-    s = order_spine(orders)
-    return s.where(_in_hub(F.col("k"))).select(
+def order_spine(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr(
+        "o_orderkey AS k",
+        "o_custkey AS cust",
+        f"concat({FAMILY}, '_', o_orderkey) AS order_id",
+        f"{GATEWAY} AS gateway",
+        f"CAST(o_totalprice AS {MONEY}) AS amount",
+        "CASE WHEN o_orderstatus = 'P' THEN 'PENDING' ELSE 'SUCCESS' END AS status",
+        "o_orderstatus AS order_status",
+        "CAST(o_orderdate AS DATE) AS created_date",
+        "o_orderpriority AS flow",
+    ).selectExpr("*", "concat('h-', order_id, '-1') AS hub_txn_id")
+
+
+def hub_txn(spine: DataFrame) -> DataFrame:
+    return spine.where(IN_HUB).selectExpr(
         "order_id",
         "hub_txn_id",
-        F.col("amount").cast("double").alias("amount"),
+        "CAST(amount AS DOUBLE) AS amount",
         "order_status",
-        F.col("status").alias("payment_status"),
-        F.col("gateway").alias("payment_gateway"),
-        F.col("created_date").cast("string").alias("order_date_created"),
-        F.concat(F.lit("c-"), F.col("cust")).alias("customer_id"),
-        F.col("flow").alias("payment_flow"),
+        "status AS payment_status",
+        "gateway AS payment_gateway",
+        "CAST(created_date AS STRING) AS order_date_created",
+        "concat('c-', cust) AS customer_id",
+        "flow AS payment_flow",
     )
 
 
-def hub_refund(orders: DataFrame) -> DataFrame:
+def _refunded(spine: DataFrame, where: str) -> DataFrame:
     """One refund per 29th hub order, two for every second of those."""
-    k = F.col("k")
-    n = F.explode(F.sequence(F.lit(1), F.when(k % 58 == 0, 2).otherwise(1)))
-    s = order_spine(orders).where(_in_hub(k) & (k % 29 == 0)).withColumn("n", n)
-    return s.select(
-        "order_id",
-        F.col("hub_txn_id").alias("refund_txn_id"),
-        F.concat_ws("-", F.lit("r"), k, F.col("n")).alias("refund_unique_id"),
-        (F.col("amount") - F.col("n")).cast("double").alias("refund_amount"),
-        F.when(k % 145 == 0, "PENDING").otherwise("SUCCESS").alias("refund_status"),
-        F.when(k % 58 == 0, "PARTIAL").otherwise("FULL").alias("refund_type"),
-        F.date_add("created_date", (F.col("n") * 6 - 3).cast("int"))
-        .cast("string")
-        .alias("refund_date"),
-        F.col("gateway").alias("payment_gateway"),
+    return spine.where(f"{IN_HUB} AND k % 29 = 0 AND {where}").selectExpr(
+        "*", "explode(sequence(1, CASE WHEN k % 58 = 0 THEN 2 ELSE 1 END)) AS n"
     )
 
 
-def gateway_txn_feed(orders: DataFrame) -> DataFrame:
-    """Gateway transaction rows; some hub rows are missing, some rows are not in the hub."""
-    k, gw = F.col("k"), F.col("gateway")
-    s = order_spine(orders).where(~_in_hub(k) | (k % 53 != 0))
-    short = (gw == "GW_C") & (k % 31 == 0)
-    amount = (
-        F.when(short & (k % 62 == 0), F.lit(0).cast(MONEY))
-        .when(short, F.col("amount") - 5)
-        .otherwise(F.col("amount"))
+def hub_refund(spine: DataFrame) -> DataFrame:
+    return _refunded(spine, "true").selectExpr(
+        "order_id",
+        "hub_txn_id AS refund_txn_id",
+        "concat_ws('-', 'r', k, n) AS refund_unique_id",
+        "CAST(amount - n AS DOUBLE) AS refund_amount",
+        "CASE WHEN k % 145 = 0 THEN 'PENDING' ELSE 'SUCCESS' END AS refund_status",
+        "CASE WHEN k % 58 = 0 THEN 'PARTIAL' ELSE 'FULL' END AS refund_type",
+        "CAST(date_add(created_date, n * 6 - 3) AS STRING) AS refund_date",
+        "gateway AS payment_gateway",
     )
-    day = F.col("created_date")
-    ok = F.col("status") == "SUCCESS"
-    return s.select(
+
+
+def gateway_refund_feed(spine: DataFrame) -> DataFrame:
+    """Refunds as the gateways report them; every seventh refunded order is missing."""
+    settled = "CAST(date_add(created_date, n * 6 - 2) AS STRING)"
+    asked = "CAST(date_add(created_date, n * 6 - 3) AS STRING)"
+
+    def stamped(day: str, time: str) -> str:
+        quoted = _quoted(f"concat({day}, ' {time}')")
+        return f"CASE WHEN gateway = 'GW_A' THEN {quoted} ELSE {day} END"
+
+    return _refunded(spine, "k % 203 <> 0").selectExpr(
         "gateway",
-        F.when(gw == "GW_A", _quoted(F.col("hub_txn_id")))
-        .when(gw == "GW_D", F.col("order_id"))
-        .otherwise(F.col("hub_txn_id"))
-        .alias("raw_order_id"),
-        amount.cast("double").alias("raw_amount"),
-        F.when(gw == "GW_A", F.when(ok, "TXN_SUCCESS").otherwise("PENDING"))
-        .when(gw == "GW_B", F.when(ok, "SUCCESS").otherwise("FAILED"))
-        .when(gw == "GW_C", F.when(ok, "captured").otherwise("failed"))
-        .otherwise(F.when(ok, "payment").otherwise("adjustment"))
-        .alias("raw_status"),
-        F.when(gw == "GW_A", _quoted(F.concat(day.cast("string"), F.lit(" 10:00:00"))))
-        .when(gw == "GW_C", F.concat(F.date_format(day, "dd-MM-yyyy"), F.lit(" 10:00")))
-        .otherwise(day.cast("string"))
-        .alias("raw_date"),
-        _pick(METHODS, k % 4).alias("mode"),
-        F.concat(F.lit("bank"), (k % 5).cast("string")).alias("bank_name"),
-        F.when(k % 3 == 0, F.concat(F.lit("E0"), (k % 7).cast("string"))).alias("error_description"),
-        F.when(k % 8 == 0, 2.5).when(k % 8 == 1, 0.0).alias("discount"),
-        F.when(k % 6 == 0, 1.5).otherwise(0.0).alias("subvention"),
+        f"{RAW_ID} AS raw_refund_id",
+        f"{RAW_ID} AS raw_original_id",
+        "CAST(amount - n AS DOUBLE) AS raw_amount",
+        "CAST(amount - n - 1 AS DOUBLE) AS raw_settled_amount",
+        f"{stamped(settled, '16:24:17')} AS raw_settled_on",
+        f"{stamped(asked, '09:00:00')} AS raw_txn_date",
     )
 
 
-def settlement_feed(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One settlement row per line, in each gateway's own conventions."""
-    spine = order_spine(orders).select("k", "order_id", "hub_txn_id", "gateway")
-    rows = lineitem.join(spine, lineitem["l_orderkey"] == spine["k"])
-    gw, part, line = F.col("gateway"), F.col("l_partkey"), F.col("l_linenumber")
-    refund = F.col("l_returnflag") == "R"
-    untyped = (F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O") & (line == 7)
-    odd = line % 2 == 1
-
-    rows = rows.select(
-        "*",
-        F.col("l_extendedprice").cast(MONEY).alias("gross"),
-        (F.col("l_extendedprice") * F.col("l_tax") * 0.01).cast(MONEY).alias("fee_total"),
-        F.col("l_shipdate").cast("date").cast("string").alias("day"),
-        _pick(METHODS, part % 4).alias("method"),
-    ).withColumn("tax", (F.col("fee_total") * F.lit(0.18).cast("decimal(2,2)")).cast(MONEY))
-
-    def typed(ref: Column, none: Column, pay: str) -> Column:
-        return F.when(refund, ref).when(untyped, none).otherwise(pay)
-
-    kind = (
-        F.when(gw == "GW_A", typed(F.lit("REFUND"), F.lit(None), "ACQUIRING"))
-        .when(gw == "GW_B", typed(F.when(odd, "REFUND").otherwise("REVERSAL"), F.lit(None), "PAYMENT"))
-        .when(
-            gw == "GW_C",
-            typed(F.when(odd, "Refunded").otherwise("Chargebacked"), F.lit(None), "captured"),
-        )
-        .otherwise(typed(F.lit("refund"), F.lit("adjustment"), "payment"))
-    )
-    adj_id = F.concat(F.lit("ADJ_"), part.cast("string"))
-    wallet_id = _quoted(F.concat(F.lit("w-"), F.col("order_id")))
-    gross, fee, tax, day = (F.col(c) for c in ("gross", "fee_total", "tax", "day"))
-    credit = (gw == "GW_B") & refund
-    card = F.col("method") == "CARD"
-    return rows.select(
+def gateway_txn_feed(spine: DataFrame) -> DataFrame:
+    """Gateway transaction rows; some hub rows are missing, some rows are not in the hub."""
+    stamped = _quoted("concat(CAST(created_date AS STRING), ' 10:00:00')")
+    return spine.where(f"NOT ({IN_HUB}) OR k % 53 <> 0").selectExpr(
         "gateway",
-        F.when((gw == "GW_C") & (part % 500 == 0), adj_id)
-        .when((gw == "GW_A") & (part % 499 == 0), wallet_id)
-        .when(gw == "GW_A", _quoted(F.col("hub_txn_id")))
-        .when(gw == "GW_D", F.col("order_id"))
-        .otherwise(F.col("hub_txn_id"))
-        .alias("raw_order_id"),
-        gross.cast("double").alias("raw_gross"),
-        F.when(gw != "GW_D", F.when(credit, gross + fee).otherwise(gross - fee).cast("double")).alias(
-            "raw_net"
-        ),
-        F.when(credit, fee)
-        .when(gw == "GW_B", -fee)
-        .when((gw == "GW_D") & (fee == 0), F.lit(None))
-        .otherwise(fee - tax)
-        .cast("double")
-        .alias("raw_fee"),
-        F.when(credit, tax)
-        .when(gw == "GW_B", -tax)
-        .when((gw == "GW_D") & (fee == 0), F.lit(None))
-        .otherwise(tax)
-        .cast("double")
-        .alias("raw_tax"),
-        F.when((gw == "GW_A") & refund, _quoted(F.concat(day, F.lit(" 16:24:17"))))
-        .when(gw == "GW_C", F.concat(day, F.lit(" 14:30:00")))
-        .otherwise(day)
-        .alias("raw_settled_on"),
-        F.concat_ws("-", gw, day).alias("utr"),
-        kind.alias("txn_type"),
-        F.when(refund, "REFUND").otherwise("PAYMENT").alias("payment_type"),
-        F.when(odd, "COMPLETED").alias("txn_status"),
-        "method",
-        F.when(card, _pick(NETWORKS, part % 3)).alias("network"),
-        F.when(card, F.when(part % 2 == 0, "credit").otherwise("debit")).alias("card_type"),
+        f"{RAW_ID} AS raw_order_id",
+        """CAST(CASE WHEN gateway = 'GW_C' AND k % 62 = 0 THEN 0
+                     WHEN gateway = 'GW_C' AND k % 31 = 0 THEN amount - 5
+                     ELSE amount END AS DOUBLE) AS raw_amount""",
+        """CASE gateway WHEN 'GW_A' THEN if(status = 'SUCCESS', 'TXN_SUCCESS', 'PENDING')
+                        WHEN 'GW_B' THEN if(status = 'SUCCESS', 'SUCCESS', 'FAILED')
+                        WHEN 'GW_C' THEN if(status = 'SUCCESS', 'captured', 'failed')
+                        ELSE if(status = 'SUCCESS', 'payment', 'adjustment') END AS raw_status""",
+        f"""CASE gateway WHEN 'GW_A' THEN {stamped}
+                         WHEN 'GW_C' THEN concat(date_format(created_date, 'dd-MM-yyyy'), ' 10:00')
+                         ELSE CAST(created_date AS STRING) END AS raw_date""",
+        f"{_method('k')} AS mode",
+        "concat('bank', k % 5) AS bank_name",
+        "CASE WHEN k % 3 = 0 THEN concat('E0', k % 7) END AS error_description",
+        "CASE k % 8 WHEN 0 THEN 2.5D WHEN 1 THEN 0D END AS discount",
+        "CASE WHEN k % 6 = 0 THEN 1.5D ELSE 0D END AS subvention",
     )
 
 
-def gateway_refund_feed(orders: DataFrame) -> DataFrame:
-    """Refunds as the gateways report them; every seventh refunded order is missing."""
-    k, gw = F.col("k"), F.col("gateway")
-    n = F.explode(F.sequence(F.lit(1), F.when(k % 58 == 0, 2).otherwise(1)))
-    s = (
-        order_spine(orders)
-        .where(_in_hub(k) & (k % 29 == 0) & (k % 203 != 0))
-        .withColumn("n", n)
+def settlement_feed(spine: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """One settlement row per line, in each gateway's own conventions."""
+    owner = spine.select("k", "order_id", "hub_txn_id", "gateway")
+    lines = lineitem.selectExpr(
+        "l_orderkey",
+        "l_partkey AS part",
+        "l_linenumber % 2 = 1 AS odd",
+        "l_returnflag = 'R' AS refund",
+        "l_returnflag = 'A' AND l_linestatus = 'O' AND l_linenumber = 7 AS untyped",
+        f"CAST(l_extendedprice AS {MONEY}) AS gross",
+        f"CAST(l_extendedprice * l_tax * 0.01D AS {MONEY}) AS fee",
+        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS day",
+    )
+    rows = lines.join(owner, lines["l_orderkey"] == owner["k"]).selectExpr(
+        "*",
+        f"CAST(fee * 0.18BD AS {MONEY}) AS tax",
+        f"{_method('part')} AS method",
+        "gateway = 'GW_B' AND refund AS credit",
+        "gateway = 'GW_D' AND fee = 0 AS no_fee",
     )
-    settled = F.date_add("created_date", (F.col("n") * 6 - 2).cast("int")).cast("string")
-    asked = F.date_add("created_date", (F.col("n") * 6 - 3).cast("int")).cast("string")
-    return s.select(
+    return rows.selectExpr(
         "gateway",
-        F.when(gw == "GW_A", _quoted(F.col("hub_txn_id")))
-        .when(gw == "GW_D", F.col("order_id"))
-        .otherwise(F.col("hub_txn_id"))
-        .alias("raw_refund_id"),
-        F.when(gw == "GW_A", _quoted(F.col("hub_txn_id")))
-        .when(gw == "GW_D", F.col("order_id"))
-        .otherwise(F.col("hub_txn_id"))
-        .alias("raw_original_id"),
-        (F.col("amount") - F.col("n")).cast("double").alias("raw_amount"),
-        (F.col("amount") - F.col("n") - 1).cast("double").alias("raw_settled_amount"),
-        F.when(gw == "GW_A", _quoted(F.concat(settled, F.lit(" 16:24:17"))))
-        .otherwise(settled)
-        .alias("raw_settled_on"),
-        F.when(gw == "GW_A", _quoted(F.concat(asked, F.lit(" 09:00:00"))))
-        .otherwise(asked)
-        .alias("raw_txn_date"),
+        f"""CASE WHEN gateway = 'GW_C' AND part % 500 = 0 THEN concat('ADJ_', part)
+                 WHEN gateway = 'GW_A' AND part % 499 = 0 THEN {_quoted("concat('w-', order_id)")}
+                 ELSE {RAW_ID} END AS raw_order_id""",
+        "CAST(gross AS DOUBLE) AS raw_gross",
+        """CAST(CASE WHEN credit THEN gross + fee
+                     WHEN gateway <> 'GW_D' THEN gross - fee END AS DOUBLE) AS raw_net""",
+        """CAST(CASE WHEN credit THEN fee WHEN gateway = 'GW_B' THEN -fee
+                     WHEN NOT no_fee THEN fee - tax WHEN gateway <> 'GW_D' THEN 0 END
+                AS DOUBLE) AS raw_fee""",
+        """CAST(CASE WHEN credit THEN tax WHEN gateway = 'GW_B' THEN -tax
+                     WHEN NOT no_fee THEN tax WHEN gateway <> 'GW_D' THEN 0 END
+                AS DOUBLE) AS raw_tax""",
+        f"""CASE WHEN gateway = 'GW_A' AND refund THEN {_quoted("concat(day, ' 16:24:17')")}
+                 WHEN gateway = 'GW_C' THEN concat(day, ' 14:30:00') ELSE day END AS raw_settled_on""",
+        "concat_ws('-', gateway, day) AS utr",
+        """CASE gateway
+             WHEN 'GW_A' THEN CASE WHEN refund THEN 'REFUND' WHEN NOT untyped THEN 'ACQUIRING' END
+             WHEN 'GW_B' THEN CASE WHEN refund AND odd THEN 'REFUND' WHEN refund THEN 'REVERSAL'
+                                   WHEN NOT untyped THEN 'PAYMENT' END
+             WHEN 'GW_C' THEN CASE WHEN refund AND odd THEN 'Refunded' WHEN refund THEN 'Chargebacked'
+                                   WHEN NOT untyped THEN 'captured' END
+             ELSE CASE WHEN refund THEN 'refund' WHEN untyped THEN 'adjustment' ELSE 'payment' END
+           END AS txn_type""",
+        "if(refund, 'REFUND', 'PAYMENT') AS payment_type",
+        "CASE WHEN odd THEN 'COMPLETED' END AS txn_status",
+        "method",
+        """CASE WHEN method = 'CARD' THEN
+             CASE part % 3 WHEN 0 THEN 'VISA' WHEN 1 THEN 'MASTER' ELSE 'RUPAY' END END AS network""",
+        "CASE WHEN method = 'CARD' THEN if(part % 2 = 0, 'credit', 'debit') END AS card_type",
     )
 
 
-def ledger_sources(orders: DataFrame) -> dict[str, DataFrame]:
+def ledger_sources(spine: DataFrame) -> dict[str, DataFrame]:
     """The eight ledger tables by name."""
-    k = F.col("k")
-    amount = F.col("amount") + F.when(k % 211 == 0, 1).otherwise(0)
-    s = order_spine(orders).select(
+    s = spine.selectExpr(
         "*",
-        amount.cast(MONEY).alias("paid"),
-        F.date_format("created_date", "MMM d, yyyy").alias("day_name"),
-        F.col("created_date").cast("string").alias("day"),
-        F.concat(F.lit("m-"), F.col("cust")).alias("mobile"),
+        "CAST(amount + CASE WHEN k % 211 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS paid",
+        "date_format(created_date, 'MMM d, yyyy') AS day_name",
+        "CAST(created_date AS STRING) AS day",
+        "concat('m-', cust) AS mobile",
     )
-    booked = (k % 50 != 0) & (k % 40 != 4)
-    digit = k % 10
-    paid = F.col("paid").cast("double")
-
-    def rows(cond: Column) -> DataFrame:
-        return s.where(cond)
-
+    booked = s.where("k % 50 <> 0 AND k % 40 <> 4")
     return {
-        "ledger_booking": rows(booked & (digit < 2) & (k % 3 == 0)).select(
-            F.col("order_id").alias("booking_txn_id"),
-            paid.alias("booking_fee"),
-            F.col("day_name").alias("created_on"),
-            F.when(k % 9 != 0, F.when(F.col("status") == "SUCCESS", "TXN_SUCCESS").otherwise("PENDING"))
-            .alias("resultstatus"),
-            F.col("cust").alias("account_id"),
+        "ledger_booking": booked.where("k % 10 < 2 AND k % 3 = 0").selectExpr(
+            "order_id AS booking_txn_id",
+            "paid AS booking_fee",
+            "day_name AS created_on",
+            "CASE WHEN k % 9 <> 0 THEN if(status = 'SUCCESS', 'TXN_SUCCESS', 'PENDING') END AS resultstatus",
+            "flow AS payment_flag",
+            "gateway AS payment_gateway_name",
+            "cust AS account_id",
             "mobile",
         ),
-        "ledger_revenue": rows(booked & (digit < 4)).select(
-            F.col("order_id").alias("transaction_id"),
-            F.when(k % 77 == 0, 0.0).otherwise(paid).alias("totalpaid"),
-            F.when(k % 13 == 0, "cash").otherwise("online").alias("mode"),
-            F.col("day_name").alias("recharge_dt"),
-            F.col("flow").alias("plan_type"),
-            F.col("cust").alias("account_id"),
+        "ledger_revenue": booked.where("k % 10 < 4").selectExpr(
+            "order_id AS transaction_id",
+            "CASE WHEN k % 77 = 0 THEN 0D ELSE paid END AS totalpaid",
+            "if(k % 13 = 0, 'cash', 'online') AS mode",
+            "day_name AS recharge_dt",
+            "flow AS plan_type",
+            "cust AS account_id",
             "mobile",
         ),
-        "ledger_net_income": rows(booked & ((digit == 4) | ((digit == 2) & (k % 3 == 0)))).select(
-            F.col("order_id").alias("txn_id"),
-            paid.alias("amount"),
-            F.col("day").alias("txn_dt"),
-            F.when(k % 17 == 0, "cash").otherwise("online").alias("mode"),
-            F.lit("wallet").alias("rev_mode"),
-            F.concat(F.lit("p-"), (F.col("cust") % 100).cast("string")).alias("partner"),
+        "ledger_net_income": booked.where(
+            "k % 10 = 4 OR (k % 10 = 2 AND k % 3 = 0)"
+        ).selectExpr(
+            "order_id AS txn_id",
+            "paid AS amount",
+            "day AS txn_dt",
+            "if(k % 17 = 0, 'cash', 'online') AS mode",
+            "'wallet' AS rev_mode",
+            "concat('p-', cust % 100) AS partner",
             "mobile",
         ),
-        "ledger_mobile": rows(booked & (digit == 6)).select(
-            F.col("order_id").alias("transaction_id"),
-            paid.alias("pay_amount"),
-            F.col("day").alias("createdate"),
+        "ledger_mobile": booked.where("k % 10 = 6").selectExpr(
+            "order_id AS transaction_id", "paid AS pay_amount", "day AS createdate"
         ),
-        "ledger_deposit": rows(booked & (digit == 7)).select(
-            F.col("order_id").alias("sd_txn_id"),
-            F.when(k % 3 == 0, F.col("hub_txn_id")).otherwise(F.col("order_id")).alias("transaction_id"),
-            paid.alias("sd_amount"),
-            F.col("day_name").alias("created_on"),
-            F.col("cust").alias("account_id"),
+        "ledger_deposit": booked.where("k % 10 = 7").selectExpr(
+            "order_id AS sd_txn_id",
+            "CASE WHEN k % 3 = 0 THEN hub_txn_id ELSE order_id END AS transaction_id",
+            "paid AS sd_amount",
+            "day_name AS created_on",
+            "cust AS account_id",
             "mobile",
         ),
-        "ledger_ott": rows(booked & (digit == 8)).select(
-            F.col("order_id").alias("transaction_id"),
-            paid.alias("pay_amount"),
-            F.col("day").alias("createdate"),
+        "ledger_ott": booked.where("k % 10 = 8").selectExpr(
+            "order_id AS transaction_id", "paid AS pay_amount", "day AS createdate"
         ),
-        "ledger_topup": rows(booked & (digit == 5)).select(
-            F.col("order_id").alias("transaction_id"),
-            paid.alias("amount"),
-            F.when(k % 4 == 1, F.col("day_name"))
-            .otherwise(F.concat(F.col("day"), F.lit(" 10:00:00")))
-            .alias("datetime"),
+        "ledger_topup": booked.where("k % 10 = 5").selectExpr(
+            "order_id AS transaction_id",
+            "paid AS amount",
+            "CASE WHEN k % 4 = 1 THEN day_name ELSE concat(day, ' 10:00:00') END AS datetime",
         ),
-        "ledger_refunded": rows(k % 100 == 0).select(
-            F.col("order_id").alias("transaction_id"),
-            paid.alias("pay_amount"),
-            F.date_add("created_date", 5).cast("string").alias("dt"),
-            F.lit("online").alias("payment_mode"),
-            F.lit("REFUNDED").alias("txn_status"),
+        "ledger_refunded": s.where("k % 100 = 0").selectExpr(
+            "order_id AS transaction_id",
+            "paid AS pay_amount",
+            "CAST(date_add(created_date, 5) AS STRING) AS dt",
+            "'online' AS payment_mode",
+            "'REFUNDED' AS txn_status",
         ),
     }
 
 
-def bank_feed(settlement: DataFrame, gateway_refund: DataFrame, orders: DataFrame) -> DataFrame:
+def bank_feed(settlement: DataFrame, gateway_refund: DataFrame, spine: DataFrame) -> DataFrame:
     """Daily deposits: 99.5 % of the expected transfer, with days missing on either side."""
-    from tallychain.functions.status import bank_label
-
-    sums = settlement.groupBy("gateway", "settled_date").agg(
-        F.count_if("is_forward").alias("n_forward"),
-        F.coalesce(F.sum(F.when(F.col("is_forward"), F.col("sett_net"))), F.lit(0)).alias("forward"),
-        F.coalesce(F.sum(F.when(F.col("is_refund"), F.col("sett_net"))), F.lit(0)).alias("stray"),
+    day = ["gateway", "settled_date"]
+    netted = group(
+        gateway_refund.where("gateway = 'GW_A'"), day, "sum(settled_amount) AS netted"
     )
-    netted = (
-        gateway_refund.where(F.col("gateway") == "GW_A")
-        .groupBy("gateway", "settled_date")
-        .agg(F.sum("settled_amount").alias("netted"))
-    )
-    daily = sums.join(netted, ["gateway", "settled_date"], "left").where(
-        ~F.dayofmonth("settled_date").isin(7, 21)
-    )
-    expected = F.when(F.col("n_forward") == 0, F.col("stray")).otherwise(
-        F.col("forward") - F.coalesce(F.col("netted"), F.lit(0))
-    )
-    rate = F.lit(0.995).cast("decimal(4,3)")
-    matched = daily.select(
-        "gateway",
-        F.col("settled_date").alias("day"),
-        (expected.cast(MONEY) * rate).cast(MONEY).alias("amount"),
+    matched = (
+        group(
+            settlement.where("day(settled_date) NOT IN (7, 21)"),
+            day,
+            "count_if(is_forward) AS n_forward",
+            "coalesce(sum(CASE WHEN is_forward THEN sett_net END), 0) AS forward",
+            "coalesce(sum(CASE WHEN is_refund THEN sett_net END), 0) AS stray",
+        )
+        .join(netted, day, "left")
+        .selectExpr(
+            "gateway",
+            "settled_date AS day",
+            f"""CAST(CAST(CASE WHEN n_forward = 0 THEN stray ELSE forward - coalesce(netted, 0) END
+                 AS {MONEY}) * 0.995BD AS {MONEY}) AS amount""",
+        )
     )
     # Deposits from before the first settlement file.
-    early = (
-        order_spine(orders)
-        .where(F.col("created_date") < F.lit("1995-02-01").cast("date"))
-        .groupBy("gateway", F.date_sub("created_date", 365).alias("day"))
-        .agg((F.sum("amount").cast(MONEY) * F.lit(0.01).cast("decimal(2,2)")).cast(MONEY).alias("amount"))
-    )
-    both = matched.unionByName(early)
-    return both.select(
-        F.concat(F.col("day").cast("string"), F.lit(" 11:00:00")).cast("timestamp_ntz").alias("transaction"),
-        bank_label(F.col("gateway")).alias("payment_gateway"),
-        F.col("amount").cast("double").alias("deposit_amt"),
-        F.concat_ws(" ", F.lit("RTGS"), F.col("gateway"), F.col("day").cast("string")).alias(
-            "transaction_remarks"
+    early = group(
+        spine.where("created_date < DATE'1995-02-01'").selectExpr(
+            "gateway", "date_sub(created_date, 365) AS day", "amount"
         ),
-        F.date_format("day", "MMM-yy").alias("month"),
+        ["gateway", "day"],
+        f"CAST(CAST(sum(amount) AS {MONEY}) * 0.01BD AS {MONEY}) AS amount",
     )
+    return matched.unionByName(early).selectExpr(
+        "CAST(concat(day, ' 11:00:00') AS TIMESTAMP_NTZ) AS transaction",
+        f"{bank_label('gateway')} AS payment_gateway",
+        "CAST(amount AS DOUBLE) AS deposit_amt",
+        "concat_ws(' ', 'RTGS', gateway, day) AS transaction_remarks",
+        "date_format(day, 'MMM-yy') AS month",
+    )
+

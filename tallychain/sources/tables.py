@@ -6,7 +6,6 @@ import re
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallychain.functions.dates import month_label
@@ -58,8 +57,8 @@ def csv_load_all(
 
 def add_source_month(df: DataFrame, date_col: str, file_name: bool = True) -> DataFrame:
     """Month label, and the name of the file the row came from."""
-    out = df.withColumn("source_month", month_label(F.col(date_col)))
-    return out.withColumn("source_file", F.col("_metadata.file_name")) if file_name else out
+    extra = ["_metadata.file_name AS source_file"] if file_name else []
+    return df.selectExpr("*", f"{month_label(date_col)} AS source_month", *extra)
 
 
 def dedupe_on_load(df: DataFrame, keys: list[str]) -> DataFrame:
