@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallychain.config import LOOKUP_LEDGERS, MONEY, Period
+from tallychain.config import (
+    AMOUNT_TOLERANCE,
+    GATEWAY_CODES,
+    LOOKUP_LEDGERS,
+    MONEY,
+    TOP_GAPS,
+    Period,
+)
 from tallychain.functions import status as st
 from tallychain.functions.dates import in_period, month_label
+from tallychain.functions.money import safe_pct, total
 from tallychain.functions.text import order_prefix
-from tallychain.operators.frames import group
+from tallychain.operators.frames import group, top_k, with_totals
 
 
 def ledger_lookup(ledger: DataFrame) -> DataFrame:
@@ -139,3 +147,249 @@ def recon_base(
         f"CAST(ledger_amount - hub_amount AS {MONEY}) AS diff_ledger_vs_hub",
         "source_month",
     )
+
+
+# --- reports on the base table ---------------------------------------------------
+
+
+def recon_row_counts(base: DataFrame) -> DataFrame:
+    return with_totals(group(base, "gateway", "count(*) AS n_rows"), ["gateway"], "n_rows")
+
+
+def recon_summary(base: DataFrame) -> DataFrame:
+    """Rows and amounts by gateway and trace status, with subtotals and a grand total."""
+    rows = group(
+        base,
+        ["gateway", "trace_status"],
+        "count(*) AS n_rows",
+        f"{total('sett_gross')} AS sett_gross",
+        f"{total('sett_net')} AS sett_net",
+        f"{total('hub_amount')} AS hub_amount",
+        f"{total('ledger_amount')} AS ledger_amount",
+    )
+    return with_totals(
+        rows,
+        ["gateway", "trace_status"],
+        "n_rows",
+        "sett_gross",
+        "sett_net",
+        "hub_amount",
+        "ledger_amount",
+    )
+
+
+def waterfall_by_gateway(base: DataFrame, bank: DataFrame) -> DataFrame:
+    """Bank, gross, net, hub and ledger totals and the steps between them, one row per gateway."""
+    sums = group(
+        base,
+        "gateway",
+        f"{total('sett_gross')} AS gross",
+        f"{total('sett_net')} AS net",
+        total("hub_amount", "l2_match = 'MATCHED'") + " AS hub",
+        total("ledger_amount", "l1_match = 'MATCHED'") + " AS ledger",
+    )
+    deposits = group(bank, "gateway", f"{total('deposit')} AS bank")
+    return sums.join(deposits, "gateway", "left").selectExpr(
+        "gateway",
+        "coalesce(bank, 0) AS bank",
+        "gross",
+        "net",
+        "hub",
+        "ledger",
+        "coalesce(bank, 0) - gross AS bank_minus_gross",
+        "gross - hub AS gross_minus_hub",
+        "hub - ledger AS hub_minus_ledger",
+    )
+
+
+def recon_waterfall(base: DataFrame, bank: DataFrame) -> DataFrame:
+    """The waterfall with one row per layer and one column per gateway."""
+    by_gateway = waterfall_by_gateway(base, bank)
+    layers = by_gateway.columns[1:]
+    long = by_gateway.unpivot("gateway", layers, "layer", "amount")
+    wide = long.groupBy("layer").pivot("gateway", GATEWAY_CODES).agg(F.expr("sum(amount)"))
+    return wide.selectExpr(
+        "layer",
+        *[f"coalesce({g}, 0) AS {g.lower()}" for g in GATEWAY_CODES],
+        " + ".join(f"coalesce({g}, 0)" for g in GATEWAY_CODES) + " AS all_gateways",
+    )
+
+
+def gap_a_bank(base: DataFrame, bank: DataFrame) -> DataFrame:
+    """Deposits against net over the days that have settlements; gap in percent of net."""
+    days = group(
+        base,
+        ["gateway", "settled_date"],
+        "count(*) AS n",
+        "sum(sett_gross) AS gross",
+        "sum(sett_net) AS net",
+    )
+    deposits = bank_daily(bank).withColumnRenamed("bank_date", "settled_date")
+    sums = group(
+        days.join(deposits, ["gateway", "settled_date"], "left"),
+        "gateway",
+        "count(*) AS sett_days",
+        "sum(n) AS sett_rows",
+        f"{total('gross')} AS sett_gross",
+        f"{total('net')} AS sett_net",
+        f"{total('bank_daily_deposit')} AS bank_deposit",
+    )
+    totals = with_totals(
+        sums, ["gateway"], "sett_days", "sett_rows", "sett_gross", "sett_net", "bank_deposit"
+    )
+    return totals.selectExpr(
+        "*",
+        "bank_deposit - sett_net AS gap",
+        safe_pct("bank_deposit - sett_net", "sett_net") + " AS gap_pct",
+    )
+
+
+def gap_b_settlement_only(base: DataFrame, k: int = TOP_GAPS) -> DataFrame:
+    rows = group(
+        base.where("l2_match = 'SETT_ONLY'"),
+        ["gateway", "order_id_prefix"],
+        "count(*) AS n_rows",
+        f"{total('sett_gross')} AS gross",
+        f"{total('sett_net')} AS net",
+    )
+    return top_k(rows, k, "gross DESC", "gateway", "order_id_prefix")
+
+
+def gap_c_hub_only(base: DataFrame, k: int = TOP_GAPS) -> DataFrame:
+    rows = group(
+        base.where("l1_match = 'HUB_ONLY'"),
+        ["gateway", "order_id_prefix"],
+        "count(*) AS n_rows",
+        f"{total('hub_amount')} AS hub_amount",
+        f"{total('sett_gross')} AS sett_gross",
+    )
+    return top_k(rows, k, "hub_amount DESC", "gateway", "order_id_prefix")
+
+
+def gap_c_resolved(base: DataFrame) -> DataFrame:
+    """Hub-only rows split into refunded, topup and truly missing."""
+    return group(
+        base.where("l1_match = 'HUB_ONLY'"),
+        ["gateway", "trace_status"],
+        "count(*) AS n_rows",
+        f"{total('hub_amount')} AS hub_amount",
+    )
+
+
+def gap_d_amount(base: DataFrame, tolerance: str = AMOUNT_TOLERANCE) -> DataFrame:
+    """Hub against ledger amount on matched rows; below ``tolerance`` counts as equal."""
+    diff = "abs(hub_amount - ledger_amount)"
+    sums = group(
+        base.where("l1_match = 'MATCHED' AND hub_amount IS NOT NULL AND ledger_amount IS NOT NULL"),
+        "gateway",
+        "count(*) AS matched_rows",
+        f"count_if({diff} < {tolerance}) AS exact_rows",
+        f"count_if({diff} >= {tolerance}) AS diff_rows",
+        f"{total('hub_amount')} AS hub_total",
+        f"{total('ledger_amount')} AS ledger_total",
+        f"{total('hub_amount - ledger_amount')} AS diff_total",
+    )
+    return with_totals(
+        sums, ["gateway"], "matched_rows", "exact_rows", "diff_rows",
+        "hub_total", "ledger_total", "diff_total",
+    )
+
+
+def recon_source_month(base: DataFrame, period: Period) -> DataFrame:
+    """When the settled orders were created, relative to ``period``."""
+    rows = group(
+        base.selectExpr(
+            "*", f"{st.source_month_bucket('hub_created_date', period)} AS created_in"
+        ),
+        ["gateway", "created_in"],
+        "count(*) AS n_rows",
+        f"{total('sett_gross')} AS sett_gross",
+        f"{total('hub_amount')} AS hub_amount",
+    )
+    return with_totals(rows, ["gateway", "created_in"], "n_rows", "sett_gross", "hub_amount")
+
+
+def recon_scorecard(base: DataFrame) -> DataFrame:
+    """All headline counters in one row."""
+
+    def n(where: str, name: str) -> str:
+        return f"count_if({where}) AS {name}"
+
+    def gross(where: str, name: str) -> str:
+        return f"{total('sett_gross', where)} AS {name}"
+
+    statuses = {
+        "traced": "FULLY_TRACED",
+        "no_hub": "MISSING_HUB",
+        "no_ledger": "MISSING_LEDGER",
+        "partner": "PARTNER_WALLET",
+    }
+    return group(
+        base,
+        [],
+        "count(*) AS total_rows",
+        f"{total('sett_gross')} AS total_gross",
+        f"{total('sett_net')} AS total_net",
+        n("l2_match = 'MATCHED'", "l2_matched"),
+        n("l2_match = 'SETT_ONLY'", "l2_sett_only"),
+        gross("l2_match = 'MATCHED'", "l2_matched_gross"),
+        gross("l2_match = 'SETT_ONLY'", "l2_sett_only_gross"),
+        n("l1_match = 'MATCHED'", "l1_matched"),
+        n("l1_match = 'HUB_ONLY'", "l1_hub_only"),
+        n("l1_match = 'PARTNER_WALLET'", "l1_partner_wallet"),
+        n("l1_match = 'NO_HUB'", "l1_no_hub"),
+        *[n(f"trace_status_basic = '{s}'", f"rows_{k}") for k, s in statuses.items()],
+        *[gross(f"trace_status_basic = '{s}'", f"gross_{k}") for k, s in statuses.items()],
+    )
+
+
+def recon_month_compare(base: DataFrame, first: Period, second: Period) -> DataFrame:
+    """Two settlement months side by side, by trace status."""
+
+    def cols(period: Period, name: str) -> list[str]:
+        cond = in_period("settled_date", period)
+        return [
+            f"count_if({cond}) AS rows_{name}",
+            f"{total('sett_gross', cond)} AS gross_{name}",
+        ]
+
+    either = f"{in_period('settled_date', first)} OR {in_period('settled_date', second)}"
+    return group(base.where(either), "trace_status", *cols(first, "first"), *cols(second, "second"))
+
+
+def gap_drilldown(base: DataFrame, status: str = "MISSING_LEDGER") -> DataFrame:
+    return group(
+        base.where(f"trace_status = '{status}'"),
+        ["order_id_prefix", "gateway"],
+        "count(*) AS n_rows",
+        f"{total('sett_gross')} AS amount",
+    )
+
+
+def traced_waterfall(base: DataFrame) -> DataFrame:
+    return group(
+        base.where("trace_status = 'FULLY_TRACED'"),
+        "gateway",
+        f"{total('sett_gross')} AS sett_gross",
+        f"{total('sett_net')} AS sett_net",
+        f"{total('sett_fee')} AS fees",
+        f"{total('hub_amount')} AS hub_total",
+        f"{total('ledger_amount')} AS ledger_total",
+    )
+
+
+def gap_export_settlement(base: DataFrame) -> DataFrame:
+    """Settlement rows without a hub row, in export layout."""
+    return base.where("l2_match = 'SETT_ONLY'").select(
+        "gateway", "settlement_order_id", "settled_date", "sett_gross", "sett_net", "sett_fee",
+        "sett_utr", "sett_txn_type", "order_id_prefix", "trace_status",
+    )
+
+
+def gap_export_hub(base: DataFrame) -> DataFrame:
+    """Hub rows without a ledger row, in export layout."""
+    return base.where("l1_match = 'HUB_ONLY'").select(
+        "gateway", "settlement_order_id", "settled_date", "sett_gross", "sett_net",
+        "hub_order_id", "hub_txn_id", "hub_amount", "hub_status", "hub_created_date",
+        "l2_match", "l1_match", "order_id_prefix", "trace_status",
+    )

@@ -16,3 +16,43 @@ def group(df: DataFrame, keys: list[str] | str, *aggs: str) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def with_totals(df: DataFrame, keys: list[str], *measures: str) -> DataFrame:
+    """Rows of ``df`` plus subtotals per leading key and a grand total, labelled ALL.
+
+    ``df`` is already grouped by ``keys``, so the rollup expands a handful of
+    rows and not the detail.
+    """
+    sums = [F.expr(f"sum({m}) AS {m}") for m in measures]
+    flags = [F.expr(f"grouping({k}) AS _total_{k}") for k in keys]
+    rolled = df.rollup(*keys).agg(*sums, *flags)
+    labels = [f"CASE WHEN _total_{k} = 1 THEN 'ALL' ELSE {k} END AS {k}" for k in keys]
+    return rolled.selectExpr(*labels, *measures)
+
+
+def share_of_total(df: DataFrame, measure: str, name: str = "share_pct") -> DataFrame:
+    """Percentage of ``measure`` over all rows of an already grouped frame."""
+    whole = group(df, [], f"CAST(sum({measure}) AS DOUBLE) AS total").scalar()
+    part = F.col(measure).cast("double") * 100
+    return df.withColumn(name, F.coalesce(F.try_divide(part, whole), F.lit(0.0)))
+
+
+def top_k(df: DataFrame, k: int, *order: str) -> DataFrame:
+    """First ``k`` rows. End ``order`` in a unique key, or ties are cut at random."""
+    return df.orderBy(*[F.expr(o[:-5]).desc_nulls_last() if o.endswith(" DESC")
+                        else F.expr(o).asc_nulls_last() for o in order]).limit(k)
+
+
+def key_set(df: DataFrame, *cols: str) -> DataFrame:
+    """Distinct non-null keys: the right side of every semi and anti join.
+
+    Repeated keys collapse before the shuffle, and without nulls the anti join
+    stays an ordinary equi-join instead of a NULL-aware one.
+    """
+    return df.select(*cols).na.drop().distinct()
+
+
+def collapse(df: DataFrame, keys: list[str], *amounts: str) -> DataFrame:
+    """One row per key with row count and sums: what a hot key is reduced to before a join."""
+    return group(df, keys, "count(*) AS n", *[f"sum({a}) AS {a}" for a in amounts])

@@ -22,13 +22,17 @@ class Chain:
         self.spark = spark
         self.root = root
 
-    def table(self, name: str) -> DataFrame:
-        return scan(self.spark, f"{self.root}/{name}.parquet")
+    def table(self, name: str, spread_on: str | None = None) -> DataFrame:
+        return scan(self.spark, f"{self.root}/{name}.parquet", spread_on)
 
     @cached_property
     def orders(self) -> DataFrame:
         return self.table("orders")
 
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return self.table("lineitem", spread_on="l_orderkey")
+
     @cached_property
     def spine(self) -> DataFrame:
         return sample.order_spine(self.orders)
@@ -47,7 +51,7 @@ class Chain:
 
     @cached_property
     def settlement_feed(self) -> DataFrame:
-        return sample.settlement_feed(self.spine, self.table("lineitem"))
+        return sample.settlement_feed(self.spine, self.lineitem)
 
     @cached_property
     def settlement(self) -> DataFrame:

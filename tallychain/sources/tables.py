@@ -11,8 +11,15 @@ from pyspark.sql import types as T
 from tallychain.functions.dates import month_label
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def scan(spark: SparkSession, path: str, spread_on: str | None = None) -> DataFrame:
+    """Parquet table. ``spread_on`` hashes a file of fewer splits than cores over all of them.
+
+    A table of many files already has more splits than cores and is left alone.
+    """
+    df = spark.read.parquet(path)
+    if spread_on and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        df = df.repartition(spread_on)
+    return df
 
 
 def table_name_clean(path: str) -> str:
