@@ -1,5 +1,6 @@
 """Imports every module that registers queries."""
 
 from tallychain.plans import (  # noqa: F401
+    bank,
     reverse,
 )

@@ -22,13 +22,9 @@ def recon_base_write(base: DataFrame, path: str) -> None:
 
 
 def read_base(spark: SparkSession, path: str) -> DataFrame:
-    """Partition columns as text: ``recon_month`` must not turn into a date."""
-    return (
-        spark.read.option("mergeSchema", "false")
-        .parquet(path)
-        .selectExpr("*")
-        .withColumn("recon_month", F.expr("left(CAST(recon_month AS STRING), 7)"))
-    )
+    """``recon_month`` comes back as text even where partition values are type-guessed."""
+    month = F.expr("left(CAST(recon_month AS STRING), 7)")
+    return spark.read.parquet(path).withColumn("recon_month", month)
 
 
 def csv_export(df: DataFrame, path: str, *order: str) -> None:
