@@ -2,5 +2,6 @@
 
 from tallychain.plans import (  # noqa: F401
     bank,
+    layer1,
     reverse,
 )
