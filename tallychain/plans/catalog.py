@@ -2,6 +2,9 @@
 
 from tallychain.plans import (  # noqa: F401
     bank,
+    fees,
     layer1,
+    layer2,
+    layer3,
     reverse,
 )
