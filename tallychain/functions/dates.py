@@ -51,3 +51,13 @@ def between(x: str, start: date, end: date) -> str:
 
 def in_period(x: str, period: Period) -> str:
     return between(x, period.start, period.end)
+
+
+def year_month(x: str, year: int, month: int) -> str:
+    """``YEAR(x) = year AND MONTH(x) = month`` as a range."""
+    return in_period(x, Period.month(f"{year}-{month:02d}"))
+
+
+def month_prefix(x: str, prefix: str) -> str:
+    """``x LIKE 'yyyy-MM%'`` on a date, as a range."""
+    return in_period(x, Period.month(prefix))

@@ -51,3 +51,7 @@ def is_adjustment(gateway: str, settlement_id: str) -> str:
         f"coalesce(({gateway} = 'GW_C' AND startswith({settlement_id}, 'ADJ_')) "
         f"OR ({gateway} = 'GW_A' AND startswith({settlement_id}, 'w-')), false)"
     )
+
+
+def null_label(x: str, label: str) -> str:
+    return f"coalesce({x}, '{label}')"

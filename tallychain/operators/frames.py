@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,10 +38,27 @@ def share_of_total(df: DataFrame, measure: str, name: str = "share_pct") -> Data
     return df.withColumn(name, F.coalesce(F.try_divide(part, whole), F.lit(0.0)))
 
 
+def ordering(order: tuple[str, ...]) -> list:
+    """``"x DESC"`` / ``"x"`` as sort columns; nulls always come last."""
+    return [
+        F.expr(o[:-5]).desc_nulls_last() if o.endswith(" DESC") else F.expr(o).asc_nulls_last()
+        for o in order
+    ]
+
+
 def top_k(df: DataFrame, k: int, *order: str) -> DataFrame:
     """First ``k`` rows. End ``order`` in a unique key, or ties are cut at random."""
-    return df.orderBy(*[F.expr(o[:-5]).desc_nulls_last() if o.endswith(" DESC")
-                        else F.expr(o).asc_nulls_last() for o in order]).limit(k)
+    return df.orderBy(*ordering(order)).limit(k)
+
+
+def pick_first(df: DataFrame, keys: list[str], *order: str, n: int = 1) -> DataFrame:
+    """The first ``n`` rows of each group.
+
+    Spark keeps only the ``n`` best rows per group and task before the shuffle
+    (WindowGroupLimit), so a group of any size is safe.
+    """
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering(order)))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
 def key_set(df: DataFrame, *cols: str) -> DataFrame:
@@ -51,8 +68,3 @@ def key_set(df: DataFrame, *cols: str) -> DataFrame:
     stays an ordinary equi-join instead of a NULL-aware one.
     """
     return df.select(*cols).na.drop().distinct()
-
-
-def collapse(df: DataFrame, keys: list[str], *amounts: str) -> DataFrame:
-    """One row per key with row count and sums: what a hot key is reduced to before a join."""
-    return group(df, keys, "count(*) AS n", *[f"sum({a}) AS {a}" for a in amounts])

@@ -2,6 +2,7 @@
 
 from tallychain.plans import (  # noqa: F401
     bank,
+    blocks,
     fees,
     layer1,
     layer2,

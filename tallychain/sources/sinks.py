@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallychain.operators.frames import ordering
+
 
 def recon_base_write(base: DataFrame, path: str) -> None:
     """Replace the months that ``base`` covers; other months stay.
@@ -29,5 +31,5 @@ def read_base(spark: SparkSession, path: str) -> DataFrame:
 
 def csv_export(df: DataFrame, path: str, *order: str) -> None:
     """CSV with a header. ``order`` sorts over all files: part 0 holds the first rows."""
-    out = df.orderBy(*[F.expr(o[:-5]).desc() if o.endswith(" DESC") else o for o in order])
-    (out if order else df).write.mode("overwrite").option("header", True).csv(path)
+    out = df.orderBy(*ordering(order)) if order else df
+    out.write.mode("overwrite").option("header", True).csv(path)

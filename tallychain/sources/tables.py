@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallychain.functions.dates import month_label
+from tallychain.operators.frames import pick_first
 
 
 def scan(spark: SparkSession, path: str, spread_on: str | None = None) -> DataFrame:
@@ -68,6 +69,6 @@ def add_source_month(df: DataFrame, date_col: str, file_name: bool = True) -> Da
     return df.selectExpr("*", f"{month_label(date_col)} AS source_month", *extra)
 
 
-def dedupe_on_load(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Drop repeated deliveries of the same entity."""
-    return df.dropDuplicates(keys)
+def dedupe_on_load(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """One row per key. ``order`` makes the surviving row the same on every run."""
+    return pick_first(df, keys, *order) if order else df.dropDuplicates(keys)
