@@ -63,6 +63,24 @@ def bank_daily(bank: DataFrame) -> DataFrame:
     )
 
 
+def with_deposits(rows: DataFrame, bank: DataFrame, period: Period | None = None) -> DataFrame:
+    """Add ``bank_date`` and ``bank_daily_deposit`` of the row's gateway and settled date.
+
+    The deposits are one row per known gateway and calendar day: four gateways
+    over a century are 146,000 rows, whatever the number of payments. That
+    bound, and not the size of the input, is what makes the broadcast safe.
+    """
+    days = bank_daily(bank.where("gateway IS NOT NULL"))
+    if period is not None:
+        days = days.where(in_period("bank_date", period))
+    days = days.selectExpr("gateway AS bank_gateway", "bank_date", "bank_daily_deposit")
+    return rows.join(
+        F.broadcast(days),
+        F.expr("gateway = bank_gateway AND settled_date = bank_date"),
+        "left",
+    ).drop("bank_gateway")
+
+
 def recon_base(
     settlement: DataFrame,
     hub: DataFrame,
@@ -96,17 +114,14 @@ def recon_base(
         "in_refunded",
         "in_topup",
     )
-    deposits = bank_daily(bank).selectExpr(
-        "gateway AS bank_gateway", "bank_date", "bank_daily_deposit"
-    )
-    joined = rows.join(
-        traced,
-        F.expr("gateway = hub_gateway AND settlement_order_id = settle_key"),
-        "left",
-    ).join(
-        F.broadcast(deposits),
-        F.expr("gateway = bank_gateway AND settled_date = bank_date"),
-        "left",
+    joined = with_deposits(
+        rows.join(
+            traced,
+            F.expr("gateway = hub_gateway AND settlement_order_id = settle_key"),
+            "left",
+        ),
+        bank,
+        period,
     )
     hub_id, ledger_id, sett_id = "hub_order_id", "ledger_txn_id", "settlement_order_id"
     status = st.trace_status(

@@ -7,16 +7,15 @@ from pyspark.sql import DataFrame
 from tallychain.config import Period
 from tallychain.functions.money import fee_sign_class, safe_pct, total
 from tallychain.functions.text import order_pattern
-from tallychain.operators.frames import group, key_set, top_k, union_all, with_totals
-from tallychain.operators.hub_gateway import KEY, hub_scope
+from tallychain.operators.frames import group, top_k, union_all, with_totals
+from tallychain.operators.hub_gateway import KEY, hub_keys, hub_scope
 from tallychain.operators.settlements import keyed
 from tallychain.operators.trace import one_per_order, profile
 
 
 def in_scope(settlement: DataFrame, hub: DataFrame, period: Period | None = None) -> DataFrame:
     """Forward settlement rows of successful hub orders."""
-    scope = key_set(hub_scope(hub, period).withColumnRenamed("settle_key", "gw_key"), *KEY)
-    return keyed(settlement.where("is_forward")).join(scope, KEY, "left_semi")
+    return keyed(settlement.where("is_forward")).join(hub_keys(hub, period), KEY, "left_semi")
 
 
 def mdr_by_gateway(settlement: DataFrame) -> DataFrame:
@@ -37,7 +36,7 @@ def fee_summary(settlement: DataFrame, hub: DataFrame, period: Period | None = N
     """Gross, fee, tax, net and the spread of the fee (without tax)."""
     fee = "(sett_fee - sett_tax)"
     by_key = group(
-        in_scope(settlement, hub, period),
+        keyed(settlement.where("is_forward")),
         KEY,
         "count(*) AS n",
         "sum(sett_gross) AS gross",
@@ -50,7 +49,7 @@ def fee_summary(settlement: DataFrame, hub: DataFrame, period: Period | None = N
         f"max({fee}) AS max_fee",
     )
     sums = group(
-        by_key,
+        by_key.join(hub_keys(hub, period), KEY, "left_semi"),
         "gateway",
         "count(*) AS hub_txns",
         "sum(n) AS sett_rows",

@@ -62,9 +62,18 @@ def pick_first(df: DataFrame, keys: list[str], *order: str, n: int = 1) -> DataF
 
 
 def key_set(df: DataFrame, *cols: str) -> DataFrame:
-    """Distinct non-null keys: the right side of every semi and anti join.
+    """Distinct non-null keys of a side on which a key may repeat any number of times.
 
-    Repeated keys collapse before the shuffle, and without nulls the anti join
-    stays an ordinary equi-join instead of a NULL-aware one.
+    Repeats collapse before the shuffle, and without nulls an anti join stays
+    an ordinary equi-join instead of a NULL-aware one.
     """
-    return df.select(*cols).na.drop().distinct()
+    return keys_of(df, *cols).distinct()
+
+
+def keys_of(df: DataFrame, *cols: str) -> DataFrame:
+    """Non-null keys of a side on which keys do not repeat, such as the hub.
+
+    Left as a bare projection, so that the join's exchange sits directly below
+    it and AQE can split a hot key on the other side.
+    """
+    return df.select(*cols).na.drop()

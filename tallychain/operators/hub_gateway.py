@@ -8,7 +8,7 @@ from tallychain.config import Period
 from tallychain.functions.dates import in_period
 from tallychain.functions.money import safe_pct, total
 from tallychain.functions.text import order_pattern_regex
-from tallychain.operators.frames import group, key_set, union_all, with_totals
+from tallychain.operators.frames import group, key_set, keys_of, union_all, with_totals
 from tallychain.operators.trace import amount_mismatch, profile
 
 KEY = ["gateway", "gw_key"]
@@ -20,6 +20,11 @@ def hub_scope(hub: DataFrame, period: Period | None = None) -> DataFrame:
     return rows if period is None else rows.where(in_period("created_date", period))
 
 
+def hub_keys(hub: DataFrame, period: Period | None = None) -> DataFrame:
+    """Gateway keys of the hub rows in scope."""
+    return keys_of(hub_scope(hub, period).withColumnRenamed("settle_key", "gw_key"), *KEY)
+
+
 def gateway_scope(gateway_txn: DataFrame, period: Period | None = None) -> DataFrame:
     return gateway_txn if period is None else gateway_txn.where(in_period("txn_date", period))
 
@@ -101,14 +106,13 @@ def gateway_only(
     hub: DataFrame, gateway_txn: DataFrame, period: Period | None = None
 ) -> DataFrame:
     """Successful gateway keys without a successful hub row."""
-    keys = key_set(hub_scope(hub).withColumnRenamed("settle_key", "gw_key"), *KEY)
     rows = group(
         gateway_scope(gateway_txn.where("is_success"), period),
         KEY,
         "count(*) AS n",
         "sum(amount) AS amount",
     )
-    return rows.join(keys, KEY, "left_anti")
+    return rows.join(hub_keys(hub), KEY, "left_anti")
 
 
 def l2_gateway_only(
@@ -188,7 +192,7 @@ def l2_refund_match(
     """Successful hub refunds of in-scope orders against the gateways' refunds."""
     orders = hub if period is None else hub.where(in_period("created_date", period))
     scoped = hub_refund.where("refund_status = 'SUCCESS'").join(
-        key_set(orders, "order_id"), "order_id", "left_semi"
+        keys_of(orders, "order_id"), "order_id", "left_semi"
     )
     key = "CASE WHEN gateway = 'GW_D' THEN order_id ELSE refund_txn_id END AS gw_key"
     hubs = group(

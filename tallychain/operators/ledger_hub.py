@@ -19,6 +19,7 @@ from tallychain.functions.text import expected_ledger, is_partner_wallet, order_
 from tallychain.operators.frames import (
     group,
     key_set,
+    keys_of,
     share_of_total,
     top_k,
     union_all,
@@ -153,7 +154,7 @@ def l1_unmatched_rows(ledger: DataFrame, hub: DataFrame) -> DataFrame:
     """In-scope ledger rows without any hub row."""
     return (
         ledger.where("in_scope")
-        .join(key_set(hub, "order_id"), "order_id", "left_anti")
+        .join(keys_of(hub, "order_id"), "order_id", "left_anti")
         .select("ledger_table", "order_id", "ledger_amount", "ledger_date", "ledger_status")
     )
 
@@ -164,7 +165,7 @@ def l1_unmatched_breakdown(ledger: DataFrame, hub: DataFrame) -> DataFrame:
         "sum(ledger_amount) AS amount",
     )
     return group(
-        rows.join(key_set(hub, "order_id"), "order_id", "left_anti").selectExpr(
+        rows.join(keys_of(hub, "order_id"), "order_id", "left_anti").selectExpr(
             "*", f"{order_pattern('order_id')} AS order_pattern"
         ),
         ["ledger_table", "ledger_status", "order_pattern"],
@@ -179,7 +180,7 @@ def l1_zero_amount_dist(ledger: DataFrame, hub: DataFrame, table: str) -> DataFr
         ledger.where(f"ledger_table = '{table}'"), ["order_id", "ledger_amount"], "count(*) AS n"
     )
     return group(
-        rows.join(key_set(hub, "order_id"), "order_id", "left_anti"),
+        rows.join(keys_of(hub, "order_id"), "order_id", "left_anti"),
         "ledger_amount",
         "sum(n) AS n_rows",
     )

@@ -7,23 +7,29 @@ equi-joins; AQE chooses between broadcast and sort-merge by measured size.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallychain.functions.dates import month_start
 from tallychain.functions.money import safe_pct, total
 from tallychain.functions.status import bank_label
-from tallychain.operators.base import bank_daily
-from tallychain.operators.frames import group, key_set, union_all
+from tallychain.operators.base import bank_daily, with_deposits
+from tallychain.operators.frames import group, key_set, keys_of, union_all
 
 
-def unmatched(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
-    """Rows of ``left`` without a partner. Null keys never match and are kept."""
-    return left.join(key_set(right, *keys), list(keys), "left_anti")
+def _right(df: DataFrame, keys: tuple[str, ...], repeats: bool) -> DataFrame:
+    return key_set(df, *keys) if repeats else keys_of(df, *keys)
 
 
-def matched(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
+def unmatched(left: DataFrame, right: DataFrame, *keys: str, repeats: bool = True) -> DataFrame:
+    """Rows of ``left`` without a partner. Null keys never match and are kept.
+
+    ``repeats=False`` says that keys of ``right`` are unique.
+    """
+    return left.join(_right(right, keys, repeats), list(keys), "left_anti")
+
+
+def matched(left: DataFrame, right: DataFrame, *keys: str, repeats: bool = True) -> DataFrame:
     """Rows of ``left`` with a partner, each once."""
-    return left.join(key_set(right, *keys), list(keys), "left_semi")
+    return left.join(_right(right, keys, repeats), list(keys), "left_semi")
 
 
 def unmatched_in_all(left: DataFrame, rights: list[DataFrame], key: str) -> DataFrame:
@@ -99,10 +105,4 @@ def lookup_join(
     hubs = hub.join(ledger_pick, "order_id", "left").withColumnRenamed(
         "settle_key", "settlement_order_id"
     )
-    deposits = bank_daily(bank).withColumnRenamed("bank_date", "settled_date")
-    return settlement.join(hubs, ["gateway", "settlement_order_id"], "left").join(
-        # One row per gateway and day whatever the volume.
-        F.broadcast(deposits),
-        ["gateway", "settled_date"],
-        "left",
-    )
+    return with_deposits(settlement.join(hubs, ["gateway", "settlement_order_id"], "left"), bank)

@@ -12,8 +12,8 @@ from tallychain.config import TOP_BATCHES, Period
 from tallychain.functions.dates import in_period, month_label
 from tallychain.functions.money import safe_pct, total
 from tallychain.functions.status import hub_category
-from tallychain.operators.frames import group, key_set, top_k, with_totals
-from tallychain.operators.hub_gateway import KEY, hub_scope
+from tallychain.operators.frames import group, key_set, keys_of, top_k, with_totals
+from tallychain.operators.hub_gateway import KEY, hub_keys, hub_scope
 from tallychain.operators.trace import amount_mismatch
 
 
@@ -59,9 +59,7 @@ def settlement_batches(
     hub: DataFrame, gateway_txn: DataFrame, settlement: DataFrame, period: Period | None = None
 ) -> DataFrame:
     """Distinct batches the in-scope rows were settled in, per gateway."""
-    scope = key_set(hub_scope(hub, period).withColumnRenamed("settle_key", "gw_key"), *KEY).join(
-        key_set(gateway_txn, *KEY), KEY, "left_semi"
-    )
+    scope = hub_keys(hub, period).join(key_set(gateway_txn, *KEY), KEY, "left_semi")
     batches = keyed(settlement.where("is_forward")).select(*KEY, "sett_utr").distinct()
     return group(
         batches.join(scope, KEY, "left_semi").select("gateway", "sett_utr").distinct(),
@@ -164,9 +162,8 @@ def l3_batches(
         "sum(sett_net) AS net",
         "sum(sett_fee) AS fees",
     )
-    scope = key_set(hub_scope(hub, period).withColumnRenamed("settle_key", "gw_key"), *KEY)
     batches = group(
-        parts.join(scope, KEY, "left_semi"),
+        parts.join(hub_keys(hub, period), KEY, "left_semi"),
         ["gateway", "sett_utr", "settled_date"],
         "count(*) AS txns",
         "sum(n) AS sett_rows",
@@ -292,7 +289,7 @@ def refund_deduction(
 ) -> DataFrame:
     """Refund rows settled for orders created in ``period``."""
     orders = hub if period is None else hub.where(in_period("created_date", period))
-    scope = key_set(orders.withColumnRenamed("settle_key", "gw_key"), *KEY)
+    scope = keys_of(orders.withColumnRenamed("settle_key", "gw_key"), *KEY)
     return group(
         settled_by_key(settlement.where("is_refund")).join(scope, KEY, "left_semi"),
         "gateway",

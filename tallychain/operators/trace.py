@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallychain.functions.text import order_pattern
-from tallychain.operators.base import bank_daily, ledger_lookup
+from tallychain.operators.base import ledger_lookup, with_deposits
 from tallychain.operators.frames import group, key_set
 
 
@@ -54,20 +54,11 @@ def trace_end_to_end(
         "sum(sett_net) AS sett_net",
         "sum(sett_fee) AS sett_fee",
     )
-    deposits = bank_daily(bank).selectExpr(
-        "gateway", "bank_date AS settled_date", "bank_daily_deposit"
-    )
     key = ["gateway", "gw_key"]
-    # One row per gateway and day whatever the volume, hence the broadcast.
-    return (
-        facts.join(gw, key, "left")
-        .join(sett, key, "left")
-        .join(F.broadcast(deposits), ["gateway", "settled_date"], "left")
-        .select(
-            "order_id", "ledger_table", "ledger_amount", "gateway", "hub_txn_id", "hub_amount",
-            "hub_status", "gw_amount", "settled_date", "sett_rows", "sett_gross", "sett_net",
-            "sett_fee", "bank_daily_deposit",
-        )
+    return with_deposits(facts.join(gw, key, "left").join(sett, key, "left"), bank).select(
+        "order_id", "ledger_table", "ledger_amount", "gateway", "hub_txn_id", "hub_amount",
+        "hub_status", "gw_amount", "settled_date", "sett_rows", "sett_gross", "sett_net",
+        "sett_fee", "bank_daily_deposit",
     )
 
 

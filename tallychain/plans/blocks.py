@@ -557,7 +557,7 @@ def join_left_lookup(c: Chain):
 SELECT l.ledger_table, COUNT(*) AS n_rows FROM ledger l LEFT JOIN hub h ON h.order_id = l.order_id
 WHERE h.order_id IS NULL GROUP BY 1""")
 def anti_unmatched(c: Chain):
-    return group(matching.unmatched(c.ledger, c.hub, "order_id"), "ledger_table", "count(*) AS n_rows")
+    return group(matching.unmatched(c.ledger, c.hub, "order_id", repeats=False), "ledger_table", "count(*) AS n_rows")
 
 
 _SIX = ["ledger_booking", "ledger_revenue", "ledger_net_income", "ledger_mobile", "ledger_deposit", "ledger_ott"]
@@ -584,7 +584,7 @@ SELECT gateway, COUNT(*) AS n_rows FROM gateway_txn g WHERE NOT EXISTS
  (SELECT 1 FROM hub h WHERE h.gateway = g.gateway AND h.settle_key = g.gw_key AND h.status = 'SUCCESS') GROUP BY 1""")
 def anti_exists(c: Chain):
     hubs = hub_scope(c.hub).withColumnRenamed("settle_key", "gw_key")
-    return group(matching.unmatched(c.gateway_txn, hubs, *KEY), "gateway", "count(*) AS n_rows")
+    return group(matching.unmatched(c.gateway_txn, hubs, *KEY, repeats=False), "gateway", "count(*) AS n_rows")
 
 
 @query("anti_filtered_right", """
@@ -594,7 +594,9 @@ LEFT JOIN hub h ON h.gateway = g.gateway AND h.settle_key = g.gw_key
 WHERE g.txn_date >= DATE '1996-01-01' AND g.txn_date < DATE '1996-02-01' AND h.order_id IS NULL GROUP BY 1""")
 def anti_filtered_right(c: Chain):
     hubs = hub_scope(c.hub, MONTH).withColumnRenamed("settle_key", "gw_key")
-    rows = matching.unmatched(c.gateway_txn.where(dates.in_period("txn_date", MONTH)), hubs, *KEY)
+    rows = matching.unmatched(
+        c.gateway_txn.where(dates.in_period("txn_date", MONTH)), hubs, *KEY, repeats=False
+    )
     return group(rows, "gateway", "count(DISTINCT gw_key) AS ids")
 
 
@@ -602,7 +604,7 @@ def anti_filtered_right(c: Chain):
 SELECT refund_status, COUNT(*) AS n_rows, SUM(refund_amount)::DOUBLE AS amount FROM hub_refund
 WHERE order_id IN (SELECT order_id FROM hub WHERE status = 'SUCCESS') GROUP BY 1""")
 def semi_in(c: Chain):
-    rows = matching.matched(c.hub_refund, hub_scope(c.hub), "order_id")
+    rows = matching.matched(c.hub_refund, hub_scope(c.hub), "order_id", repeats=False)
     return group(rows, "refund_status", "count(*) AS n_rows", "sum(refund_amount) AS amount")
 
 
@@ -880,3 +882,11 @@ def union_every_ledger(c: Chain):
 SELECT order_id FROM ledger UNION SELECT order_id FROM hub""")
 def union_distinct(c: Chain):
     return c.ledger.select("order_id").union(c.hub.select("order_id")).distinct()
+
+
+@query("hub_lookup", """
+SELECT gateway, settle_key, order_id, hub_txn_id, amount::DOUBLE AS amount, status, created_date FROM hub""")
+def hub_lookup(c: Chain):
+    return c.hub.select(
+        "gateway", "settle_key", "order_id", "hub_txn_id", "amount", "status", "created_date"
+    )

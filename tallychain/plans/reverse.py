@@ -315,6 +315,11 @@ def refund_trace_profile(c: Chain):
     return trace.refund_trace_profile(refund_trace(c))
 
 
+@query("frame_export", _REFUND_TRACE + "\nSELECT * FROM rt")
+def frame_export(c: Chain):
+    return _exported(c, refund_trace(c), "hub_amount DESC", "order_id")
+
+
 @query("recon_base_write", """
 SELECT recon_month, gateway, COUNT(*) AS n_rows, SUM(sett_net)::DOUBLE AS sett_net
 FROM base GROUP BY 1, 2""")
