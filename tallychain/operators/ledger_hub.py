@@ -469,61 +469,93 @@ def inflow_total(ledger: DataFrame, hub: DataFrame, first: str, second: str) ->
 
 
 @dataclass(frozen=True)
-class Link:
-    """Rows of ``left`` whose ``left_key`` should occur in ``right_key`` of ``right``."""
+class Keys:
+    """Rows that carry an id of one domain.
 
-    name: str
-    left: DataFrame
-    left_key: str
-    right: DataFrame
-    right_key: str
+    ``member`` is SQL text: a literal, or a column when one frame holds several
+    members, as the ledger relation does.
+    """
 
+    domain: str
+    member: str
+    rows: DataFrame
+    key: str
 
-def _link_keys(links: list[Link]) -> DataFrame:
-    """Rows on the left (l) and on the right (r) per link and key.
 
-    All links share one grouping: no join, and a key that fills a side is
-    counted map-side.
-    """
+#: link name -> (domain, left member, right member)
+Links = dict[str, tuple[str, str, str]]
 
-    def side(name: str, df: DataFrame, key: str, left: int) -> DataFrame:
-        return df.where(f"({key}) IS NOT NULL").selectExpr(
-            f"'{name}' AS link",
-            f"CAST({key} AS STRING) AS link_key",
-            f"{left} AS on_left",
-            f"{1 - left} AS on_right",
-        )
 
-    sides = [side(x.name, x.left, x.left_key, 1) for x in links]
-    sides += [side(x.name, x.right, x.right_key, 0) for x in links]
-    return group(union_all(sides), ["link", "link_key"], "sum(on_left) AS l", "sum(on_right) AS r")
+def _member_counts(sides: list[Keys], links: Links) -> tuple[DataFrame, dict[tuple[str, str], str]]:
+    """One row per id with the number of rows each member has under it.
 
+    Every frame is read once per domain, however many links it takes part in.
+    There is no join, and an id that fills a member is counted map-side.
+    """
+    members = sorted({(d, m) for d, left, right in links.values() for m in (left, right)})
+    column = {dm: f"c{i}" for i, dm in enumerate(members)}
+    stacked = union_all(
+        [
+            x.rows.where(f"({x.key}) IS NOT NULL").selectExpr(
+                f"'{x.domain}' AS domain", f"CAST({x.key} AS STRING) AS id", f"{x.member} AS member"
+            )
+            for x in sides
+        ]
+    )
+    counts = [
+        f"count_if(domain = '{d}' AND member = '{m}') AS {col}" for (d, m), col in column.items()
+    ]
+    return group(stacked, ["domain", "id"], *counts), column
 
-def key_link_coverage(links: list[Link]) -> DataFrame:
-    """Rows and distinct keys per link, and how many of them find a partner."""
-    return group(
-        _link_keys(links),
-        "link",
-        "sum(l) AS left_rows",
-        "sum(CASE WHEN r > 0 THEN l ELSE 0 END) AS matched_rows",
-        "count_if(l > 0) AS left_keys",
-        "count_if(l > 0 AND r > 0) AS matched_keys",
-    ).selectExpr("*", safe_pct("matched_keys", "left_keys") + " AS matched_pct")
 
+def _per_link(ids: DataFrame, measures: dict[str, dict[str, str]]) -> DataFrame:
+    """``measures[link][name]`` as one row per link: all links in one aggregate."""
+    names = list(next(iter(measures.values())))
+    aggs = [
+        f"{sql} AS x{i}_{n}" for i, by_name in enumerate(measures.values()) for n, sql in by_name.items()
+    ]
+    rows = ", ".join(
+        f"'{link}', " + ", ".join(f"x{i}_{n}" for n in names) for i, link in enumerate(measures)
+    )
+    return group(ids, [], *aggs).selectExpr(
+        f"stack({len(measures)}, {rows}) AS (link, {', '.join(names)})"
+    )
 
-def entity_link(links: list[Link]) -> DataFrame:
+
+def key_link_coverage(sides: list[Keys], links: Links) -> DataFrame:
+    """Rows and distinct keys per link, and how many of them find a partner."""
+    ids, column = _member_counts(sides, links)
+    measures = {}
+    for name, (domain, left, right) in links.items():
+        n, m = column[domain, left], column[domain, right]
+        measures[name] = {
+            "left_rows": f"coalesce(sum({n}), 0)",
+            "matched_rows": f"coalesce(sum(CASE WHEN {m} > 0 THEN {n} END), 0)",
+            "left_keys": f"count_if({n} > 0)",
+            "matched_keys": f"count_if({n} > 0 AND {m} > 0)",
+        }
+    return _per_link(ids, measures).selectExpr(
+        "*", safe_pct("matched_keys", "left_keys") + " AS matched_pct"
+    )
+
+
+def entity_link(sides: list[Keys], links: Links) -> DataFrame:
     """Many-to-many links: partners on both sides and the number of pairs.
 
     Pairs are counted as the product of the two group sizes; none is built.
     """
-    return group(
-        _link_keys(links).where("l > 0 AND r > 0"),
-        "link",
-        "count(*) AS shared_entities",
-        "sum(l) AS left_rows",
-        "sum(r) AS right_rows",
-        "CAST(sum(CAST(l AS DECIMAL(20,0)) * r) AS DOUBLE) AS pairs",
-    )
+    ids, column = _member_counts(sides, links)
+    measures = {}
+    for name, (domain, left, right) in links.items():
+        n, m = column[domain, left], column[domain, right]
+        both = f"{n} > 0 AND {m} > 0"
+        measures[name] = {
+            "shared_entities": f"count_if({both})",
+            "left_rows": f"coalesce(sum(CASE WHEN {both} THEN {n} END), 0)",
+            "right_rows": f"coalesce(sum(CASE WHEN {both} THEN {m} END), 0)",
+            "pairs": f"CAST(coalesce(sum(CAST({n} AS DECIMAL(19,0)) * {m}), 0) AS DOUBLE)",
+        }
+    return _per_link(ids, measures)
 
 
 def deposit_link(ledger: DataFrame, hub: DataFrame) -> DataFrame:
@@ -531,24 +563,71 @@ def deposit_link(ledger: DataFrame, hub: DataFrame) -> DataFrame:
     deposits = ledger.where("ledger_table = 'ledger_deposit'")
     return key_link_coverage(
         [
-            Link("deposit by own key", deposits, "order_id", hub, "order_id"),
-            Link("deposit by alternate key", deposits, "alt_key", hub, "order_id"),
-            Link("deposit by hub transaction", deposits, "alt_key", hub, "hub_txn_id"),
-        ]
+            Keys("order", "'own'", deposits, "order_id"),
+            Keys("order", "'alternate'", deposits, "alt_key"),
+            Keys("order", "'hub'", hub, "order_id"),
+            Keys("transaction", "'alternate'", deposits, "alt_key"),
+            Keys("transaction", "'hub'", hub, "hub_txn_id"),
+        ],
+        {
+            "deposit by own key": ("order", "own", "hub"),
+            "deposit by alternate key": ("order", "alternate", "hub"),
+            "deposit by hub transaction": ("transaction", "alternate", "hub"),
+        },
     )
 
 
 def revenue_link(ledger: DataFrame, hub: DataFrame) -> DataFrame:
-    revenue = ledger.where("ledger_table = 'ledger_revenue'")
-    booking = ledger.where("ledger_table = 'ledger_booking'")
+    both = ledger.where("ledger_table IN ('ledger_revenue', 'ledger_booking')")
     return key_link_coverage(
-        [
-            Link("revenue to hub", revenue, "order_id", hub, "order_id"),
-            Link("revenue to booking", revenue, "order_id", booking, "order_id"),
-        ]
+        [Keys("order", "ledger_table", both, "order_id"), Keys("order", "'hub'", hub, "order_id")],
+        {
+            "revenue to hub": ("order", "ledger_revenue", "hub"),
+            "revenue to booking": ("order", "ledger_revenue", "ledger_booking"),
+        },
     )
 
 
+def chain_coverage(
+    hub: DataFrame,
+    hub_refund: DataFrame,
+    gateway_txn: DataFrame,
+    settlement: DataFrame,
+    gateway_refund: DataFrame,
+    ledger: DataFrame,
+) -> DataFrame:
+    """Coverage of every id link of the chain, layer by layer."""
+    refund_key = "CASE WHEN gateway = 'GW_D' THEN order_id ELSE refund_txn_id END"
+
+    def at_gateway(key: str) -> str:
+        return f"concat(gateway, '|', {key})"
+
+    sides = [
+        Keys("order", "ledger_table", ledger, "order_id"),
+        Keys("order", "'hub'", hub, "order_id"),
+        Keys("order", "'hub_refund'", hub_refund, "order_id"),
+        Keys("transaction", "'hub'", hub, "hub_txn_id"),
+        Keys("transaction", "'hub_refund'", hub_refund, "refund_txn_id"),
+        Keys("gateway", "'hub'", hub, at_gateway("settle_key")),
+        Keys("gateway", "'gateway'", gateway_txn, at_gateway("gw_key")),
+        Keys("gateway", "'settlement'", settlement, at_gateway("settlement_order_id")),
+        Keys("gateway", "'hub_refund'", hub_refund, at_gateway(refund_key)),
+        Keys("gateway", "'gateway_refund'", gateway_refund, at_gateway("refund_key")),
+        Keys("gateway", "'refunded'", gateway_refund, at_gateway("original_key")),
+    ]
+    links = {f"{t} to hub": ("order", t, "hub") for t in LEDGER_TABLES} | {
+        "ledger_revenue to ledger_topup": ("order", "ledger_revenue", "ledger_topup"),
+        "ledger_refunded to hub_refund": ("order", "ledger_refunded", "hub_refund"),
+        "hub_refund to hub by order": ("order", "hub_refund", "hub"),
+        "hub_refund to hub by transaction": ("transaction", "hub_refund", "hub"),
+        "hub to gateway": ("gateway", "hub", "gateway"),
+        "gateway to settlement": ("gateway", "gateway", "settlement"),
+        "hub_refund to gateway_refund": ("gateway", "hub_refund", "gateway_refund"),
+        "gateway_refund to gateway": ("gateway", "refunded", "gateway"),
+    }
+    return key_link_coverage(sides, links)
+
+
 def refund_to_original(gateway_refund: DataFrame, gateway_txn: DataFrame) -> DataFrame:
     """Gateway refund rows and the transactions they refund, per gateway."""
     refunds = group(
@@ -568,40 +647,6 @@ def refund_to_original(gateway_refund: DataFrame, gateway_txn: DataFrame) -> Dat
     )
 
 
-def standard_links(
-    hub: DataFrame,
-    hub_refund: DataFrame,
-    gateway_txn: DataFrame,
-    settlement: DataFrame,
-    gateway_refund: DataFrame,
-    ledger: DataFrame,
-) -> list[Link]:
-    """Every id link of the chain, layer by layer."""
-
-    def led(table: str) -> DataFrame:
-        return ledger.where(f"ledger_table = '{table}'")
-
-    gw_key = "concat(gateway, '|', gw_key)"
-    hub_key = "concat(gateway, '|', settle_key)"
-    links = [Link(f"{t} to hub", led(t), "order_id", hub, "order_id") for t in LEDGER_TABLES]
-    return links + [
-        Link("ledger_revenue to ledger_topup", led("ledger_revenue"), "order_id",
-             led("ledger_topup"), "order_id"),
-        Link("ledger_refunded to hub_refund", led("ledger_refunded"), "order_id",
-             hub_refund, "order_id"),
-        Link("hub_refund to hub by order", hub_refund, "order_id", hub, "order_id"),
-        Link("hub_refund to hub by transaction", hub_refund, "refund_txn_id", hub, "hub_txn_id"),
-        Link("hub to gateway", hub, hub_key, gateway_txn, gw_key),
-        Link("gateway to settlement", gateway_txn, gw_key, settlement,
-             "concat(gateway, '|', settlement_order_id)"),
-        Link("hub_refund to gateway_refund", hub_refund,
-             "concat(gateway, '|', CASE WHEN gateway = 'GW_D' THEN order_id ELSE refund_txn_id END)",
-             gateway_refund, "concat(gateway, '|', refund_key)"),
-        Link("gateway_refund to gateway", gateway_refund, "concat(gateway, '|', original_key)",
-             gateway_txn, gw_key),
-    ]
-
-
 # --- mismatch reports ----------------------------------------------------------------
 
 

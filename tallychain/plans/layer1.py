@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallychain.operators import ledger_hub as ops
-from tallychain.operators.ledger_hub import Link
+from tallychain.operators.ledger_hub import Keys
 from tallychain.plans.registry import Chain, query
 
 # Family of an id, written independently of the library.
@@ -340,8 +340,8 @@ _LINKS = [
 
 @query("key_link_coverage", " UNION ALL ".join(_link_sql(*x) for x in _LINKS))
 def key_link_coverage(c: Chain):
-    return ops.key_link_coverage(
-        ops.standard_links(c.hub, c.hub_refund, c.gateway_txn, c.settlement, c.gateway_refund, c.ledger)
+    return ops.chain_coverage(
+        c.hub, c.hub_refund, c.gateway_txn, c.settlement, c.gateway_refund, c.ledger
     )
 
 
@@ -365,10 +365,8 @@ _ENTITIES = [
 
 @query("entity_link", " UNION ALL ".join(_entity_sql(*x) for x in _ENTITIES))
 def entity_link(c: Chain):
-    def led(table: str):
-        return c.ledger.where(f"ledger_table = '{table}'")
-
-    return ops.entity_link([Link(n, led(a), k, led(b), k) for n, a, b, k in _ENTITIES])
+    sides = [Keys(k, "ledger_table", c.ledger, k) for k in ("account_id", "mobile")]
+    return ops.entity_link(sides, {n: (k, a, b) for n, a, b, k in _ENTITIES})
 
 
 @query("refund_to_original", """

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallychain.operators import base as base_ops
 from tallychain.plans.oracle import with_relations
-from tallychain.sources import relations, sample
+from tallychain.sources import relations, sample, warehouse
 from tallychain.sources.tables import scan
 
 
@@ -82,6 +82,20 @@ class Chain:
         return base_ops.recon_base(self.settlement, self.hub, self.ledger, self.bank)
 
 
+class StoredChain(Chain):
+    """The same relations read from a warehouse written by ``store_chain``."""
+
+    def __init__(self, spark: SparkSession, root: str, stored: str):
+        super().__init__(spark, root)
+        for name in warehouse.MONTH_OF:
+            self.__dict__[name] = warehouse.load(spark, stored, name)
+
+
+def store_chain(chain: Chain, path: str, by_month: bool = True) -> None:
+    """Normalise the source files once and keep the relations as Parquet."""
+    warehouse.store_all({n: getattr(chain, n) for n in warehouse.MONTH_OF}, path, by_month)
+
+
 Plan = Callable[[Chain], DataFrame]
 _PLANS: dict[str, Plan] = {}
 _SQL: dict[str, str] = {}
@@ -107,8 +121,8 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in money}) if money else df
 
 
-def run(name: str, spark: SparkSession, root: str) -> DataFrame:
-    return comparable(_PLANS[name](Chain(spark, root)))
+def run(name: str, chain: Chain) -> DataFrame:
+    return comparable(_PLANS[name](chain))
 
 
 def _load() -> None:
@@ -119,7 +133,7 @@ def plans() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     _load()
 
     def bind(name: str) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, root: run(name, spark, root)
+        return lambda spark, root: run(name, Chain(spark, root))
 
     return {name: bind(name) for name in _PLANS}
 
