@@ -18,7 +18,8 @@ from tallychain.operators.trace import latest_refund
 from tallychain.plans.layer1 import PATTERN
 from tallychain.plans.registry import Chain, query
 from tallychain.session import shared_dir
-from tallychain.sources import sinks, tables
+from tallychain.sources import files, relations, sinks, tables
+from tallychain.sources.sample_files import settlement_files
 
 MONTH = Period.month("1996-01")
 NAMES = [
@@ -890,3 +891,23 @@ def hub_lookup(c: Chain):
     return c.hub.select(
         "gateway", "settle_key", "order_id", "hub_txn_id", "amount", "status", "created_date"
     )
+
+
+@query("settlement_from_files", """
+SELECT gateway, settlement_order_id, settled_date, sett_txn_type, payment_type, COUNT(*) AS n_rows,
+       SUM(sett_gross)::DOUBLE AS gross, SUM(sett_net)::DOUBLE AS net, SUM(sett_fee)::DOUBLE AS fee
+FROM settlement GROUP BY 1, 2, 3, 4, 5""")
+def settlement_from_files(c: Chain):
+    """The canonical settlements built from the four gateways' separate file layouts."""
+    src = settlement_files(c.settlement_feed)
+    feed = files.settlement_feed(
+        src["gw_a_settlement"], src["gw_b_settlement"], src["gw_c_settlement"], src["gw_d_txn"]
+    )
+    return group(
+        relations.settlement(feed),
+        ["gateway", "settlement_order_id", "settled_date", "sett_txn_type", "payment_type"],
+        "count(*) AS n_rows",
+        "sum(sett_gross) AS gross",
+        "sum(sett_net) AS net",
+        "sum(sett_fee) AS fee",
+    )

@@ -1,0 +1,36 @@
+"""The derived settlement feed split into the four gateways' own file layouts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def settlement_files(feed: DataFrame) -> dict[str, DataFrame]:
+    def of(gateway: str) -> DataFrame:
+        return feed.where(f"gateway = '{gateway}'")
+
+    return {
+        "gw_a_settlement": of("GW_A").selectExpr(
+            "raw_order_id AS order_id", "raw_gross AS amount", "raw_net AS settled_amount",
+            "raw_fee AS commission", "raw_tax AS gst",
+            "CAST(left(btrim(raw_settled_on, chr(39)), 10) AS DATE) AS settled_date",
+            "utr AS utr_no", "txn_type AS transaction_type",
+        ),
+        "gw_b_settlement": of("GW_B").selectExpr(
+            "raw_order_id AS `Merchant Order Id`", "raw_gross AS `Transaction Amount`",
+            "raw_net AS `Net Amount`", "raw_fee AS `Total Fees`", "raw_tax AS IGST",
+            "CAST(raw_settled_on AS TIMESTAMP_NTZ) AS `Settlement Date`", "utr AS `Settlement UTR`",
+            "txn_type AS `Transaction Type`", "payment_type AS `Payment Type`",
+            "txn_status AS `Transaction Status`", "method AS Mode",
+        ),
+        "gw_c_settlement": of("GW_C").selectExpr(
+            "raw_order_id AS `Merchant Txn ID`", "raw_gross AS Amount", "raw_net AS `Net Amount`",
+            "raw_fee AS `Total Processing fees`", "raw_tax AS `Service Tax`",
+            "raw_settled_on AS AddedOn", "utr AS `Merchant UTR`", "txn_type AS Status",
+        ),
+        "gw_d_txn": of("GW_D").selectExpr(
+            "raw_order_id AS order_receipt", "raw_gross AS amount", "raw_fee AS fee",
+            "raw_tax AS tax", "txn_type AS type", "CAST(raw_settled_on AS DATE) AS settled_at",
+            "utr AS settlement_utr", "method", "network AS card_network", "card_type",
+        ),
+    }
