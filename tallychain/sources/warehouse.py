@@ -9,6 +9,7 @@ that task the job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallychain.functions.dates import month_label
 
@@ -34,7 +35,7 @@ def store(df: DataFrame, path: str, month_of: str | None = None) -> None:
         return
     rows = df.selectExpr("*", f"{month_label(month_of)} AS file_month")
     (
-        rows.hint("rebalance", rows["file_month"])
+        rows.hint("rebalance", F.col("file_month"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("file_month")
