@@ -130,22 +130,26 @@ def fee_mode_matrix(settlement: DataFrame, hub: DataFrame) -> DataFrame:
     )
 
 
-def fee_rows(
-    settlement: DataFrame, hub: DataFrame, period: Period | None = None, k: int | None = None
-) -> DataFrame:
-    """Rows that were charged a fee, with their order; the ``k`` highest fees if given."""
-    hubs = hub_scope(hub, period).selectExpr(
-        "gateway", "settle_key AS gw_key", "order_id", "amount AS hub_amount", "created_date"
+def _charged_rows(settlement: DataFrame, orders: DataFrame, *extra: str) -> DataFrame:
+    hubs = orders.selectExpr(
+        "gateway", "settle_key AS gw_key", "order_id", "amount AS hub_amount", "created_date", *extra
     )
-    rows = (
+    return (
         keyed(settlement.where("is_forward AND signed_fee < 0"))
         .join(hubs, KEY)
         .select(
             "gateway", "order_id", "hub_amount", "created_date", "sett_gross", "sett_net",
             "sett_fee", "sett_tax", "method", "network", "card_type", "payment_type",
-            "settled_date", "sett_utr",
+            "settled_date", "sett_utr", *extra,
         )
     )
+
+
+def fee_rows(
+    settlement: DataFrame, hub: DataFrame, period: Period | None = None, k: int | None = None
+) -> DataFrame:
+    """Rows that were charged a fee, with their order; the ``k`` highest fees if given."""
+    rows = _charged_rows(settlement, hub_scope(hub, period))
     if k is None:
         return rows
     return top_k(rows, k, "sett_fee DESC", "sett_gross DESC", "order_id", "settled_date", "method")
@@ -198,10 +202,11 @@ def fee_trace_to_ledger(
             for t in tables
         ]
     )
-    return (
-        fee_rows(settlement, hub, period)
-        .join(known, "order_id", "left")
-        .selectExpr("*", f"{order_pattern('order_id')} AS order_pattern")
+    # The ledgers go onto the hub first: the settlement rows are shuffled once.
+    orders = hub_scope(hub, period).join(known, "order_id", "left")
+    extra = [c for c in known.columns if c != "order_id"]
+    return _charged_rows(settlement, orders, *extra).selectExpr(
+        "*", f"{order_pattern('order_id')} AS order_pattern"
     )
 
 

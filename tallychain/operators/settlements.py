@@ -14,7 +14,6 @@ from tallychain.functions.money import safe_pct, total
 from tallychain.functions.status import hub_category
 from tallychain.operators.frames import group, key_set, keys_of, top_k, with_totals
 from tallychain.operators.hub_gateway import KEY, hub_keys, hub_scope
-from tallychain.operators.trace import amount_mismatch
 
 
 def gateway_by_key(gateway_txn: DataFrame) -> DataFrame:
@@ -490,18 +489,26 @@ def refund_gap_by_status(
     hub: DataFrame, gateway_txn: DataFrame, settlement: DataFrame
 ) -> DataFrame:
     """Amount gap of mismatched rows by gateway status, and what was settled of them."""
-    rows = amount_mismatch(hub, gateway_txn).join(
-        settled_by_key(settlement).select(*KEY, "sett_rows", "gross"), KEY, "left"
+    gws = group(
+        gateway_txn.withColumnsRenamed({"amount": "gw_amount", "status": "gw_status"}),
+        [*KEY, "gw_status", "gw_amount"],
+        "count(*) AS n",
+    )
+    hubs = hub_scope(hub).selectExpr("gateway", "settle_key AS gw_key", "amount AS hub_amount")
+    rows = (
+        gws.join(hubs, KEY)
+        .where("hub_amount <> gw_amount")
+        .join(settled_by_key(settlement).select(*KEY, "gross"), KEY, "left")
     )
     return group(
         rows,
         ["gateway", "gw_status"],
-        "count(*) AS txns",
-        f"{total('hub_amount')} AS hub_amount",
-        f"{total('gw_amount')} AS gateway_amount",
-        f"{total('hub_amount - gw_amount')} AS gap",
-        "count(sett_rows) AS in_settlements",
-        f"{total('gross')} AS sett_gross",
+        "sum(n) AS txns",
+        f"{total('hub_amount * n')} AS hub_amount",
+        f"{total('gw_amount * n')} AS gateway_amount",
+        f"{total('(hub_amount - gw_amount) * n')} AS gap",
+        "sum(CASE WHEN gross IS NOT NULL THEN n ELSE 0 END) AS in_settlements",
+        f"{total('gross * n')} AS sett_gross",
     )
 
 

@@ -91,8 +91,8 @@ def one_per_order(ledger: DataFrame, table: str) -> DataFrame:
     )
 
 
-def amount_mismatch(hub: DataFrame, gateway_txn: DataFrame) -> DataFrame:
-    """Successful hub rows whose gateway amount differs."""
+def amount_mismatch(hub: DataFrame, gateway_txn: DataFrame, *extra: str) -> DataFrame:
+    """Successful hub rows whose gateway amount differs, with ``extra`` hub columns."""
     gw = gateway_txn.withColumnsRenamed(
         {"gw_key": "settle_key", "amount": "gw_amount", "status": "gw_status"}
     )
@@ -105,7 +105,7 @@ def amount_mismatch(hub: DataFrame, gateway_txn: DataFrame) -> DataFrame:
             f"{order_pattern('order_id')} AS order_pattern", "amount AS hub_amount",
             "created_date", "customer_id", "payment_flow", "gw_amount",
             "CAST(amount - gw_amount AS DECIMAL(18,2)) AS amount_diff", "gw_status", "txn_date",
-            "mode AS gw_mode", "bank_name", "error_description", "discount", "subvention",
+            "mode AS gw_mode", "bank_name", "error_description", "discount", "subvention", *extra,
         )
     )
 
@@ -113,7 +113,12 @@ def amount_mismatch(hub: DataFrame, gateway_txn: DataFrame) -> DataFrame:
 def refund_trace(
     hub: DataFrame, gateway_txn: DataFrame, hub_refund: DataFrame, ledger: DataFrame
 ) -> DataFrame:
-    """Mismatched rows with their refund: refunded ledger first, else revenue ledger."""
+    """Mismatched rows with their refund: refunded ledger first, else revenue ledger.
+
+    Everything known per order is attached to the hub, where ids are unique,
+    before the gateway rows come in. A gateway id with very many rows then takes
+    part in one join only, between two bare exchanges that AQE can split.
+    """
     refunded = one_per_order(ledger, "ledger_refunded").selectExpr(
         "order_id", "true AS has_rf", "ledger_date AS rf_date", "ledger_amount AS rf_amount",
         "mode AS rf_mode", "mobile AS rf_mobile",
@@ -122,13 +127,12 @@ def refund_trace(
         "order_id", "true AS has_pr", "ledger_date AS pr_date", "ledger_amount AS pr_amount",
         "mode AS pr_mode", "mobile AS pr_mobile", "plan AS pr_plan",
     )
-    rows = (
-        amount_mismatch(hub, gateway_txn)
-        .join(refunded, "order_id", "left")
-        .join(revenue, "order_id", "left")
-        .join(latest_refund(hub_refund), "order_id", "left")
-    )
-    return rows.selectExpr(
+    facts = [refunded, revenue, latest_refund(hub_refund)]
+    orders = hub.where("status = 'SUCCESS'")
+    for frame in facts:
+        orders = orders.join(frame, "order_id", "left")
+    extra = [c for frame in facts for c in frame.columns if c != "order_id"]
+    return amount_mismatch(orders, gateway_txn, *extra).selectExpr(
         "order_id", "order_pattern", "gateway", "hub_txn_id", "hub_amount", "created_date",
         "customer_id", "payment_flow", "gw_amount", "amount_diff", "gw_status", "txn_date",
         "gw_mode", "bank_name",

@@ -397,13 +397,13 @@ SELECT gateway, CASE WHEN status = 'SUCCESS' AND source_month = '1996-01' THEN '
 UNION ALL SELECT gateway, '4 gateway only', COUNT(*) FROM gateway_txn g WHERE NOT EXISTS
   (SELECT 1 FROM hub h WHERE h.gateway = g.gateway AND h.settle_key = g.gw_key) GROUP BY 1""")
 def hub_category(c: Chain):
-    gws = c.gateway_txn.selectExpr(*KEY, "gw_key AS gateway_txn_id")
+    gws = group(c.gateway_txn, KEY, "max(gw_key) AS gateway_txn_id", "count(*) AS n")
     hubs = c.hub.selectExpr("gateway", "settle_key AS gw_key", "order_id", "status", "source_month")
     category = status.hub_category("order_id", "gateway_txn_id", "status", "source_month", "1996-01")
     return group(
-        hubs.join(gws, KEY, "full").selectExpr("gateway", f"{category} AS category"),
+        hubs.join(gws, KEY, "full").selectExpr("gateway", f"{category} AS category", "order_id", "n"),
         ["gateway", "category"],
-        "count(*) AS n_rows",
+        "sum(CASE WHEN order_id IS NULL THEN n ELSE 1 END) AS n_rows",
     )
 
 

@@ -92,8 +92,14 @@ class StoredChain(Chain):
 
 
 def store_chain(chain: Chain, path: str, by_month: bool = True) -> None:
-    """Normalise the source files once and keep the relations as Parquet."""
-    warehouse.store_all({n: getattr(chain, n) for n in warehouse.MONTH_OF}, path, by_month)
+    """Normalise the source files once and keep the relations as Parquet.
+
+    What is stored already is read back for the relations that build on it.
+    """
+    known = Chain(chain.spark, chain.root)
+    for name, month_of in warehouse.MONTH_OF.items():
+        warehouse.store(getattr(known, name), f"{path}/{name}", month_of if by_month else None)
+        known.__dict__[name] = warehouse.load(chain.spark, path, name)
 
 
 Plan = Callable[[Chain], DataFrame]

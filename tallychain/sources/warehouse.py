@@ -43,11 +43,6 @@ def store(df: DataFrame, path: str, month_of: str | None = None) -> None:
     )
 
 
-def store_all(relations: dict[str, DataFrame], root: str, by_month: bool = True) -> None:
-    for name, df in relations.items():
-        store(df, f"{root}/{name}", MONTH_OF[name] if by_month else None)
-
-
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{root}/{name}")
     return df.drop("file_month") if "file_month" in df.columns else df
