@@ -117,8 +117,13 @@ def settlement_summary(settlement: DataFrame, bank: DataFrame) -> DataFrame:
     )
 
 
-def bank_monthly(settlement: DataFrame, bank: DataFrame) -> DataFrame:
-    """Months of either side: net, deposits, gap, and whether both sides have rows."""
+def bank_monthly(
+    settlement: DataFrame, bank: DataFrame, gap_base: str = "bank_deposit"
+) -> DataFrame:
+    """Months of either side: net, deposits, gap, and whether both sides have rows.
+
+    ``gap_base`` is what the gap is a percentage of, ``bank_deposit`` or ``sett_net``.
+    """
     sett_months = group(
         settlement.where("is_forward").selectExpr(
             "gateway", f"{month_start('settled_date')} AS month", "sett_net"
@@ -141,7 +146,7 @@ def bank_monthly(settlement: DataFrame, bank: DataFrame) -> DataFrame:
         "coalesce(deposits, 0) AS deposits",
         "coalesce(bank_deposit, 0) AS bank_deposit",
         "coalesce(bank_deposit, 0) - coalesce(sett_net, 0) AS gap",
-        safe_pct("coalesce(bank_deposit, 0) - coalesce(sett_net, 0)", "bank_deposit") + " AS gap_pct",
+        safe_pct("coalesce(bank_deposit, 0) - coalesce(sett_net, 0)", gap_base) + " AS gap_pct",
         "txns IS NOT NULL AND deposits IS NOT NULL AS reconcilable",
     )
 
@@ -237,7 +242,9 @@ def refund_impact_monthly(settlement: DataFrame, gateway_refund: DataFrame) -> D
     )
 
 
-def bank_scorecard(settlement: DataFrame, bank: DataFrame) -> DataFrame:
+def bank_scorecard(
+    settlement: DataFrame, bank: DataFrame, gap_base: str = "bank_deposit"
+) -> DataFrame:
     """Gap over the months in which both sides have rows, per gateway and overall."""
     sums = group(
         bank_monthly(settlement, bank).where("reconcilable"),
@@ -246,7 +253,7 @@ def bank_scorecard(settlement: DataFrame, bank: DataFrame) -> DataFrame:
         f"{total('sett_net')} AS sett_net",
         f"{total('bank_deposit')} AS bank_deposit",
     )
-    pct = safe_pct("bank_deposit - sett_net", "bank_deposit")
+    pct = safe_pct("bank_deposit - sett_net", gap_base)
     return (
         with_totals(sums, ["gateway"], "matched_months", "sett_net", "bank_deposit")
         .selectExpr("*", "bank_deposit - sett_net AS gap", f"{pct} AS gap_pct")

@@ -181,9 +181,10 @@ def describe_fee(settlement: DataFrame) -> DataFrame:
         "round(s1 / n_rows, 4) AS mean_fee",
         "round(sqrt(try_divide(s2 - s1 * s1 / n_rows, n_rows - 1)), 4) AS std_fee",
         "min_fee",
-        "q[0] AS p25",
-        "q[1] AS p50",
-        "q[2] AS p75",
+        # Halfway between cents at most: four digits are exact.
+        "round(q[0], 4) AS p25",
+        "round(q[1], 4) AS p50",
+        "round(q[2], 4) AS p75",
         "max_fee",
     )
 

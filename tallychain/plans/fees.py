@@ -98,8 +98,9 @@ def head_n(c: Chain):
 @query("describe_fee", """
 SELECT gateway, COUNT(*) AS n_rows, round(SUM(sett_fee)::DOUBLE / COUNT(*), 4) AS mean_fee,
        round(stddev_samp(sett_fee::DOUBLE), 4) AS std_fee, MIN(sett_fee)::DOUBLE AS min_fee,
-       quantile_cont(sett_fee::DOUBLE, 0.25) AS p25, quantile_cont(sett_fee::DOUBLE, 0.5) AS p50,
-       quantile_cont(sett_fee::DOUBLE, 0.75) AS p75, MAX(sett_fee)::DOUBLE AS max_fee
+       round(quantile_cont(sett_fee::DOUBLE, 0.25), 4) AS p25,
+       round(quantile_cont(sett_fee::DOUBLE, 0.5), 4) AS p50,
+       round(quantile_cont(sett_fee::DOUBLE, 0.75), 4) AS p75, MAX(sett_fee)::DOUBLE AS max_fee
 FROM settlement WHERE is_forward GROUP BY 1""")
 def describe_fee(c: Chain):
     return ops.describe_fee(c.settlement)

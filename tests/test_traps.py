@@ -230,6 +230,15 @@ def test_daily_match_keeps_days_of_either_side(spark):
     assert got == {1: (10, 0), 2: (20, 19), 3: (0, 5)}
 
 
+def test_gap_base_is_an_argument(spark):
+    sett = settlement_frame(spark, [("GW_B", "a", "2026-01-01", 100, 0, "PAYMENT")])
+    deposits = spark.createDataFrame(
+        [("GW_B", date(2026, 1, 2), Decimal(80))], "gateway string, bank_date date, deposit decimal(18,2)"
+    )
+    assert bank.bank_monthly(sett, deposits).first().gap_pct == -25.0
+    assert bank.bank_monthly(sett, deposits, gap_base="sett_net").first().gap_pct == -20.0
+
+
 def test_netting_subtracts_refunds_and_keeps_refund_only_days(spark):
     sett = settlement_frame(spark, [("GW_A", "a", "2026-01-01", 100, 0, "ACQUIRING")])
     refunds = spark.createDataFrame(
