@@ -61,6 +61,40 @@ def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
     return group(rows, column, "count(*) AS n_rows").orderBy(F.desc("n_rows"), column)
 
 
+def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """Keys held by more than one row. Empty is what lookup joins rely on."""
+    return group(df, list(keys), "count(*) AS n_rows").where("n_rows > 1")
+
+
+def column_profile_approx(df: DataFrame, name: str) -> DataFrame:
+    """The profile in one pass without a shuffle of values, for very large tables.
+
+    Distinct values are estimated; the samples are the smallest and the largest value.
+    """
+    cols = df.columns
+    wide = group(
+        df,
+        [],
+        "count(*) AS total",
+        *[
+            agg
+            for i, c in enumerate(cols)
+            for agg in (
+                f"count(`{c}`) AS n{i}",
+                f"approx_count_distinct(`{c}`) AS d{i}",
+                f"concat_ws(', ', CAST(min(`{c}`) AS STRING), CAST(max(`{c}`) AS STRING)) AS s{i}",
+            )
+        ],
+    )
+    rows = ", ".join(
+        f"'{c}', '{t}', CAST(total - n{i} AS DOUBLE) * 100 / total, d{i}, s{i}"
+        for i, (c, t) in enumerate(df.dtypes)
+    )
+    return wide.selectExpr(
+        f"stack({len(cols)}, {rows}) AS (column_name, data_type, null_pct, distinct_values, samples)"
+    ).selectExpr(f"'{name}' AS table_name", "*")
+
+
 def column_profile(df: DataFrame, name: str, samples: int = 3) -> DataFrame:
     """Type, null share, distinct values and the smallest sample values of every column.
 

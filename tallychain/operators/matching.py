@@ -7,6 +7,7 @@ equi-joins; AQE chooses between broadcast and sort-merge by measured size.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallychain.functions.dates import month_start
 from tallychain.functions.money import safe_pct, total
@@ -15,21 +16,36 @@ from tallychain.operators.base import bank_daily, with_deposits
 from tallychain.operators.frames import group, key_set, keys_of, union_all
 
 
-def _right(df: DataFrame, keys: tuple[str, ...], repeats: bool) -> DataFrame:
-    return key_set(df, *keys) if repeats else keys_of(df, *keys)
+def _by_keys(
+    left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str, repeats: bool, salts: int
+) -> DataFrame:
+    partners = key_set(right, *keys) if repeats else keys_of(right, *keys)
+    if salts <= 1:
+        return left.join(partners, list(keys), how)
+    # Every salt sees every key, so the result does not depend on the salt drawn.
+    drawn = left.withColumn("_salt", F.floor(F.rand(7) * salts))
+    spread = partners.withColumn("_salt", F.expr(f"explode(sequence(0L, {salts - 1}L))"))
+    return drawn.join(spread, [*keys, "_salt"], how).select(*left.columns)
 
 
-def unmatched(left: DataFrame, right: DataFrame, *keys: str, repeats: bool = True) -> DataFrame:
+def unmatched(
+    left: DataFrame, right: DataFrame, *keys: str, repeats: bool = True, salts: int = 1
+) -> DataFrame:
     """Rows of ``left`` without a partner. Null keys never match and are kept.
 
-    ``repeats=False`` says that keys of ``right`` are unique.
+    ``repeats=False`` says that keys of ``right`` are unique: its exchange then
+    stays bare and AQE splits a hot key on the left. If both sides repeat, give
+    ``salts`` to spread each left key over that many tasks; the distinct keys of
+    ``right`` are copied as often.
     """
-    return left.join(_right(right, keys, repeats), list(keys), "left_anti")
+    return _by_keys(left, right, keys, "left_anti", repeats, salts)
 
 
-def matched(left: DataFrame, right: DataFrame, *keys: str, repeats: bool = True) -> DataFrame:
-    """Rows of ``left`` with a partner, each once."""
-    return left.join(_right(right, keys, repeats), list(keys), "left_semi")
+def matched(
+    left: DataFrame, right: DataFrame, *keys: str, repeats: bool = True, salts: int = 1
+) -> DataFrame:
+    """Rows of ``left`` with a partner, each once. Arguments as in ``unmatched``."""
+    return _by_keys(left, right, keys, "left_semi", repeats, salts)
 
 
 def unmatched_in_all(left: DataFrame, rights: list[DataFrame], key: str) -> DataFrame:

@@ -87,6 +87,12 @@ def column_profile(c: Chain):
     return inventory.column_profile(c.hub, "hub")
 
 
+@query("duplicate_keys", """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""")
+def duplicate_keys(c: Chain):
+    return inventory.duplicate_keys(c.lineitem, "l_orderkey", "l_linenumber")
+
+
 @query("add_source_month", """
 SELECT strftime(o_orderdate, '%Y-%m') AS source_month, 'orders.parquet' AS source_file, COUNT(*) AS n_rows
 FROM orders GROUP BY 1""")

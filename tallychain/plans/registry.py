@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,13 +95,20 @@ class StoredChain(Chain):
 def store_chain(chain: Chain, path: str, by_month: bool = True) -> None:
     """Normalise the source files once and keep the relations as Parquet.
 
-    What is stored already is read back for the relations that build on it.
+    The relations are independent, so small ones do not wait for large ones.
+    Deposits are derived from stored settlements and come last.
     """
     known = Chain(chain.spark, chain.root)
-    for name, month_of in warehouse.MONTH_OF.items():
-        warehouse.store(getattr(known, name), f"{path}/{name}", month_of if by_month else None)
+
+    def store(name: str) -> None:
+        month_of = warehouse.MONTH_OF[name] if by_month else None
+        warehouse.store(getattr(known, name), f"{path}/{name}", month_of)
         known.__dict__[name] = warehouse.load(chain.spark, path, name)
 
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(store, [n for n in warehouse.MONTH_OF if n != "bank"]))
+    store("bank")
+
 
 Plan = Callable[[Chain], DataFrame]
 _PLANS: dict[str, Plan] = {}

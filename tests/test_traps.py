@@ -7,7 +7,16 @@ import pytest
 
 from tallychain.config import LEDGERS, Period
 from tallychain.functions import dates, money, status, text
-from tallychain.operators import bank, base, fees, frames, hub_gateway, matching, settlements
+from tallychain.operators import (
+    bank,
+    base,
+    fees,
+    frames,
+    hub_gateway,
+    inventory,
+    matching,
+    settlements,
+)
 from tallychain.operators.frames import pick_first
 from tallychain.operators.trace import latest_refund
 from tallychain.sources import relations, tables
@@ -117,6 +126,24 @@ def test_anti_join_with_nulls_and_duplicates(spark):
     assert [r.id for r in matching.matched(left, right, "id").collect()] == ["a"]
 
 
+def test_salting_does_not_change_the_result(spark):
+    left = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) AS id", "id AS n")
+    right = spark.createDataFrame([("hot",), ("hot",), ("k1",), (None,)], "id string")
+    for f in (matching.matched, matching.unmatched):
+        assert sorted(f(left, right, "id", salts=8).collect()) == sorted(f(left, right, "id").collect())
+    assert matching.matched(left, right, "id", salts=8).count() == 1001
+
+
+def test_duplicate_keys_and_approximate_profile(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, v int")
+    assert inventory.duplicate_keys(df, "k").collect() == [("a", 2)]
+    got = {r.column_name: r for r in inventory.column_profile_approx(df, "t").collect()}
+    assert (got["v"].distinct_values, got["v"].samples) == (3, "1, 3")
+    assert round(got["k"].null_pct, 2) == 33.33
+    exact = {r.column_name: r for r in inventory.column_profile(df, "t").collect()}
+    assert (exact["v"].samples, exact["k"].distinct_values) == ("1, 2, 3", 1)
+
+
 def ledger_rows(spark, rows):
     by_table = {x.table: x.priority for x in LEDGERS}
     full = [(i, t, Decimal(a), by_table[t]) for i, t, a in rows]
