@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tallychain.config import Period
 from tallychain.operators import base, hub_gateway, ledger_hub, settlements
+from tallychain.session import shared_dir
+from tallychain.sources import warehouse
 
 
 def total(df, col):
@@ -59,3 +62,35 @@ def test_settlement_export_layout(stored):
         "MISSING_HUB", "PG_ADJUSTMENT",
     }
     assert len(base.gap_export_hub(stored.base).columns) == 14
+
+
+def test_a_period_equals_its_share_of_the_whole(stored):
+    month = Period.month("1996-01")
+    part = base.recon_base(stored.settlement, stored.hub, stored.ledger, stored.bank, month)
+    whole = stored.base.where("recon_month = '1996-01'")
+    assert part.count() == whole.count() > 0
+    assert part.exceptAll(whole).count() == 0
+
+
+def test_created_period_scopes_every_layer(stored):
+    month = Period.month("1996-01")
+    scope = stored.hub.where("status = 'SUCCESS' AND source_month = '1996-01'")
+    n = scope.count()
+    hub, gws, sett = stored.hub, stored.gateway_txn, stored.settlement
+    assert total(hub_gateway.scope_by_gateway(hub, month), "hub_ids") == n > 0
+    assert total(hub_gateway.l2_matched(hub, gws, month), "hub_ids") == n
+    matched = total(hub_gateway.l2_matched(hub, gws, month), "matched_ids")
+    only = total(hub_gateway.l2_hub_only(hub, gws, month), "hub_only_ids") or 0
+    assert matched + only == n
+    settled = settlements.l3_summary(hub, gws, sett, month).where("gateway = 'ALL'").first()
+    assert settled.hub_txns == matched
+    unsettled = total(settlements.l3_unsettled(hub, gws, sett, month), "unsettled") or 0
+    assert settled.settled_txns + unsettled == matched
+
+
+def test_monthly_storage_returns_the_same_rows(spark, stored):
+    path = f"{shared_dir(spark, 'monthly')}/settlement"
+    warehouse.store(stored.settlement, path, "settled_date")
+    back = spark.read.parquet(path).drop("file_month").select(*stored.settlement.columns)
+    assert back.count() == stored.settlement.count()
+    assert back.exceptAll(stored.settlement).count() == 0
