@@ -87,7 +87,8 @@ RELATIONS: dict[str, str] = {
                l_returnflag = 'R' AS is_refund
         FROM (SELECT l.*, s.gateway, CAST(l_shipdate AS DATE) AS settled_date,
                      CAST(l_extendedprice AS DECIMAL(18,2)) AS gross,
-                     CAST(l_extendedprice * l_tax * 0.01::DOUBLE AS DECIMAL(18,2)) AS fee,
+                     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))
+                          * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(18,2)) AS fee,
                      CASE l_partkey % 4 WHEN 0 THEN 'UPI' WHEN 1 THEN 'CARD'
                                         WHEN 2 THEN 'NETBANKING' ELSE 'WALLET' END AS method,
                      CASE WHEN s.gateway = 'GW_C' AND l_partkey % 500 = 0 THEN 'ADJ_' || l_partkey

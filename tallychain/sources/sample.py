@@ -138,7 +138,8 @@ def settlement_feed(spine: DataFrame, lineitem: DataFrame) -> DataFrame:
         "l_returnflag = 'R' AS refund",
         "l_returnflag = 'A' AND l_linestatus = 'O' AND l_linenumber = 7 AS untyped",
         f"CAST(l_extendedprice AS {MONEY}) AS gross",
-        f"CAST(l_extendedprice * l_tax * 0.01D AS {MONEY}) AS fee",
+        # Decimal arithmetic: a double product can fall on either side of half a cent.
+        f"CAST(CAST(l_extendedprice AS {MONEY}) * CAST(l_tax AS DECIMAL(4,2)) * 0.01BD AS {MONEY}) AS fee",
         "CAST(CAST(l_shipdate AS DATE) AS STRING) AS day",
     )
     rows = lines.join(owner, lines["l_orderkey"] == owner["k"]).selectExpr(
