@@ -54,6 +54,8 @@ class Ledger:
     account: str | None = None
     mobile: str | None = None
     alt_key: str | None = None
+    payment_status: str | None = None
+    refund_status: str | None = None
     #: rows that count as money in: SQL predicate on the raw table
     scope: str = "true"
 
@@ -74,7 +76,9 @@ LEDGERS = (
     Ledger("ledger_ott", "transaction_id", "pay_amount", "createdate", "iso", 6),
     Ledger("ledger_topup", "transaction_id", "amount", "datetime", "mixed", None),
     Ledger("ledger_refunded", "transaction_id", "pay_amount", "dt", "iso", None,
-           mode="payment_mode", status="txn_status"),
+           mode="payment_mode", status="txn_status", plan="payment_type", mobile="mobile",
+           payment_status="payment_status", refund_status="refund_status",
+           scope="refund_status = 1"),
 )
 LEDGER_TABLES = [x.table for x in LEDGERS]
 LOOKUP_LEDGERS = [x for x in LEDGERS if x.priority is not None]
@@ -100,7 +104,6 @@ DAILY_OUTLIER = 50000
 DAILY_ALERT = 1000
 CLEAN_BELOW_PCT = 3
 REVIEW_BELOW_PCT = 10
-TOP_GAPS = 50
 TOP_BATCHES = 20
 
 

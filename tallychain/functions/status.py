@@ -53,6 +53,10 @@ def gateway_of_label(label: str) -> str:
     return f"CASE {label} {arms} END"
 
 
+def is_topup(hub_id: str) -> str:
+    return f"startswith({hub_id}, 'walletTop_')"
+
+
 def l2_match(hub_id: str) -> str:
     return f"CASE WHEN {hub_id} IS NOT NULL THEN 'MATCHED' ELSE 'SETT_ONLY' END"
 
@@ -83,7 +87,7 @@ def trace_status(
         f"WHEN {is_partner_wallet(hub_id)} THEN 'PARTNER_WALLET' "
         f"WHEN {ledger_id} IS NOT NULL THEN 'FULLY_TRACED' "
         f"WHEN {refunded} THEN 'REFUNDED' "
-        f"WHEN {topup} AND startswith({hub_id}, 'walletTop_') THEN 'WALLET_TOPUP' "
+        f"WHEN {topup} AND {is_topup(hub_id)} THEN 'WALLET_TOPUP' "
         f"ELSE 'MISSING_LEDGER' END"
     )
 

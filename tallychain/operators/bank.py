@@ -27,9 +27,16 @@ def _scoped(df: DataFrame, col: str, period: Period | None) -> DataFrame:
     return df if period is None else df.where(in_period(col, period))
 
 
-def settlement_daily(settlement: DataFrame, period: Period | None = None) -> DataFrame:
+# Rows that a transfer is compared with: a gateway that nets refunds reports them in a
+# file of their own, so all of its settlement rows count.
+PAID_OUT = f"({_in_list(NETTING)} OR is_forward)"
+
+
+def settlement_daily(
+    settlement: DataFrame, period: Period | None = None, rows: str = "is_forward"
+) -> DataFrame:
     return group(
-        _scoped(settlement.where("is_forward"), "settled_date", period),
+        _scoped(settlement.where(rows), "settled_date", period),
         ["gateway", "settled_date"],
         "count(*) AS txns",
         f"{total('sett_gross')} AS gross",
@@ -90,15 +97,12 @@ def bank_rows(bank: DataFrame, period: Period) -> DataFrame:
 
 
 def settlement_summary(settlement: DataFrame, bank: DataFrame) -> DataFrame:
-    """Rows, span and amounts per gateway against all its deposits.
+    """Rows, span and amounts per gateway and overall, against all deposits.
 
-    GW_A delivers refunds in a file of their own, so all its rows count; GW_C
-    is taken without refunded rows.
+    GW_C is taken without refunded rows. The overall row (ALL) also holds deposits
+    whose label belongs to no gateway.
     """
-    counted = (
-        f"CASE gateway WHEN 'GW_A' THEN true "
-        f"WHEN 'GW_C' THEN {non_refund_status('sett_txn_type')} ELSE is_forward END"
-    )
+    counted = f"CASE gateway WHEN 'GW_C' THEN {non_refund_status('sett_txn_type')} ELSE {PAID_OUT} END"
     rows = group(
         settlement.where(counted),
         "gateway",
@@ -109,11 +113,27 @@ def settlement_summary(settlement: DataFrame, bank: DataFrame) -> DataFrame:
         f"{total('sett_net')} AS net",
         f"{total('sett_fee')} AS fees",
     )
+    everything = group(
+        rows,
+        [],
+        "'ALL' AS gateway",
+        "sum(n_rows) AS n_rows",
+        "min(first_date) AS first_date",
+        "max(last_date) AS last_date",
+        *[f"{total(m)} AS {m}" for m in ("gross", "net", "fees")],
+    )
+    # One row per gateway and label class from here on.
     deposits = group(bank, "gateway", f"{total('deposit')} AS bank_total")
-    return rows.join(deposits, "gateway", "left").selectExpr(
-        "*",
-        "bank_total - net AS gap",
-        safe_pct("bank_total - net", "bank_total") + " AS gap_pct",
+    all_deposits = group(deposits, [], "'ALL' AS gateway", f"{total('bank_total')} AS bank_total")
+    return (
+        rows.unionByName(everything)
+        .join(deposits.unionByName(all_deposits), "gateway", "left")
+        .selectExpr(
+            "*",
+            "bank_total - net AS gap",
+            safe_pct("bank_total - net", "bank_total") + " AS gap_pct",
+            safe_pct("bank_total - net", "net") + " AS gap_pct_of_net",
+        )
     )
 
 
@@ -123,9 +143,10 @@ def bank_monthly(
     """Months of either side: net, deposits, gap, and whether both sides have rows.
 
     ``gap_base`` is what the gap is a percentage of, ``bank_deposit`` or ``sett_net``.
+    Each gateway also has a total row, with neither month nor ``reconcilable``.
     """
     sett_months = group(
-        settlement.where("is_forward").selectExpr(
+        settlement.where(PAID_OUT).selectExpr(
             "gateway", f"{month_start('settled_date')} AS month", "sett_net"
         ),
         ["gateway", "month"],
@@ -138,17 +159,29 @@ def bank_monthly(
         "count(*) AS deposits",
         f"{total('deposit')} AS bank_deposit",
     )
-    return sett_months.join(bank_months, ["gateway", "month"], "full").selectExpr(
+    measures = ["txns", "sett_net", "deposits", "bank_deposit"]
+    months = sett_months.join(bank_months, ["gateway", "month"], "full").selectExpr(
         "gateway",
         "month",
-        "coalesce(txns, 0) AS txns",
-        "coalesce(sett_net, 0) AS sett_net",
-        "coalesce(deposits, 0) AS deposits",
-        "coalesce(bank_deposit, 0) AS bank_deposit",
-        "coalesce(bank_deposit, 0) - coalesce(sett_net, 0) AS gap",
-        safe_pct("coalesce(bank_deposit, 0) - coalesce(sett_net, 0)", gap_base) + " AS gap_pct",
+        *[f"coalesce({m}, 0) AS {m}" for m in measures],
         "txns IS NOT NULL AND deposits IS NOT NULL AS reconcilable",
     )
+    return _with_gateway_totals(months, measures, "CAST(NULL AS BOOLEAN) AS reconcilable").selectExpr(
+        "gateway",
+        "month",
+        *measures,
+        "bank_deposit - sett_net AS gap",
+        safe_pct("bank_deposit - sett_net", gap_base) + " AS gap_pct",
+        "reconcilable",
+    )
+
+
+def _with_gateway_totals(months: DataFrame, measures: list[str], *extra: str) -> DataFrame:
+    """``months`` and a row for each gateway over all of them, its month null."""
+    sums = group(months, "gateway", *[f"sum({m}) AS {m}" for m in measures])
+    return months.unionByName(
+        sums.selectExpr("gateway", "CAST(NULL AS DATE) AS month", *measures, *extra)
+    )
 
 
 def bank_daily_netting(
@@ -165,7 +198,7 @@ def bank_daily_netting(
     """
     only = _in_list(NETTING)
     day = ["gateway", "settled_date"]
-    sett = settlement_daily(settlement.where(only), period)
+    sett = settlement_daily(settlement.where(only), period, PAID_OUT)
     refunds = refunds_daily(gateway_refund.where(only), period)
     deposits = _scoped(
         bank_daily(bank.where(only)).selectExpr(
@@ -201,7 +234,7 @@ def bank_daily_full(
 ) -> DataFrame:
     """Settlement days against deposit days for the gateways that do not net refunds."""
     only = f"NOT {_in_list(NETTING)}"
-    sett = settlement_daily(settlement.where(only), period)
+    sett = settlement_daily(settlement.where(only), period, PAID_OUT)
     deposits = _scoped(
         bank_daily(bank.where(only)).selectExpr(
             "gateway", "bank_date AS settled_date", "bank_daily_deposit"
@@ -224,14 +257,17 @@ def bank_daily_full(
 
 
 def refund_impact_monthly(settlement: DataFrame, gateway_refund: DataFrame) -> DataFrame:
-    """Refunds by settlement month: GW_A from its refund file, others from settlement rows."""
+    """Refunds by settlement month: GW_A from its refund file, others from settlement rows.
+
+    Each gateway also has a total row without month.
+    """
     from_file = gateway_refund.where(_in_list(NETTING)).selectExpr(
         "gateway", "settled_date", "amount AS gross", "settled_amount AS net"
     )
     from_rows = settlement.where(f"is_refund AND NOT {_in_list(NETTING)}").selectExpr(
         "gateway", "settled_date", "sett_gross AS gross", "sett_net AS net"
     )
-    return group(
+    months = group(
         union_all([from_file, from_rows]).selectExpr(
             "gateway", f"{month_start('settled_date')} AS month", "gross", "net"
         ),
@@ -240,6 +276,7 @@ def refund_impact_monthly(settlement: DataFrame, gateway_refund: DataFrame) -> D
         f"{total('gross')} AS gross",
         f"{total('net')} AS net",
     )
+    return _with_gateway_totals(months, ["n_rows", "gross", "net"])
 
 
 def bank_scorecard(
@@ -264,7 +301,7 @@ def bank_scorecard(
 def bank_uncovered(settlement: DataFrame, bank: DataFrame) -> DataFrame:
     """Deposits in months for which the gateway has no settlement rows."""
     return group(
-        bank_monthly(settlement, bank).where("txns = 0"),
+        bank_monthly(settlement, bank).where("txns = 0 AND month IS NOT NULL"),
         "gateway",
         "count(*) AS months",
         "sum(deposits) AS deposits",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,18 +12,22 @@ from tallychain.config import (
     GATEWAY_CODES,
     LOOKUP_LEDGERS,
     MONEY,
-    TOP_GAPS,
     Period,
 )
 from tallychain.functions import status as st
 from tallychain.functions.dates import in_period, month_label
 from tallychain.functions.money import safe_pct, total
 from tallychain.functions.text import order_prefix
-from tallychain.operators.frames import group, top_k, with_totals
+from tallychain.operators.frames import group, pick_first, top_k, with_totals
+
+
+# A refunded row counts once the refund is done, which is that ledger's scope.
+_REFUNDED = "ledger_table = 'ledger_refunded' AND in_scope"
+_TOPUP = "ledger_table = 'ledger_topup'"
 
 
 def ledger_lookup(ledger: DataFrame) -> DataFrame:
-    """One row per order id: the ledger of best rank, plus refunded / topup presence.
+    """One row per order id: the ledger of best rank, plus refunded / topup presence and amount.
 
     A plain hash aggregate on fixed-width buffers: a hot id collapses before the
     shuffle and nothing is sorted. A tie inside one ledger goes to the smallest
@@ -32,8 +38,10 @@ def ledger_lookup(ledger: DataFrame) -> DataFrame:
         ledger.where("order_id IS NOT NULL"),
         "order_id",
         "min(priority) AS best",
-        "max(ledger_table = 'ledger_refunded') AS in_refunded",
-        "max(ledger_table = 'ledger_topup') AS in_topup",
+        f"max({_REFUNDED}) AS in_refunded",
+        f"max({_TOPUP}) AS in_topup",
+        f"min(CASE WHEN {_REFUNDED} THEN ledger_amount END) AS refunded_amount",
+        f"min(CASE WHEN {_TOPUP} THEN ledger_amount END) AS topup_amount",
         *[f"min(CASE WHEN priority = {r} THEN ledger_amount END) AS amount_{r}" for r in ranks],
     )
     tables = " ".join(f"WHEN {x.priority} THEN '{x.table}'" for x in LOOKUP_LEDGERS)
@@ -45,12 +53,26 @@ def ledger_lookup(ledger: DataFrame) -> DataFrame:
         f"CASE best {amounts} END AS ledger_amount",
         "in_refunded",
         "in_topup",
+        "refunded_amount",
+        "topup_amount",
+    )
+
+
+def one_hub_row(hub: DataFrame) -> DataFrame:
+    """One row per gateway key: a successful one if there is one, then the earliest.
+
+    Nothing stops the hub from delivering an order twice; left in, the second row
+    would repeat every settlement row of the order.
+    """
+    return pick_first(
+        hub, ["gateway", "settle_key"], "status <> 'SUCCESS'", "created_date", "order_id", "hub_txn_id",
+        "amount",
     )
 
 
 def hub_traced(hub: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Hub rows with their ledger match. Both sides are unique per order id."""
-    return hub.join(ledger_lookup(ledger), "order_id", "left")
+    """Hub rows, one per gateway key, with their ledger match."""
+    return one_hub_row(hub).join(ledger_lookup(ledger), "order_id", "left")
 
 
 def bank_daily(bank: DataFrame) -> DataFrame:
@@ -66,16 +88,16 @@ def bank_daily(bank: DataFrame) -> DataFrame:
 def with_deposits(rows: DataFrame, bank: DataFrame, period: Period | None = None) -> DataFrame:
     """Add ``bank_date`` and ``bank_daily_deposit`` of the row's gateway and settled date.
 
-    The deposits are one row per known gateway and calendar day: four gateways
-    over a century are 146,000 rows, whatever the number of payments. That
-    bound, and not the size of the input, is what makes the broadcast safe.
+    The deposits are reduced to a row per gateway and day. Whether they are
+    broadcast is left to Spark, which knows their size; if not, a busy day is a
+    hot key between two plain exchanges, which AQE splits.
     """
     days = bank_daily(bank.where("gateway IS NOT NULL"))
     if period is not None:
         days = days.where(in_period("bank_date", period))
     days = days.selectExpr("gateway AS bank_gateway", "bank_date", "bank_daily_deposit")
     return rows.join(
-        F.broadcast(days),
+        days,
         F.expr("gateway = bank_gateway AND settled_date = bank_date"),
         "left",
     ).drop("bank_gateway")
@@ -92,9 +114,12 @@ def recon_base(
 
     The hub is traced to the ledgers first, so the settlement rows, by far the
     most, are shuffled once. Both inputs of that join are bare exchanges, which
-    lets AQE split a settlement id that holds a large share of the rows. The
-    bank side has one row per gateway and calendar day, whatever the volume, so
-    it is broadcast.
+    lets AQE split a settlement id that holds a large share of the rows.
+
+    Ledger columns come from the six main ledgers, else from a done refund, else
+    from the top-ups; ``l1_match`` tells matches in a main ledger only. Hub and
+    ledger amounts stand on every settlement row of their order: reports on this
+    table count them once per settlement id.
     """
     rows = settlement.where("is_forward")
     if period is not None:
@@ -108,11 +133,13 @@ def recon_base(
         "status AS hub_status",
         "created_date AS hub_created_date",
         "source_month",
-        "ledger_txn_id",
-        "ledger_table",
-        "ledger_amount",
+        "ledger_txn_id AS main_txn_id",
+        "ledger_table AS main_table",
+        "ledger_amount AS main_amount",
         "in_refunded",
         "in_topup",
+        "refunded_amount",
+        "topup_amount",
     )
     joined = with_deposits(
         rows.join(
@@ -123,14 +150,23 @@ def recon_base(
         bank,
         period,
     )
-    hub_id, ledger_id, sett_id = "hub_order_id", "ledger_txn_id", "settlement_order_id"
+    hub_id, ledger_id, sett_id = "hub_order_id", "main_txn_id", "settlement_order_id"
+    refunded, topup = "coalesce(in_refunded, false)", f"coalesce(in_topup AND {st.is_topup(hub_id)}, false)"
+
+    def ledger_column(main: str, back: str, top: str) -> str:
+        return (
+            f"CASE WHEN {ledger_id} IS NOT NULL THEN {main} WHEN {refunded} THEN {back} "
+            f"WHEN {topup} THEN {top} END"
+        )
+
+    amount = ledger_column("main_amount", "refunded_amount", "topup_amount")
     status = st.trace_status(
         "gateway",
         sett_id,
         hub_id,
         ledger_id,
-        "coalesce(in_refunded, false)",
-        "coalesce(in_topup, false)",
+        refunded,
+        topup,
     )
     return joined.selectExpr(
         "gateway",
@@ -151,19 +187,61 @@ def recon_base(
         "hub_gateway",
         "hub_created_date",
         f"{st.l2_match(hub_id)} AS l2_match",
-        "ledger_txn_id",
-        "ledger_table",
-        "ledger_amount",
+        f"{ledger_column(hub_id, hub_id, hub_id)} AS ledger_txn_id",
+        f"{ledger_column('main_table', _text('ledger_refunded'), _text('ledger_topup'))} AS ledger_table",
+        f"{amount} AS ledger_amount",
         f"{st.l1_match(hub_id, ledger_id)} AS l1_match",
         f"{order_prefix(hub_id, sett_id)} AS order_id_prefix",
         f"{status} AS trace_status",
         f"{st.trace_status_basic(hub_id, ledger_id)} AS trace_status_basic",
         f"CAST(hub_amount - sett_gross AS {MONEY}) AS diff_hub_vs_sett",
-        f"CAST(ledger_amount - hub_amount AS {MONEY}) AS diff_ledger_vs_hub",
+        f"CAST({amount} - hub_amount AS {MONEY}) AS diff_ledger_vs_hub",
         "source_month",
     )
 
 
+def _text(value: str) -> str:
+    return f"'{value}'"
+
+
+@dataclass(frozen=True)
+class Run:
+    """One monthly run: reports that compare with deposits take both from here."""
+
+    base: DataFrame
+    bank: DataFrame
+    period: Period
+
+
+def run(
+    settlement: DataFrame, hub: DataFrame, ledger: DataFrame, bank: DataFrame, period: Period
+) -> Run:
+    """The base table of a period and the deposits of the same period."""
+    return Run(
+        recon_base(settlement, hub, ledger, bank, period),
+        bank.where(in_period("bank_date", period)),
+        period,
+    )
+
+
+def per_id(base: DataFrame, *keys: str) -> DataFrame:
+    """Base rows reduced to one per settlement id: hub and ledger amounts then count once.
+
+    ``keys`` are columns that are the same on all rows of an id. An id with very
+    many rows collapses before the shuffle.
+    """
+    return group(
+        base,
+        list(dict.fromkeys([*keys, "gateway", "settlement_order_id"])),
+        "count(*) AS n_rows",
+        "sum(sett_gross) AS sett_gross",
+        "sum(sett_net) AS sett_net",
+        "sum(sett_fee) AS sett_fee",
+        "min(hub_amount) AS hub_amount",
+        "min(ledger_amount) AS ledger_amount",
+    )
+
+
 # --- reports on the base table ---------------------------------------------------
 
 
@@ -174,9 +252,9 @@ def recon_row_counts(base: DataFrame) -> DataFrame:
 def recon_summary(base: DataFrame) -> DataFrame:
     """Rows and amounts by gateway and trace status, with subtotals and a grand total."""
     rows = group(
-        base,
+        per_id(base, "trace_status"),
         ["gateway", "trace_status"],
-        "count(*) AS n_rows",
+        "sum(n_rows) AS n_rows",
         f"{total('sett_gross')} AS sett_gross",
         f"{total('sett_net')} AS sett_net",
         f"{total('hub_amount')} AS hub_amount",
@@ -194,9 +272,12 @@ def recon_summary(base: DataFrame) -> DataFrame:
 
 
 def waterfall_by_gateway(base: DataFrame, bank: DataFrame) -> DataFrame:
-    """Bank, gross, net, hub and ledger totals and the steps between them, one row per gateway."""
+    """Bank, gross, net, hub and ledger totals and the steps between them, one row per gateway.
+
+    ``base`` and ``bank`` must be of one period; a ``Run`` holds such a pair.
+    """
     sums = group(
-        base,
+        per_id(base, "l1_match", "l2_match"),
         "gateway",
         f"{total('sett_gross')} AS gross",
         f"{total('sett_net')} AS net",
@@ -259,7 +340,8 @@ def gap_a_bank(base: DataFrame, bank: DataFrame) -> DataFrame:
     )
 
 
-def gap_b_settlement_only(base: DataFrame, k: int = TOP_GAPS) -> DataFrame:
+def gap_b_settlement_only(base: DataFrame, k: int | None = None) -> DataFrame:
+    """Settlement rows without a hub row by id family; the ``k`` largest if given."""
     rows = group(
         base.where("l2_match = 'SETT_ONLY'"),
         ["gateway", "order_id_prefix"],
@@ -267,39 +349,45 @@ def gap_b_settlement_only(base: DataFrame, k: int = TOP_GAPS) -> DataFrame:
         f"{total('sett_gross')} AS gross",
         f"{total('sett_net')} AS net",
     )
-    return top_k(rows, k, "gross DESC", "gateway", "order_id_prefix")
+    return rows if k is None else top_k(rows, k, "gross DESC", "gateway", "order_id_prefix")
 
 
-def gap_c_hub_only(base: DataFrame, k: int = TOP_GAPS) -> DataFrame:
+def gap_c_hub_only(base: DataFrame, k: int | None = None) -> DataFrame:
+    """Hub rows without a main ledger row by id family; the ``k`` largest if given."""
     rows = group(
-        base.where("l1_match = 'HUB_ONLY'"),
+        per_id(base.where("l1_match = 'HUB_ONLY'"), "order_id_prefix"),
         ["gateway", "order_id_prefix"],
-        "count(*) AS n_rows",
+        "sum(n_rows) AS n_rows",
         f"{total('hub_amount')} AS hub_amount",
         f"{total('sett_gross')} AS sett_gross",
     )
-    return top_k(rows, k, "hub_amount DESC", "gateway", "order_id_prefix")
+    return rows if k is None else top_k(rows, k, "hub_amount DESC", "gateway", "order_id_prefix")
 
 
 def gap_c_resolved(base: DataFrame) -> DataFrame:
     """Hub-only rows split into refunded, topup and truly missing."""
     return group(
-        base.where("l1_match = 'HUB_ONLY'"),
+        per_id(base.where("l1_match = 'HUB_ONLY'"), "trace_status"),
         ["gateway", "trace_status"],
-        "count(*) AS n_rows",
+        "sum(n_rows) AS n_rows",
         f"{total('hub_amount')} AS hub_amount",
     )
 
 
 def gap_d_amount(base: DataFrame, tolerance: str = AMOUNT_TOLERANCE) -> DataFrame:
-    """Hub against ledger amount on matched rows; below ``tolerance`` counts as equal."""
+    """Hub against ledger amount on matched rows; below ``tolerance`` counts as equal.
+
+    Rows are settlement rows; amounts count once per settlement id.
+    """
     diff = "abs(hub_amount - ledger_amount)"
     sums = group(
-        base.where("l1_match = 'MATCHED' AND hub_amount IS NOT NULL AND ledger_amount IS NOT NULL"),
+        per_id(
+            base.where("l1_match = 'MATCHED' AND hub_amount IS NOT NULL AND ledger_amount IS NOT NULL")
+        ),
         "gateway",
-        "count(*) AS matched_rows",
-        f"count_if({diff} < {tolerance}) AS exact_rows",
-        f"count_if({diff} >= {tolerance}) AS diff_rows",
+        "sum(n_rows) AS matched_rows",
+        f"sum(CASE WHEN {diff} < {tolerance} THEN n_rows ELSE 0 END) AS exact_rows",
+        f"sum(CASE WHEN {diff} >= {tolerance} THEN n_rows ELSE 0 END) AS diff_rows",
         f"{total('hub_amount')} AS hub_total",
         f"{total('ledger_amount')} AS ledger_total",
         f"{total('hub_amount - ledger_amount')} AS diff_total",
@@ -313,11 +401,14 @@ def gap_d_amount(base: DataFrame, tolerance: str = AMOUNT_TOLERANCE) -> DataFram
 def recon_source_month(base: DataFrame, period: Period) -> DataFrame:
     """When the settled orders were created, relative to ``period``."""
     rows = group(
-        base.selectExpr(
-            "*", f"{st.source_month_bucket('hub_created_date', period)} AS created_in"
+        per_id(
+            base.selectExpr(
+                "*", f"{st.source_month_bucket('hub_created_date', period)} AS created_in"
+            ),
+            "created_in",
         ),
         ["gateway", "created_in"],
-        "count(*) AS n_rows",
+        "sum(n_rows) AS n_rows",
         f"{total('sett_gross')} AS sett_gross",
         f"{total('hub_amount')} AS hub_amount",
     )
@@ -383,7 +474,7 @@ def gap_drilldown(base: DataFrame, status: str = "MISSING_LEDGER") -> DataFrame:
 
 def traced_waterfall(base: DataFrame) -> DataFrame:
     return group(
-        base.where("trace_status = 'FULLY_TRACED'"),
+        per_id(base.where("trace_status = 'FULLY_TRACED'")),
         "gateway",
         f"{total('sett_gross')} AS sett_gross",
         f"{total('sett_net')} AS sett_net",

@@ -650,6 +650,10 @@ def refund_to_original(gateway_refund: DataFrame, gateway_txn: DataFrame) -> Dat
 # --- mismatch reports ----------------------------------------------------------------
 
 
+# Fixed value: how ids of returned booking fees begin.
+BOOKING_REVERSAL = "BOOKING_PAYMENT"
+
+
 def mismatch_ledger_to_hub(booking: DataFrame, revenue: DataFrame, hub: DataFrame) -> DataFrame:
     """Status and amount mismatches of two ledgers and revenue rows unknown to the hub.
 
@@ -674,7 +678,8 @@ def mismatch_ledger_to_hub(booking: DataFrame, revenue: DataFrame, hub: DataFram
     amounts = "concat('ledger ', CAST(ledger_amount AS STRING), ' vs hub ', CAST(hub_amount AS STRING))"
     only = (
         f"CASE WHEN {is_partner_wallet('ledger_txn_id')} THEN 'partner wallet, outside the hub' "
-        "WHEN ledger_amount = 0 THEN 'nothing paid, failed or cancelled' "
+        "WHEN startswith(ledger_txn_id, 'gen_') AND ledger_amount = 0 THEN 'nothing paid, failed or cancelled' "
+        f"WHEN startswith(ledger_txn_id, '{BOOKING_REVERSAL}') THEN 'booking fee reversal' "
         "ELSE 'not found in the hub' END"
     )
     both_ok = "ledger_status = 'TXN_SUCCESS' AND hub_status = 'SUCCESS'"

@@ -12,6 +12,7 @@ from tallychain.config import TOP_BATCHES, Period
 from tallychain.functions.dates import in_period, month_label
 from tallychain.functions.money import safe_pct, total
 from tallychain.functions.status import hub_category
+from tallychain.operators.base import one_hub_row
 from tallychain.operators.frames import group, key_set, keys_of, top_k, with_totals
 from tallychain.operators.hub_gateway import KEY, hub_keys, hub_scope
 
@@ -46,8 +47,8 @@ def chain(
     period: Period | None = None,
     how: str = "left",
 ) -> DataFrame:
-    """Hub row, its gateway amount and its settlement sums: one row per hub row."""
-    hubs = hub_scope(hub, period).withColumnRenamed("settle_key", "gw_key")
+    """Hub row, its gateway amount and its settlement sums: one row per gateway key."""
+    hubs = one_hub_row(hub_scope(hub, period)).withColumnRenamed("settle_key", "gw_key")
     return (
         hubs.join(gateway_by_key(gateway_txn), KEY)
         .join(settled_by_key(settlement.where("is_forward")), KEY, how)
@@ -298,18 +299,48 @@ def refund_deduction(
     )
 
 
+def hub_refunds_done(
+    hub_refund: DataFrame, hub: DataFrame, period: Period | None = None
+) -> DataFrame:
+    """Successful refunds of orders created in ``period``, by the order's gateway."""
+    orders = hub if period is None else hub.where(in_period("created_date", period))
+    done = group(
+        hub_refund.where("refund_status = 'SUCCESS'"),
+        "order_id",
+        "count(*) AS n",
+        "sum(refund_amount) AS amount",
+    )
+    return group(
+        one_hub_row(orders).select("order_id", "gateway").join(done, "order_id"),
+        "gateway",
+        "sum(n) AS refund_txns",
+        f"{total('amount')} AS refund_amount",
+    )
+
+
 def bridge_summary(
-    hub: DataFrame, gateway_txn: DataFrame, settlement: DataFrame, period: Period | None = None
+    hub: DataFrame,
+    gateway_txn: DataFrame,
+    settlement: DataFrame,
+    hub_refund: DataFrame,
+    period: Period | None = None,
 ) -> DataFrame:
-    """The bridge for all gateways with totals and the net after deducted refunds."""
+    """The bridge with totals, the net after successful hub refunds, and what it all cost.
+
+    Refunds are those of all orders created in ``period``, whatever became of the
+    payment; ``total_cost`` is fees and refunds.
+    """
     measures = ["hub_txns", "hub_amount", "gateway_amount", "gross", "net", "fees"]
     rows = amount_bridge(hub, gateway_txn, settlement, period).select("gateway", *measures)
-    refunds = refund_deduction(settlement, hub, period).select("gateway", "refund_net")
-    joined = rows.join(refunds, "gateway", "left").selectExpr(
-        "gateway", *measures, "coalesce(refund_net, 0) AS refund_net"
+    refunds = hub_refunds_done(hub_refund, hub, period)
+    joined = rows.join(refunds, "gateway", "full").selectExpr(
+        "gateway", *[f"coalesce({m}, 0) AS {m}" for m in [*measures, "refund_txns", "refund_amount"]]
     )
-    return with_totals(joined, ["gateway"], *measures, "refund_net").selectExpr(
-        "*", "net - refund_net AS adjusted_net", safe_pct("fees", "gross") + " AS mdr_pct",
+    return with_totals(joined, ["gateway"], *measures, "refund_txns", "refund_amount").selectExpr(
+        "*",
+        "net - refund_amount AS adjusted_net",
+        "fees + refund_amount AS total_cost",
+        safe_pct("fees", "gross") + " AS mdr_pct",
         safe_pct("gross", "hub_amount") + " AS settled_pct",
     )
 

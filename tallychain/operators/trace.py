@@ -65,7 +65,7 @@ def trace_end_to_end(
 def latest_refund(hub_refund: DataFrame, status: str = "SUCCESS") -> DataFrame:
     """The last successful refund per order, ties to the largest refund id.
 
-    An aggregate, not a window: a hot order collapses before the shuffle.
+    A sort aggregate over a struct: a hot order collapses before the shuffle.
     """
     newest = """max(struct(refund_date, refund_unique_id, refund_amount, refund_type,
                            refund_status)) AS r"""
@@ -88,6 +88,9 @@ def one_per_order(ledger: DataFrame, table: str) -> DataFrame:
         "max(mode) AS mode",
         "max(mobile) AS mobile",
         "max(plan) AS plan",
+        "max(ledger_status) AS ledger_status",
+        "max(payment_status) AS payment_status",
+        "max(refund_status) AS refund_status",
     )
 
 
@@ -121,7 +124,9 @@ def refund_trace(
     """
     refunded = one_per_order(ledger, "ledger_refunded").selectExpr(
         "order_id", "true AS has_rf", "ledger_date AS rf_date", "ledger_amount AS rf_amount",
-        "mode AS rf_mode", "mobile AS rf_mobile",
+        "mode AS rf_mode", "mobile AS rf_mobile", "plan AS rf_plan",
+        "payment_status AS ledger_payment_status", "refund_status AS ledger_refund_status",
+        "ledger_status AS ledger_txn_status",
     )
     revenue = one_per_order(ledger, "ledger_revenue").selectExpr(
         "order_id", "true AS has_pr", "ledger_date AS pr_date", "ledger_amount AS pr_amount",
@@ -142,6 +147,8 @@ def refund_trace(
         "coalesce(rf_amount, pr_amount) AS ledger_amount",
         "coalesce(rf_mode, pr_mode) AS ledger_mode",
         "coalesce(rf_mobile, pr_mobile) AS ledger_mobile",
+        "ledger_payment_status", "ledger_refund_status", "ledger_txn_status",
+        "coalesce(rf_plan, pr_plan) AS ledger_payment_type",
         """CASE WHEN has_rf AND has_pr THEN 'BOTH' WHEN has_rf THEN 'REFUNDED_LEDGER'
                 WHEN has_pr THEN 'REVENUE_ONLY' ELSE 'NOT_FOUND' END AS ledger_presence""",
         "refund_status", "refund_amount", "refund_date", "refund_type", "refund_unique_id",
@@ -149,12 +156,15 @@ def refund_trace(
 
 
 def refund_trace_profile(trace: DataFrame) -> DataFrame:
-    """Counts and totals per dimension value, null refund status shown as NONE."""
+    """Counts and totals per dimension value, null statuses shown as NONE."""
     dimensions = {
         "gw_status": "gw_status",
         "ledger_presence": "ledger_presence",
         "refund_status": "coalesce(refund_status, 'NONE')",
         "order_pattern": "order_pattern",
+        "ledger_refund_status": "coalesce(ledger_refund_status, 'NONE')",
+        "ledger_payment_status": "coalesce(ledger_payment_status, 'NONE')",
+        "ledger_txn_status": "coalesce(ledger_txn_status, 'NONE')",
     }
     return profile(
         trace,

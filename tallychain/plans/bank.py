@@ -45,18 +45,22 @@ WITH s AS (SELECT gateway, COUNT(*) AS n_rows, MIN(settled_date) AS first_date,
            FROM settlement
            WHERE gateway = 'GW_A' OR (gateway = 'GW_C' AND NOT is_refund)
               OR (gateway IN ('GW_B', 'GW_D') AND is_forward) GROUP BY 1),
-d AS (SELECT gateway, SUM(deposit) AS dep FROM bank GROUP BY 1)
-SELECT s.gateway, n_rows, first_date, last_date, gross::DOUBLE AS gross, net::DOUBLE AS net,
+d AS (SELECT gateway, SUM(deposit) AS dep FROM bank GROUP BY 1
+      UNION ALL SELECT 'ALL', SUM(deposit) FROM bank),
+sa AS (SELECT * FROM s UNION ALL
+       SELECT 'ALL', SUM(n_rows)::BIGINT, MIN(first_date), MAX(last_date), SUM(gross), SUM(net), SUM(fees) FROM s)
+SELECT sa.gateway, n_rows, first_date, last_date, gross::DOUBLE AS gross, net::DOUBLE AS net,
        fees::DOUBLE AS fees, dep::DOUBLE AS bank_total, (dep - net)::DOUBLE AS gap,
-       (dep - net)::DOUBLE * 100 / dep::DOUBLE AS gap_pct
-FROM s JOIN d ON d.gateway = s.gateway""")
+       (dep - net)::DOUBLE * 100 / dep::DOUBLE AS gap_pct,
+       (dep - net)::DOUBLE * 100 / net::DOUBLE AS gap_pct_of_net
+FROM sa JOIN d ON d.gateway = sa.gateway""")
 def settlement_summary(c: Chain):
     return ops.settlement_summary(c.settlement, c.bank)
 
 
 _MONTHLY = """
 WITH sm AS (SELECT gateway AS g, date_trunc('month', settled_date)::DATE AS m, COUNT(*) AS txns,
-                   SUM(sett_net) AS net FROM settlement WHERE is_forward GROUP BY 1, 2),
+                   SUM(sett_net) AS net FROM settlement WHERE gateway = 'GW_A' OR is_forward GROUP BY 1, 2),
 bm AS (SELECT gateway AS g, date_trunc('month', bank_date)::DATE AS m, COUNT(*) AS deps,
               SUM(deposit) AS dep FROM bank GROUP BY 1, 2),
 mm AS (SELECT coalesce(sm.g, bm.g) AS gateway, coalesce(sm.m, bm.m) AS month,
@@ -65,11 +69,14 @@ mm AS (SELECT coalesce(sm.g, bm.g) AS gateway, coalesce(sm.m, bm.m) AS month,
        FROM sm FULL JOIN bm ON sm.g = bm.g AND sm.m = bm.m)"""
 
 
-@query("bank_monthly", _MONTHLY + """
+@query("bank_monthly", _MONTHLY + """,
+mt AS (SELECT gateway, month, txns, net, deps, dep, reconcilable FROM mm
+       UNION ALL SELECT gateway, NULL, SUM(txns)::BIGINT, SUM(net), SUM(deps)::BIGINT, SUM(dep), NULL
+       FROM mm GROUP BY 1)
 SELECT gateway, month, txns, net::DOUBLE AS sett_net, deps AS deposits, dep::DOUBLE AS bank_deposit,
        (dep - net)::DOUBLE AS gap,
        CASE WHEN dep = 0 THEN 0 ELSE (dep - net)::DOUBLE * 100 / dep::DOUBLE END AS gap_pct,
-       reconcilable FROM mm""")
+       reconcilable FROM mt""")
 def bank_monthly(c: Chain):
     return ops.bank_monthly(c.settlement, c.bank)
 
@@ -77,7 +84,7 @@ def bank_monthly(c: Chain):
 _DAILY = """
 WITH sd AS (SELECT gateway AS g, settled_date AS d, COUNT(*) AS txns, SUM(sett_gross) AS gross,
                    SUM(sett_net) AS net, SUM(sett_fee) AS fees
-            FROM settlement WHERE is_forward GROUP BY 1, 2),
+            FROM settlement WHERE gateway = 'GW_A' OR is_forward GROUP BY 1, 2),
 rd AS (SELECT gateway AS g, settled_date AS d, COUNT(*) AS rtx, SUM(settled_amount) AS rnet
        FROM gateway_refund GROUP BY 1, 2),
 bd AS (SELECT gateway AS g, bank_date AS d, bank_daily_deposit AS dep FROM bank_daily),
@@ -120,7 +127,8 @@ SELECT gateway, date_trunc('month', d)::DATE AS month, COUNT(*) AS n_rows, SUM(g
 FROM (SELECT gateway, settled_date AS d, amount AS g, settled_amount AS n
       FROM gateway_refund WHERE gateway = 'GW_A' UNION ALL
       SELECT gateway, settled_date, sett_gross, sett_net FROM settlement
-      WHERE is_refund AND gateway <> 'GW_A') GROUP BY 1, 2""")
+      WHERE is_refund AND gateway <> 'GW_A') x
+GROUP BY GROUPING SETS ((gateway, date_trunc('month', d)::DATE), (gateway))""")
 def refund_impact_monthly(c: Chain):
     return ops.refund_impact_monthly(c.settlement, c.gateway_refund)
 
@@ -141,7 +149,7 @@ def bank_scorecard(c: Chain):
 @query("bank_uncovered", """
 SELECT gateway, COUNT(DISTINCT date_trunc('month', bank_date)) AS months, COUNT(*) AS deposits,
        SUM(deposit)::DOUBLE AS bank_total
-FROM bank b WHERE NOT EXISTS (SELECT 1 FROM settlement s WHERE s.is_forward AND s.gateway = b.gateway
+FROM bank b WHERE NOT EXISTS (SELECT 1 FROM settlement s WHERE (s.is_forward OR s.gateway = 'GW_A') AND s.gateway = b.gateway
   AND date_trunc('month', s.settled_date) = date_trunc('month', b.bank_date)) GROUP BY 1""")
 def bank_uncovered(c: Chain):
     return ops.bank_uncovered(c.settlement, c.bank)

@@ -18,8 +18,7 @@ from tallychain.operators.trace import latest_refund
 from tallychain.plans.layer1 import PATTERN
 from tallychain.plans.registry import Chain, query
 from tallychain.session import shared_dir
-from tallychain.sources import files, relations, sinks, tables
-from tallychain.sources.sample_files import settlement_files
+from tallychain.sources import sinks, tables
 
 MONTH = Period.month("1996-01")
 NAMES = [
@@ -117,15 +116,40 @@ def dedupe_on_load(c: Chain):
     ).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
+_CSV_HUB = "order_id STRING, gateway STRING, amount DECIMAL(18,2), created_date DATE"
+
+
+def _csv_hub(c: Chain, root: str) -> None:
+    """The hub as two CSV files: columns shuffled in one, more of them in the other, two bad rows."""
+    rows = c.hub.selectExpr("order_id", "gateway", "CAST(amount AS STRING) AS amount", "created_date", "settle_key")
+    bad = c.hub.where("order_id IN ('gen_1', 'gen_10', 'gen_20', 'gen_30')").limit(1).selectExpr(
+        "order_id", "gateway", "'n/a' AS amount", "created_date", "settle_key"
+    )
+    early = "created_date < DATE'1995-01-01'"
+    one = rows.where(early).unionByName(bad).select("amount", "created_date", "order_id", "gateway")
+    two = rows.where(f"NOT ({early})").select("settle_key", "gateway", "order_id", "created_date", "amount")
+    sinks.csv_export(one, f"{root}/hub export/early")
+    sinks.csv_export(two.withColumnRenamed("amount", " AMOUNT"), f"{root}/hub export/late")
+
+
 @query("csv_load", """
 SELECT order_id, gateway, amount::DOUBLE AS amount, created_date FROM hub""")
 def csv_load(c: Chain):
-    """The hub exported as CSV and loaded as a Parquet table with a declared schema."""
+    """The hub loaded by column name from files of different layouts; a bad row stays out."""
     root = shared_dir(c.spark, "csv_load")
-    rows = c.hub.select("order_id", "gateway", "amount", "created_date")
-    sinks.csv_export(rows, f"{root}/hub export")
+    _csv_hub(c, root)
     name = tables.table_name_clean(f"{root}/hub export")
-    return tables.csv_load(c.spark, f"{root}/hub export", f"{root}/tables", name, rows.schema)
+    return tables.csv_load(c.spark, f"{root}/hub export/*", f"{root}/tables", name, _CSV_HUB).rows
+
+
+@query("csv_load_rejects", """
+SELECT 'hub' AS table_name, COUNT(*) AS loaded,
+       LEAST(COUNT(*) FILTER (order_id IN ('gen_1', 'gen_10', 'gen_20', 'gen_30')), 1) AS rejected FROM hub""")
+def csv_load_rejects(c: Chain):
+    root = shared_dir(c.spark, "csv_load_rejects")
+    _csv_hub(c, root)
+    landed = tables.csv_load(c.spark, f"{root}/hub export/*", f"{root}/tables", "hub", _CSV_HUB)
+    return tables.load_report({"hub": landed})
 
 
 @query("csv_load_all", """
@@ -138,10 +162,11 @@ def csv_load_all(c: Chain):
     frames = {"bank": c.bank, "hub_refund": c.hub_refund, "nation": c.table("nation")}
     for name, df in frames.items():
         sinks.csv_export(df, f"{root}/{name}")
-    loaded = tables.csv_load_all(
+    landed = tables.csv_load_all(
         c.spark, {n: f"{root}/{n}/*.csv" for n in frames}, f"{root}/tables"
     )
-    return inventory.table_inventory(loaded).select("table_name", "n_rows")
+    rows = {name: part.rows for name, part in landed.items()}
+    return inventory.table_inventory(rows).select("table_name", "n_rows")
 
 
 # --- expressions on the raw files --------------------------------------------------------
@@ -490,7 +515,7 @@ def join_full_outer_date(c: Chain):
 
 @query("gap_status", """
 WITH s AS (SELECT gateway AS g, date_trunc('month', settled_date) AS m, SUM(sett_net) AS net
-           FROM settlement WHERE is_forward GROUP BY 1, 2),
+           FROM settlement WHERE gateway = 'GW_A' OR is_forward GROUP BY 1, 2),
 b AS (SELECT gateway AS g, date_trunc('month', bank_date) AS m, SUM(deposit) AS dep FROM bank GROUP BY 1, 2),
 p AS (SELECT s.g, CASE WHEN dep = 0 THEN 0 ELSE (dep - net)::DOUBLE * 100 / dep::DOUBLE END AS pct
       FROM s JOIN b ON b.g = s.g AND b.m = s.m)
@@ -897,23 +922,3 @@ def hub_lookup(c: Chain):
     return c.hub.select(
         "gateway", "settle_key", "order_id", "hub_txn_id", "amount", "status", "created_date"
     )
-
-
-@query("settlement_from_files", """
-SELECT gateway, settlement_order_id, settled_date, sett_txn_type, payment_type, COUNT(*) AS n_rows,
-       SUM(sett_gross)::DOUBLE AS gross, SUM(sett_net)::DOUBLE AS net, SUM(sett_fee)::DOUBLE AS fee
-FROM settlement GROUP BY 1, 2, 3, 4, 5""")
-def settlement_from_files(c: Chain):
-    """The canonical settlements built from the four gateways' separate file layouts."""
-    src = settlement_files(c.settlement_feed)
-    feed = files.settlement_feed(
-        src["gw_a_settlement"], src["gw_b_settlement"], src["gw_c_settlement"], src["gw_d_txn"]
-    )
-    return group(
-        relations.settlement(feed),
-        ["gateway", "settlement_order_id", "settled_date", "sett_txn_type", "payment_type"],
-        "count(*) AS n_rows",
-        "sum(sett_gross) AS gross",
-        "sum(sett_net) AS net",
-        "sum(sett_fee) AS fee",
-    )

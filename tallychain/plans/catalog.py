@@ -9,3 +9,4 @@ from tallychain.plans import (  # noqa: F401
     layer3,
     reverse,
 )
+from tallychain.plans import from_files  # noqa: F401  isort: skip

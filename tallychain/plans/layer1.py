@@ -407,7 +407,10 @@ rep AS (
   FROM rv JOIN hh ON ledger_txn_id = hub_order_id WHERE hub_status = 'SUCCESS' AND ledger_amount <> hub_amount
   UNION ALL
   SELECT *, 'LEDGER_ONLY', CASE WHEN starts_with(ledger_txn_id, 'SRVC_') THEN 'partner wallet, outside the hub'
-           WHEN ledger_amount = 0 THEN 'nothing paid, failed or cancelled' ELSE 'not found in the hub' END, NULL
+           WHEN starts_with(ledger_txn_id, 'gen_') AND ledger_amount = 0
+             THEN 'nothing paid, failed or cancelled'
+           WHEN starts_with(ledger_txn_id, 'BOOKING_PAYMENT') THEN 'booking fee reversal'
+           ELSE 'not found in the hub' END, NULL
   FROM rv LEFT JOIN hh ON ledger_txn_id = hub_order_id WHERE hub_order_id IS NULL)"""
 
 

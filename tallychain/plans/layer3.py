@@ -157,19 +157,21 @@ def amount_bridge(c: Chain):
 
 
 @query("bridge_summary", _CHAIN + """,
-rd AS (SELECT s.gateway, SUM(s.sett_net) AS rnet FROM settlement s
-       WHERE s.is_refund AND EXISTS (SELECT 1 FROM hub h WHERE h.gateway = s.gateway
-         AND h.settle_key = s.settlement_order_id) GROUP BY 1),
+rd AS (SELECT h.gateway, COUNT(*) AS rn, SUM(r.refund_amount) AS ramt
+       FROM hub_refund r JOIN hub h ON h.order_id = r.order_id
+       WHERE r.refund_status = 'SUCCESS' GROUP BY 1),
 t AS (SELECT ch.gateway AS gw, COUNT(*) AS n, SUM(amount) AS ha, SUM(gw_amount) AS ga, SUM(gross) AS g,
              SUM(net) AS net, SUM(fee) AS f FROM ch WHERE sett_rows IS NOT NULL GROUP BY 1),
 u AS (SELECT coalesce(t.gw, 'ALL') AS gateway, SUM(n)::BIGINT AS n, SUM(ha) AS ha, SUM(ga) AS ga,
-             SUM(g) AS g, SUM(net) AS net, SUM(f) AS f, SUM(coalesce(rnet, 0)) AS rnet
+             SUM(g) AS g, SUM(net) AS net, SUM(f) AS f, SUM(coalesce(rn, 0))::BIGINT AS rn,
+             SUM(coalesce(ramt, 0)) AS ramt
       FROM t LEFT JOIN rd ON rd.gateway = t.gw GROUP BY ROLLUP (t.gw))
 SELECT gateway, n AS hub_txns, ha::DOUBLE AS hub_amount, ga::DOUBLE AS gateway_amount, g::DOUBLE AS gross,
-       net::DOUBLE AS net, f::DOUBLE AS fees, rnet::DOUBLE AS refund_net, (net - rnet)::DOUBLE AS adjusted_net,
+       net::DOUBLE AS net, f::DOUBLE AS fees, rn AS refund_txns, ramt::DOUBLE AS refund_amount,
+       (net - ramt)::DOUBLE AS adjusted_net, (f + ramt)::DOUBLE AS total_cost,
        f::DOUBLE * 100 / g::DOUBLE AS mdr_pct, g::DOUBLE * 100 / ha::DOUBLE AS settled_pct FROM u""")
 def bridge_summary(c: Chain):
-    return ops.bridge_summary(c.hub, c.gateway_txn, c.settlement)
+    return ops.bridge_summary(c.hub, c.gateway_txn, c.settlement, c.hub_refund)
 
 
 @query("period_universe", _BACK + """

@@ -122,38 +122,41 @@ RELATIONS: dict[str, str] = {
                CASE WHEN k % 9 <> 0 THEN CASE WHEN status = 'SUCCESS' THEN 'TXN_SUCCESS' ELSE 'PENDING' END
                END AS ledger_status, NULL::VARCHAR AS mode, NULL::VARCHAR AS plan,
                CAST(cust AS VARCHAR) AS account_id, 'm-' || cust AS mobile, order_id AS alt_key,
-               1 AS priority, k % 9 <> 0 AND status = 'SUCCESS' AS in_scope
+               1 AS priority, k % 9 <> 0 AND status = 'SUCCESS' AS in_scope,
+               NULL::VARCHAR AS payment_status, NULL::VARCHAR AS refund_status
         FROM booked WHERE k % 10 < 2 AND k % 3 = 0
         UNION ALL
         SELECT order_id, 'ledger_revenue', CASE WHEN k % 77 = 0 THEN 0 ELSE paid END, created_date,
                NULL, CASE WHEN k % 13 = 0 THEN 'cash' ELSE 'online' END, flow,
                CAST(cust AS VARCHAR), 'm-' || cust, order_id, 2,
-               k % 13 <> 0 AND k % 77 <> 0 AND paid > 0
+               k % 13 <> 0 AND k % 77 <> 0 AND paid > 0, NULL, NULL
         FROM booked WHERE k % 10 < 4
         UNION ALL
         SELECT order_id, 'ledger_net_income', paid, created_date, NULL,
                CASE WHEN k % 17 = 0 THEN 'cash' ELSE 'online' END, 'wallet', NULL, 'm-' || cust,
-               order_id, 3, k % 17 <> 0
+               order_id, 3, k % 17 <> 0, NULL, NULL
         FROM booked WHERE k % 10 = 4 OR (k % 10 = 2 AND k % 3 = 0)
         UNION ALL
         SELECT order_id, 'ledger_mobile', paid, created_date, NULL, NULL, NULL, NULL, NULL,
-               order_id, 4, true FROM booked WHERE k % 10 = 6
+               order_id, 4, true, NULL, NULL FROM booked WHERE k % 10 = 6
         UNION ALL
         SELECT order_id, 'ledger_deposit', paid, created_date, NULL, NULL, NULL,
                CAST(cust AS VARCHAR), 'm-' || cust,
-               CASE WHEN k % 3 = 0 THEN hub_txn_id ELSE order_id END, 5, true
+               CASE WHEN k % 3 = 0 THEN hub_txn_id ELSE order_id END, 5, true, NULL, NULL
         FROM booked WHERE k % 10 = 7
         UNION ALL
         SELECT order_id, 'ledger_ott', paid, created_date, NULL, NULL, NULL, NULL, NULL,
-               order_id, 6, true FROM booked WHERE k % 10 = 8
+               order_id, 6, true, NULL, NULL FROM booked WHERE k % 10 = 8
         UNION ALL
         SELECT order_id, 'ledger_topup', paid, created_date, NULL, NULL, NULL, NULL, NULL,
-               order_id, NULL, true FROM booked WHERE k % 10 = 5
+               order_id, NULL, true, NULL, NULL FROM booked WHERE k % 10 = 5
         UNION ALL
         SELECT order_id, 'ledger_refunded',
                CAST(amount + CASE WHEN k % 211 = 0 THEN 1 ELSE 0 END AS DECIMAL(18,2)),
-               CAST(created_date + 5 AS DATE), 'REFUNDED', 'online', NULL, NULL, NULL, order_id, NULL, true
-        FROM spine WHERE k % 100 = 0""",
+               CAST(created_date + 5 AS DATE), 'REFUNDED', 'online', 'type' || (k % 3), NULL, 'm-' || cust,
+               order_id, NULL, k % 300 <> 0, CASE WHEN k % 4 = 0 THEN 'PAID' ELSE 'REVERSED' END,
+               CASE WHEN k % 300 <> 0 THEN '1' ELSE '0' END
+        FROM spine WHERE k % 100 = 0 OR k % 110 = 2""",
     "bank": """
         SELECT gateway,
                CASE gateway WHEN 'GW_A' THEN '01 Wallet A' WHEN 'GW_B' THEN '05 Wallet B'
@@ -182,6 +185,13 @@ RELATIONS: dict[str, str] = {
                                            ORDER BY priority, ledger_amount NULLS LAST) AS rn
               FROM ledger WHERE priority IS NOT NULL AND order_id IS NOT NULL)
         WHERE rn = 1""",
+    # Orders whose money went back, and wallet top-ups: where a main ledger has nothing.
+    "paid_back": """
+        SELECT order_id, MIN(ledger_amount) AS amount FROM ledger
+        WHERE ledger_table = 'ledger_refunded' AND refund_status = '1' GROUP BY 1""",
+    "topped_up": """
+        SELECT order_id, MIN(ledger_amount) AS amount FROM ledger
+        WHERE ledger_table = 'ledger_topup' AND starts_with(order_id, 'walletTop_') GROUP BY 1""",
     "bank_daily": """
         SELECT gateway, bank_date, SUM(deposit) AS bank_daily_deposit, COUNT(*) AS deposits
         FROM bank GROUP BY 1, 2""",
@@ -192,7 +202,12 @@ RELATIONS: dict[str, str] = {
                h.order_id AS hub_order_id, h.hub_txn_id, h.amount AS hub_amount,
                h.status AS hub_status, h.gateway AS hub_gateway, h.created_date AS hub_created_date,
                CASE WHEN h.order_id IS NOT NULL THEN 'MATCHED' ELSE 'SETT_ONLY' END AS l2_match,
-               w.order_id AS ledger_txn_id, w.ledger_table, w.ledger_amount,
+               coalesce(w.order_id, p.order_id, t.order_id) AS ledger_txn_id,
+               CASE WHEN w.order_id IS NOT NULL THEN w.ledger_table
+                    WHEN p.order_id IS NOT NULL THEN 'ledger_refunded'
+                    WHEN t.order_id IS NOT NULL THEN 'ledger_topup' END AS ledger_table,
+               CASE WHEN w.order_id IS NOT NULL THEN w.ledger_amount
+                    WHEN p.order_id IS NOT NULL THEN p.amount ELSE t.amount END AS ledger_amount,
                CASE WHEN h.order_id IS NULL THEN 'NO_HUB'
                     WHEN w.order_id IS NOT NULL THEN 'MATCHED'
                     WHEN starts_with(h.order_id, 'SRVC_') THEN 'PARTNER_WALLET'
@@ -203,23 +218,39 @@ RELATIONS: dict[str, str] = {
                     WHEN h.order_id IS NULL THEN 'MISSING_HUB'
                     WHEN starts_with(h.order_id, 'SRVC_') THEN 'PARTNER_WALLET'
                     WHEN w.order_id IS NOT NULL THEN 'FULLY_TRACED'
-                    WHEN EXISTS (SELECT 1 FROM ledger x WHERE x.ledger_table = 'ledger_refunded'
-                                 AND x.order_id = h.order_id) THEN 'REFUNDED'
-                    WHEN EXISTS (SELECT 1 FROM ledger x WHERE x.ledger_table = 'ledger_topup'
-                                 AND x.order_id = h.order_id) THEN 'WALLET_TOPUP'
+                    WHEN p.order_id IS NOT NULL THEN 'REFUNDED'
+                    WHEN t.order_id IS NOT NULL THEN 'WALLET_TOPUP'
                     ELSE 'MISSING_LEDGER' END AS trace_status,
                CASE WHEN h.order_id IS NULL THEN 'MISSING_HUB'
                     WHEN starts_with(h.order_id, 'SRVC_') THEN 'PARTNER_WALLET'
                     WHEN w.order_id IS NOT NULL THEN 'FULLY_TRACED'
                     ELSE 'MISSING_LEDGER' END AS trace_status_basic,
                h.amount - s.sett_gross AS diff_hub_vs_sett,
-               w.ledger_amount - h.amount AS diff_ledger_vs_hub,
+               CASE WHEN w.order_id IS NOT NULL THEN w.ledger_amount
+                    WHEN p.order_id IS NOT NULL THEN p.amount ELSE t.amount END - h.amount AS diff_ledger_vs_hub,
                h.source_month
         FROM settlement s
         LEFT JOIN bank_daily b ON b.gateway = s.gateway AND b.bank_date = s.settled_date
         LEFT JOIN hub h ON h.gateway = s.gateway AND h.settle_key = s.settlement_order_id
         LEFT JOIN lookup w ON w.order_id = h.order_id
+        LEFT JOIN paid_back p ON p.order_id = h.order_id
+        LEFT JOIN topped_up t ON t.order_id = h.order_id
         WHERE s.is_forward""",
+    # Hub and ledger amounts stand on one row of each settlement id only.
+    "base_once": """
+        SELECT * REPLACE (CASE WHEN first_row THEN hub_amount END AS hub_amount,
+                          CASE WHEN first_row THEN ledger_amount END AS ledger_amount)
+        FROM (SELECT *, row_number() OVER (PARTITION BY gateway, settlement_order_id) = 1 AS first_row
+              FROM base)""",
+    "base_month": "SELECT * FROM base WHERE recon_month = '1996-01'",
+    "once_month": """
+        SELECT * REPLACE (CASE WHEN first_row THEN hub_amount END AS hub_amount,
+                          CASE WHEN first_row THEN ledger_amount END AS ledger_amount)
+        FROM (SELECT *, row_number() OVER (PARTITION BY gateway, settlement_order_id) = 1 AS first_row
+              FROM base_month)""",
+    "bank_month": "SELECT * FROM bank WHERE year(bank_date) = 1996 AND month(bank_date) = 1",
+    "bank_month_daily": """
+        SELECT gateway, bank_date, SUM(deposit) AS bank_daily_deposit FROM bank_month GROUP BY 1, 2""",
     # One row per gateway key: joins between the layers do not fan out.
     "gw_by_key": """
         SELECT gateway, gw_key, SUM(amount) AS gw_amount, COUNT(*) AS gw_rows

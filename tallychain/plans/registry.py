@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallychain.operators import base as base_ops
+from tallychain.config import Period
+from tallychain.functions.dates import in_period
+from tallychain.plans import sample
 from tallychain.plans.oracle import with_relations
-from tallychain.sources import relations, sample, warehouse
+from tallychain.sources import landed, relations, warehouse
 from tallychain.sources.tables import scan
 
 
@@ -23,8 +26,8 @@ class Chain:
         self.spark = spark
         self.root = root
 
-    def table(self, name: str, spread_on: str | None = None) -> DataFrame:
-        return scan(self.spark, f"{self.root}/{name}.parquet", spread_on)
+    def table(self, name: str) -> DataFrame:
+        return scan(self.spark, f"{self.root}/{name}.parquet")
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -32,7 +35,7 @@ class Chain:
 
     @cached_property
     def lineitem(self) -> DataFrame:
-        return self.table("lineitem", spread_on="l_orderkey")
+        return self.table("lineitem")
 
     @cached_property
     def spine(self) -> DataFrame:
@@ -48,7 +51,11 @@ class Chain:
 
     @cached_property
     def gateway_txn(self) -> DataFrame:
-        return relations.gateway_txn(sample.gateway_txn_feed(self.spine))
+        return relations.gateway_txn(self.gateway_txn_feed)
+
+    @cached_property
+    def gateway_txn_feed(self) -> DataFrame:
+        return sample.gateway_txn_feed(self.spine)
 
     @cached_property
     def settlement_feed(self) -> DataFrame:
@@ -60,7 +67,11 @@ class Chain:
 
     @cached_property
     def gateway_refund(self) -> DataFrame:
-        return relations.gateway_refund(sample.gateway_refund_feed(self.spine))
+        return relations.gateway_refund(self.gateway_refund_feed)
+
+    @cached_property
+    def gateway_refund_feed(self) -> DataFrame:
+        return sample.gateway_refund_feed(self.spine)
 
     @cached_property
     def ledger_sources(self) -> dict[str, DataFrame]:
@@ -82,6 +93,16 @@ class Chain:
     def base(self) -> DataFrame:
         return base_ops.recon_base(self.settlement, self.hub, self.ledger, self.bank)
 
+    def within(self, name: str, period: Period) -> DataFrame:
+        """The rows of a relation whose month-filing date lies in ``period``."""
+        return getattr(self, name).where(in_period(warehouse.DATE_OF[name], period))
+
+    def month(self, period: Period) -> base_ops.Run:
+        """The monthly run: base table and deposits of one period."""
+        return base_ops.run(
+            self.within("settlement", period), self.hub, self.ledger, self.bank, period
+        )
+
 
 class StoredChain(Chain):
     """The same relations read from a warehouse written by ``store_chain``."""
@@ -90,6 +111,18 @@ class StoredChain(Chain):
         super().__init__(spark, root)
         for name in warehouse.MONTH_OF:
             self.__dict__[name] = warehouse.load(spark, stored, name)
+        self.stored = stored
+
+    def within(self, name: str, period: Period) -> DataFrame:
+        return warehouse.load(self.spark, self.stored, name, period)
+
+
+class FileChain(Chain):
+    """The same relations built from landed source files (``sources.landed``)."""
+
+    def __init__(self, spark: SparkSession, root: str, tables: dict[str, DataFrame]):
+        super().__init__(spark, root)
+        self.__dict__.update(landed.relations_of(tables))
 
 
 def store_chain(chain: Chain, path: str, by_month: bool = True) -> None:
@@ -113,6 +146,7 @@ def store_chain(chain: Chain, path: str, by_month: bool = True) -> None:
 Plan = Callable[[Chain], DataFrame]
 _PLANS: dict[str, Plan] = {}
 _SQL: dict[str, str] = {}
+_BODY: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
@@ -123,12 +157,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
             raise ValueError(f"duplicate query {name}")
         _PLANS[name] = plan
         if sql is not None:
+            _BODY[name] = sql
             _SQL[name] = with_relations(sql)
         return plan
 
     return register
 
 
+def body(name: str) -> str:
+    """The SQL a query was registered with, without the relations in front."""
+    return _BODY[name]
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles: the one money type both sides of a check render alike."""
     money = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from tallychain.config import Period
 from tallychain.operators import base as ops
 from tallychain.operators import trace
 from tallychain.operators.frames import group
-from tallychain.plans.registry import Chain, query
+from tallychain.plans.registry import Chain, body, query
 from tallychain.session import shared_dir
 from tallychain.sources import sinks
 
@@ -76,7 +79,7 @@ def diff_columns(c: Chain):
 
 
 @query("recon_row_counts", """
-SELECT coalesce(gateway, 'ALL') AS gateway, COUNT(*) AS n_rows FROM base GROUP BY ROLLUP (base.gateway)""")
+SELECT coalesce(gateway, 'ALL') AS gateway, COUNT(*) AS n_rows FROM base b GROUP BY ROLLUP (b.gateway)""")
 def recon_row_counts(c: Chain):
     return ops.recon_row_counts(c.base)
 
@@ -87,7 +90,7 @@ SELECT coalesce(b.gateway, 'ALL') AS gateway, coalesce(b.trace_status, 'ALL') AS
        coalesce(SUM(sett_net), 0)::DOUBLE AS sett_net,
        coalesce(SUM(hub_amount), 0)::DOUBLE AS hub_amount,
        coalesce(SUM(ledger_amount), 0)::DOUBLE AS ledger_amount
-FROM base b GROUP BY ROLLUP (b.gateway, b.trace_status)""")
+FROM base_once b GROUP BY ROLLUP (b.gateway, b.trace_status)""")
 def recon_summary(c: Chain):
     return ops.recon_summary(c.base)
 
@@ -97,7 +100,7 @@ WITH w AS (
   SELECT b.gateway, SUM(sett_gross) AS gross, SUM(sett_net) AS net,
          coalesce(SUM(hub_amount) FILTER (l2_match = 'MATCHED'), 0) AS hub_amt,
          coalesce(SUM(ledger_amount) FILTER (l1_match = 'MATCHED'), 0) AS led
-  FROM base b GROUP BY 1),
+  FROM base_once b GROUP BY 1),
 d AS (SELECT gateway, SUM(deposit) AS dep FROM bank GROUP BY 1),
 steps AS (
   SELECT w.gateway, unnest(['bank', 'gross', 'net', 'hub', 'ledger', 'bank_minus_gross',
@@ -134,8 +137,7 @@ def gap_a_bank(c: Chain):
 @query("gap_b_settlement_only", """
 SELECT gateway, order_id_prefix, COUNT(*) AS n_rows, SUM(sett_gross)::DOUBLE AS gross,
        SUM(sett_net)::DOUBLE AS net
-FROM base WHERE l2_match = 'SETT_ONLY' GROUP BY 1, 2
-ORDER BY SUM(sett_gross) DESC, 1, 2 LIMIT 50""")
+FROM base WHERE l2_match = 'SETT_ONLY' GROUP BY 1, 2""")
 def gap_b_settlement_only(c: Chain):
     return ops.gap_b_settlement_only(c.base)
 
@@ -143,26 +145,43 @@ def gap_b_settlement_only(c: Chain):
 @query("gap_c_hub_only", """
 SELECT gateway, order_id_prefix, COUNT(*) AS n_rows, SUM(hub_amount)::DOUBLE AS hub_amount,
        SUM(sett_gross)::DOUBLE AS sett_gross
-FROM base WHERE l1_match = 'HUB_ONLY' GROUP BY 1, 2
-ORDER BY SUM(base.hub_amount) DESC, 1, 2 LIMIT 50""")
+FROM base_once WHERE l1_match = 'HUB_ONLY' GROUP BY 1, 2""")
 def gap_c_hub_only(c: Chain):
     return ops.gap_c_hub_only(c.base)
 
 
+@query("gap_b_settlement_only_top", """
+SELECT gateway, order_id_prefix, COUNT(*) AS n_rows, SUM(sett_gross)::DOUBLE AS gross,
+       SUM(sett_net)::DOUBLE AS net
+FROM base WHERE l2_match = 'SETT_ONLY' GROUP BY 1, 2
+ORDER BY SUM(sett_gross) DESC, 1, 2 LIMIT 10""")
+def gap_b_settlement_only_top(c: Chain):
+    return ops.gap_b_settlement_only(c.base, 10)
+
+
+@query("gap_c_hub_only_top", """
+SELECT gateway, order_id_prefix, COUNT(*) AS n_rows, SUM(hub_amount)::DOUBLE AS hub_amount,
+       SUM(sett_gross)::DOUBLE AS sett_gross
+FROM base_once b WHERE l1_match = 'HUB_ONLY' GROUP BY 1, 2
+ORDER BY SUM(b.hub_amount) DESC, 1, 2 LIMIT 5""")
+def gap_c_hub_only_top(c: Chain):
+    return ops.gap_c_hub_only(c.base, 5)
+
+
 @query("gap_c_resolved", """
 SELECT gateway, trace_status, COUNT(*) AS n_rows, SUM(hub_amount)::DOUBLE AS hub_amount
-FROM base WHERE l1_match = 'HUB_ONLY' GROUP BY 1, 2""")
+FROM base_once WHERE l1_match = 'HUB_ONLY' GROUP BY 1, 2""")
 def gap_c_resolved(c: Chain):
     return ops.gap_c_resolved(c.base)
 
 
 @query("gap_d_amount", """
 SELECT coalesce(b.gateway, 'ALL') AS gateway, COUNT(*) AS matched_rows,
-       COUNT(*) FILTER (abs(hub_amount - ledger_amount) < 0.5) AS exact_rows,
-       COUNT(*) FILTER (abs(hub_amount - ledger_amount) >= 0.5) AS diff_rows,
+       COUNT(*) FILTER (abs(diff_ledger_vs_hub) < 0.5) AS exact_rows,
+       COUNT(*) FILTER (abs(diff_ledger_vs_hub) >= 0.5) AS diff_rows,
        SUM(hub_amount)::DOUBLE AS hub_total, SUM(ledger_amount)::DOUBLE AS ledger_total,
        SUM(hub_amount - ledger_amount)::DOUBLE AS diff_total
-FROM base b WHERE l1_match = 'MATCHED' GROUP BY ROLLUP (b.gateway)""")
+FROM base_once b WHERE l1_match = 'MATCHED' GROUP BY ROLLUP (b.gateway)""")
 def gap_d_amount(c: Chain):
     return ops.gap_d_amount(c.base)
 
@@ -173,7 +192,7 @@ WITH b AS (SELECT gateway AS gw, sett_gross AS g, hub_amount AS h,
             WHEN hub_created_date < DATE '1995-12-01' THEN 'EARLIER'
             WHEN hub_created_date < DATE '1996-01-01' THEN 'PREVIOUS_MONTH'
             WHEN hub_created_date < DATE '1996-02-01' THEN 'THIS_MONTH' ELSE 'LATER' END AS ci
-  FROM base)
+  FROM base_once)
 SELECT coalesce(gw, 'ALL') AS gateway, coalesce(ci, 'ALL') AS created_in, COUNT(*) AS n_rows,
        SUM(g)::DOUBLE AS sett_gross, coalesce(SUM(h), 0)::DOUBLE AS hub_amount
 FROM b GROUP BY ROLLUP (gw, ci)""")
@@ -230,7 +249,7 @@ def gap_drilldown(c: Chain):
 SELECT gateway, SUM(sett_gross)::DOUBLE AS sett_gross, SUM(sett_net)::DOUBLE AS sett_net,
        SUM(sett_fee)::DOUBLE AS fees, SUM(hub_amount)::DOUBLE AS hub_total,
        SUM(ledger_amount)::DOUBLE AS ledger_total
-FROM base WHERE trace_status = 'FULLY_TRACED' GROUP BY 1""")
+FROM base_once WHERE trace_status = 'FULLY_TRACED' GROUP BY 1""")
 def traced_waterfall(c: Chain):
     return ops.traced_waterfall(c.base)
 
@@ -267,32 +286,46 @@ def trace_end_to_end(c: Chain):
     )
 
 
+# From the rule, one fact at a time: which payments differ, what either ledger says about
+# the order, and the last refund. ``facts`` stacks the ledgers and folds them per order.
 _REFUND_TRACE = """
-WITH mm AS (
-  SELECT h.*, g.amount AS gw_amount, g.status AS gw_status, g.txn_date, g.mode AS gw_mode, g.bank_name
-  FROM hub h JOIN gateway_txn g ON g.gateway = h.gateway AND g.gw_key = h.settle_key
-  WHERE h.status = 'SUCCESS' AND h.amount <> g.amount),
-jr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id
-         ORDER BY refund_date DESC NULLS LAST, refund_unique_id DESC) AS rn
-         FROM hub_refund WHERE refund_status = 'SUCCESS') WHERE rn = 1),
+WITH paid AS (
+  SELECT order_id, gateway, hub_txn_id, settle_key, amount, created_date, customer_id, payment_flow
+  FROM hub WHERE status = 'SUCCESS'),
+ledger_row AS (
+  SELECT order_id, ledger_table = 'ledger_refunded' AS back, ledger_date AS on_date, ledger_amount AS amt,
+         mode AS how, mobile AS phone, plan AS kind, payment_status AS pay_st, refund_status AS ref_st,
+         ledger_status AS txn_st
+  FROM ledger WHERE ledger_table IN ('ledger_refunded', 'ledger_revenue')),
+facts AS (
+  SELECT order_id, bool_or(back) AS in_back, bool_or(NOT back) AS in_revenue,
+         max_by(on_date, back) AS on_date, max_by(amt, back) AS amt, max_by(how, back) AS how,
+         max_by(phone, back) AS phone, max_by(kind, back) AS kind,
+         max(pay_st) AS pay_st, max(ref_st) AS ref_st, max(txn_st) FILTER (back) AS txn_st
+  FROM ledger_row GROUP BY 1),
+refund_order AS (
+  SELECT order_id, unnest(list(struct_pack(d := refund_date, id := refund_unique_id, amt := refund_amount,
+             kind := refund_type, st := refund_status)
+         ORDER BY refund_date DESC NULLS LAST, refund_unique_id DESC)[1:1]) AS last
+  FROM hub_refund WHERE refund_status = 'SUCCESS' GROUP BY 1),
 rt AS (
-SELECT mm.order_id,
-  CASE WHEN starts_with(mm.order_id, 'SRVC_') THEN 'other' ELSE split_part(mm.order_id, '_', 1) || '_*' END
-    AS order_pattern, mm.gateway, mm.hub_txn_id, mm.amount::DOUBLE AS hub_amount, mm.created_date,
-  mm.customer_id, mm.payment_flow, mm.gw_amount::DOUBLE AS gw_amount,
-  (mm.amount - mm.gw_amount)::DOUBLE AS amount_diff, mm.gw_status, mm.txn_date, mm.gw_mode, mm.bank_name,
-  coalesce(rf.ledger_table, pr.ledger_table) AS ledger_table,
-  coalesce(rf.ledger_date, pr.ledger_date) AS ledger_date,
-  coalesce(rf.ledger_amount, pr.ledger_amount)::DOUBLE AS ledger_amount,
-  coalesce(rf.mode, pr.mode) AS ledger_mode, coalesce(rf.mobile, pr.mobile) AS ledger_mobile,
-  CASE WHEN rf.order_id IS NOT NULL AND pr.order_id IS NOT NULL THEN 'BOTH'
-       WHEN rf.order_id IS NOT NULL THEN 'REFUNDED_LEDGER'
-       WHEN pr.order_id IS NOT NULL THEN 'REVENUE_ONLY' ELSE 'NOT_FOUND' END AS ledger_presence,
-  jr.refund_status, jr.refund_amount::DOUBLE AS refund_amount, jr.refund_date, jr.refund_type,
-  jr.refund_unique_id
-FROM mm LEFT JOIN (SELECT * FROM ledger WHERE ledger_table = 'ledger_refunded') rf ON rf.order_id = mm.order_id
-LEFT JOIN (SELECT * FROM ledger WHERE ledger_table = 'ledger_revenue') pr ON pr.order_id = mm.order_id
-LEFT JOIN jr ON jr.order_id = mm.order_id)"""
+SELECT p.order_id,
+  CASE WHEN starts_with(p.order_id, 'SRVC_') THEN 'other' ELSE split_part(p.order_id, '_', 1) || '_*' END
+    AS order_pattern,
+  p.gateway, p.hub_txn_id, p.amount::DOUBLE AS hub_amount, p.created_date, p.customer_id, p.payment_flow,
+  g.amount::DOUBLE AS gw_amount, (p.amount - g.amount)::DOUBLE AS amount_diff, g.status AS gw_status,
+  g.txn_date, g.mode AS gw_mode, g.bank_name,
+  CASE WHEN in_back THEN 'ledger_refunded' WHEN in_revenue THEN 'ledger_revenue' END AS ledger_table,
+  f.on_date AS ledger_date, f.amt::DOUBLE AS ledger_amount, f.how AS ledger_mode, f.phone AS ledger_mobile,
+  f.pay_st AS ledger_payment_status, f.ref_st AS ledger_refund_status, f.txn_st AS ledger_txn_status,
+  f.kind AS ledger_payment_type,
+  CASE (coalesce(in_back, false)::INT * 2 + coalesce(in_revenue, false)::INT)
+    WHEN 3 THEN 'BOTH' WHEN 2 THEN 'REFUNDED_LEDGER' WHEN 1 THEN 'REVENUE_ONLY' ELSE 'NOT_FOUND' END
+    AS ledger_presence,
+  r.last.st AS refund_status, r.last.amt::DOUBLE AS refund_amount, r.last.d AS refund_date,
+  r.last.kind AS refund_type, r.last.id AS refund_unique_id
+FROM paid p JOIN gateway_txn g ON g.gateway = p.gateway AND g.gw_key = p.settle_key AND g.amount <> p.amount
+LEFT JOIN facts f USING (order_id) LEFT JOIN refund_order r USING (order_id))"""
 
 
 @query("refund_trace", _REFUND_TRACE + "\nSELECT * FROM rt")
@@ -305,7 +338,10 @@ long AS (
   SELECT 'gw_status' AS dimension, gw_status AS value, * FROM rt UNION ALL
   SELECT 'ledger_presence', ledger_presence, * FROM rt UNION ALL
   SELECT 'refund_status', coalesce(refund_status, 'NONE'), * FROM rt UNION ALL
-  SELECT 'order_pattern', order_pattern, * FROM rt)
+  SELECT 'order_pattern', order_pattern, * FROM rt UNION ALL
+  SELECT 'ledger_refund_status', coalesce(ledger_refund_status, 'NONE'), * FROM rt UNION ALL
+  SELECT 'ledger_payment_status', coalesce(ledger_payment_status, 'NONE'), * FROM rt UNION ALL
+  SELECT 'ledger_txn_status', coalesce(ledger_txn_status, 'NONE'), * FROM rt)
 SELECT dimension, value, COUNT(*) AS n_rows,
        SUM(hub_amount::DECIMAL(18,2))::DOUBLE AS hub_amount,
        SUM(gw_amount::DECIMAL(18,2))::DOUBLE AS gw_amount,
@@ -357,3 +393,36 @@ def _exported(c: Chain, df, *order: str):
     path = shared_dir(c.spark, "gap_export")
     sinks.csv_export(df, path, *order)
     return c.spark.read.schema(df.schema).option("header", True).csv(path)
+
+
+# --- the monthly run -----------------------------------------------------------------
+#
+# The SQL scopes base rows and deposits each by its own date; Spark takes both from one Run.
+
+_MONTH_OF = {
+    "base_once": "once_month", "base": "base_month", "bank_daily": "bank_month_daily", "bank": "bank_month",
+}
+
+
+def _in_month(sql: str) -> str:
+    """A report's SQL over the relations of the month."""
+    return re.sub(
+        r"\b(FROM|JOIN) (base_once|base|bank_daily|bank)\b", lambda m: f"{m[1]} {_MONTH_OF[m[2]]}", sql
+    )
+
+
+def _monthly(name: str, report: Callable) -> None:
+    def plan(c: Chain):
+        return report(c.month(MONTH))
+
+    query(f"{name}_month", _in_month(body(name)))(plan)
+
+
+_monthly("recon_row_counts", lambda r: ops.recon_row_counts(r.base))
+_monthly("recon_summary", lambda r: ops.recon_summary(r.base))
+_monthly("recon_scorecard", lambda r: ops.recon_scorecard(r.base))
+_monthly("recon_waterfall", lambda r: ops.recon_waterfall(r.base, r.bank))
+_monthly("gap_a_bank", lambda r: ops.gap_a_bank(r.base, r.bank))
+_monthly("gap_b_settlement_only", lambda r: ops.gap_b_settlement_only(r.base))
+_monthly("gap_c_hub_only", lambda r: ops.gap_c_hub_only(r.base))
+_monthly("gap_d_amount", lambda r: ops.gap_d_amount(r.base))

@@ -243,12 +243,17 @@ def ledger_sources(spine: DataFrame) -> dict[str, DataFrame]:
             "paid AS amount",
             "CASE WHEN k % 4 = 1 THEN day_name ELSE concat(day, ' 10:00:00') END AS datetime",
         ),
-        "ledger_refunded": s.where("k % 100 = 0").selectExpr(
+        # Some of these orders are in a main ledger too, and some are not refunded yet.
+        "ledger_refunded": s.where("k % 100 = 0 OR k % 110 = 2").selectExpr(
             "order_id AS transaction_id",
             "paid AS pay_amount",
+            "CAST(k % 300 <> 0 AS BIGINT) AS refund_status",
             "CAST(date_add(created_date, 5) AS STRING) AS dt",
             "'online' AS payment_mode",
+            "if(k % 4 = 0, 'PAID', 'REVERSED') AS payment_status",
+            "concat('type', k % 3) AS payment_type",
             "'REFUNDED' AS txn_status",
+            "mobile",
         ),
     }
 

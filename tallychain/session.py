@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,11 +33,12 @@ def local_session(cpus: int | str = 8, app: str = "tallychain", **conf: str) ->
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Only a session that runs in one process, as in tests, may do without that
+    setting; it then sets a temporary folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="tallychain-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -1,6 +1,7 @@
 """Schemas of the source files and their mapping onto the common feeds.
 
-Every file is read with its declared schema. The four gateways deliver the same
+Every file is read with its declared schema, bound by header name; delivered
+files hold many more columns. The four gateways deliver the same
 facts under different columns; each mapping here only renames, and all cleaning
 happens once, in ``relations``.
 """
@@ -17,11 +18,11 @@ SCHEMAS = {
         payment_status STRING, payment_gateway STRING, order_date_created STRING,
         customer_id STRING, payment_flow STRING""",
     "hub_refund": """order_id STRING, refund_txn_id STRING, refund_unique_id STRING,
-        refund_amount BIGINT, refund_status STRING, refund_type STRING, refund_date STRING,
+        refund_amount DECIMAL(18,2), refund_status STRING, refund_type STRING, refund_date STRING,
         payment_gateway STRING""",
     "gw_a_txn": """Order_ID STRING, Transaction_ID STRING, Amount DOUBLE, Status STRING,
         Transaction_Date STRING""",
-    "gw_b_txn": """`Merchant Order Id` STRING, `Transaction Amount` BIGINT,
+    "gw_b_txn": """`Merchant Order Id` STRING, `Transaction Amount` DECIMAL(18,2),
         `Transaction Status` STRING, `Transaction Date` TIMESTAMP_NTZ""",
     "gw_c_txn": """txnid STRING, amount DOUBLE, status STRING, mode STRING, addedon STRING,
         bank_name STRING, discount DOUBLE, additional_charges DOUBLE, `amount(inr)` DOUBLE,
@@ -45,16 +46,16 @@ SCHEMAS = {
         `Total Refund Amount` DOUBLE, `Transaction Date` TIMESTAMP_NTZ""",
     "bank_deposit": """Transaction TIMESTAMP_NTZ, `Payment Gateway` STRING,
         `Deposit Amt(INR)` DOUBLE, `Transaction Remarks` STRING, Month STRING""",
-    "ledger_booking": """booking_txn_id STRING, booking_fee BIGINT, created_on STRING,
+    "ledger_booking": """booking_txn_id STRING, booking_fee DECIMAL(18,2), created_on STRING,
         resultstatus STRING, payment_flag STRING, payment_gateway_name STRING, account_id BIGINT,
         mobile STRING""",
-    "ledger_revenue": """transaction_id STRING, totalpaid BIGINT, mode STRING, recharge_dt STRING,
+    "ledger_revenue": """transaction_id STRING, totalpaid DECIMAL(18,2), mode STRING, recharge_dt STRING,
         plan_type STRING, account_id BIGINT, mobile STRING""",
-    "ledger_net_income": """txn_id STRING, amount BIGINT, txn_dt STRING, mode STRING,
+    "ledger_net_income": """txn_id STRING, amount DECIMAL(18,2), txn_dt STRING, mode STRING,
         rev_mode STRING, partner STRING, mobile STRING""",
     "ledger_topup": "transaction_id STRING, amount DOUBLE, datetime STRING",
     "ledger_mobile": "transaction_id STRING, pay_amount DOUBLE, createdate TIMESTAMP_NTZ",
-    "ledger_refunded": """transaction_id STRING, pay_amount BIGINT, refund_status BIGINT, dt DATE,
+    "ledger_refunded": """transaction_id STRING, pay_amount DECIMAL(18,2), refund_status BIGINT, dt DATE,
         payment_mode STRING, payment_status STRING, payment_type STRING, txn_status STRING,
         mobile STRING""",
     "ledger_deposit": """sd_txn_id STRING, transaction_id STRING, payment_gateway_txn_id STRING,
@@ -62,6 +63,9 @@ SCHEMAS = {
     "ledger_ott": "transaction_id STRING, pay_amount DOUBLE, createdate TIMESTAMP_NTZ",
 }
 
+# Spellings of delivered headers that differ from the declared names.
+ALIASES = {"pay_ammount": "pay_amount"}
+
 _TEXT = "CAST(NULL AS STRING)"
 
 

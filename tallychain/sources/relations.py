@@ -152,6 +152,8 @@ def ledger_one(spec: Ledger, raw: DataFrame) -> DataFrame:
         f"{text(spec.account)} AS account_id",
         f"{text(spec.mobile)} AS mobile",
         f"{text(spec.alt_key or spec.key)} AS alt_key",
+        f"{text(spec.payment_status)} AS payment_status",
+        f"{text(spec.refund_status)} AS refund_status",
         f"CAST({rank} AS INT) AS priority",
         f"coalesce({spec.scope}, false) AS in_scope",
     )

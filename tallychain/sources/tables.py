@@ -3,24 +3,23 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from dataclasses import dataclass
 from pathlib import PurePosixPath
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallychain.functions.dates import month_label
-from tallychain.operators.frames import pick_first
+from tallychain.operators.frames import pick_first, union_all
 
+MALFORMED = "_malformed"
 
-def scan(spark: SparkSession, path: str, spread_on: str | None = None) -> DataFrame:
-    """Parquet table. ``spread_on`` hashes a file of fewer splits than cores over all of them.
 
-    A table of many files already has more splits than cores and is left alone.
-    """
-    df = spark.read.parquet(path)
-    if spread_on and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        df = df.repartition(spread_on)
-    return df
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def table_name_clean(path: str) -> str:
@@ -28,14 +27,107 @@ def table_name_clean(path: str) -> str:
     return re.sub(r"[^A-Za-z0-9]", "_", PurePosixPath(path).stem)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema every column stays text.
+@dataclass(frozen=True)
+class Landed:
+    """The rows of CSV files, and those that could not be read as declared."""
+
+    rows: DataFrame
+    #: the declared columns as text, ``source_file`` and ``bad_columns``
+    rejects: DataFrame
+
+
+def _layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by header: files of one table need not agree on columns or their order."""
+    found = defaultdict(list)
+    for uri in sorted(spark.read.text(path).inputFiles()):
+        file = unquote(uri)
+        found[tuple(spark.read.option("header", True).csv(file).columns)].append(file)
+    return {header: names for header, names in found.items() if header}
+
+
+def _as_text(spark: SparkSession, header: tuple[str, ...], names: list[str]) -> DataFrame:
+    """All cells as text. Rows with more or fewer cells than the header carry ``MALFORMED``."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, MALFORMED)])
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("columnPruning", False)
+        .csv(names)
+        .withColumn("source_file", F.col("_metadata.file_name"))
+    )
+
+
+def _named(name: str) -> str:
+    return name.strip().lstrip("\ufeff").strip().lower()
+
+
+def _bind(
+    df: DataFrame, header: tuple[str, ...], fields: list[T.StructField], aliases: dict[str, str]
+) -> DataFrame:
+    """Declared columns by header name, whatever their place; a missing one is an error."""
+    own = {aliases.get(_named(c), _named(c)): c for c in header}
+    missing = [f.name for f in fields if _named(f.name) not in own]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {list(header)}")
+    cells = [F.col(f"`{own[_named(f.name)]}`").alias(f.name) for f in fields]
+    return df.select(*cells, MALFORMED, "source_file")
+
 
-    Types are never guessed: a guessed type costs a second pass over the file
-    and is how ids lose leading zeros and quoted dates turn into text.
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    aliases: dict[str, str] | None = None,
+) -> Landed:
+    """CSV with a header; a schema is bound by column name, not by position.
+
+    Names match without regard to case; ``aliases`` maps other spellings (lower
+    case) to declared names. Columns that are not declared are left out. A row goes
+    to ``rejects`` as a whole if a cell can't be read as its declared type or the
+    row has more or fewer cells than the header, so no amount turns into null
+    unseen. Without a schema every column stays text: types are never guessed.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    return (reader.schema(schema) if schema else reader).csv(path)
+    layouts = _layouts(spark, path)
+    if schema is None:
+        fields = [T.StructField(c, T.StringType()) for header in layouts for c in header]
+        fields = list({f.name: f for f in fields}.values())
+    else:
+        struct = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        fields = struct.fields
+    if not layouts:
+        layouts = {tuple(f.name for f in fields): []}
+    text = union_all(
+        [
+            _bind(_as_text(spark, header, names), header, fields, aliases or {})
+            if names
+            else spark.createDataFrame(
+                [], T.StructType([*[T.StructField(f.name, T.StringType()) for f in fields],
+                                  T.StructField(MALFORMED, T.StringType()),
+                                  T.StructField("source_file", T.StringType())])
+            )
+            for header, names in layouts.items()
+        ]
+    )
+    cells = {f.name: F.col(f"`{f.name}`") for f in fields}
+    typed = {
+        f.name: cells[f.name]
+        if isinstance(f.dataType, T.StringType)
+        else F.nullif(F.btrim(cells[f.name]), F.lit("")).try_cast(f.dataType)
+        for f in fields
+    }
+    bad = F.array_compact(
+        F.array(
+            F.when(F.col(MALFORMED).isNotNull(), F.lit("*")),
+            *[
+                F.when((F.btrim(cells[f.name]) != "") & typed[f.name].isNull(), F.lit(f.name))
+                for f in fields
+            ],
+        )
+    )
+    rows = text.where(F.size(bad) == 0).select(*[typed[f.name].alias(f.name) for f in fields])
+    rejects = text.where(F.size(bad) > 0).select(*cells.values(), "source_file", bad.alias("bad_columns"))
+    return Landed(rows, rejects)
 
 
 def csv_load(
@@ -44,25 +136,47 @@ def csv_load(
     out_root: str,
     table: str | None = None,
     schema: T.StructType | str | None = None,
-) -> DataFrame:
-    """Replace table ``table`` below ``out_root`` with the rows of the CSV file(s) at ``path``."""
-    name = table or table_name_clean(path)
-    target = f"{out_root.rstrip('/')}/{name}"
-    read_csv(spark, path, schema).write.mode("overwrite").parquet(target)
-    return scan(spark, target)
+    aliases: dict[str, str] | None = None,
+) -> Landed:
+    """Replace table ``table`` below ``out_root`` with the rows of the CSV file(s) at ``path``.
+
+    Rejected rows go to ``<table>__rejects`` beside it.
+    """
+    target = f"{out_root.rstrip('/')}/{table or table_name_clean(path)}"
+    landed = read_csv(spark, path, schema, aliases)
+    landed.rows.write.mode("overwrite").parquet(target)
+    landed.rejects.write.mode("overwrite").parquet(f"{target}__rejects")
+    return Landed(scan(spark, target), scan(spark, f"{target}__rejects"))
 
 
 def csv_load_all(
-    spark: SparkSession, patterns: dict[str, str], out_root: str, schemas: dict[str, str] | None = None
-) -> dict[str, DataFrame]:
+    spark: SparkSession,
+    patterns: dict[str, str],
+    out_root: str,
+    schemas: dict[str, str] | None = None,
+    aliases: dict[str, str] | None = None,
+) -> dict[str, Landed]:
     """One load per table; each pattern may match any number of files."""
     known = schemas or {}
     return {
-        table: csv_load(spark, pattern, out_root, table, known.get(table))
+        table: csv_load(spark, pattern, out_root, table, known.get(table), aliases)
         for table, pattern in patterns.items()
     }
 
 
+def load_report(landed: dict[str, Landed]) -> DataFrame:
+    """Loaded and rejected rows of each table."""
+    return union_all(
+        [
+            part.rows.agg(F.count("*").alias("loaded"))
+            .withColumn("table_name", F.lit(name))
+            .withColumn("rejected", part.rejects.agg(F.count("*")).scalar())
+            .select("table_name", "loaded", "rejected")
+            for name, part in landed.items()
+        ]
+    )
+
+
 def add_source_month(df: DataFrame, date_col: str, file_name: bool = True) -> DataFrame:
     """Month label, and the name of the file the row came from."""
     extra = ["_metadata.file_name AS source_file"] if file_name else []

@@ -8,10 +8,13 @@ that task the job.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallychain.functions.dates import month_label
+from tallychain.config import Period
+from tallychain.functions.dates import in_period, month_label
 
 # relation -> expression of the month it is filed under; None is a small table
 MONTH_OF = {
@@ -23,6 +26,8 @@ MONTH_OF = {
     "ledger": "ledger_date",
     "bank": None,
 }
+#: the date a period of each relation means
+DATE_OF = {name: date or "bank_date" for name, date in MONTH_OF.items()}
 
 
 def store(df: DataFrame, path: str, month_of: str | None = None) -> None:
@@ -43,6 +48,24 @@ def store(df: DataFrame, path: str, month_of: str | None = None) -> None:
     )
 
 
-def load(spark: SparkSession, root: str, name: str) -> DataFrame:
+def load(
+    spark: SparkSession, root: str, name: str, period: Period | None = None
+) -> DataFrame:
+    """The relation, or its rows of ``period`` by the date it is filed under.
+
+    The period is also asked of the partition, so that other months are not opened.
+    """
     df = spark.read.parquet(f"{root}/{name}")
-    return df.drop("file_month") if "file_month" in df.columns else df
+    filed = "file_month" in df.columns
+    if period is not None:
+        df = df.where(in_period(DATE_OF[name], period))
+        if filed:
+            last = period.end - timedelta(days=1)
+            # The partition value may have been read as text or as a date.
+            months = (str(period.start)[:7], str(last)[:7])
+            low, high = (
+                (f"'{a}'" if dict(df.dtypes)["file_month"] == "string" else f"DATE'{a}-01'")
+                for a in months
+            )
+            df = df.where(f"file_month >= {low} AND file_month <= {high}")
+    return df.drop("file_month") if filed else df

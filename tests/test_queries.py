@@ -23,7 +23,8 @@ RELATIONS = {
     "gateway_refund": "gateway, refund_key, original_key, amount::DOUBLE AS amount, "
     "settled_amount::DOUBLE AS settled_amount, settled_date, txn_date",
     "ledger": "order_id, ledger_table, ledger_amount::DOUBLE AS ledger_amount, ledger_date, "
-    "ledger_status, mode, plan, account_id, mobile, alt_key, priority, in_scope",
+    "ledger_status, mode, plan, account_id, mobile, alt_key, priority, in_scope, payment_status, "
+    "refund_status",
     "bank": "gateway, bank_label, bank_date, deposit::DOUBLE AS deposit, remarks, month_text",
 }
 
