@@ -158,13 +158,13 @@ def fee_rows(
 def describe_fee(settlement: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, range and quartiles of the fee per gateway.
 
-    Equal fees are counted first: the exact percentile then holds one entry per
-    cent value and not one per row.
+    Equal fees are counted first. Quartiles are exact and no task holds all values
+    of a gateway: counts of fee ranges tell which range holds a quartile, and only
+    that range is ordered.
     """
     values = group(
         settlement.where("is_forward"), ["gateway", "sett_fee"], "count(*) AS n"
-    ).selectExpr("*", "CAST(sett_fee AS DOUBLE) AS fee")
-    q = "percentile(fee, array(0.25, 0.5, 0.75), n)"
+    ).selectExpr("*", "CAST(sett_fee AS DOUBLE) AS fee", f"floor(sett_fee / {FEE_RANGE}) AS fee_range")
     sums = group(
         values,
         "gateway",
@@ -173,22 +173,59 @@ def describe_fee(settlement: DataFrame) -> DataFrame:
         "CAST(sum(CAST(sett_fee AS DECIMAL(12,2)) * CAST(sett_fee AS DECIMAL(12,2)) * n) AS DOUBLE) AS s2",
         "min(fee) AS min_fee",
         "max(fee) AS max_fee",
-        f"{q} AS q",
     )
-    return sums.selectExpr(
+    return sums.join(_quartiles(values), "gateway", "left").selectExpr(
         "gateway",
         "n_rows",
         "round(s1 / n_rows, 4) AS mean_fee",
         "round(sqrt(try_divide(s2 - s1 * s1 / n_rows, n_rows - 1)), 4) AS std_fee",
         "min_fee",
         # Halfway between cents at most: four digits are exact.
-        "round(q[0], 4) AS p25",
-        "round(q[1], 4) AS p50",
-        "round(q[2], 4) AS p75",
+        "round(p25, 4) AS p25",
+        "round(p50, 4) AS p50",
+        "round(p75, 4) AS p75",
         "max_fee",
     )
 
 
+#: Width of the ranges that fees are counted in: at most this many times 100 cents.
+FEE_RANGE = 10
+
+
+def _quartiles(values: DataFrame) -> DataFrame:
+    """p25, p50, p75 per gateway of ``values`` (gateway, fee, fee_range, n), interpolated."""
+    ranges = group(values.where("fee IS NOT NULL"), ["gateway", "fee_range"], "sum(n) AS m").selectExpr(
+        "gateway",
+        "fee_range",
+        "m",
+        "sum(m) OVER (PARTITION BY gateway ORDER BY fee_range) - m AS before",
+        "sum(m) OVER (PARTITION BY gateway) AS total",
+    )
+    # The two places around each quartile, counted from 0, and the range each lies in.
+    places = ranges.selectExpr(
+        "*", "explode(array(0.25D, 0.5D, 0.75D)) AS q"
+    ).selectExpr("*", "q * (total - 1) AS place").selectExpr(
+        "*", "explode(array_distinct(array(floor(place), ceil(place)))) AS at"
+    ).where("at >= before AND at < before + m")
+    inside = values.join(places.select("gateway", "fee_range").distinct(), ["gateway", "fee_range"], "left_semi")
+    ordered = inside.selectExpr(
+        "gateway",
+        "fee_range",
+        "fee",
+        "n",
+        "sum(n) OVER (PARTITION BY gateway, fee_range ORDER BY fee) - n AS below",
+    )
+    found = places.join(ordered, ["gateway", "fee_range"]).where(
+        "at - before >= below AND at - before < below + n"
+    )
+    share = "fee * (1 - abs(place - at))"
+    return group(
+        found,
+        "gateway",
+        *[f"sum(CASE WHEN q = {q}D THEN {share} END) AS p{q[2:].ljust(2, '0')}" for q in ("0.25", "0.5", "0.75")],
+    )
+
+
 def fee_trace_to_ledger(
     settlement: DataFrame, hub: DataFrame, ledger: DataFrame, period: Period | None = None
 ) -> DataFrame:
@@ -212,9 +249,17 @@ def fee_trace_to_ledger(
 
 
 def fee_by_dimension(trace: DataFrame) -> DataFrame:
-    """Fees by family, ledger, method, ledger mode and plan; unknown shown as NONE."""
+    """Fees by family, ledger, method, ledger mode and plan; unknown shown as NONE.
+
+    Rows are first counted by all five together, so only the few combinations are
+    expanded into one row per dimension.
+    """
+    columns = ["order_pattern", "ledger_table", "method", "ledger_mode", "ledger_plan"]
+    combined = group(
+        trace, columns, "count(*) AS n", "sum(sett_gross) AS gross", "sum(sett_fee) AS fee"
+    )
     return profile(
-        trace,
+        combined,
         {
             "pattern": "order_pattern",
             "ledger_table": "coalesce(ledger_table, 'NONE')",
@@ -222,7 +267,7 @@ def fee_by_dimension(trace: DataFrame) -> DataFrame:
             "ledger_mode": "coalesce(ledger_mode, 'NONE')",
             "plan": "coalesce(ledger_plan, 'NONE')",
         },
-        "count(*) AS n_rows",
-        f"{total('sett_gross')} AS gross",
-        f"{total('sett_fee')} AS fees",
+        "sum(n) AS n_rows",
+        f"{total('gross')} AS gross",
+        f"{total('fee')} AS fees",
     )

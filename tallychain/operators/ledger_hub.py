@@ -489,25 +489,27 @@ Links = dict[str, tuple[str, str, str]]
 def _member_counts(sides: list[Keys], links: Links) -> tuple[DataFrame, dict[tuple[str, str], str]]:
     """One row per id with the number of rows each member has under it.
 
-    Every frame is read once per domain, however many links it takes part in.
-    There is no join, and an id that fills a member is counted map-side.
+    Every frame is read once, however many ids of it and links take part. There is
+    no join, and an id that fills a member is counted map-side.
     """
     members = sorted({(d, m) for d, left, right in links.values() for m in (left, right)})
     column = {dm: f"c{i}" for i, dm in enumerate(members)}
-    stacked = union_all(
-        [
-            x.rows.where(f"({x.key}) IS NOT NULL").selectExpr(
-                f"'{x.domain}' AS domain", f"CAST({x.key} AS STRING) AS id", f"{x.member} AS member"
-            )
-            for x in sides
-        ]
-    )
+    by_frame: dict[int, list[Keys]] = {}
+    for x in sides:
+        by_frame.setdefault(id(x.rows), []).append(x)
+    stacked = union_all([_stacked(own) for own in by_frame.values()]).where("id IS NOT NULL")
     counts = [
         f"count_if(domain = '{d}' AND member = '{m}') AS {col}" for (d, m), col in column.items()
     ]
     return group(stacked, ["domain", "id"], *counts), column
 
 
+def _stacked(own: list[Keys]) -> DataFrame:
+    """All (domain, id, member) of one frame's rows."""
+    ids = ", ".join(f"'{x.domain}', CAST({x.key} AS STRING), {x.member}" for x in own)
+    return own[0].rows.selectExpr(f"stack({len(own)}, {ids}) AS (domain, id, member)")
+
+
 def _per_link(ids: DataFrame, measures: dict[str, dict[str, str]]) -> DataFrame:
     """``measures[link][name]`` as one row per link: all links in one aggregate."""
     names = list(next(iter(measures.values())))
