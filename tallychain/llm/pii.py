@@ -8,11 +8,14 @@ every document:
             permuted and the check digit is made anew
     iban    valid modulo 97; the account part is permuted, letters to letters and
             digits to digits, and the check digits are made anew
+    ssn     three, two and four digits with dashes that could be issued, permuted among
+            those
     phone   (area) exchange-line numbers, permuted among valid area and exchange
             codes, and numbers with a country code, of which two digits stay
     ip      four numbers up to 255, permuted as 32 bits
     date    year-month-day, day.month.year and day/month/year that exist, permuted
-            within the 400-year cycle they lie in
+            within the 400-year cycle they lie in; month/day/year with a day from 13 to
+            28 is permuted among those, with a later day only its year is
     email   the part before @, letters to letters and digits to digits
 
 What fails its validation stays. A Feistel network is a permutation whatever its
@@ -24,16 +27,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "iban", "date", "ip", "phone", "card")
+KINDS = ("email", "iban", "date", "ip", "ssn", "phone", "card")
 ROUNDS = 8
 #: For queries; a deployment passes its own secret.
 DEMO_KEY = "replace this key"
 
 _PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*",
+    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+){0,126}",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "date": r"(?<![0-9.\-/])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9]|[.\-/][0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
+    "ssn": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:(?:\+?[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}|\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,5}){2,5})(?![0-9A-Za-z]|[ \-][0-9])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
@@ -205,6 +209,25 @@ def _phone(value: Column, key: str, inverse: bool) -> Column:
     return F.when(new.isNotNull(), _laid_out(value, new, "[0-9]"))
 
 
+def _ssn(value: Column, key: str, inverse: bool) -> Column:
+    area, middle, last = (_number(F.get(F.split(value, "-"), F.lit(i))) for i in range(3))
+    valid = (area >= 1) & (area <= 899) & (area != 666) & (middle >= 1) & (last >= 1)
+    # 898 areas (666 is none), 99 middle and 9999 last numbers.
+    code = ((area - 1 - F.when(area > 666, 1).otherwise(0)) * 99 + middle - 1) * 9999 + last - 1
+    new = feistel(code, F.expr("898L"), F.expr("989901L"), key, F.lit("ssn"), inverse)
+    rest = F.floor(new / 9999)
+    place = F.floor(rest / 99) + 1
+    return F.when(
+        valid,
+        F.concat_ws(
+            "-",
+            F.lpad((place + F.when(place > 665, 1).otherwise(0)).cast("string"), 3, "0"),
+            F.lpad((rest % 99 + 1).cast("string"), 2, "0"),
+            F.lpad((new % 9999 + 1).cast("string"), 4, "0"),
+        ),
+    )
+
+
 def _ip(value: Column, key: str, inverse: bool) -> Column:
     octets = F.transform(F.split(value, r"\."), _number)
     valid = F.forall(octets, lambda x: x <= 255)
@@ -236,7 +259,31 @@ def _date(value: Column, key: str, inverse: bool) -> Column:
     back = F.concat(
         F.substring(moved, 9, 2), mark, F.substring(moved, 6, 2), mark, F.substring(moved, 1, 4)
     )
-    return F.when(found.isNotNull() & (F.year(found) > 0), F.when(iso, moved).otherwise(back))
+    return F.when(found.isNotNull() & (F.year(found) > 0), F.when(iso, moved).otherwise(back)).when(
+        mark == "/", _month_first(fields, key, inverse)
+    )
+
+
+def _month_first(fields: Column, key: str, inverse: bool) -> Column:
+    """month/day/year whose day can't be a month; stays in that class, so that it can be undone."""
+    month, day, year = (_number(F.get(fields, F.lit(i))) for i in range(3))
+    exists = F.concat_ws(
+        "-", F.get(fields, F.lit(2)), F.lpad(F.get(fields, F.lit(0)), 2, "0"), F.lpad(F.get(fields, F.lit(1)), 2, "0")
+    ).try_cast("date").isNotNull() & (year > 0) & (day > 12)
+    # 12 months of the days 13 to 28, and 9999 = 99 * 101 years.
+    code = ((month - 1) * 16 + day - 13) * 9999 + year - 1
+    new = feistel(code, F.expr("192L"), F.expr("9999L"), key, F.lit("month first"), inverse)
+    slot = F.floor(new / 9999)
+    late = feistel(year - 1, F.expr("99L"), F.expr("101L"), key, F.lit("late day"), inverse)
+
+    def written(m: Column, d: Column, y: Column) -> Column:
+        return F.concat_ws(
+            "/", F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0"), F.lpad(y.cast("string"), 4, "0")
+        )
+
+    return F.when(exists & (day <= 28), written(F.floor(slot / 16) + 1, slot % 16 + 13, new % 9999 + 1)).when(
+        exists & ~((month == 2) & (day == 29)), written(month, day, late + 1)
+    )
 
 
 def _email(value: Column, key: str, inverse: bool) -> Column:
@@ -244,7 +291,9 @@ def _email(value: Column, key: str, inverse: bool) -> Column:
     return F.concat(feistel_text(name, key, F.lit("email"), inverse), F.lit("@"), F.substring_index(value, "@", -1))
 
 
-_WORK = {"email": _email, "iban": _iban, "date": _date, "ip": _ip, "phone": _phone, "card": _card}
+_WORK = {
+    "email": _email, "iban": _iban, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card,
+}
 
 
 def kind_of(value: Column) -> Column:
@@ -264,11 +313,12 @@ def pseudonym(value: Column, kind: Column, key: str, inverse: bool = False) -> C
 
 
 def pseudonymise(docs: DataFrame, key: str = DEMO_KEY, inverse: bool = False) -> DataFrame:
-    """(doc_id, text, n_email, n_iban, n_date, n_ip, n_phone, n_card) for every row.
+    """(doc_id, text, n_email, n_iban, n_date, n_ip, n_ssn, n_phone, n_card) for every row.
 
     text has every validated value replaced; the counts say how many of each kind.
     With ``inverse`` and the same key, pseudonyms become the values again; dates of
-    one or two digit fields come back with leading zeros. A null text stays null
+    one or two digit fields come back with leading zeros, and February 29 written month
+    first stays. A null text stays null
     with counts 0. Repeated rows get a row each; an empty table gives an empty
     result; other columns are ignored.
     """

@@ -20,14 +20,18 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 ROUNDS = 25
 SETTLED = 1e-6
-#: Where EM starts, and how sure a rule may become.
-PRIOR, ACCURACY, LOWEST, HIGHEST = 0.8, 0.8, 0.55, 0.98
+#: Where EM starts: share of good documents, accuracy of a rule on good and on bad ones.
+PRIOR, ON_GOOD, ON_BAD, WEIGHT = 0.9, 0.98, 0.5, 8
+#: What the estimates may become.
+PRIOR_BOUNDS, GOOD_BOUNDS, BAD_BOUNDS = (0.5, 0.99), (0.95, 0.999), (0.2, 0.98)
 
 #: (name, measure, good if, bad if); thresholds as in common web-text filters.
 RULES = (
     ("length", "n_words", "n_words >= 100", "n_words < 50"),
     ("word_length", "word_chars / n_words", "word_chars between 3 * n_words and 10 * n_words", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
     ("symbols", "n_symbols / n_words", "100 * n_symbols <= 2 * n_words", "100 * n_symbols > 10 * n_words"),
+    ("symbol_words", "n_symbol_words / n_words", "100 * n_symbol_words <= 5 * n_words", "100 * n_symbol_words > 25 * n_words"),
+    ("letters", "n_letters / word_chars", "100 * n_letters >= 85 * word_chars", "100 * n_letters < 75 * word_chars"),
     ("lines", "n_dup_lines / n_lines", "10 * n_dup_lines <= n_lines and n_lines > 1", "10 * n_dup_lines > 3 * n_lines"),
     ("repetition", "n_repeat_words / n_words", "100 * n_repeat_words <= 20 * n_words", "100 * n_repeat_words > 50 * n_words"),
     ("capitals", "n_upper / word_chars", "100 * n_upper <= 15 * word_chars", "100 * n_upper > 40 * word_chars"),
@@ -67,7 +71,8 @@ def _covered(places: Column) -> Column:
 
 
 def base_features(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_upper, n_digits)."""
+    """(doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_symbol_words,
+    n_letters, n_upper, n_digits)."""
     text = F.coalesce("text", F.lit(""))
 
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -77,6 +82,10 @@ def base_features(docs: DataFrame) -> DataFrame:
         lines.alias("lines"),
         F.char_length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D#*$%&|<>]*[#*$%&|<>][^\x20\x09-\x0D]*"))
+        .cast("long")
+        .alias("n_symbol_words"),
+        F.char_length(F.regexp_replace(text, r"[^\p{L}\p{M}]+", "")).cast("long").alias("n_letters"),
         F.regexp_count(text, F.lit("[A-Z]")).cast("long").alias("n_upper"),
         F.regexp_count(text, F.lit("[0-9]")).cast("long").alias("n_digits"),
     )
@@ -99,6 +108,8 @@ def base_features(docs: DataFrame) -> DataFrame:
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         n_repeat.alias("n_repeat_words"),
+        "n_symbol_words",
+        "n_letters",
         "n_upper",
         "n_digits",
     )
@@ -116,44 +127,66 @@ def votes(features: DataFrame, rules=RULES) -> DataFrame:
     )
 
 
-def posterior(names: list[str], prior: float, accuracy: dict[str, float]) -> Column:
+def posterior(prior: float, accuracy: dict[str, tuple[float, float]]) -> Column:
     """Probability of good given the votes; an abstention says nothing."""
     log_odds = F.lit(math.log(prior / (1 - prior)))
-    for name in names:
-        log_odds = log_odds + F.col(name) * F.lit(math.log(accuracy[name] / (1 - accuracy[name])))
+    for name, (good, bad) in accuracy.items():
+        log_odds = log_odds + (
+            F.when(F.col(name) == 1, math.log(good / (1 - bad)))
+            .when(F.col(name) == -1, math.log((1 - good) / bad))
+            .otherwise(0.0)
+        )
     return 1 / (1 + F.exp(-log_odds))
 
 
-def estimate(voted: DataFrame, rules=RULES) -> tuple[float, dict[str, float]]:
-    """(share of good documents, accuracy of each rule) by EM over vote patterns.
+def estimate(voted: DataFrame, rules=RULES) -> tuple[float, dict[str, tuple[float, float]]]:
+    """(share of good documents, accuracies of each rule on good and on bad ones) by EM.
 
-    A rule is right if it votes as the document is. Accuracies stay between
-    ``LOWEST`` and ``HIGHEST``, so that good and bad never change places.
+    A rule has two accuracies, as one that is nearly always right about good
+    documents may miss most bad ones: its few bad votes then weigh much and its many
+    good votes little. Each round sums over vote patterns; counts of ``WEIGHT``
+    documents at the starting accuracies keep a rule that hardly votes where it
+    started. Accuracies stay within bounds whose sums exceed 1, so that a good vote
+    never speaks for bad and the classes can't change places.
     """
     names = [f"vote_{r[0]}" for r in rules]
     patterns = stored(voted.groupBy(*names).agg(F.count("*").alias("n")), "quality-patterns").coalesce(1)
-    prior, accuracy = PRIOR, dict.fromkeys(names, ACCURACY)
+    prior, accuracy = PRIOR, dict.fromkeys(names, (ON_GOOD, ON_BAD))
+    p, n = F.col("p"), F.col("n")
     for _ in range(ROUNDS):
-        p = F.col("p")
-        right = [F.sum(F.when(F.col(c) == 1, p).when(F.col(c) == -1, 1 - p).otherwise(0.0) * F.col("n")) for c in names]
-        cast = [F.sum(F.abs(F.col(c)) * F.col("n")) for c in names]
-        row = patterns.withColumn("p", posterior(names, prior, accuracy)).agg(
-            F.sum("n"), F.sum(p * F.col("n")), *right, *cast
-        ).first()
+        sums = [F.sum(n), F.sum(p * n)]
+        for c in names:
+            voted_good, voted_bad = F.col(c) == 1, F.col(c) == -1
+            sums += [
+                F.sum(F.when(voted_good, p * n).otherwise(0.0)),
+                F.sum(F.when(voted_good | voted_bad, p * n).otherwise(0.0)),
+                F.sum(F.when(voted_bad, (1 - p) * n).otherwise(0.0)),
+                F.sum(F.when(voted_good | voted_bad, (1 - p) * n).otherwise(0.0)),
+            ]
+        row = patterns.withColumn("p", posterior(prior, accuracy)).agg(*sums).first()
         if not row[0]:
             break
-        found = {
-            c: min(HIGHEST, max(LOWEST, (row[2 + i] + 8 * ACCURACY) / (row[2 + len(names) + i] + 8)))
-            for i, c in enumerate(names)
-        }
-        share = min(0.99, max(0.01, row[1] / row[0]))
-        moved = max(abs(share - prior), *(abs(found[c] - accuracy[c]) for c in names))
+        found = {}
+        for i, c in enumerate(names):
+            right_good, good, right_bad, bad = row[2 + 4 * i : 6 + 4 * i]
+            found[c] = (
+                _bounded((right_good + WEIGHT * ON_GOOD) / (good + WEIGHT), GOOD_BOUNDS),
+                _bounded((right_bad + WEIGHT * ON_BAD) / (bad + WEIGHT), BAD_BOUNDS),
+            )
+        share = _bounded(row[1] / row[0], PRIOR_BOUNDS)
+        moved = max(
+            abs(share - prior), *(abs(x - y) for c in names for x, y in zip(found[c], accuracy[c]))
+        )
         prior, accuracy = share, found
         if moved < SETTLED:
             break
     return prior, accuracy
 
 
+def _bounded(value: float, bounds: tuple[float, float]) -> float:
+    return min(bounds[1], max(bounds[0], value))
+
+
 def judge_quality(docs: DataFrame, rules=RULES, keep_from: float = 0.5) -> DataFrame:
     """Base measures, votes, quality (posterior) and kept for every row of ``docs``.
 
@@ -165,7 +198,7 @@ def judge_quality(docs: DataFrame, rules=RULES, keep_from: float = 0.5) -> DataF
     """
     voted = stored(votes(base_features(docs), rules), "quality-votes")
     prior, accuracy = estimate(voted, rules)
-    quality = posterior([f"vote_{r[0]}" for r in rules], prior, accuracy)
+    quality = posterior(prior, accuracy)
     failed = F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words")
     return voted.withColumn("base_failed", failed).withColumn("quality", quality).withColumn(
         "kept", ~F.col("base_failed") & (F.col("quality") >= keep_from)
