@@ -135,9 +135,9 @@ def mix(
 
 def _plan(slim, sources, blocks, total, target_entropy, max_repeats, budget, seed) -> DataFrame:
     """A row for each source, pass and block that is used: mix_s, mix_e, mix_b, where it starts, how much of it."""
-    schema = "mix_s string, mix_b long, mix_e long, mix_start long, mix_tokens long, mix_quota long, mix_until long"
     if sources.isEmpty():
-        return slim.sparkSession.createDataFrame([], schema)
+        zeros = [F.lit(0).cast("long").alias(f"mix_{c}") for c in ("b", "e", "start", "tokens", "quota", "until")]
+        return slim.select(F.col("stratum").alias("mix_s"), *zeros)
     power = exponent(sources, target_entropy, max_repeats)
     weighed = sources.withColumn("weight", F.pow(F.col("tokens") / F.lit(total), F.lit(power)))
     z, spend = weighed.agg(

@@ -43,7 +43,12 @@ def path(url: Column) -> Column:
 
 
 def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "host string, path string, verdict string")
+    """The rules as a table of literals."""
+    rows = [
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(("host", "path", "verdict"), rule)])
+        for rule in rules
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _digest(host_part: Column, path_part: Column) -> Column:
@@ -52,12 +57,12 @@ def _digest(host_part: Column, path_part: Column) -> Column:
     return F.sha2(F.concat(host_part, F.lit("\n"), path_part), 256)
 
 
-def suffixes(name: Column) -> Column:
-    """The host and all that follows each of its dots."""
+def suffixes(name: Column, counts: list[int]) -> Column:
+    """The last ``n`` labels of the host for each ``n`` of ``counts`` that it has."""
     labels = F.split(name, r"\.", -1)
     return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."),
+        F.filter(F.array(*[F.lit(n) for n in counts]).cast("array<int>"), lambda n: n <= F.size(labels)),
+        lambda n: F.array_join(F.slice(labels, -n, n), "."),
     )
 
 
@@ -74,9 +79,10 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame
     own = rules.filter("host is not null and path is not null and verdict is not null").select(
         lower_ascii(F.col("host")).alias("rule_host"), F.col("path").alias("rule_path"), F.col("verdict")
     )
-    # Path prefixes are only taken at lengths that some rule has: distinct integers,
-    # no more of them than the longest rule path has characters.
+    # Prefixes and suffixes are only taken at lengths that some rule has: distinct
+    # integers, no more of them than the longest rule has characters or labels.
     lengths = [r[0] for r in own.select(F.length("rule_path")).distinct().collect()]
+    labels = [r[0] for r in own.select(F.size(F.split("rule_host", r"\.", -1))).distinct().collect()]
     listed = own.select(
         _digest(F.col("rule_host"), F.col("rule_path")).alias("digest"),
         F.concat("rule_host", "rule_path").alias("rule"),
@@ -85,7 +91,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame
     ).withColumn("short", F.substring("digest", 1, SHORT))
     urls = pages.select("url").filter("url is not null").distinct()
     hosts = urls.select(
-        "url", path(F.col("url")).alias("path"), F.explode(suffixes(host(F.col("url")))).alias("suffix")
+        "url", path(F.col("url")).alias("path"), F.explode(suffixes(host(F.col("url")), labels)).alias("suffix")
     )
     prefixes = F.filter(
         F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("path")
