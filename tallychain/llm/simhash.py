@@ -342,16 +342,21 @@ def drop_near_duplicates(
     """
     name = fresh(docs, "print")
     own = stored(fingerprints(docs, words), "simhash-prints")
-    prints = stored(own.groupBy("print").agg(F.count("*").alias("n")), "simhash-distinct")
+    prints = stored(own.select("print").distinct(), "simhash-distinct")
     members = stored(_classes(prints, max_bits, block).select("print", "root"), "simhash-classes")
-    # The leader of a component is its least (doc_id, print), null ids last.
-    leads = stored(
-        own.join(members, "print")
-        .groupBy("root", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "print")
+    # The leader of a component is its least (doc_id, print), null ids last. Copies are
+    # reduced to their least id before anything is joined.
+    least = (
+        own.groupBy("print", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"))
         .agg(F.count("*").alias("rows"))
+        .groupBy("print")
+        .agg(F.min(F.struct("id", "rows")).alias("low"))
+    )
+    leads = stored(
+        least.join(members, "print")
         .groupBy("root")
-        .agg(F.min(F.struct("id", "print", "rows")).alias("lead"))
-        .select("lead.*"),
+        .agg(F.min(F.struct("low.id", "print", "low.rows")).alias("lead"))
+        .select("lead.id", "lead.print", "lead.rows"),
         "simhash-leads",
     )
     leads = leads.select(
