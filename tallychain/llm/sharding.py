@@ -18,7 +18,7 @@ from tallychain.llm.tables import LAST_ID, stored
 SHARDS = 8
 SEED = 20240229
 #: Rows a range is meant to hold.
-RANGE_ROWS = 4096
+RANGE_ROWS = 1024
 #: Ranges at most, so that their prefix sums stay small.
 MAX_RANGES = 1 << 18
 
