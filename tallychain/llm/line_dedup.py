@@ -28,7 +28,7 @@ from tallychain.llm.tables import LAST_ID, map_rows, stored
 
 MIN_CHARS = 10
 #: Keys one shard is meant for.
-SHARD_KEYS = 1 << 16
+SHARD_KEYS = 1 << 13
 SLOTS = 4
 WHITE = " \t\n\v\f\r"
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
