@@ -21,17 +21,19 @@ from tallychain.functions.text import order_prefix
 from tallychain.operators.frames import group, pick_first, top_k, with_totals
 
 
-# A refunded row counts once the refund is done, which is that ledger's scope.
+# A refunded row counts once the refund is done, which is that ledger's scope; top-ups
+# are looked up for their own id family only.
 _REFUNDED = "ledger_table = 'ledger_refunded' AND in_scope"
-_TOPUP = "ledger_table = 'ledger_topup'"
+_TOPUP = f"ledger_table = 'ledger_topup' AND {st.is_topup('order_id')}"
 
 
 def ledger_lookup(ledger: DataFrame) -> DataFrame:
-    """One row per order id: the ledger of best rank, plus refunded / topup presence and amount.
+    """One row per order id: its ledger id, table and amount, and whether a main ledger has it.
 
-    A plain hash aggregate on fixed-width buffers: a hot id collapses before the
-    shuffle and nothing is sorted. A tie inside one ledger goes to the smallest
-    amount.
+    The six main ledgers come first, by rank, then a done refund, then top-ups. A plain
+    hash aggregate on fixed-width buffers: a hot id collapses before the shuffle and
+    nothing is sorted. A tie inside one ledger goes to the smallest amount.
+    ``ledger_txn_id`` is null for orders that only an open refund knows.
     """
     ranks = [x.priority for x in LOOKUP_LEDGERS]
     best = group(
@@ -44,17 +46,18 @@ def ledger_lookup(ledger: DataFrame) -> DataFrame:
         f"min(CASE WHEN {_TOPUP} THEN ledger_amount END) AS topup_amount",
         *[f"min(CASE WHEN priority = {r} THEN ledger_amount END) AS amount_{r}" for r in ranks],
     )
-    tables = " ".join(f"WHEN {x.priority} THEN '{x.table}'" for x in LOOKUP_LEDGERS)
-    amounts = " ".join(f"WHEN {r} THEN amount_{r}" for r in ranks)
+    tables = " ".join(f"WHEN best = {x.priority} THEN '{x.table}'" for x in LOOKUP_LEDGERS)
+    amounts = " ".join(f"WHEN best = {r} THEN amount_{r}" for r in ranks)
     return best.selectExpr(
         "order_id",
-        "CASE WHEN best IS NOT NULL THEN order_id END AS ledger_txn_id",
-        f"CASE best {tables} END AS ledger_table",
-        f"CASE best {amounts} END AS ledger_amount",
+        "best IS NOT NULL AS in_main",
+        "CASE WHEN best IS NOT NULL OR in_refunded OR in_topup THEN order_id END AS ledger_txn_id",
+        f"CASE {tables} WHEN in_refunded THEN 'ledger_refunded' WHEN in_topup THEN 'ledger_topup' END "
+        "AS ledger_table",
+        f"CASE {amounts} WHEN in_refunded THEN refunded_amount WHEN in_topup THEN topup_amount END "
+        "AS ledger_amount",
         "in_refunded",
         "in_topup",
-        "refunded_amount",
-        "topup_amount",
     )
 
 
@@ -133,13 +136,12 @@ def recon_base(
         "status AS hub_status",
         "created_date AS hub_created_date",
         "source_month",
-        "ledger_txn_id AS main_txn_id",
-        "ledger_table AS main_table",
-        "ledger_amount AS main_amount",
+        "ledger_txn_id",
+        "ledger_table",
+        "ledger_amount",
+        "CASE WHEN in_main THEN ledger_txn_id END AS main_txn_id",
         "in_refunded",
         "in_topup",
-        "refunded_amount",
-        "topup_amount",
     )
     joined = with_deposits(
         rows.join(
@@ -151,22 +153,13 @@ def recon_base(
         period,
     )
     hub_id, ledger_id, sett_id = "hub_order_id", "main_txn_id", "settlement_order_id"
-    refunded, topup = "coalesce(in_refunded, false)", f"coalesce(in_topup AND {st.is_topup(hub_id)}, false)"
-
-    def ledger_column(main: str, back: str, top: str) -> str:
-        return (
-            f"CASE WHEN {ledger_id} IS NOT NULL THEN {main} WHEN {refunded} THEN {back} "
-            f"WHEN {topup} THEN {top} END"
-        )
-
-    amount = ledger_column("main_amount", "refunded_amount", "topup_amount")
     status = st.trace_status(
         "gateway",
         sett_id,
         hub_id,
         ledger_id,
-        refunded,
-        topup,
+        "coalesce(in_refunded, false)",
+        "coalesce(in_topup, false)",
     )
     return joined.selectExpr(
         "gateway",
@@ -187,23 +180,19 @@ def recon_base(
         "hub_gateway",
         "hub_created_date",
         f"{st.l2_match(hub_id)} AS l2_match",
-        f"{ledger_column(hub_id, hub_id, hub_id)} AS ledger_txn_id",
-        f"{ledger_column('main_table', _text('ledger_refunded'), _text('ledger_topup'))} AS ledger_table",
-        f"{amount} AS ledger_amount",
+        "ledger_txn_id",
+        "ledger_table",
+        "ledger_amount",
         f"{st.l1_match(hub_id, ledger_id)} AS l1_match",
         f"{order_prefix(hub_id, sett_id)} AS order_id_prefix",
         f"{status} AS trace_status",
         f"{st.trace_status_basic(hub_id, ledger_id)} AS trace_status_basic",
         f"CAST(hub_amount - sett_gross AS {MONEY}) AS diff_hub_vs_sett",
-        f"CAST({amount} - hub_amount AS {MONEY}) AS diff_ledger_vs_hub",
+        f"CAST(ledger_amount - hub_amount AS {MONEY}) AS diff_ledger_vs_hub",
         "source_month",
     )
 
 
-def _text(value: str) -> str:
-    return f"'{value}'"
-
-
 @dataclass(frozen=True)
 class Run:
     """One monthly run: reports that compare with deposits take both from here."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallychain.functions.dates import month_start
 from tallychain.functions.money import safe_pct, total
 from tallychain.functions.status import bank_label
-from tallychain.operators.base import bank_daily, with_deposits
+from tallychain.operators.base import bank_daily, one_hub_row, with_deposits
 from tallychain.operators.frames import group, key_set, keys_of, union_all
 
 
@@ -118,7 +118,7 @@ def lookup_join(
     settlement: DataFrame, hub: DataFrame, ledger_pick: DataFrame, bank: DataFrame
 ) -> DataFrame:
     """Settlement rows with bank, hub and ledger looked up, unclassified."""
-    hubs = hub.join(ledger_pick, "order_id", "left").withColumnRenamed(
+    hubs = one_hub_row(hub).join(ledger_pick, "order_id", "left").withColumnRenamed(
         "settle_key", "settlement_order_id"
     )
     return with_deposits(settlement.join(hubs, ["gateway", "settlement_order_id"], "left"), bank)

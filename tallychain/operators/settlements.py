@@ -7,6 +7,7 @@ meet the hub. Amounts of the hub and the gateway are thus counted once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallychain.config import TOP_BATCHES, Period
 from tallychain.functions.dates import in_period, month_label
@@ -55,38 +56,60 @@ def chain(
     )
 
 
-def settlement_batches(
-    hub: DataFrame, gateway_txn: DataFrame, settlement: DataFrame, period: Period | None = None
-) -> DataFrame:
-    """Distinct batches the in-scope rows were settled in, per gateway."""
-    scope = hub_keys(hub, period).join(key_set(gateway_txn, *KEY), KEY, "left_semi")
-    batches = keyed(settlement.where("is_forward")).select(*KEY, "sett_utr").distinct()
-    return group(
-        batches.join(scope, KEY, "left_semi").select("gateway", "sett_utr").distinct(),
-        "gateway",
-        "count(sett_utr) AS batches",
-    )
-
-
 def l3_settled(
     hub: DataFrame, gateway_txn: DataFrame, settlement: DataFrame, period: Period | None = None
 ) -> DataFrame:
-    """Hub, gateway and settlement counts and amounts, fees, span and batches."""
-    sums = group(
-        chain(hub, gateway_txn, settlement, period),
+    """Hub, gateway and settlement counts and amounts, fees, span and distinct batches.
+
+    Settlements are read once: summed per (id, batch), joined with the orders in scope,
+    and grouped both by id, where an order's amounts count once, and by batch.
+    """
+    parts = group(
+        keyed(settlement.where("is_forward")),
+        [*KEY, "sett_utr"],
+        "count(*) AS n",
+        "sum(sett_gross) AS gross",
+        "sum(sett_net) AS net",
+        "sum(sett_fee) AS fees",
+        "sum(sett_tax) AS tax",
+        "min(settled_date) AS first_date",
+        "max(settled_date) AS last_date",
+    )
+    orders = (
+        one_hub_row(hub_scope(hub, period))
+        .withColumnRenamed("settle_key", "gw_key")
+        .join(gateway_by_key(gateway_txn), KEY)
+        .select(*KEY, "amount", "gw_amount")
+    )
+    columns = ["gateway", "gw_key", "sett_utr"]
+    sums = ("n", "gross", "net", "fees", "tax")
+    both = (
+        orders.join(parts, KEY, "left")
+        .groupingSets([columns[:2], [columns[0], columns[2]]], *columns)
+        .agg(
+            F.expr("grouping(gw_key) = 0 AS by_id"),
+            F.expr("min(amount) AS amount"),
+            F.expr("min(gw_amount) AS gw_amount"),
+            *[F.expr(f"sum({m}) AS {m}") for m in sums],
+            F.expr("min(first_date) AS first_date"),
+            F.expr("max(last_date) AS last_date"),
+        )
+    )
+    return group(
+        both,
         "gateway",
-        "count(*) AS hub_txns",
-        f"{total('amount')} AS hub_amount",
-        f"{total('gw_amount')} AS gateway_amount",
-        "count(sett_rows) AS settled_txns",
-        f"{total('gross')} AS gross",
-        f"{total('net')} AS net",
-        f"{total('fees - tax')} AS commission",
-        f"{total('tax')} AS tax",
+        "count_if(by_id) AS hub_txns",
+        f"{total('amount', 'by_id')} AS hub_amount",
+        f"{total('gw_amount', 'by_id')} AS gateway_amount",
+        "count_if(by_id AND n IS NOT NULL) AS settled_txns",
+        f"{total('gross', 'by_id')} AS gross",
+        f"{total('net', 'by_id')} AS net",
+        f"{total('fees - tax', 'by_id')} AS commission",
+        f"{total('tax', 'by_id')} AS tax",
         "min(first_date) AS first_date",
         "max(last_date) AS last_date",
+        "count_if(NOT by_id AND sett_utr IS NOT NULL) AS batches",
     )
-    return sums.join(settlement_batches(hub, gateway_txn, settlement, period), "gateway", "left")
 
 
 def l3_unsettled(

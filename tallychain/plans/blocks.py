@@ -18,7 +18,7 @@ from tallychain.operators.trace import latest_refund
 from tallychain.plans.layer1 import PATTERN
 from tallychain.plans.registry import Chain, query
 from tallychain.session import shared_dir
-from tallychain.sources import sinks, tables
+from tallychain.sources import sinks, tables, warehouse
 
 MONTH = Period.month("1996-01")
 NAMES = [
@@ -86,6 +86,31 @@ def column_profile(c: Chain):
     return inventory.column_profile(c.hub, "hub")
 
 
+@query("column_profile_approx", " UNION ALL ".join(f"""
+SELECT 'hub' AS table_name, '{col}' AS column_name, '{t}' AS data_type,
+       COUNT(*) FILTER ({col} IS NULL)::DOUBLE * 100 / COUNT(*) AS null_pct,
+       MIN({col})::VARCHAR || ', ' || MAX({col})::VARCHAR AS samples FROM hub""" for col, t in _HUB_TYPES.items()))
+def column_profile_approx(c: Chain):
+    """The one-pass profile without its estimate of distinct values, which SQL can't repeat."""
+    return inventory.column_profile_approx(c.hub, "hub").drop("distinct_values")
+
+
+@query("warehouse_scan", """
+SELECT gateway, COUNT(*) AS n_rows, SUM(sett_net)::DOUBLE AS sett_net, COUNT(DISTINCT settled_date) AS days
+FROM settlement WHERE year(settled_date) = 1996 AND month(settled_date) = 1 GROUP BY 1""")
+def warehouse_scan(c: Chain):
+    """One month read from settlements stored by month: other months are not opened."""
+    root = shared_dir(c.spark, "warehouse_scan")
+    warehouse.store(c.settlement, f"{root}/settlement", warehouse.MONTH_OF["settlement"])
+    return group(
+        warehouse.load(c.spark, root, "settlement", MONTH),
+        "gateway",
+        "count(*) AS n_rows",
+        "sum(sett_net) AS sett_net",
+        "count(DISTINCT settled_date) AS days",
+    )
+
+
 @query("duplicate_keys", """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""")
 def duplicate_keys(c: Chain):
@@ -572,7 +597,7 @@ SELECT s.gateway, COUNT(*) AS n_rows, COUNT(b.bank_date) AS with_bank, COUNT(h.o
        COUNT(w.order_id) AS with_ledger
 FROM settlement s LEFT JOIN bank_daily b ON b.gateway = s.gateway AND b.bank_date = s.settled_date
 LEFT JOIN hub h ON h.gateway = s.gateway AND h.settle_key = s.settlement_order_id
-LEFT JOIN lookup w ON w.order_id = h.order_id GROUP BY 1""")
+LEFT JOIN lookup_all w ON w.order_id = h.order_id GROUP BY 1""")
 def join_left_lookup(c: Chain):
     rows = matching.lookup_join(c.settlement, c.hub, ledger_lookup(c.ledger), c.bank)
     return group(

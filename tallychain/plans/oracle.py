@@ -192,6 +192,12 @@ RELATIONS: dict[str, str] = {
     "topped_up": """
         SELECT order_id, MIN(ledger_amount) AS amount FROM ledger
         WHERE ledger_table = 'ledger_topup' AND starts_with(order_id, 'walletTop_') GROUP BY 1""",
+    # All eight ledgers: the main ones, else a refund, else a top-up.
+    "lookup_all": """
+        SELECT order_id, arg_min(ledger_table, step) AS ledger_table, arg_min(ledger_amount, step) AS ledger_amount
+        FROM (SELECT 1 AS step, order_id, ledger_table, ledger_amount FROM lookup
+              UNION ALL SELECT 2, order_id, 'ledger_refunded', amount FROM paid_back
+              UNION ALL SELECT 3, order_id, 'ledger_topup', amount FROM topped_up) GROUP BY 1""",
     "bank_daily": """
         SELECT gateway, bank_date, SUM(deposit) AS bank_daily_deposit, COUNT(*) AS deposits
         FROM bank GROUP BY 1, 2""",

@@ -32,7 +32,7 @@ def recon_base(c: Chain):
 
 
 @query("ledger_lookup", """
-SELECT order_id, ledger_table, ledger_amount::DOUBLE AS ledger_amount FROM lookup""")
+SELECT order_id, ledger_table, ledger_amount::DOUBLE AS ledger_amount FROM lookup_all""")
 def ledger_lookup(c: Chain):
     return ops.ledger_lookup(c.ledger).where("ledger_txn_id IS NOT NULL").select(
         "order_id", "ledger_table", "ledger_amount"
@@ -275,7 +275,7 @@ SELECT i.order_id, w.ledger_table, w.ledger_amount::DOUBLE AS ledger_amount, h.g
        g.gw_amount::DOUBLE AS gw_amount, st.settled_date, st.n AS sett_rows,
        st.g::DOUBLE AS sett_gross, st.net::DOUBLE AS sett_net, st.fee::DOUBLE AS sett_fee,
        b.bank_daily_deposit::DOUBLE AS bank_daily_deposit
-FROM ids i LEFT JOIN lookup w ON w.order_id = i.order_id
+FROM ids i LEFT JOIN lookup_all w ON w.order_id = i.order_id
 LEFT JOIN hub h ON h.order_id = i.order_id
 LEFT JOIN gw_by_key g ON g.gateway = h.gateway AND g.gw_key = h.settle_key
 LEFT JOIN st ON st.gateway = h.gateway AND st.gw_key = h.settle_key

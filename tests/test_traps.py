@@ -160,14 +160,16 @@ def test_priority_pick_and_tie(spark):
         [
             ("x", "ledger_ott", "1"), ("x", "ledger_revenue", "2"), ("x", "ledger_net_income", "3"),
             ("y", "ledger_revenue", "9"), ("y", "ledger_revenue", "5"),
-            ("z", "ledger_topup", "4"), ("r", "ledger_refunded", "4"),
+            ("z", "ledger_topup", "4"), ("walletTop_1", "ledger_topup", "4"), ("r", "ledger_refunded", "4"),
         ],
     )
     got = {r.order_id: r for r in base.ledger_lookup(led).collect()}
     assert (got["x"].ledger_table, got["x"].ledger_amount) == ("ledger_revenue", Decimal("2.00"))
     assert got["y"].ledger_amount == Decimal("5.00")
-    assert got["z"].ledger_txn_id is None and got["z"].in_topup and not got["z"].in_refunded
-    assert got["r"].ledger_txn_id is None and got["r"].in_refunded
+    assert got["z"].ledger_txn_id is None, "a top-up of another id family"
+    assert (got["walletTop_1"].ledger_table, got["walletTop_1"].in_main) == ("ledger_topup", False)
+    assert (got["r"].ledger_table, got["r"].in_main, got["r"].in_refunded) == ("ledger_refunded", False, True)
+    assert got["x"].in_main
     by_window = pick_first(led.where("priority IS NOT NULL"), ["order_id"], "priority", "ledger_amount")
     assert {r.order_id: r.ledger_amount for r in by_window.collect()} == {
         "x": Decimal("2.00"), "y": Decimal("5.00"),
