@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallychain.llm.tables import as_bytes, map_rows, pieces, stored
+from tallychain.llm.tables import each_text, map_rows, pieces, stored
 
 WINDOW_WORDS = 10
 #: How far proximity lets a term stand from its place in the window.
@@ -56,7 +56,7 @@ def windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids, terms = [], []
-        for item, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
+        for item, text in zip(batch.column(0).to_pylist(), each_text(batch.column(1))):
             words = [w.decode() for w in _tokens(text)]
             for at in range(max(1, len(words) - size + 1) if words else 0):
                 ids.append(item)
@@ -112,11 +112,11 @@ def build_index(docs: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment = TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids, texts, hashes = batch.column(0), as_bytes(batch.column(1)), batch.column(2)
+            ids, texts, hashes = (batch.column(i) for i in range(3))
             for start, end in pieces(texts, SEGMENT_BYTES):
                 number: dict[bytes, int] = {}
                 terms, counts = [], []
-                for text in texts[start:end]:
+                for text in each_text(texts.slice(start, end - start)):
                     words = _tokens(text)
                     counts.append(len(words))
                     terms.append(

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallychain.llm.tables import fresh, pieces
+from tallychain.llm.tables import each_text, fresh, pieces
 
 UNKNOWN = "und"
 #: Trigram buckets of a language.
@@ -82,8 +82,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                buffer = np.frombuffer(letters_only(text), np.uint8)
+            for text, lang in zip(each_text(batch.column(0)), batch.column(1).to_pylist()):
+                buffer = np.frombuffer(letters_only((text or b"").decode()), np.uint8)
                 if len(buffer):
                     bucket, inside = trigrams(buffer)
                     found = np.bincount(bucket[inside], minlength=BUCKETS)
@@ -191,16 +191,16 @@ def language_udf(model: Model):
     @arrow_udf("struct<lang: string, share: double, languages: map<string, double>>")
     def identify(texts: pa.Array) -> pa.Array:
         lang, share, sets = [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in range(len(texts))]
-        buffers = [letters_only(t) for t in texts.to_pylist()]
-        for start, end in pieces(buffers) if languages else ():
-            used = [i for i in range(start, end) if buffers[i]]
+        for start, end in pieces(texts) if languages else ():
+            buffers = [letters_only(t) for t in texts.slice(start, end - start).to_pylist()]
+            used = [i for i, b in enumerate(buffers) if b]
             if not used:
                 continue
-            whole = np.frombuffer(b"".join(buffers[i] for i in used), np.uint8)
+            whole = np.frombuffer(b"".join(buffers), np.uint8)
             words = _word_scores(whole, scores)
             counts = np.array([buffers[i].count(b" ") - 1 for i in used])
             found = proportions(words, np.cumsum(counts) - counts)
-            for i, row in zip(used, found):
+            for i, row in zip((start + i for i in used), found):
                 main = int(row.argmax())
                 lang[i], share[i] = languages[main], float(min(1.0, row[main]))
                 sets[i] = [(languages[j], float(row[j])) for j in np.flatnonzero(row > 0)]

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallychain.llm.tables import LAST_ID, map_rows, stored
+from tallychain.llm.tables import LAST_ID, each_text, map_rows, stored
 
 MIN_CHARS = 10
 #: Keys one shard is meant for.
@@ -183,8 +183,9 @@ def line_references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         high, low, ids = [], [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            keys = {line_key(line, min_chars) for line in (text or "").split("\n")} - {None}
+        for doc, text in zip(batch.column(0).to_pylist(), each_text(batch.column(1))):
+            lines = (text or b"").decode().split("\n")
+            keys = {line_key(line, min_chars) for line in lines} - {None}
             high += [k[0] for k in keys]
             low += [k[1] for k in keys]
             ids += [doc] * len(keys)
@@ -327,10 +328,10 @@ def clean(store: LineStore, docs: DataFrame) -> DataFrame:
     min_chars = store.min_chars
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, texts, keys = (batch.column(i).to_pylist() for i in range(3))
+        ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         n_lines, n_dropped, digests, kept_texts = [], [], [], []
-        for text, lost in zip(texts, keys):
-            lines = (text or "").split("\n")
+        for text, lost in zip(each_text(batch.column(1)), keys):
+            lines = (text or b"").decode().split("\n")
             gone = {(k["high"], k["low"]) for k in lost or ()}
             kept = [x for x in lines if line_key(x, min_chars) not in gone] if gone else lines
             whole = "\n".join(kept)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tallychain.llm.components import roots
-from tallychain.llm.tables import LAST_ID, as_bytes, fresh, stored
+from tallychain.llm.tables import LAST_ID, each_text, fresh, stored
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -125,7 +125,7 @@ def fingerprint(text: bytes | None, words: int = SHINGLE_WORDS) -> int:
 def fingerprint_udf(words: int):
     @arrow_udf("long")
     def fingerprints(texts: pa.Array) -> pa.Array:
-        values = np.array([fingerprint(t, words) for t in as_bytes(texts)], dtype=np.uint64)
+        values = np.array([fingerprint(t, words) for t in each_text(texts)], dtype=np.uint64)
         return pa.array(values.view(np.int64))
 
     return fingerprints

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,11 +58,15 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
-def pieces(texts: list[bytes | None], limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``limit`` bytes each; a longer text gets a range of its own."""
+def pieces(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of ``texts`` of about ``limit`` bytes each; a longer text gets a range of its own.
+
+    A batch holds a fixed number of rows, however long; work that goes by ranges
+    copies no more than a range at a time.
+    """
     start = size = 0
-    for i, text in enumerate(texts):
-        n = len(text or b"")
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for i, n in enumerate(lengths.tolist()):
         if size and size + n > limit:
             yield start, i
             start, size = i, 0
@@ -70,6 +75,12 @@ def pieces(texts: list[bytes | None], limit: int = STEP_BYTES) -> Iterator[tuple
         yield start, len(texts)
 
 
-def as_bytes(column: pa.Array) -> list[bytes | None]:
+def as_bytes(texts: pa.Array) -> list[bytes | None]:
     """The UTF-8 of each string."""
-    return column.cast(pa.binary()).to_pylist()
+    return texts.cast(pa.binary()).to_pylist()
+
+
+def each_text(texts: pa.Array) -> Iterator[bytes | None]:
+    """The UTF-8 of each string, one after another."""
+    for start, end in pieces(texts):
+        yield from as_bytes(texts.slice(start, end - start))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
-from tallychain.llm.tables import stored
+from tallychain.llm.tables import each_text, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary splits a text before merging; a fixed value that belongs to it.
@@ -39,7 +39,8 @@ def token_count(path: str = VOCABULARY):
     @arrow_udf("long")
     def count(texts: pa.Array) -> pa.Array:
         encode = encoding(path).encode_ordinary
-        return pa.array([len(encode(t)) if t else 0 for t in texts.to_pylist()], pa.int64())
+        counts = (len(encode(t.decode())) if t else 0 for t in each_text(texts))
+        return pa.array(list(counts), pa.int64())
 
     return count
 
