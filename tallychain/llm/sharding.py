@@ -1,10 +1,12 @@
 """Proportional stratified interleaving: every shard has the mixture of the whole.
 
 Rows are shuffled by a seeded hash within their source and ranked; the fractional
-rank (rank - 1/2) / rows of the source orders all rows, and that order is cut into
-equal counts. Both rankings work on hash or rank ranges: a range is a small group,
-and what precedes it is a prefix sum over the counts of ranges. No source, however
-large, is ever sorted in one task, and texts are not shuffled.
+rank (rank - 1 + offset) / rows of the source orders all rows, and that order is cut
+into equal counts. The offset, between 0 and 1, is the source's own: with one half for
+all, sources of a row each would meet in the middle and crowd out the others there.
+Both rankings work on hash or rank ranges: a range is a small group, and what precedes
+it is a prefix sum over the counts of ranges. No source, however large, is ever sorted
+in one task, and texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -73,8 +75,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataF
     hash_range = F.expr(f"(cast(mix as decimal(20,0)) + {1 << 63}BD) div {width}BD")
     ties = [F.col(c).asc_nulls_last() for c in ("mix", "doc_id", "text_crc32", "size")]
     within = _ranked(slim, ["stratum"], hash_range, ties, "shard-source")
-    # Fractional rank (2 rank + 1) / (2 rows of the source), in whole numbers up to the last step.
-    placed = within.withColumn("fraction", (2 * F.col("rank") + 1) / (2 * F.col("group_rows"))).drop(
+    offset = (F.pmod(F.xxhash64(F.lit(seed), "stratum"), F.lit(1 << 20)) + 0.5) / (1 << 20)
+    placed = within.withColumn("fraction", (F.col("rank") + offset) / F.col("group_rows")).drop(
         "rank", "group_rows"
     )
     order = [F.col(c).asc_nulls_last() for c in ("fraction", "stratum", "mix", "doc_id", "text_crc32", "size")]

@@ -115,6 +115,15 @@ def test_shards_hold_the_mixture(spark, range_rows, monkeypatch):
     assert Counter(tuple(r) for r in again) == Counter(tuple(r) for r in rows)
 
 
+def test_sources_of_one_row_spread_over_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 50)
+    rows = [(i, f"text {i}", "large" if i % 2 else f"own {i}") for i in range(1600)]
+    got = sharding.shard_rows(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    _check_shards(got, [r[:2] for r in rows], 8)
+    large = Counter(r.shard for r in got if r.source == "large")
+    assert all(abs(large[k] - 100) <= 35 for k in range(8))
+
+
 @pytest.mark.parametrize("shards", [1, 5, 40])
 def test_shards_of_edge_rows(edge, nothing, shards):
     rows = sharding.shard_rows(edge, shards).collect()
