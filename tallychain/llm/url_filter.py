@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallychain.llm.tables import stored
+
 #: Hex digits of the short hash.
 SHORT = 8
 ALLOW, BLOCK = "allow", "block"
@@ -109,8 +111,13 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame
             F.struct(F.length("rule").alias("n"), "n_host", F.col("verdict") == BLOCK, "rule", "verdict")
         ).alias("best")
     )
-    ruled = best.select(
-        F.col("url").alias("ruled_url"), F.col("best.rule").alias("rule"), F.col("best.verdict").alias("ruling")
+    # Stored, so that both sides of the last join are plain exchanges and AQE can split
+    # a url, or null, that very many pages have.
+    ruled = stored(
+        best.select(
+            F.col("url").alias("ruled_url"), F.col("best.rule").alias("rule"), F.col("best.verdict").alias("ruling")
+        ),
+        "url-ruled",
     )
     slim = pages.select("page_id", "url")
     return slim.join(ruled, slim["url"] == ruled["ruled_url"], "left").select(
