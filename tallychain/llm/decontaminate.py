@@ -50,8 +50,8 @@ def _tokens(text: bytes | None) -> list[bytes]:
 def windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """(terms, items): each distinct window with the sorted ids, as strings, of the items that have it.
 
-    An item of fewer words is one window; one of none has no window. An item id
-    of null is left out, as it can't be reported.
+    An item of fewer words is one window; one of none has no window. An item
+    without id has windows like any other, but is in no list.
     """
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -68,7 +68,7 @@ def windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
             }
         )
 
-    slim = items.filter("item_id is not null").select(F.col("item_id").cast("string"), "text")
+    slim = items.select(F.col("item_id").cast("string"), "text")
     return (
         map_rows(slim, work, "item_id string, terms array<string>")
         .groupBy("terms")
@@ -303,8 +303,9 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, s
     """(doc_id, n_words, n_hit, n_near, n_items, items, contaminated) for every row of ``docs``.
 
     A null or empty text has no words. Repeated rows get a row each, null ids
-    stay null; an empty benchmark contaminates nothing, an empty table gives an
-    empty result; other columns are ignored.
+    stay null; words of an item without id are hit, but it is neither counted nor
+    listed. An empty benchmark contaminates nothing, an empty table gives an empty
+    result; other columns are ignored.
     """
     return _found(docs, items, size, slop).select(
         "doc_id",

@@ -143,7 +143,7 @@ WITH doc AS (
     SELECT doc_id, count(DISTINCT place) AS n_hit
     FROM (SELECT doc_id, unnest(range(start_word, start_word + size)) AS place FROM hits) GROUP BY doc_id
 ), hit_items AS (
-    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
     FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,

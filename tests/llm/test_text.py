@@ -30,16 +30,16 @@ def brute_hits(docs, items, size=10):
     found = {}
     for item, text in items:
         words = WORD.findall((text or "").translate(LOWER))
-        if item is not None and words:
-            for i in range(max(1, len(words) - size + 1)):
-                found.setdefault(tuple(words[i : i + size]), set()).add(str(item))
+        for i in range(max(1, len(words) - size + 1) if words else 0):
+            names = found.setdefault(tuple(words[i : i + size]), set())
+            names |= {str(item)} - {"None"}
     out = []
     for doc, text in docs:
         words = WORD.findall((text or "").translate(LOWER))
         hit, own = set(), set()
         for n in {len(w) for w in found}:
             for i in range(len(words) - n + 1):
-                if names := found.get(tuple(words[i : i + n])):
+                if (names := found.get(tuple(words[i : i + n]))) is not None:
                     hit.update(range(i, i + n))
                     own |= names
         out.append((doc, len(words), len(hit), tuple(sorted(own))))
@@ -92,6 +92,14 @@ def test_proximity_allows_a_word_out_of_place(spark):
     assert got[1][0] == 0 and got[1][1] > 0 and got[2] == (0, 0)
 
 
+def test_items_without_id_are_searched_too(spark):
+    docs = spark.createDataFrame([(1, "a known answer here"), (2, "nothing")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "known answer"), (7, "answer")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r["items"]) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: (2, 1, ["7"]), 2: (0, 0, [])}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, items.filter("item_id is null")).collect()] == [2]
+
+
 def test_contaminated_rows_go(spark, edge, nothing):
     kept = decontaminate.drop_contaminated(edge, _items(spark))
     assert kept.columns == edge.columns
