@@ -9,9 +9,10 @@ in common.
 Pigeonhole over segment errors for fingerprints at most four bits apart: either
 one segment is equal and another has at most two errors, or all three have at
 least one and so at most two. A key is therefore either (equal segment, codeword
-of another), six ordered pairs, or (codeword of the first, codeword of the
-second). Every pair within four bits shares a key; the bit distance of those that
-share one is checked.
+of another), six ordered pairs of 33 or 34 bits, or a codeword of each segment, 36
+bits. Every pair within four bits shares a key; the bit distance of those that share
+one is checked. Codewords of two segments would do for the last kind and be fewer
+keys, but at 24 bits its chance candidates would outgrow everything else.
 """
 
 from __future__ import annotations
@@ -90,14 +91,13 @@ def fuzzy_keys(prints: np.ndarray, golay: Golay) -> tuple[np.ndarray, np.ndarray
         exact = cut[i][row].astype(np.int64)
         keys.append(kind << 40 | exact << 12 | near[j][row, col].astype(np.int64))
         rows.append(row)
-    row, col = np.nonzero(own[0])
-    width = near[1].shape[1]
-    left, right = np.repeat(row, width), np.tile(np.arange(width), len(row))
-    real = own[1][left, right]
-    first = np.repeat(near[0][row, col], width)[real].astype(np.int64)
-    left, right = left[real], right[real]
-    keys.append(6 << 40 | first << 12 | near[1][left, right].astype(np.int64))
-    rows.append(left)
+    # Every combination of one index of each segment.
+    row, code = np.arange(len(prints)), np.full(len(prints), 6, dtype=np.int64) << 4
+    for index, real in zip(near, own):
+        at, col = np.nonzero(real[row])
+        row, code = row[at], code[at] << 12 | index[row[at], col].astype(np.int64)
+    keys.append(code)
+    rows.append(row)
     return np.concatenate(keys), np.concatenate(rows)
 
 
