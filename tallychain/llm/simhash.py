@@ -18,6 +18,7 @@ keys, but at 24 bits its chance candidates would outgrow everything else.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations, permutations
 
 import numpy as np
@@ -74,6 +75,11 @@ class Golay:
         return np.sort(self.index(words[:, None] ^ flips[None, :]), axis=1)
 
 
+@lru_cache(maxsize=1)
+def decoder() -> Golay:
+    return Golay()
+
+
 def _first_of_equal(rows: np.ndarray) -> np.ndarray:
     first = np.ones(rows.shape, dtype=bool)
     first[:, 1:] = rows[:, 1:] != rows[:, :-1]
@@ -266,7 +272,7 @@ def print_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK)
         raise ValueError("the key scheme covers 0 to 4 differing bits")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        golay = Golay()
+        golay = decoder()
         for batch in batches:
             values = batch.column(0).to_numpy().view(np.uint64)
             for at in range(0, len(values), 2048):
@@ -276,7 +282,9 @@ def print_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK)
                     {"key": pa.array(keys), "print": pa.array(part[rows].view(np.int64))}
                 )
 
-    keyed = prints.select("print").mapInArrow(expand, "key long, print long")
+    # A fingerprint becomes some 180 keys, so tasks are not left to the size of what is read.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = prints.select("print").repartition(parts, "print").mapInArrow(expand, "key long, print long")
     walked = stored(
         keyed.repartition("key")
         .sortWithinPartitions("key")
