@@ -32,13 +32,16 @@ ROUNDS = 8
 #: For queries; a deployment passes its own secret.
 DEMO_KEY = "replace this key"
 
+_BY_AREA = r"(?:\+?[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}"
+_BY_COUNTRY = r"\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,5}){2,5}"
 _PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+){0,126}",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "date": r"(?<![0-9.\-/])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9]|[.\-/][0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "ssn": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
-    "phone": r"(?<![0-9A-Za-z+])(?:(?:\+?[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}|\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,5}){2,5})(?![0-9A-Za-z]|[ \-][0-9])",
+    # The form of fixed length may be followed by a separator and a digit, the open-ended one may not.
+    "phone": rf"(?<![0-9A-Za-z+])(?:{_BY_AREA}(?![0-9A-Za-z])|{_BY_COUNTRY}(?![0-9A-Za-z]|[ \-][0-9]))",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
 _ANY = "|".join(f"(?:{_PATTERNS[k]})" for k in KINDS)
@@ -197,7 +200,7 @@ def _phone(value: Column, key: str, inverse: bool) -> Column:
         (block % 800 + 200).cast("string"),
         F.lpad((code % 10000).cast("string"), 4, "0"),
     )
-    by_area = value.rlike(r"^(?:\+?[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}$")
+    by_area = value.rlike(f"^{_BY_AREA}$")
     other = F.substr(digits, F.lit(3), n)
     new = F.when(
         by_area & (n >= 10) & (area >= 200) & (exchange >= 200),

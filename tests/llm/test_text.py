@@ -306,6 +306,29 @@ def test_no_validated_value_of_the_given_documents_is_left(spark):
             assert r.text == texts[r.doc_id]
 
 
+def test_phones_followed_by_digits_are_found(spark):
+    texts = {
+        "415-555-1234 212-555-9876": ["415-555-1234", "212-555-9876"],
+        "call 415-555-1234 24 hours": ["415-555-1234"],
+        "+1 (826) 555-4081 190.137.223.204 du": ["+1 (826) 555-4081", "190.137.223.204"],
+        "(366) 555-9807-2 x": ["(366) 555-9807"],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.pseudonymise(docs).collect():
+        values = list(texts.values())[r.doc_id]
+        assert r.n_phone == sum("." not in v for v in values) and all(v not in r.text for v in values), r
+
+
+def test_no_phone_of_the_larger_documents_is_left(spark):
+    form = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+    docs = table(spark, "/root/testdata/sf0.1", "documents").filter(F.col("text").rlike(form))
+    found = {r.doc_id: re.findall(form, r.text) for r in docs.collect()}
+    assert sum(map(len, found.values())) == 159
+    rows = pii.pseudonymise(docs).collect()
+    assert not [v for r in rows for v in found[r.doc_id] if v in r.text]
+    assert sum(r.n_phone for r in rows) >= 159
+
+
 # Quality
 
 
