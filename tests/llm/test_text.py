@@ -329,6 +329,43 @@ def test_no_phone_of_the_larger_documents_is_left(spark):
     assert sum(r.n_phone for r in rows) >= 159
 
 
+SIDE_BY_SIDE = [
+    ("4111 1111 1111 1111", " 12/27", "card"),
+    ("4111 1111 1111 1111", " 123", "card"),
+    ("5500-0000-0000-0004", "-7", "card"),
+    ("DE89 3704 0044 0532 0130 00", " BIC", "iban"),
+    ("GB82WEST12345698765432", " PAID 20", "iban"),
+]
+
+
+def test_a_failed_candidate_hides_no_value(spark):
+    texts = [([v], f"x {v}{after} y", f"x (.*){re.escape(after)} y", {kind: 1}) for v, after, kind in SIDE_BY_SIDE]
+    texts += [
+        (["4111 1111 1111 1111", "29.217.126.147"], "CARD 4111 1111 1111 1111 29.217.126.147 é", "CARD .* é", {"card": 1, "ip": 1}),
+        (["415-555-1234"], "in 94110 415-555-1234", r"in 94110 \d{3}-\d{3}-\d{4}", {"phone": 1}),
+        (["378282246310005", "078-05-1120"], "378282246310005 078-05-1120", r"\d{15} \d{3}-\d\d-\d{4}", {"card": 1, "ssn": 1}),
+        (["2024-02-29", "4222222222222"], "☃2024-02-29 4222222222222", r"☃\d{4}-\d\d-\d\d \d{13}", {"date": 1, "card": 1}),
+        (["1111@b.c"], "4111 1111 1111 1112 1111@b.c", r"4111 1111 1111 1112 \d{4}@b\.c", {"email": 1}),
+        (["+1 415 555 1234"], "+1 415 555 1234 24 hours", r"\+1 \d{3} \d{3} \d{4} 24 hours", {"phone": 1}),
+    ]
+    docs = spark.createDataFrame([(i, t[1]) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in pii.pseudonymise(docs).collect():
+        values, _, form, counts = texts[r.doc_id]
+        assert re.fullmatch(form, r.text) and all(v not in r.text for v in values), (values, r)
+        assert {k: r[f"n_{k}"] for k in pii.KINDS if r[f"n_{k}"]} == counts, r
+
+
+def test_values_side_by_side_are_all_replaced(spark):
+    """Every two values, a blank between them; an open-ended phone before a card has no end."""
+    flat = [(k, v) for k, vs in VALUES.items() for v in vs]
+    pairs = [(a, b) for a in flat for b in flat if not (a[1][:3] in ("+49", "+44") and b[0] == "card" or b[1] == "A@b.c")]
+    docs = spark.createDataFrame([(i, f"{a[1]} {b[1]}") for i, (a, b) in enumerate(pairs)], "doc_id long, text string")
+    for r in pii.pseudonymise(docs).collect():
+        (kind, a), (other, b) = pairs[r.doc_id]
+        assert not r.text.startswith(a) and not r.text.endswith(f" {b}"), (a, b, r)
+        assert {k: r[f"n_{k}"] for k in pii.KINDS if r[f"n_{k}"]} == Counter([kind, other]), (a, b, r)
+
+
 # Quality
 
 
