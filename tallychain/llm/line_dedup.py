@@ -136,10 +136,15 @@ class CuckooFilter:
         raise RuntimeError("a bucket holds too many equal fingerprints")
 
     def delete(self, high: np.ndarray, low: np.ndarray) -> None:
-        """Take back keys that were inserted."""
+        """Take back keys that were inserted, each from the last table that has its mark.
+
+        Tables grow along the chain by powers of two, so keys of one mark that share buckets in
+        a table share them in all before it: should the mark be another key's, the one left in
+        an earlier table is in that key's buckets too. The first table says nothing of later ones.
+        """
         mark, place = self._marks(high, low)
         for m, p in zip(mark, place):
-            for t in self.tables:
+            for t in reversed(self.tables):
                 one = int(p) & (len(t) - 1)
                 two = int(self._other(np.array([one]), np.array([m]), len(t))[0])
                 at = next((b for b in (one, two) if (t[b] == m).any()), None)

@@ -201,5 +201,23 @@ def test_cuckoo_filter_never_denies_and_forgets():
     assert not any(t.any() for t in loaded.tables)
 
 
+def test_deleting_keys_of_later_tables_denies_no_other():
+    # Low bits: a mark of 16, then the place; marks and places from few values, so that they meet.
+    rng = np.random.default_rng(5)
+    low = np.unique(rng.integers(0, 1 << 12, 3_000) << 16 | rng.integers(1, 60, 3_000)).astype(np.int64)
+    rng.shuffle(low)
+    high = np.zeros_like(low)
+    table_ = line_dedup.CuckooFilter()
+    for at in range(0, len(low), 100):
+        table_.insert(high[at : at + 100], low[at : at + 100])
+    sizes = [len(t) for t in table_.tables]
+    assert len(sizes) > 2 and all(a < b for a, b in zip(sizes, sizes[1:]))
+    while len(low):
+        table_.delete(high[-50:], low[-50:])
+        low, high = low[:-50], high[:-50]
+        assert table_.contains(high, low).all()
+    assert not any(t.any() for t in table_.tables)
+
+
 def test_edge_rows_are_what_the_tests_say():
     assert len(ROWS) == 12
