@@ -11,7 +11,8 @@ every document:
     ssn     three, two and four digits with dashes that could be issued, permuted among
             those
     phone   (area) exchange-line numbers, permuted among valid area and exchange
-            codes, and numbers with a country code, of which two digits stay
+            codes, or, if one of the two is below 200, among those with the same first
+            digits of both; and numbers with a country code, of which two digits stay
     ip      four numbers up to 255, permuted as 32 bits
     date    year-month-day, day.month.year and day/month/year that exist, permuted
             within the 400-year cycle they lie in; month/day/year with a day from 13 to
@@ -223,9 +224,16 @@ def _phone(value: Column, key: str, inverse: bool) -> Column:
     )
     by_area = value.rlike(f"^{_BY_AREA}$")
     other = F.substr(digits, F.lit(3), n)
+    # Other numbers of that form keep the first digits of area and exchange, and with them their class.
+    lead, mid = F.substr(last, F.lit(1), F.lit(1)), F.substr(last, F.lit(4), F.lit(1))
+    free = F.concat(F.substr(last, F.lit(2), F.lit(2)), F.substr(last, F.lit(5), F.lit(6)))
+    moved = feistel_digits(free, key, F.concat(F.lit("phone class"), lead, mid), inverse)
+    kept = F.concat(lead, F.substr(moved, F.lit(1), F.lit(2)), mid, F.substr(moved, F.lit(3), F.lit(6)))
     new = F.when(
-        by_area & (n >= 10) & (area >= 200) & (exchange >= 200),
-        F.concat(F.substr(digits, F.lit(1), n - 10), local),
+        by_area,
+        F.concat(
+            F.substr(digits, F.lit(1), n - 10), F.when((area >= 200) & (exchange >= 200), local).otherwise(kept)
+        ),
     ).when(
         (n >= 8) & (n <= 20),
         F.concat(F.substr(digits, F.lit(1), F.lit(2)), feistel_digits(other, key, F.lit("phone"), inverse)),

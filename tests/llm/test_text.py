@@ -366,6 +366,17 @@ def test_values_side_by_side_are_all_replaced(spark):
         assert {k: r[f"n_{k}"] for k in pii.KINDS if r[f"n_{k}"]} == Counter([kind, other]), (a, b, r)
 
 
+def test_phones_with_a_low_exchange_come_back(spark):
+    values = [f"{a}-{e}-{1000 + i}" for i, (a, e) in enumerate((a, e) for a in (115, 199, 200, 415) for e in (23, 123, 199, 200, 555))]
+    values = [re.sub(r"-(\d\d)-", r"-0\1-", v) for v in values] + ["+44 120 123 4567", "(415) 123-4567"]
+    docs = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    valid = lambda v: all(int(x) >= 200 for x in re.findall(r"\d+", v)[-3:-1])
+    new = pii.pseudonymise(docs, "k").collect()
+    assert all(valid(r.text) == valid(values[r.doc_id]) and r.text != values[r.doc_id] for r in new)
+    masked = spark.createDataFrame([(r.doc_id, r.text) for r in new], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in pii.pseudonymise(masked, "k", inverse=True).collect()} == dict(enumerate(values))
+
+
 # Quality
 
 
