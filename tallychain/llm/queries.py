@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from tallychain.llm import (
     decontaminate,
+    exact_dedup,
+    fill_in_middle,
     language_id,
     line_dedup,
     mixing,
     pii,
     quality,
+    resampling,
     sharding,
     simhash,
     token_counts,
@@ -87,6 +90,28 @@ def quality_query(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def exact_dedup_query(spark: SparkSession, root: str) -> DataFrame:
+    return exact_dedup.exact_copies(table(spark, root, "documents"), digest=True)
+
+
+def resampling_query(spark: SparkSession, root: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, root, "documents"), table(spark, root, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def fill_in_middle_query(spark: SparkSession, root: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, root, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": source_mixing,
     "op2_line_dedup": line_dedup_query,
@@ -98,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii_query,
     "op9_sharding": sharding_query,
     "op10_quality_rules": quality_query,
+    "op11_exact_dedup": exact_dedup_query,
+    "op12_importance_resampling": resampling_query,
+    "op13_fill_in_middle": fill_in_middle_query,
 }
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -167,5 +195,33 @@ WITH rest AS (
     GROUP BY page_id
 )
 SELECT page_id, host, path, rule, coalesce(ruling, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)
+""",
+    "op11_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op13_fill_in_middle": """
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS hex,
+        regexp_extract_all(coalesce(text, ''),
+            '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units FROM documents
+), numbers AS (
+    SELECT *, CAST(len(units) AS BIGINT) AS n, ('0x' || hex[1:8])::BIGINT AS h1, ('0x' || hex[9:16])::BIGINT AS h2,
+        ('0x' || hex[17:24])::BIGINT AS h3, ('0x' || hex[25:32])::BIGINT AS h4 FROM drawn
+), cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+            OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM numbers
+), parts AS (
+    SELECT *, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+        array_to_string(units[high + 1:], '') AS suffix FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
 """,
 }
