@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,7 +38,7 @@ SEED = 42
 BLOCK = 256
 #: Bytes of spans that are looked up at a time; small enough for a core's cache.
 STEP = 1 << 17
-#: Bytes of text that are cut into words at a time.
+#: Bytes of text that are cut into words at a time; a longer text comes in parts.
 TEXT_STEP = 1 << 19
 #: Rows a range of the ranking is meant to hold.
 RANK_ROWS = 1 << 16
@@ -154,8 +156,11 @@ _WORD = np.zeros(256, dtype=bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
 
 
-def word_runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
-    """(words of each text, joined bytes of all words, (text, CRC-32) of the runs by run length)."""
+def word_runs(texts: pa.Array, carried: int = 0) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """(words of each text, (text, CRC-32) of the runs by run length).
+
+    The first ``carried`` words were counted before: only runs that end behind them are new.
+    """
     flat = texts.cast(pa.large_binary()).fill_null(b"")
     border = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
     raw = flat.buffers()[2]
@@ -176,7 +181,7 @@ def word_runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[n
     size = np.flatnonzero(closes) + 1 - starts
     text = np.searchsorted(border, starts, "right") - 1
     # Of texts with the same border only the last one has words.
-    words = np.bincount(text, minlength=len(texts))
+    words = np.bincount(text[carried:], minlength=len(texts))
     place = np.cumsum(size + 1) - size - 1
     joined = np.full(int(size.sum()) + len(size), 32, dtype=np.uint8)
     kept = data[inside]
@@ -185,17 +190,40 @@ def word_runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[n
     def runs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for n in range(1, MAX_RUN + 1):
             first = np.flatnonzero(text[: len(text) - n + 1] == text[n - 1 :]) if len(text) >= n else text[:0]
+            first = first[first + n > carried]
             last = first + n - 1
             if len(first):
                 yield text[first], crc_spans(joined, place[first], place[last] + size[last])
 
-    return words, joined, runs()
+    return words, runs()
+
+
+_GAP = re.compile(rb"[^0-9A-Za-z\x80-\xff]")
+_WORDS = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+
+
+def _windows(text: bytes, step: int) -> Iterator[tuple[bytes, int]]:
+    """Parts of a long text, cut between words, each behind the last words of the one before."""
+    at, tail = 0, []
+    while at < len(text):
+        gap = _GAP.search(text, at + step)
+        end = gap.start() if gap else len(text)
+        yield b" ".join([*tail, text[at:end]]), len(tail)
+        tail = [*tail, *_WORDS.findall(text, at, end)][1 - MAX_RUN :]
+        at = end
 
 
-def _text_steps(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, pa.Array]]:
+def _text_steps(batch: pa.RecordBatch, column: int) -> Iterator[tuple[slice, pa.Array, int]]:
+    """(rows, their texts, words carried over); a long text comes in several parts."""
     texts = batch.column(column)
     for start, end in pieces(texts, TEXT_STEP):
-        yield start, texts.slice(start, end - start)
+        part = texts.slice(start, end - start)
+        if end - start == 1 and (pc.binary_length(part)[0].as_py() or 0) > 2 * TEXT_STEP:
+            whole = part.cast(pa.large_binary())[0].as_py()
+            for window, carried in _windows(whole, TEXT_STEP):
+                yield slice(start, end), pa.array([window], pa.large_binary()), carried
+        else:
+            yield slice(start, end), part, 0
 
 
 def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
@@ -204,8 +232,8 @@ def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            for _, texts in _text_steps(batch, 0):
-                for _, crc in word_runs(texts)[2]:
+            for _, texts, carried in _text_steps(batch, 0):
+                for _, crc in word_runs(texts, carried)[1]:
                     counts += np.bincount(crc % np.uint32(buckets), minlength=buckets)
         held = np.flatnonzero(counts)
         yield pa.record_batch({"bucket": pa.array(held, pa.int64()), "n": pa.array(counts[held], pa.int64())})
@@ -241,10 +269,9 @@ def scores(docs: DataFrame, gain: np.ndarray, seed: int = SEED) -> DataFrame:
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).to_pylist()
         n_words, n_features, weight = (np.zeros(len(ids), dtype=np.int64) for _ in range(3))
-        for start, texts in _text_steps(batch, 1):
-            words, _, runs = word_runs(texts)
-            part = slice(start, start + len(texts))
-            n_words[part] = words
+        for part, texts, carried in _text_steps(batch, 1):
+            words, runs = word_runs(texts, carried)
+            n_words[part] += words
             for text, crc in runs:
                 n_features[part] += np.bincount(text, minlength=len(texts))
                 # Doubles hold these sums exactly up to 2^53.

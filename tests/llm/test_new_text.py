@@ -162,7 +162,7 @@ def test_runs_keep_to_their_text():
     texts = ["", "One  two-THREE", None, "", "four", "!!", "ÉCOLE é5", "word" * 300 + " end", ""]
     for start in (0, 1, 4):
         sliced = pa.array(texts, pa.string()).slice(start)
-        words, _, runs = resampling.word_runs(sliced)
+        words, runs = resampling.word_runs(sliced)
         assert words.tolist() == [features(t)[1] for t in texts[start:]]
         found = Counter((int(d), int(c)) for text, crc in runs for d, c in zip(text, crc))
         expected = Counter(
@@ -171,6 +171,21 @@ def test_runs_keep_to_their_text():
         assert found == expected
 
 
+@pytest.mark.parametrize("step", [1, 5, 40])
+def test_long_texts_come_in_parts(monkeypatch, step):
+    monkeypatch.setattr(resampling, "TEXT_STEP", step)
+    draw = random.Random(step)
+    texts = [" ".join(draw.choices(["a", "Bc", "-", "ünï", "9" * 30], k=60)) for _ in range(20)] + ["x" * 500, "", None]
+    batch = pa.record_batch([pa.array(texts, pa.string())], names=["text"])
+    found, words = Counter(), Counter()
+    for rows, part, carried in resampling._text_steps(batch, 0):
+        n, runs = resampling.word_runs(part, carried)
+        words.update({rows.start + i: int(x) for i, x in enumerate(n)})
+        found.update((rows.start + int(d), int(c)) for text, crc in runs for d, c in zip(text, crc))
+    assert found == Counter((i, zlib.crc32(f.encode())) for i, t in enumerate(texts) for f in features(t)[0])
+    assert [words[i] for i in range(len(texts))] == [features(t)[1] for t in texts]
+
+
 @pytest.mark.parametrize("sf", [SF, SF1])
 def test_resampling_equals_brute_force(spark, sf):
     docs = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
