@@ -61,15 +61,16 @@ def ledger_lookup(ledger: DataFrame) -> DataFrame:
     )
 
 
-def one_hub_row(hub: DataFrame) -> DataFrame:
+def one_hub_row(hub: DataFrame, *keys: str) -> DataFrame:
     """One row per gateway key: a successful one if there is one, then the earliest.
 
     Nothing stops the hub from delivering an order twice; left in, the second row
-    would repeat every settlement row of the order.
+    would repeat every settlement row of the order. ``keys`` are more columns that
+    rows must share to be one, for reports that look orders up by another id.
     """
     return pick_first(
-        hub, ["gateway", "settle_key"], "status <> 'SUCCESS'", "created_date", "order_id", "hub_txn_id",
-        "amount",
+        hub, ["gateway", "settle_key", *keys], "status <> 'SUCCESS'", "created_date", "order_id",
+        "hub_txn_id", "amount",
     )
 
 
@@ -273,30 +274,41 @@ def waterfall_by_gateway(base: DataFrame, bank: DataFrame) -> DataFrame:
         total("hub_amount", "l2_match = 'MATCHED'") + " AS hub",
         total("ledger_amount", "l1_match = 'MATCHED'") + " AS ledger",
     )
-    deposits = group(bank, "gateway", f"{total('deposit')} AS bank")
-    return sums.join(deposits, "gateway", "left").selectExpr(
-        "gateway",
-        "coalesce(bank, 0) AS bank",
-        "gross",
-        "net",
-        "hub",
-        "ledger",
-        "coalesce(bank, 0) - gross AS bank_minus_gross",
-        "gross - hub AS gross_minus_hub",
-        "hub - ledger AS hub_minus_ledger",
+    layers = ("bank", "gross", "net", "hub", "ledger")
+    # Deposits count whether or not the gateway has settlements, and without a gateway too.
+    deposits = group(
+        bank, "gateway", f"{total('deposit')} AS bank"
+    ).withColumnRenamed("gateway", "bank_gateway")
+    return (
+        sums.join(deposits, F.expr("gateway <=> bank_gateway"), "full")
+        .selectExpr(
+            "coalesce(gateway, bank_gateway) AS gateway", *[f"coalesce({x}, 0) AS {x}" for x in layers]
+        )
+        .selectExpr(
+            "*",
+            "bank - gross AS bank_minus_gross",
+            "gross - hub AS gross_minus_hub",
+            "hub - ledger AS hub_minus_ledger",
+        )
     )
 
 
 def recon_waterfall(base: DataFrame, bank: DataFrame) -> DataFrame:
-    """The waterfall with one row per layer and one column per gateway."""
+    """The waterfall with one row per layer and one column per gateway.
+
+    ``unassigned`` holds what no known gateway has: deposits without a label, say. It is
+    part of ``all_gateways``, which covers every deposit.
+    """
     by_gateway = waterfall_by_gateway(base, bank)
     layers = by_gateway.columns[1:]
     long = by_gateway.unpivot("gateway", layers, "layer", "amount")
-    wide = long.groupBy("layer").pivot("gateway", GATEWAY_CODES).agg(F.expr("sum(amount)"))
-    return wide.selectExpr(
+    other = f"gateway IS NULL OR gateway NOT IN ({', '.join(repr(g) for g in GATEWAY_CODES)})"
+    return group(
+        long,
         "layer",
-        *[f"coalesce({g}, 0) AS {g.lower()}" for g in GATEWAY_CODES],
-        " + ".join(f"coalesce({g}, 0)" for g in GATEWAY_CODES) + " AS all_gateways",
+        *[f"{total('amount', f'gateway = {g!r}')} AS {g.lower()}" for g in GATEWAY_CODES],
+        f"{total('amount', other)} AS unassigned",
+        f"{total('amount')} AS all_gateways",
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from tallychain.config import Period
 from tallychain.functions.money import fee_sign_class, safe_pct, total
 from tallychain.functions.text import order_pattern
+from tallychain.operators.base import one_hub_row
 from tallychain.operators.frames import group, top_k, union_all, with_totals
 from tallychain.operators.hub_gateway import KEY, hub_keys, hub_scope
 from tallychain.operators.settlements import keyed
@@ -149,7 +150,7 @@ def fee_rows(
     settlement: DataFrame, hub: DataFrame, period: Period | None = None, k: int | None = None
 ) -> DataFrame:
     """Rows that were charged a fee, with their order; the ``k`` highest fees if given."""
-    rows = _charged_rows(settlement, hub_scope(hub, period))
+    rows = _charged_rows(settlement, one_hub_row(hub_scope(hub, period)))
     if k is None:
         return rows
     return top_k(rows, k, "sett_fee DESC", "sett_gross DESC", "order_id", "settled_date", "method")
@@ -241,7 +242,7 @@ def fee_trace_to_ledger(
         ]
     )
     # The ledgers go onto the hub first: the settlement rows are shuffled once.
-    orders = hub_scope(hub, period).join(known, "order_id", "left")
+    orders = one_hub_row(hub_scope(hub, period)).join(known, "order_id", "left")
     extra = [c for c in known.columns if c != "order_id"]
     return _charged_rows(settlement, orders, *extra).selectExpr(
         "*", f"{order_pattern('order_id')} AS order_pattern"
@@ -249,17 +250,9 @@ def fee_trace_to_ledger(
 
 
 def fee_by_dimension(trace: DataFrame) -> DataFrame:
-    """Fees by family, ledger, method, ledger mode and plan; unknown shown as NONE.
-
-    Rows are first counted by all five together, so only the few combinations are
-    expanded into one row per dimension.
-    """
-    columns = ["order_pattern", "ledger_table", "method", "ledger_mode", "ledger_plan"]
-    combined = group(
-        trace, columns, "count(*) AS n", "sum(sett_gross) AS gross", "sum(sett_fee) AS fee"
-    )
+    """Fees by family, ledger, method, ledger mode and plan; unknown shown as NONE."""
     return profile(
-        combined,
+        trace,
         {
             "pattern": "order_pattern",
             "ledger_table": "coalesce(ledger_table, 'NONE')",
@@ -267,7 +260,6 @@ def fee_by_dimension(trace: DataFrame) -> DataFrame:
             "ledger_mode": "coalesce(ledger_mode, 'NONE')",
             "plan": "coalesce(ledger_plan, 'NONE')",
         },
-        "sum(n) AS n_rows",
-        f"{total('gross')} AS gross",
-        f"{total('fee')} AS fees",
+        "sett_gross AS gross",
+        "sett_fee AS fees",
     )

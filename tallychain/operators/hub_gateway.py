@@ -49,7 +49,8 @@ def paired(
 
     Both sides are stacked and grouped instead of joined: one shuffle gives the
     matched rows and both kinds of unmatched ones, and repeated keys on either
-    side neither fan out nor pile up in one task.
+    side neither fan out nor pile up in one task. The amount of a hub order that was
+    delivered twice counts once.
     """
     zero = "CAST(0 AS DECIMAL(18,2))"
     hubs = hub_scope(hub, hub_period).selectExpr(
@@ -60,11 +61,11 @@ def paired(
     if gateway_period is not None:
         in_period_ok += f" AND {in_period('txn_date', gateway_period)}"
     gws = gateway_txn.selectExpr(
-        *KEY, "0 AS h", f"{zero} AS h_amount", "1 AS g", "amount AS g_amount",
+        *KEY, "0 AS h", "CAST(NULL AS DECIMAL(18,2)) AS h_amount", "1 AS g", "amount AS g_amount",
         f"int({in_period_ok}) AS ok", f"CASE WHEN {in_period_ok} THEN amount ELSE {zero} END AS ok_amount",
     )
-    sums = [f"sum({c}) AS {c}" for c in ("h", "h_amount", "g", "g_amount", "ok", "ok_amount")]
-    return group(union_all([hubs, gws]), KEY, *sums)
+    sums = [f"sum({c}) AS {c}" for c in ("h", "g", "g_amount", "ok", "ok_amount")]
+    return group(union_all([hubs, gws]), KEY, "min(h_amount) AS h_amount", *sums)
 
 
 def l2_matched(hub: DataFrame, gateway_txn: DataFrame, period: Period | None = None) -> DataFrame:
@@ -158,11 +159,10 @@ def l2_mismatch_profile(hub: DataFrame, gateway_txn: DataFrame) -> DataFrame:
             "has_subvention": "subvention > 0",
             "has_discount": "coalesce(discount, 0) <> 0",
         },
-        "count(*) AS n_rows",
-        f"{total('hub_amount')} AS hub_amount",
-        f"{total('gw_amount')} AS gw_amount",
-        f"{total('subvention')} AS subvention",
-        f"{total('discount')} AS discount",
+        "hub_amount",
+        "gw_amount",
+        "subvention",
+        "discount",
     )
 
 
@@ -232,7 +232,7 @@ def refund_by_gateway(hub: DataFrame, hub_refund: DataFrame) -> DataFrame:
         "max(refund_date) AS last_date",
     )
     return group(
-        refunds.join(hub.select("order_id", "gateway"), "order_id"),
+        refunds.join(key_set(hub, "order_id", "gateway"), "order_id"),
         "gateway",
         "sum(n) AS refunds",
         f"{total('amount')} AS refund_amount",

@@ -299,8 +299,7 @@ def l1_orphans_by(hub: DataFrame, ledger: DataFrame) -> DataFrame:
             "gateway": "gateway",
             "source_month": "source_month",
         },
-        "count(*) AS n_rows",
-        f"{total('amount')} AS amount",
+        "amount",
     )
 
 

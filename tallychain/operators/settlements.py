@@ -149,7 +149,7 @@ def l3_unsettled_reason(
         f"count_if({inside}) AS inside",
         f"count_if(is_forward AND NOT {in_period('settled_date', period)}) AS other_period",
     )
-    rows = hub_scope(hub).withColumnRenamed("settle_key", "gw_key").join(
+    rows = one_hub_row(hub_scope(hub)).withColumnRenamed("settle_key", "gw_key").join(
         key_set(gateway_txn, *KEY), KEY, "left_semi"
     )
     reason = (
@@ -230,10 +230,11 @@ def embedded_settled_breakdown(
 def traced_back(settlement: DataFrame, gateway_txn: DataFrame, hub: DataFrame) -> DataFrame:
     """Settlement sums per key with the hub row found through the gateway transaction.
 
-    GW_D settles inside its transactions, so its own row is the gateway row.
+    GW_D settles inside its transactions, so its own row is the gateway row. A hub order
+    delivered twice is one row here as everywhere.
     """
     gws = key_set(gateway_txn, *KEY).selectExpr("*", "gw_key AS found_key")
-    hubs = hub.selectExpr(
+    hubs = one_hub_row(hub).selectExpr(
         "gateway", "settle_key AS gw_key", "order_id", "status", "source_month", "created_date"
     )
     rows = (
@@ -404,7 +405,7 @@ def source_month_waterfall(
     parts = group(
         rows, [*KEY, "settled_month"], "count(*) AS n", "sum(sett_gross) AS gross", "sum(sett_net) AS net"
     )
-    hubs = hub.selectExpr("gateway", "settle_key AS gw_key", "source_month")
+    hubs = one_hub_row(hub).selectExpr("gateway", "settle_key AS gw_key", "source_month")
     return group(
         parts.join(hubs, KEY, "left").selectExpr(
             "*", "coalesce(source_month, 'NOT IN HUB') AS created_month"
@@ -445,7 +446,7 @@ def refund_rows_by_origin(
     settlement: DataFrame, hub: DataFrame, period: Period | None = None
 ) -> DataFrame:
     """Refund rows settled in ``period`` by the month their order was created."""
-    hubs = hub.selectExpr("gateway", "settle_key AS gw_key", "source_month")
+    hubs = one_hub_row(hub).selectExpr("gateway", "settle_key AS gw_key", "source_month")
     rows = settled_by_key(_settled_in(settlement.where("is_refund"), period)).join(hubs, KEY, "left")
     return group(
         rows.selectExpr("*", "coalesce(source_month, 'NOT IN HUB') AS origin_month"),
@@ -479,7 +480,7 @@ def hub_refunds_by_refund_month(hub: DataFrame, hub_refund: DataFrame) -> DataFr
         "sum(CASE WHEN refund_status = 'SUCCESS' THEN refund_amount ELSE 0 END) AS ok_amount",
     )
     return group(
-        refunds.join(hub.select("order_id", "gateway"), "order_id"),
+        refunds.join(key_set(hub, "order_id", "gateway"), "order_id"),
         ["gateway", "refund_month"],
         "sum(n) AS refunds",
         f"{total('amount')} AS refund_amount",

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallychain.functions.text import order_pattern
-from tallychain.operators.base import ledger_lookup, with_deposits
-from tallychain.operators.frames import group, key_set
+from tallychain.functions.money import total
+from tallychain.operators.base import ledger_lookup, one_hub_row, with_deposits
+from tallychain.operators.frames import group, key_set, pick_first
 
 
 def trace_one(base: DataFrame, any_id: str) -> DataFrame:
@@ -30,31 +31,38 @@ def trace_end_to_end(
 ) -> DataFrame:
     """Ledger, hub, gateway, settlement and bank facts for every order id in ``ids``.
 
-    Each layer is reduced to one row per key first, so an id settled in many
-    parts gives one row per settlement day and nothing is multiplied.
+    Each layer is cut down to the wanted ids before it is grouped, and reduced to one
+    row per key before it is joined: an id settled in many parts gives one row per
+    settlement day, and a hub order delivered twice is one row.
     """
+    key = ["gateway", "gw_key"]
     wanted = key_set(ids, "order_id")
-    hubs = hub.join(wanted, "order_id", "left_semi").selectExpr(
+    hubs = one_hub_row(hub.join(wanted, "order_id", "left_semi"), "order_id").selectExpr(
         "order_id", "gateway", "settle_key AS gw_key", "hub_txn_id", "amount AS hub_amount",
         "status AS hub_status",
     )
+    keys = key_set(hub.join(wanted, "order_id", "left_semi").withColumnRenamed("settle_key", "gw_key"), *key)
+    of_wanted = ledger.join(wanted, "order_id", "left_semi")
     facts = (
         wanted.join(
-            ledger_lookup(ledger).select("order_id", "ledger_table", "ledger_amount"),
+            ledger_lookup(of_wanted).select("order_id", "ledger_table", "ledger_amount"),
             "order_id",
             "left",
         ).join(hubs, "order_id", "left")
     )
-    gw = group(gateway_txn, ["gateway", "gw_key"], "sum(amount) AS gw_amount", "count(*) AS gw_rows")
+    gw = group(
+        gateway_txn.join(keys, key, "left_semi"), key, "sum(amount) AS gw_amount", "count(*) AS gw_rows"
+    )
     sett = group(
-        settlement.where("is_forward").withColumnRenamed("settlement_order_id", "gw_key"),
-        ["gateway", "gw_key", "settled_date"],
+        settlement.where("is_forward")
+        .withColumnRenamed("settlement_order_id", "gw_key")
+        .join(keys, key, "left_semi"),
+        [*key, "settled_date"],
         "count(*) AS sett_rows",
         "sum(sett_gross) AS sett_gross",
         "sum(sett_net) AS sett_net",
         "sum(sett_fee) AS sett_fee",
     )
-    key = ["gateway", "gw_key"]
     return with_deposits(facts.join(gw, key, "left").join(sett, key, "left"), bank).select(
         "order_id", "ledger_table", "ledger_amount", "gateway", "hub_txn_id", "hub_amount",
         "hub_status", "gw_amount", "settled_date", "sett_rows", "sett_gross", "sett_net",
@@ -80,18 +88,13 @@ def latest_refund(hub_refund: DataFrame, status: str = "SUCCESS") -> DataFrame:
 
 
 def one_per_order(ledger: DataFrame, table: str) -> DataFrame:
-    return group(
-        ledger.where(f"ledger_table = '{table}' AND order_id IS NOT NULL"),
-        "order_id",
-        "max(ledger_date) AS ledger_date",
-        "min(ledger_amount) AS ledger_amount",
-        "max(mode) AS mode",
-        "max(mobile) AS mobile",
-        "max(plan) AS plan",
-        "max(ledger_status) AS ledger_status",
-        "max(payment_status) AS payment_status",
-        "max(refund_status) AS refund_status",
+    """The last row that a ledger has of each order, as it stands there; ties to the smaller amount."""
+    columns = (
+        "ledger_date", "ledger_amount", "mode", "mobile", "plan", "ledger_status", "payment_status",
+        "refund_status",
     )
+    rows = ledger.where(f"ledger_table = '{table}' AND order_id IS NOT NULL").select("order_id", *columns)
+    return pick_first(rows, ["order_id"], "ledger_date DESC", *columns[1:])
 
 
 def amount_mismatch(hub: DataFrame, gateway_txn: DataFrame, *extra: str) -> DataFrame:
@@ -133,7 +136,7 @@ def refund_trace(
         "mode AS pr_mode", "mobile AS pr_mobile", "plan AS pr_plan",
     )
     facts = [refunded, revenue, latest_refund(hub_refund)]
-    orders = hub.where("status = 'SUCCESS'")
+    orders = one_hub_row(hub.where("status = 'SUCCESS'"), "order_id")
     for frame in facts:
         orders = orders.join(frame, "order_id", "left")
     extra = [c for frame in facts for c in frame.columns if c != "order_id"]
@@ -166,22 +169,31 @@ def refund_trace_profile(trace: DataFrame) -> DataFrame:
         "ledger_payment_status": "coalesce(ledger_payment_status, 'NONE')",
         "ledger_txn_status": "coalesce(ledger_txn_status, 'NONE')",
     }
-    return profile(
-        trace,
-        dimensions,
-        "count(*) AS n_rows",
-        "CAST(sum(hub_amount) AS DECIMAL(38,2)) AS hub_amount",
-        "CAST(sum(gw_amount) AS DECIMAL(38,2)) AS gw_amount",
-        "CAST(coalesce(sum(refund_amount), 0) AS DECIMAL(38,2)) AS refund_amount",
-    )
+    return profile(trace, dimensions, "hub_amount", "gw_amount", "refund_amount")
 
 
-def profile(df: DataFrame, dimensions: dict[str, str], *aggs: str) -> DataFrame:
-    """The same aggregates by each of several dimensions, in one pass over ``df``.
+def profile(df: DataFrame, dimensions: dict[str, str], *measures: str) -> DataFrame:
+    """Row counts and totals (``"x"`` or ``"x AS name"``) by each of several dimensions.
 
-    Every row is expanded once per dimension in front of a partial aggregate;
-    the input, often a chain of joins, is computed only once.
+    Rows are first summed up by all dimensions together, so that only their few
+    combinations are expanded into one row per dimension; the input, often a chain of
+    joins, is computed once and never repeated.
     """
-    names = ", ".join(f"'{n}', CAST({e} AS STRING)" for n, e in dimensions.items())
-    long = df.selectExpr("*", f"stack({len(dimensions)}, {names}) AS (dimension, value)")
-    return group(long, ["dimension", "value"], *aggs)
+    named = [m.rsplit(" AS ", 1) if " AS " in m else (m, m) for m in measures]
+    keys = {f"_by_{i}": e for i, e in enumerate(dimensions.values())}
+    combined = group(
+        df.selectExpr(
+            *[f"CAST({e} AS STRING) AS {k}" for k, e in keys.items()], *[f"{x} AS {n}" for x, n in named]
+        ),
+        list(keys),
+        "count(*) AS n_rows",
+        *[f"sum({n}) AS {n}" for _, n in named],
+    )
+    pairs = ", ".join(f"'{n}', {k}" for n, k in zip(dimensions, keys))
+    long = combined.selectExpr("*", f"stack({len(dimensions)}, {pairs}) AS (dimension, value)")
+    return group(
+        long,
+        ["dimension", "value"],
+        "sum(n_rows) AS n_rows",
+        *[f"{total(n)} AS {n}" for _, n in named],
+    )

@@ -152,11 +152,13 @@ RELATIONS: dict[str, str] = {
                order_id, NULL, true, NULL, NULL FROM booked WHERE k % 10 = 5
         UNION ALL
         SELECT order_id, 'ledger_refunded',
-               CAST(amount + CASE WHEN k % 211 = 0 THEN 1 ELSE 0 END AS DECIMAL(18,2)),
-               CAST(created_date + 5 AS DATE), 'REFUNDED', 'online', 'type' || (k % 3), NULL, 'm-' || cust,
-               order_id, NULL, k % 300 <> 0, CASE WHEN k % 4 = 0 THEN 'PAID' ELSE 'REVERSED' END,
+               CAST(amount + CASE WHEN k % 211 = 0 THEN 1 ELSE 0 END - part AS DECIMAL(18,2)),
+               CAST(created_date + (5 - part) AS DATE), CASE part WHEN 0 THEN 'REFUNDED' ELSE 'RETURNED' END,
+               CASE part WHEN 0 THEN 'online' ELSE 'upi' END, 'type' || ((k + part) % 3), NULL, 'm-' || cust,
+               order_id, NULL, k % 300 <> 0, CASE WHEN (k + part) % 4 = 0 THEN 'PAID' ELSE 'REVERSED' END,
                CASE WHEN k % 300 <> 0 THEN '1' ELSE '0' END
-        FROM spine WHERE k % 100 = 0 OR k % 110 = 2""",
+        FROM spine, (VALUES (0), (1)) parts(part)
+        WHERE (k % 100 = 0 OR k % 110 = 2 OR k % 93 = 0) AND (part = 0 OR k % 31 = 0)""",
     "bank": """
         SELECT gateway,
                CASE gateway WHEN 'GW_A' THEN '01 Wallet A' WHEN 'GW_B' THEN '05 Wallet B'

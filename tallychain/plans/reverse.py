@@ -101,17 +101,20 @@ WITH w AS (
          coalesce(SUM(hub_amount) FILTER (l2_match = 'MATCHED'), 0) AS hub_amt,
          coalesce(SUM(ledger_amount) FILTER (l1_match = 'MATCHED'), 0) AS led
   FROM base_once b GROUP BY 1),
-d AS (SELECT gateway, SUM(deposit) AS dep FROM bank GROUP BY 1),
+sides AS (
+  SELECT gateway, 0 AS dep, gross, net, hub_amt, led FROM w UNION ALL
+  SELECT gateway, deposit, 0, 0, 0, 0 FROM bank),
 steps AS (
-  SELECT w.gateway, unnest(['bank', 'gross', 'net', 'hub', 'ledger', 'bank_minus_gross',
-                            'gross_minus_hub', 'hub_minus_ledger']) AS layer,
-         unnest([coalesce(dep, 0), gross, net, hub_amt, led, coalesce(dep, 0) - gross,
-                 gross - hub_amt, hub_amt - led]) AS amount
-  FROM w LEFT JOIN d ON d.gateway = w.gateway)
+  SELECT gateway, unnest(['bank', 'gross', 'net', 'hub', 'ledger', 'bank_minus_gross',
+                          'gross_minus_hub', 'hub_minus_ledger']) AS layer,
+         unnest([dep, gross, net, hub_amt, led, dep - gross, gross - hub_amt, hub_amt - led]) AS amount
+  FROM sides)
 SELECT layer, coalesce(SUM(amount) FILTER (gateway = 'GW_A'), 0)::DOUBLE AS gw_a,
        coalesce(SUM(amount) FILTER (gateway = 'GW_B'), 0)::DOUBLE AS gw_b,
        coalesce(SUM(amount) FILTER (gateway = 'GW_C'), 0)::DOUBLE AS gw_c,
        coalesce(SUM(amount) FILTER (gateway = 'GW_D'), 0)::DOUBLE AS gw_d,
+       coalesce(SUM(amount) FILTER (coalesce(gateway, '') NOT IN ('GW_A', 'GW_B', 'GW_C', 'GW_D')), 0)::DOUBLE
+         AS unassigned,
        SUM(amount)::DOUBLE AS all_gateways
 FROM steps GROUP BY 1""")
 def recon_waterfall(c: Chain):
@@ -286,8 +289,8 @@ def trace_end_to_end(c: Chain):
     )
 
 
-# From the rule, one fact at a time: which payments differ, what either ledger says about
-# the order, and the last refund. ``facts`` stacks the ledgers and folds them per order.
+# From the rule, one fact at a time: which payments differ, the last row that either ledger
+# has of the order, and the last refund. ``facts`` puts both ledgers' rows side by side.
 _REFUND_TRACE = """
 WITH paid AS (
   SELECT order_id, gateway, hub_txn_id, settle_key, amount, created_date, customer_id, payment_flow
@@ -296,7 +299,9 @@ ledger_row AS (
   SELECT order_id, ledger_table = 'ledger_refunded' AS back, ledger_date AS on_date, ledger_amount AS amt,
          mode AS how, mobile AS phone, plan AS kind, payment_status AS pay_st, refund_status AS ref_st,
          ledger_status AS txn_st
-  FROM ledger WHERE ledger_table IN ('ledger_refunded', 'ledger_revenue')),
+  FROM ledger WHERE ledger_table IN ('ledger_refunded', 'ledger_revenue')
+  QUALIFY row_number() OVER (PARTITION BY order_id, ledger_table ORDER BY ledger_date DESC NULLS LAST,
+    ledger_amount NULLS LAST, mode, mobile, plan, ledger_status, payment_status, refund_status) = 1),
 facts AS (
   SELECT order_id, bool_or(back) AS in_back, bool_or(NOT back) AS in_revenue,
          max_by(on_date, back) AS on_date, max_by(amt, back) AS amt, max_by(how, back) AS how,

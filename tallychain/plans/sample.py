@@ -243,16 +243,19 @@ def ledger_sources(spine: DataFrame) -> dict[str, DataFrame]:
             "paid AS amount",
             "CASE WHEN k % 4 = 1 THEN day_name ELSE concat(day, ' 10:00:00') END AS datetime",
         ),
-        # Some of these orders are in a main ledger too, and some are not refunded yet.
-        "ledger_refunded": s.where("k % 100 = 0 OR k % 110 = 2").selectExpr(
+        # Some of these orders are in a main ledger too, some are not refunded yet, and some
+        # are refunded in two parts; those are rows of their own in every column.
+        "ledger_refunded": s.where("k % 100 = 0 OR k % 110 = 2 OR k % 93 = 0")
+        .selectExpr("*", "explode(sequence(0, if(k % 31 = 0, 1, 0))) AS part")
+        .selectExpr(
             "order_id AS transaction_id",
-            "paid AS pay_amount",
+            "paid - part AS pay_amount",
             "CAST(k % 300 <> 0 AS BIGINT) AS refund_status",
-            "CAST(date_add(created_date, 5) AS STRING) AS dt",
-            "'online' AS payment_mode",
-            "if(k % 4 = 0, 'PAID', 'REVERSED') AS payment_status",
-            "concat('type', k % 3) AS payment_type",
-            "'REFUNDED' AS txn_status",
+            "CAST(date_add(created_date, 5 - part) AS STRING) AS dt",
+            "if(part = 0, 'online', 'upi') AS payment_mode",
+            "if((k + part) % 4 = 0, 'PAID', 'REVERSED') AS payment_status",
+            "concat('type', (k + part) % 3) AS payment_type",
+            "if(part = 0, 'REFUNDED', 'RETURNED') AS txn_status",
             "mobile",
         ),
     }

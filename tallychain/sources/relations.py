@@ -32,11 +32,17 @@ from tallychain.functions.status import (
     settle_key,
 )
 from tallychain.functions.text import strip_quotes
+from tallychain.operators.base import one_hub_row
 from tallychain.operators.frames import union_all
 
 
 def hub(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(
+    """Orders, one row each: an order delivered twice is the row ``one_hub_row`` picks.
+
+    Every report on the hub thus counts it once. Orders that have no gateway key are
+    told apart by their own ids.
+    """
+    rows = raw.selectExpr(
         "order_id",
         "hub_txn_id",
         f"{settle_key('payment_gateway', 'order_id', 'hub_txn_id')} AS settle_key",
@@ -49,6 +55,9 @@ def hub(raw: DataFrame) -> DataFrame:
         "customer_id",
         "payment_flow",
     )
+    return one_hub_row(
+        rows.selectExpr("*", "CASE WHEN settle_key IS NULL THEN struct(order_id, hub_txn_id) END AS _own"), "_own"
+    ).drop("_own")
 
 
 def hub_refund(raw: DataFrame) -> DataFrame:

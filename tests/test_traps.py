@@ -4,6 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallychain.config import LEDGERS, Period
 from tallychain.functions import dates, money, status, text
@@ -19,9 +20,14 @@ from tallychain.operators import (
     settlements,
 )
 from tallychain.operators.frames import pick_first
-from tallychain.operators.trace import latest_refund
+from tallychain.operators.trace import latest_refund, one_per_order
+from tallychain.plans import registry, sample
+from tallychain.session import shared_dir
 from tallychain.sources import relations, tables
 from tallychain.sources.relations import union_all
+from tests.oracle_check import rows_of
+
+registry.plans()
 
 
 def one_column(spark, values, expr, kind="string"):
@@ -442,3 +448,108 @@ def test_refunds_of_all_orders_are_deducted_from_the_bridge(spark):
     )
     row = settlements.bridge_summary(hub, gw, sett, refunds).where("gateway = 'ALL'").first()
     assert (row.net, row.refund_amount, row.adjusted_net, row.total_cost) == (98, 25, 73, 27)
+
+
+# --- a hub order delivered twice -------------------------------------------------------
+
+#: Reports in which hub rows meet settlements, gateway rows or refunds.
+MEETS_HUB = [
+    "recon_base", "settlement_universe", "period_universe", "join_chain_reverse", "trace_end_to_end",
+    "refund_trace", "refund_trace_profile", "source_month_waterfall", "refund_rows_by_origin", "fee_rows",
+    "fee_trace_to_ledger", "fee_by_dimension", "l2_summary", "l2_matched", "l3_settled", "l3_summary",
+    "l3_unsettled_reason", "amount_bridge", "refund_by_gateway", "hub_refunds_by_refund_month", "join_chain_3",
+    "period_summary", "recon_waterfall", "recon_scorecard", "l3_batches", "bank_scorecard", "refund_trace_3way",
+]
+
+
+@pytest.fixture(scope="module")
+def repeated(spark, stored):
+    """The stored relations with a seventh of all hub rows delivered once more."""
+    path = shared_dir(spark, "hub-repeats")
+    again = stored.hub.where("abs(hash(order_id)) % 7 = 0")
+    assert again.count() >= 200
+    stored.hub.unionByName(again).write.parquet(path)
+    chain = registry.StoredChain(spark, stored.root, stored.stored)
+    chain.__dict__["hub"] = spark.read.parquet(path)
+    return chain
+
+
+@pytest.mark.parametrize("name", MEETS_HUB)
+def test_repeated_hub_rows_change_no_report(name, stored, repeated):
+    """The operators themselves hold against a hub that was not reduced."""
+    results = [registry.run(name, chain) for chain in (stored, repeated)]
+    before, after = (rows_of(df.columns, df.collect()) for df in results)
+    assert before == after
+
+
+def test_the_hub_relation_has_each_order_once(spark, derived):
+    """What all registered queries read: the same rows whether or not a delivery is repeated."""
+    raw = sample.hub_txn(derived.spine)
+    twice = raw.unionByName(raw.where("abs(hash(order_id)) % 7 = 0"))
+    late = raw.where("abs(hash(order_id)) % 7 = 0").withColumns(
+        {"payment_status": F.lit("FAILED"), "amount": F.lit("1")}
+    )
+    expected = rows_of(derived.hub.columns, derived.hub.where("status = 'SUCCESS'").collect())
+    for delivered in (twice, twice.unionByName(late)):
+        hub = relations.hub(delivered).where("status = 'SUCCESS'")
+        assert rows_of(hub.columns, hub.collect()) == expected
+
+
+def test_orders_without_a_gateway_key_stay_apart(spark, derived):
+    raw = sample.hub_txn(derived.spine).limit(3)
+    loose = raw.withColumn("hub_txn_id", F.lit(None).cast("string")).withColumn("payment_gateway", F.lit("GW_A"))
+    assert relations.hub(loose.unionByName(loose)).count() == 3
+
+
+# --- whole ledger rows, whole waterfalls ------------------------------------------------
+
+
+def test_the_last_ledger_row_is_kept_whole(spark):
+    rows = [
+        ("a", "ledger_refunded", Decimal(5), date(2026, 1, 2), "upi", "m1", "p9", "X", "PAID", "1"),
+        ("a", "ledger_refunded", Decimal(9), date(2026, 1, 3), "card", "m0", "p1", "A", "BACK", "0"),
+        ("a", "ledger_refunded", Decimal(7), date(2026, 1, 3), "net", "m2", None, "B", "OPEN", None),
+        ("a", "ledger_refunded", Decimal(1), None, "zzz", "m9", "p9", "Z", "ZZ", "9"),
+        ("a", "ledger_revenue", Decimal(3), date(2026, 1, 9), "cash", "m3", "p2", "C", None, None),
+    ]
+    ledger = spark.createDataFrame(
+        rows, "order_id string, ledger_table string, ledger_amount decimal(18,2), ledger_date date, mode string, "
+        "mobile string, plan string, ledger_status string, payment_status string, refund_status string",
+    )
+    row = one_per_order(ledger, "ledger_refunded").collect()
+    assert len(row) == 1
+    assert row[0].asDict() == {
+        "order_id": "a", "ledger_date": date(2026, 1, 3), "ledger_amount": Decimal("7.00"), "mode": "net",
+        "mobile": "m2", "plan": None, "ledger_status": "B", "payment_status": "OPEN", "refund_status": None,
+    }
+
+
+def test_the_sample_has_traced_orders_with_two_refunded_rows(spark):
+    """Else the SQL beside ``refund_trace`` would not show a mix of rows."""
+    chain = registry.Chain(spark, "/root/testdata/sf0.01")
+    twice = frames.group(chain.ledger.where("ledger_table = 'ledger_refunded'"), "order_id", "count(*) AS n")
+    traced = registry.run("refund_trace", chain).join(twice.where("n > 1"), "order_id")
+    assert traced.count() >= 2
+    assert traced.where("ledger_presence = 'NOT_FOUND'").count() == 0
+
+
+def test_deposits_of_any_gateway_reach_the_waterfall(spark):
+    hub, sett, ledger, _ = small_chain(
+        spark, [("o1", "t1", 100, "SUCCESS")], [("GW_A", "t1", "2026-01-02", 100, 2, "ACQUIRING")], []
+    )
+    deposits = spark.createDataFrame(
+        [("GW_A", date(2026, 1, 2), Decimal(98)), ("GW_B", date(2026, 1, 2), Decimal(61)), (None, date(2026, 1, 3), Decimal(7))],
+        "gateway string, bank_date date, deposit decimal(18,2)",
+    )
+    table = base.recon_base(sett, hub, ledger, deposits)
+    bank_row = base.recon_waterfall(table, deposits).where("layer = 'bank'").first()
+    assert (bank_row.gw_a, bank_row.gw_b, bank_row.gw_c, bank_row.unassigned, bank_row.all_gateways) == (98, 61, 0, 7, 166)
+    step = base.recon_waterfall(table, deposits).where("layer = 'bank_minus_gross'").first()
+    assert (step.gw_a, step.gw_b, step.unassigned, step.all_gateways) == (-2, 61, 7, 66)
+
+
+def test_a_profile_expands_combinations_not_rows(stored):
+    plan = registry.run("refund_trace_profile", stored)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    generate = next(i for i, line in enumerate(lines) if "Generate stack" in line or "Expand" in line)
+    assert any("Aggregate" in line for line in lines[generate:][:4])
