@@ -30,6 +30,6 @@ def read_base(spark: SparkSession, path: str) -> DataFrame:
 
 
 def csv_export(df: DataFrame, path: str, *order: str) -> None:
-    """CSV with a header. ``order`` sorts over all files: part 0 holds the first rows."""
+    """CSV with a header, quotes doubled. ``order`` sorts over all files: part 0 holds the first rows."""
     out = df.orderBy(*ordering(order)) if order else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -1,5 +1,6 @@
 """Small hand-made frames for every trap in the source data."""
 
+import uuid
 from datetime import date
 from decimal import Decimal
 
@@ -342,6 +343,75 @@ def test_a_missing_csv_column_is_an_error(spark, tmp_path):
     assert by_alias.rows.collect() == [("x",)]
 
 
+def jobs_of(spark, action):
+    """How many Spark jobs ``action`` runs, and what it returns."""
+    name = f"count-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(name, "")
+    try:
+        out = action()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)), out
+
+
+def test_jobs_of_a_load_do_not_grow_with_its_files(spark, tmp_path):
+    """500 files of three layouts, some with a blank first line, one of them empty."""
+    heads = ["order_id,amount,junk", "\nAmount , ORDER_ID", "\n\n\ufeffextra,order_id,amount"]
+    lines = ["x{i},{i}.5,j", "{i}.5,x{i}", "e,x{i},{i}.5"]
+    for n, folder in ((50, "few"), (500, "many")):
+        for i in range(n):
+            body = lines[i % 3].format(i=i)
+            write_csv(tmp_path / folder, f"part {i}.csv", f"{heads[i % 3]}\n{body}\n{'bad' if i == 4 else body}\n")
+        write_csv(tmp_path / folder, "none.csv", "")
+    counts = {}
+    for n, folder in ((50, "few"), (500, "many")):
+        counts[n], landed = jobs_of(
+            spark,
+            lambda: tables.csv_load(
+                spark, f"{tmp_path}/{folder}/*.csv", str(tmp_path / "out"), folder, "order_id STRING, amount DECIMAL(9,1)"
+            ),
+        )
+        assert sorted(landed.rows.collect()) == sorted(
+            (f"x{i}", Decimal(f"{i}.5")) for i in range(n) for _ in range(1 if i == 4 else 2)
+        )
+        assert [(r.source_file, r.bad_columns) for r in landed.rejects.collect()] == [("part 4.csv", ["*", "amount"])]
+    # Headers, the listing of the pattern and of each layout's files, and the one parse.
+    assert counts[500] <= counts[50] + 3 <= 8
+
+
+def test_files_are_parsed_once_and_rejects_are_a_partition(spark, tmp_path):
+    write_csv(tmp_path / "in", "a.csv", "order_id,amount\nx,1\ny,oops\nz,2\n")
+    loaded = tables.csv_load(spark, str(tmp_path / "in"), str(tmp_path), "t", "order_id STRING, amount INT")
+    for landed in (loaded, tables.open_landed(spark, str(tmp_path / "t"))):
+        assert sorted(landed.rows.collect()) == [("x", 1), ("z", 2)]
+        assert landed.rejects.collect() == [("y", "oops", "a.csv", ["amount"])]
+        plan = landed.rows._jdf.queryExecution().executedPlan().toString()
+        assert "csv" not in plan.lower().split("parquet")[0] and f"PartitionFilters: [isnotnull({tables.LANDED_AS}" in plan
+    tables.csv_load(spark, str(tmp_path / "in"), str(tmp_path), "t", "order_id STRING, amount STRING")
+    again = tables.open_landed(spark, str(tmp_path / "t"))
+    assert again.rows.count() == 3 and again.rejects.count() == 0
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    write_csv(tmp_path / "in", "a.csv", 'order_id,remark\nx,"two\nlines ""q"""\ny,one\n')
+    args = spark, str(tmp_path / "in"), "order_id STRING, remark STRING"
+    assert sorted(tables.read_csv(*args, multi_line=True).rows.collect()) == [("x", 'two\nlines "q"'), ("y", "one")]
+    assert tables.read_csv(*args).rejects.count() > 0
+
+
+def test_header_columns():
+    assert tables.header_columns('a,"b, c",,A') == ("a0", "b, c", "_c2", "A3")
+
+
+def test_a_load_without_files_that_have_rows(spark, tmp_path):
+    write_csv(tmp_path / "in", "a.csv", "order_id,amount\n")
+    write_csv(tmp_path / "none", "b.csv", "")
+    for folder in ("in", "none"):
+        landed = tables.csv_load(spark, str(tmp_path / folder), str(tmp_path), "t", "order_id STRING, amount INT")
+        assert landed.rows.columns == ["order_id", "amount"]
+        assert landed.rows.count() == landed.rejects.count() == 0
+
+
 def small_chain(spark, hub_rows, sett_rows, ledger):
     hub = spark.createDataFrame(
         [(o, t, t, "GW_A", Decimal(a), s, date(2026, 1, 1), "2026-01") for o, t, a, s in hub_rows],
