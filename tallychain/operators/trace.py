@@ -8,17 +8,24 @@ from pyspark.sql import functions as F
 from tallychain.functions.text import order_pattern
 from tallychain.functions.money import total
 from tallychain.operators.base import ledger_lookup, one_hub_row, with_deposits
-from tallychain.operators.frames import group, key_set, pick_first
+from tallychain.operators.frames import group, key_set, pick_first, union_all
 
 
 def trace_one(base: DataFrame, any_id: str) -> DataFrame:
-    """All base rows of one id, given as settlement, hub order or hub transaction id."""
+    """All base rows of one id, given as settlement, hub order or hub transaction id.
+
+    A branch for each id: every scan gets one equality, which min/max values, the
+    dictionary and the bloom filter of a row group can answer.
+    """
     wanted = F.lit(any_id)
-    return base.where(
-        (F.col("settlement_order_id") == wanted)
-        | (F.col("hub_order_id") == wanted)
-        | (F.col("hub_txn_id") == wanted)
-    )
+    ids = [F.col(c) for c in ("settlement_order_id", "hub_order_id", "hub_txn_id")]
+    branches = []
+    for i, own in enumerate(ids):
+        rows = base.where(own == wanted)
+        for before in ids[:i]:
+            rows = rows.where(~before.eqNullSafe(wanted))
+        branches.append(rows)
+    return union_all(branches)
 
 
 def trace_end_to_end(

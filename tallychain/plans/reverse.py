@@ -7,11 +7,11 @@ from collections.abc import Callable
 
 from tallychain.config import Period
 from tallychain.operators import base as ops
-from tallychain.operators import trace
+from tallychain.operators import refresh, trace
 from tallychain.operators.frames import group
 from tallychain.plans.registry import Chain, body, query
 from tallychain.session import shared_dir
-from tallychain.sources import sinks
+from tallychain.sources import base_store, sinks
 
 MONTH = Period.month("1996-01")
 NEXT_MONTH = Period.month("1996-02")
@@ -375,6 +375,39 @@ def recon_base_write(c: Chain):
     )
 
 
+#: Rows that arrive after the first build, by relation.
+_LATE = {
+    "settlement": "settled_date >= '1998-06-01' AND settled_date < '1998-08-01'",
+    "hub": "abs(hash(order_id)) % 400 = 0",
+    "ledger": "abs(hash(order_id, ledger_table)) % 500 = 0",
+    "bank": "bank_date >= '1998-06-20' AND bank_date < '1998-08-01'",
+}
+_FOLDERS = 16
+
+
+@query("recon_base_refresh", body("recon_base"))
+def recon_base_refresh(c: Chain):
+    """The base written without the late rows of every layer, then brought up to date with them."""
+    path = shared_dir(c.spark, "recon_base_refresh")
+    first = {n: getattr(c, n).where(f"NOT coalesce({late}, false)") for n, late in _LATE.items()}
+    sinks.recon_base_write(ops.recon_base(*first.values()), path)
+    late = refresh.Late(**{n: getattr(c, n).where(cond) for n, cond in _LATE.items()})
+    base_store.refresh(c.spark, path, c.settlement, c.hub, c.ledger, c.bank, late)
+    return sinks.read_base(c.spark, path)
+
+
+@query("trace_one_stored", body("trace_one"))
+def trace_one_stored(c: Chain):
+    """One id looked up in the stored base, through its index."""
+    path, index = shared_dir(c.spark, "base"), shared_dir(c.spark, "base-index")
+    sinks.recon_base_write(c.base, path)
+    base_store.add_to_index(sinks.read_base(c.spark, path), index, _FOLDERS)
+    return base_store.look_up(c.spark, path, index, "sub_22", _FOLDERS).select(
+        "gateway", "settlement_order_id", "settled_date", "sett_gross", "hub_order_id",
+        "ledger_table", "trace_status",
+    )
+
+
 @query("gap_export_settlement", """
 SELECT gateway, settlement_order_id, settled_date, sett_gross::DOUBLE AS sett_gross,
        sett_net::DOUBLE AS sett_net, sett_fee::DOUBLE AS sett_fee, sett_utr, sett_txn_type,

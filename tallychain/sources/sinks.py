@@ -8,19 +8,32 @@ from pyspark.sql import functions as F
 from tallychain.operators.frames import ordering
 
 
+#: Ids that single rows of the base table are looked up by.
+BASE_IDS = ("settlement_order_id", "hub_order_id", "hub_txn_id")
+#: Bytes of a row group of the base table, and distinct ids its bloom filters are meant for.
+ROW_GROUP_BYTES, ROW_GROUP_IDS = 16 << 20, 200_000
+
+
 def recon_base_write(base: DataFrame, path: str) -> None:
     """Replace the months that ``base`` covers; other months stay.
 
     ``rebalance`` sizes the files: a gateway with most of a month's rows is
-    split over several writers, small ones are merged.
+    split over several writers, small ones are merged. Files are in order of the
+    settlement id and have a bloom filter on each id, so that a look-up of one
+    order opens the row groups that may hold it.
     """
-    (
+    out = (
         base.hint("rebalance", F.col("recon_month"), F.col("gateway"))
+        .sortWithinPartitions("recon_month", "gateway", "settlement_order_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("recon_month", "gateway")
-        .parquet(path)
+        .option("parquet.block.size", ROW_GROUP_BYTES)
     )
+    for column in BASE_IDS:
+        out = out.option(f"parquet.bloom.filter.enabled#{column}", "true").option(
+            f"parquet.bloom.filter.expected.ndv#{column}", ROW_GROUP_IDS
+        )
+    out.partitionBy("recon_month", "gateway").parquet(path)
 
 
 def read_base(spark: SparkSession, path: str) -> DataFrame:
