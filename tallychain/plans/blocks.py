@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallychain.config import Period
 from tallychain.functions import dates, money, status, text
-from tallychain.operators import inventory, matching, settlements
+from tallychain.functions.dates import month_label
+from tallychain.operators import inventory, matching, settlements, sketches
 from tallychain.operators.bank import bank_daily_full, bank_monthly
 from tallychain.operators.base import ledger_lookup
 from tallychain.operators.frames import (
@@ -18,7 +21,7 @@ from tallychain.operators.trace import latest_refund
 from tallychain.plans.layer1 import PATTERN
 from tallychain.plans.registry import Chain, query
 from tallychain.session import shared_dir
-from tallychain.sources import sinks, tables, warehouse
+from tallychain.sources import deliveries, sinks, tables, warehouse
 
 MONTH = Period.month("1996-01")
 NAMES = [
@@ -141,6 +144,47 @@ def dedupe_on_load(c: Chain):
     ).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
+@query("dedupe_across_deliveries", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1""")
+def dedupe_across_deliveries(c: Chain):
+    """Lines that come in three deliveries, many of them again and at another price: the first counts."""
+    index, target = shared_dir(c.spark, "deliveries-index"), shared_dir(c.spark, "deliveries")
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    lines = c.lineitem.select(columns)
+    dearer = lines.withColumn("l_extendedprice", F.col("l_extendedprice") + 1)
+    first, early = lines.where("l_orderkey % 3 <> 0"), "l_orderkey % 3 <> 0"
+    second = lines.where(f"NOT ({early}) AND l_orderkey % 2 = 0").unionByName(
+        dearer.where(f"({early}) AND l_orderkey % 5 = 0")
+    )
+    third = dearer.where(f"({early}) OR l_orderkey % 2 = 0").unionByName(lines.where(f"NOT ({early}) AND l_orderkey % 2 <> 0"))
+    for name, rows in (("1", first), ("2", second), ("3", third), ("again", first)):
+        deliveries.deliver(rows, columns[:2], index, target, name, *columns[2:])
+    return c.spark.read.parquet(target).select(columns)
+
+
+_STATE_COLUMNS = ["gateway", "amount", "status", "created_date", "customer_id"]
+
+
+@query("column_profile_states", " UNION ALL ".join(f"""
+SELECT 'hub' AS table_name, '{col}' AS column_name, '{_HUB_TYPES[col]}' AS data_type, COUNT(*) AS n_rows,
+       COUNT(*) FILTER ({col} IS NULL)::DOUBLE * 100 / COUNT(*) AS null_pct,
+       MIN({col})::VARCHAR AS smallest, MAX({col})::VARCHAR AS largest, true AS within_error
+FROM hub WHERE year(created_date) = 1996""" for col in _STATE_COLUMNS))
+def column_profile_states(c: Chain):
+    """The profile of a year merged from monthly states, with the estimate held against a count."""
+    path = shared_dir(c.spark, "profile")
+    sketches.profile_store(c.hub.select(_STATE_COLUMNS), month_label("created_date"), path)
+    states = sketches.profile_load(c.spark, path, "1996-01", "1996-12")
+    exact = inventory.column_profile(c.hub.where("year(created_date) = 1996").select(_STATE_COLUMNS), "hub")
+    counted = exact.selectExpr("column_name", "distinct_values AS counted")
+    close = f"abs(distinct_values - counted) <= greatest(1, counted * {sketches.DISTINCT_ERROR}) AS within_error"
+    return sketches.profile_of(states, "hub").join(counted, "column_name").selectExpr(
+        "table_name", "column_name", "data_type", "n_rows", "null_pct", "smallest", "largest", close
+    )
+
+
 _CSV_HUB = "order_id STRING, gateway STRING, amount DECIMAL(18,2), created_date DATE"
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from datetime import date
 
 from tallychain.config import Period
+from tallychain.operators import partials
 from tallychain.operators import settlements as ops
-from tallychain.plans.registry import Chain, query
+from tallychain.plans.registry import Chain, body, query
+from tallychain.session import shared_dir
 
 YEAR = Period(date(1996, 1, 1), date(1997, 1, 1))
 IN_YEAR = "year({0}) = 1996"
@@ -193,6 +195,14 @@ def source_month_waterfall(c: Chain):
     return ops.source_month_waterfall(c.settlement, c.hub)
 
 
+@query("source_month_waterfall_sums", body("source_month_waterfall"))
+def source_month_waterfall_sums(c: Chain):
+    """The waterfall from stored monthly sums of the base."""
+    path = shared_dir(c.spark, "sums")
+    partials.partials_store(c.base, path)
+    return partials.source_month_waterfall(partials.partials_load(c.spark, path))
+
+
 @query("period_summary", """
 SELECT coalesce(s.gateway, 'ALL') AS gateway, COUNT(*) AS sett_rows, COUNT(h.order_id) AS matched_rows,
        SUM(sett_gross)::DOUBLE AS gross, SUM(sett_net)::DOUBLE AS net, SUM(sett_fee)::DOUBLE AS fees,

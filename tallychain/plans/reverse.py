@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from tallychain.config import Period
 from tallychain.operators import base as ops
-from tallychain.operators import refresh, trace
+from tallychain.operators import partials, refresh, trace
 from tallychain.operators.frames import group
 from tallychain.plans.registry import Chain, body, query
 from tallychain.session import shared_dir
@@ -396,6 +396,28 @@ def recon_base_refresh(c: Chain):
     return sinks.read_base(c.spark, path)
 
 
+@query("recon_month_compare_sums", body("recon_month_compare"))
+def recon_month_compare_sums(c: Chain):
+    """Two months compared from stored monthly sums."""
+    path = shared_dir(c.spark, "sums")
+    partials.partials_store(c.base, path)
+    sums = partials.partials_load(c.spark, path)
+    return partials.month_compare(sums, ("1996-01", "1996-01"), ("1996-02", "1996-02"))
+
+
+@query("recon_cumulative", """
+SELECT gateway, recon_month, SUM(SUM(n)) OVER w::BIGINT AS n_rows, (SUM(SUM(g)) OVER w)::DOUBLE AS sett_gross,
+       (SUM(SUM(t)) OVER w)::DOUBLE AS sett_net, (SUM(SUM(f)) OVER w)::DOUBLE AS sett_fee
+FROM (SELECT gateway, recon_month, 1 AS n, sett_gross AS g, sett_net AS t, sett_fee AS f FROM base
+      WHERE recon_month >= '1996-01' AND recon_month <= '1997-12')
+GROUP BY 1, 2 WINDOW w AS (PARTITION BY gateway ORDER BY recon_month)""")
+def recon_cumulative(c: Chain):
+    """Running totals of two years from stored monthly sums."""
+    path = shared_dir(c.spark, "sums")
+    partials.partials_store(c.base, path)
+    return partials.cumulative(partials.partials_load(c.spark, path), "1996-01", "1997-12")
+
+
 @query("trace_one_stored", body("trace_one"))
 def trace_one_stored(c: Chain):
     """One id looked up in the stored base, through its index."""
