@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallychain.llm.tables import LAST_ID, each_text, map_rows, stored
@@ -183,29 +183,46 @@ def empty_store(spark: SparkSession, keys: int = SHARD_KEYS, min_chars: int = MI
     )
 
 
-def line_references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(high, low, doc_id), one row for each key and document, stored. A null id counts as the last one."""
+def _keyed_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, the last one for a null, and text."""
+    return docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).cast("long").alias("doc_id"), "text")
+
+
+def ids_repeat(docs: DataFrame) -> bool:
+    """Whether a document is given in several rows; null ids are one document."""
+    return not _keyed_rows(docs).groupBy("doc_id").count().filter("count > 1").isEmpty()
+
+
+def _keys_of_rows(docs: DataFrame, min_chars: int, *more: Column) -> DataFrame:
+    """(high, low, doc_id and the long columns ``more``), one row for each key of a row."""
+    slim = _keyed_rows(docs).select("doc_id", "text", *more)
+    others = [c for c in slim.columns if c != "text"]
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        high, low, ids = [], [], []
-        for doc, text in zip(batch.column(0).to_pylist(), each_text(batch.column(1))):
+        high, low, row = [], [], []
+        for i, text in enumerate(each_text(batch.column("text"))):
             lines = (text or b"").decode().split("\n")
             keys = {line_key(line, min_chars) for line in lines} - {None}
             high += [k[0] for k in keys]
             low += [k[1] for k in keys]
-            ids += [doc] * len(keys)
-        yield pa.record_batch(
-            {
-                "high": pa.array(high, pa.int64()),
-                "low": pa.array(low, pa.int64()),
-                "doc_id": pa.array(ids, pa.int64()),
-            }
-        )
+            row += [i] * len(keys)
+        found = {"high": pa.array(high, pa.int64()), "low": pa.array(low, pa.int64())}
+        at = pa.array(row, pa.int64())
+        yield pa.record_batch(found | {c: batch.column(c).take(at) for c in others})
 
-    slim = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).cast("long").alias("doc_id"), "text")
-    rows = map_rows(slim, work, "high long, low long, doc_id long")
+    return map_rows(slim, work, ", ".join(f"{c} long" for c in ["high", "low", *others]))
+
+
+def line_references(
+    docs: DataFrame, min_chars: int = MIN_CHARS, repeats: bool | None = None
+) -> DataFrame:
+    """(high, low, doc_id), one row for each key and document, stored. A null id counts as the last one.
+
+    ``repeats`` is what ``ids_repeat`` says of ``docs``, if known.
+    """
+    rows = _keys_of_rows(docs, min_chars)
     # A document given in several rows refers to a line once.
-    if not slim.groupBy("doc_id").count().filter("count > 1").isEmpty():
+    if ids_repeat(docs) if repeats is None else repeats:
         rows = rows.distinct()
     return stored(rows, "lines-references")
 
@@ -312,13 +329,18 @@ def delete(store: LineStore, doc_ids: DataFrame) -> LineStore:
     return LineStore(left, counts, filters, store.shards, store.min_chars)
 
 
-def drops(store: LineStore) -> DataFrame:
-    """(doc_id, keys): keys each document loses, as it is not the first that holds them."""
+def drops(store: LineStore, references: DataFrame | None = None, *by: str) -> DataFrame:
+    """(doc_id, keys): keys each document loses, as it is not the first that holds them.
+
+    ``references`` are those of the store unless others are given; ``by`` are columns of
+    theirs that part the keys of a document.
+    """
     shared = store.counts.filter("first_doc <> last_doc").select("high", "low", "first_doc")
     return (
-        store.references.join(shared, ["high", "low"])
+        (store.references if references is None else references)
+        .join(shared, ["high", "low"])
         .filter("doc_id <> first_doc")
-        .groupBy("doc_id")
+        .groupBy("doc_id", *by)
         .agg(F.collect_set(F.struct("high", "low")).alias("keys"))
     )
 
@@ -328,8 +350,12 @@ _RESULT = (
 )
 
 
-def clean(store: LineStore, docs: DataFrame) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept_sha256, kept_text) for every row of ``docs``."""
+def clean(store: LineStore, docs: DataFrame, repeats: bool | None = None) -> DataFrame:
+    """(doc_id, n_lines, n_dropped, kept_sha256, kept_text) for every row of ``docs``.
+
+    Where a document has several rows, each is given the keys of its own text alone: a
+    third of all rows without an id are one document, whose keys together no row could hold.
+    """
     min_chars = store.min_chars
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -354,11 +380,17 @@ def clean(store: LineStore, docs: DataFrame) -> DataFrame:
             }
         )
 
-    slim = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(LAST_ID)).alias("key_id"))
-    lost = drops(store).select(F.col("doc_id").alias("key_id"), "keys")
-    return map_rows(
-        slim.join(lost, "key_id", "left").select("doc_id", "text", "keys"), work, _RESULT
-    )
+    slim = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(LAST_ID)).cast("long").alias("key_id"))
+    if ids_repeat(docs) if repeats is None else repeats:
+        # Texts of equal hash only share keys, and a row loses none that it does not have.
+        of_text = F.xxhash64("text").alias("text_id")
+        own = stored(_keys_of_rows(docs, min_chars, of_text).distinct(), "lines-of-texts")
+        slim, by = slim.select("*", of_text), ["text_id"]
+        lost = drops(store, own, *by)
+    else:
+        lost, by = drops(store), []
+    joined = slim.join(lost.withColumnRenamed("doc_id", "key_id"), ["key_id", *by], "left")
+    return map_rows(joined.select("doc_id", "text", "keys"), work, _RESULT)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -370,10 +402,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     that comes last. Short lines stay. Every row gets a row; an empty table gives
     an empty result; other columns are ignored.
     """
-    references = line_references(docs, min_chars)
+    repeats = ids_repeat(docs)
+    references = line_references(docs, min_chars, repeats)
     size = references.agg(F.count("*"), F.percentile_approx("doc_id", 0.5)).first()
     store = empty_store(docs.sparkSession, size[0], min_chars)
     middle = F.lit(size[1] if size[1] is not None else 0)
     for increment in (F.col("doc_id") <= middle, F.col("doc_id") > middle):
         store = insert(store, references.filter(increment))
-    return clean(store, docs)
+    return clean(store, docs, repeats)

@@ -2,6 +2,7 @@
 
 import hashlib
 import string
+import time
 from collections import Counter
 
 import numpy as np
@@ -221,3 +222,18 @@ def test_deleting_keys_of_later_tables_denies_no_other():
 
 def test_edge_rows_are_what_the_tests_say():
     assert len(ROWS) == 12
+
+
+def test_many_rows_without_an_id_or_with_one_id(spark):
+    """4000 rows of 50 lines that are two documents: work grows with the rows, not with their square."""
+    def lines(i):
+        own = [f"a line of row {i} that is its own, number {j}" for j in range(25)]
+        return "\n".join(own + [f"a line that many rows have, number {(i + j) % 400}" for j in range(25)])
+
+    rows = [(None, lines(i)) for i in range(2000)] + [(7, lines(i + 1000)) for i in range(2000)] + [(3, lines(9))]
+    rows += [(7, lines(1000)), (None, lines(0))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    start = time.perf_counter()
+    got = line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()
+    assert time.perf_counter() - start < 60
+    assert Counter(tuple(r) for r in got) == brute_lines(rows)
