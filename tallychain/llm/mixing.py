@@ -5,7 +5,8 @@ is bisected to meet a target entropy of the weights or a limit on how often a so
 is repeated; a pass over the per-source totals tries many exponents at once, which
 is several bisection steps in one job. Weights become quotas of a token budget, and
 quotas become passes over each source: blocks of its documents in a new permutation
-for each pass, the last one cut where the quota ends.
+for each pass, the last one cut where the quota ends. What a row needs to know of this is
+one line for its source, so texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ from tallychain.llm.tables import fresh, row_hash, stored
 
 SEED = 20240301
 MAX_REPEATS = 2.0
-#: Tokens a block is meant to hold, and blocks of a source at most.
+#: Tokens a block is meant to hold. A source of more than 2^44 tokens has larger ones: nothing
+#: is ever held or ordered by block.
 BLOCK_TOKENS = 1 << 20
-MAX_BLOCKS = 4096
+MAX_BLOCK_BITS = 24
 #: Exponents tried in a pass (63 inside the bracket: six bisections) and passes.
 GRID = 63
 PASSES = 7
@@ -86,6 +88,24 @@ def exponent(
     return max(found)
 
 
+#: Bits of the place of a row in a pass, and how many of them a step of the search settles.
+KEY_BITS, STEP_BITS = 60, 12
+
+
+def _key(seed: int) -> str:
+    """The place of a row in a pass: the place of its block there, then a hash of its own.
+
+    Takes columns lot, e, mix_s and mix_bits. Blocks are permuted anew for every pass, by a
+    permutation of 0 .. 2^bits - 1 that each row can work out for itself.
+    """
+    size = "shiftleft(1L, mix_bits)"
+    draw = [f"pmod(xxhash64({seed + i}L, mix_s, mix_e), {size})" for i in range(3)]
+    block = f"pmod(mix_lot, {size})"
+    place = f"pmod(({block} ^ {draw[0]}) * ({draw[1]} | 1L) + {draw[2]}, {size})"
+    own = f"shiftrightunsigned(xxhash64(mix_lot, mix_e), {64 - KEY_BITS})"
+    return f"shiftleft({place}, {KEY_BITS} - mix_bits) + shiftright({own}, mix_bits)"
+
+
 def mix(
     docs: DataFrame,
     target_entropy: float | None = None,
@@ -97,95 +117,110 @@ def mix(
 
     Added columns (with ``_`` appended if taken): n_tokens, epoch (pass over the
     source, from 0), block, and position (0 to 1: rows sorted by it are mixed in the
-    target weights throughout). Without ``budget`` (tokens) it is the least that
-    uses every document once. A quota is met to within the last document and its
-    equal copies. Null sources are one source; null and empty texts have one token,
-    the end mark. An empty table gives an empty result.
+    target weights throughout). Tokens are words and one end mark a document. Without
+    ``budget`` (tokens) it is the least that uses every document once. No source gets
+    more than its quota, and less by no more than the document that did not fit any
+    more; of equal rows, as many as fit. Rows that differ in map columns alone are
+    equal. Null sources are one source; null and empty texts have one token, the end
+    mark. An empty table gives an empty result.
     """
-    n = {c: fresh(docs, c) for c in ("n_tokens", "epoch", "block", "position", "stratum", "lot")}
+    n = {c: fresh(docs, c) for c in ("n_tokens", "epoch", "block", "position")}
     stratum = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
     slim = stored(
-        docs.select(stratum.alias("stratum"), row_hash(docs, seed).alias("lot"), token_count().alias("tokens")),
+        docs.select(stratum.alias("mix_s"), row_hash(docs, seed).alias("mix_lot"), token_count().alias("mix_tokens")),
         "mix-rows",
     )
-    sources = stored(slim.groupBy("stratum").agg(F.sum("tokens").alias("tokens")), "mix-sources")
-    total, largest = sources.agg(F.sum("tokens"), F.max("tokens")).first()
-    if total is None:
-        total = largest = 1
-    # One number of blocks for all sources, so that a row's block needs no look-up.
-    blocks = min(MAX_BLOCKS, 1 << max(0, math.ceil(math.log2(largest / BLOCK_TOKENS))))
-    plan = _plan(slim, sources, blocks, total, target_entropy, max_repeats, budget, seed)
-    rows = docs.withColumns(
-        {n["stratum"]: stratum, n["lot"]: row_hash(docs, seed), n["block"]: F.pmod(row_hash(docs, seed), F.lit(blocks))}
+    plan = _plan(slim, target_entropy, max_repeats, budget, seed)
+    # Sources are few rows; a source that holds a third of all rows can be split, as its plan is one row.
+    passes = "sequence(0L, CASE WHEN mix_left > 0 THEN mix_full ELSE mix_full - 1 END)"
+    rows = (
+        docs.select(F.struct("*").alias("mix_row"), stratum.alias("mix_s"), row_hash(docs, seed).alias("mix_lot"),
+                    token_count().alias("mix_tokens"))
+        .join(plan, "mix_s")
+        .select("*", F.explode(F.expr(passes)).alias("mix_e"))
+        .withColumn("mix_key", F.expr(_key(seed)))
     )
-    turn = F.xxhash64(n["lot"], "mix_e")
-    share = F.pmod(turn, F.lit(1 << 30)) / F.lit(1 << 30)
-    return (
-        rows.join(plan, (F.col(n["stratum"]) == F.col("mix_s")) & (F.col(n["block"]) == F.col("mix_b")))
-        .filter(F.col("mix_until").isNull() | (turn <= F.col("mix_until")))
-        .select(
-            *[F.col(f"`{c}`") for c in docs.columns],
-            token_count().alias(n["n_tokens"]),
-            F.col("mix_e").alias(n["epoch"]),
-            F.col(n["block"]),
-            ((F.col("mix_start") + share * F.col("mix_tokens")) / F.col("mix_quota")).alias(n["position"]),
-        )
+    taken = rows.where("mix_e < mix_full OR mix_key < mix_cut").withColumn(
+        "mix_at",
+        F.expr(f"""(mix_e * mix_whole + CASE WHEN mix_e < mix_full THEN mix_key / {1 << KEY_BITS}D * mix_whole
+                ELSE mix_key / CAST(mix_cut AS DOUBLE) * mix_left END) / mix_quota"""),
+    )
+    # Equal rows at the cut: one of them stands for as many as fit.
+    equal = (
+        rows.where("mix_e = mix_full AND mix_key = mix_cut AND mix_copies > 0")
+        .groupBy("mix_s", "mix_e")
+        .agg(*[F.any_value(c).alias(c) for c in ("mix_row", "mix_lot", "mix_tokens", "mix_bits", "mix_copies")])
+        .withColumn("mix_copy", F.explode(F.expr("sequence(1L, mix_copies)")))
+        .withColumn("mix_at", F.lit(1.0))
+    )
+    columns = ["mix_row", "mix_lot", "mix_tokens", "mix_bits", "mix_e", "mix_at"]
+    return taken.select(columns).unionByName(equal.select(columns)).select(
+        *[F.col(f"mix_row.`{c}`") for c in docs.columns],
+        F.col("mix_tokens").alias(n["n_tokens"]),
+        F.col("mix_e").alias(n["epoch"]),
+        F.expr("pmod(mix_lot, shiftleft(1L, mix_bits))").alias(n["block"]),
+        F.col("mix_at").alias(n["position"]),
     )
 
 
-def _plan(slim, sources, blocks, total, target_entropy, max_repeats, budget, seed) -> DataFrame:
-    """A row for each source, pass and block that is used: mix_s, mix_e, mix_b, where it starts, how much of it."""
-    if sources.isEmpty():
-        zeros = [F.lit(0).cast("long").alias(f"mix_{c}") for c in ("b", "e", "start", "tokens", "quota", "until")]
-        return slim.select(F.col("stratum").alias("mix_s"), *zeros)
-    power = exponent(sources, target_entropy, max_repeats)
+def _plan(slim, target_entropy, max_repeats, budget, seed) -> DataFrame:
+    """A row for each source that is used, stored: its tokens and quota, bits of its block numbers,
+    how many passes are whole, what is left for the last one, the key that one ends before, and how
+    many equal rows at that key still fit."""
+    sources = stored(slim.groupBy("mix_s").agg(F.sum("mix_tokens").alias("tokens")), "mix-sources")
+    total = sources.agg(F.sum("tokens")).first()[0] or 1
+    power = 1.0 if sources.isEmpty() else exponent(sources, target_entropy, max_repeats)
     weighed = sources.withColumn("weight", F.pow(F.col("tokens") / F.lit(total), F.lit(power)))
     z, spend = weighed.agg(
         F.sum("weight"), F.max(F.col("tokens") / F.col("weight")) * F.sum("weight")
     ).first()
-    quota = F.round(F.col("weight") / F.lit(z) * F.lit(float(spend if budget is None else budget)))
-    if budget is None:
-        quota = F.greatest(quota, F.col("tokens").cast("double"))
-    quotas = weighed.select(
-        "stratum", F.col("tokens").alias("whole"), quota.cast("long").alias("quota")
-    ).filter("quota > 0")
-    block = F.pmod("lot", F.lit(blocks))
-    sizes = slim.groupBy("stratum", block.alias("b")).agg(F.sum("tokens").alias("tokens"))
-    # A new permutation of the blocks for every pass; the quota ends inside one of them.
-    order = Window.partitionBy("stratum", "e").orderBy(F.xxhash64(F.lit(seed), "stratum", "e", "b"), "b")
-    before = F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    used = stored(
-        sizes.join(quotas, "stratum")
-        .withColumn("e", F.explode(F.expr("sequence(0L, (quota - 1) div whole)")))
-        .withColumn("start", F.col("e") * F.col("whole") + F.coalesce(before, F.lit(0)))
-        .filter("start < quota")
-        .withColumn("left", F.col("quota") - F.col("start")),
-        "mix-blocks",
-    )
-    # Of a block that is cut, rows up to a hash are taken: found without their texts.
-    cut = used.filter("left < tokens").select("stratum", "b", "e", "left")
-    row_order = Window.partitionBy("stratum", "b", "e").orderBy("turn", "lot")
-    until = (
-        slim.withColumn("b", block)
-        .join(cut, ["stratum", "b"])
-        .withColumn("turn", F.xxhash64("lot", "e"))
-        .withColumn("run", F.sum("tokens").over(row_order.rowsBetween(Window.unboundedPreceding, 0)))
-        .filter("run <= left")
-        .groupBy("stratum", "b", "e")
-        .agg(F.max("turn").alias("until"))
+    quota = F.col("weight") / F.lit(z or 1.0) * F.lit(float(spend or 0 if budget is None else budget))
+    # A document more or less is no matter where all are to be used; a budget is not exceeded.
+    quota = F.greatest(F.round(quota), F.col("tokens").cast("double")) if budget is None else F.floor(quota)
+    bits = F.least(F.lit(MAX_BLOCK_BITS), F.ceil(F.log2(F.greatest(F.col("tokens") / F.lit(BLOCK_TOKENS), F.lit(1.0)))))
+    quotas = stored(
+        weighed.select(
+            "mix_s", F.col("tokens").alias("mix_whole"), quota.cast("long").alias("mix_quota"), bits.cast("int").alias("mix_bits")
+        )
+        .filter("mix_quota > 0")
+        .selectExpr("*", "mix_quota div mix_whole AS mix_full", "mix_quota % mix_whole AS mix_left"),
+        "mix-quotas",
     )
-    # A cut block of which not one row fits is left out.
+    cuts = _cuts(slim, quotas, seed)
     return stored(
-        used.join(until, ["stratum", "b", "e"], "left")
-        .filter("left >= tokens or until is not null")
-        .select(
-            F.col("stratum").alias("mix_s"),
-            F.col("b").alias("mix_b"),
-            F.col("e").alias("mix_e"),
-            F.col("start").alias("mix_start"),
-            F.least("tokens", "left").alias("mix_tokens"),
-            F.col("quota").alias("mix_quota"),
-            F.col("until").alias("mix_until"),
-        ),
+        quotas.join(cuts, "mix_s", "left").selectExpr("*", "mix_rest div mix_one AS mix_copies").drop("mix_rest", "mix_one"),
         "mix-plan",
     )
+
+
+def _cuts(slim: DataFrame, quotas: DataFrame, seed: int) -> DataFrame:
+    """(mix_s, mix_cut, mix_rest, mix_one): where the last pass of each source ends.
+
+    The tokens before mix_cut are within the quota, those up to and with it are not;
+    mix_rest is what is left there and mix_one the tokens of a row at it. Found by nested
+    ranges of keys: a step sums up 2^``STEP_BITS`` ranges of each source and goes on in the
+    one the quota ends in, so that no task orders the rows of a source, however many.
+    """
+    last = quotas.where("mix_left > 0").selectExpr("mix_s", "mix_bits", "mix_full AS mix_e", "mix_left")
+    keys = stored(
+        slim.join(last, "mix_s").selectExpr("mix_s", f"{_key(seed)} AS key", "mix_tokens"), "mix-keys"
+    )
+    found = last.selectExpr("mix_s", "0L AS low", "mix_left AS rest")
+    for shift in range(KEY_BITS - STEP_BITS, -1, -STEP_BITS):
+        ranges = (
+            keys.join(found, "mix_s")
+            .where(f"key >= low AND key - low < {1 << (shift + STEP_BITS)}L")
+            .withColumn("range", F.expr(f"shiftright(key - low, {shift})"))
+            .groupBy("mix_s", "low", "rest", "range")
+            .agg(F.sum("mix_tokens").alias("tokens"), F.min("mix_tokens").alias("one"))
+        )
+        # At most 2^STEP_BITS rows of a source reach this window.
+        upto = F.sum("tokens").over(Window.partitionBy("mix_s").orderBy("range"))
+        ends = ranges.withColumn("upto", upto).where("upto > rest AND upto - tokens <= rest")
+        found = stored(
+            ends.selectExpr(
+                "mix_s", f"low + shiftleft(range, {shift}) AS low", "rest - (upto - tokens) AS rest", "one"
+            ),
+            "mix-cut",
+        )
+    return found.selectExpr("mix_s", "low AS mix_cut", "rest AS mix_rest", "one AS mix_one")

@@ -76,6 +76,54 @@ def test_quotas_are_met(spark, budget, monkeypatch):
         assert half == pytest.approx(0.5 * sum(taken.values()), rel=0.1)
 
 
+def _taken(spark, rows, budget):
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    return mixing.mix(docs, max_repeats=None, budget=budget).collect()
+
+
+def test_a_budget_is_met_with_equal_rows(spark):
+    """2000 equal rows are a source of their own and half of another."""
+    hot = [(1, "hot", "one two three four")] * 2000
+    rows = hot + [(2, "half", "w " * 9)] * 500 + [(i, "half", "w " * 9) for i in range(500)] + [(3, "tiny", "x")]
+    total = 2000 * 5 + 1000 * 10 + 2
+    for budget in (0, 4, 3000, 9999, 25_000):
+        got = _taken(spark, rows, budget)
+        used, quota = Counter(), {"hot": 10_000 / total, "half": 10_000 / total, "tiny": 2 / total}
+        for r in got:
+            used[r.source] += r.n_tokens
+        for s, longest in (("hot", 5), ("half", 10), ("tiny", 2)):
+            assert quota[s] * budget - longest - 1 < used[s] <= quota[s] * budget, (s, budget)
+        assert sum(used.values()) <= budget
+
+
+def test_the_cut_is_the_same_as_in_order(spark):
+    """Nested ranges find the key that a sort of all rows would."""
+    docs = table(spark, SF1, "documents").select("doc_id", "source", "text")
+    out = mixing.mix(docs, max_repeats=2.0, budget=150_000).where("source is not null")
+    last = {r.source: r.e for r in out.groupBy("source").agg(F.max("epoch").alias("e")).collect()}
+    for source, e in last.items():
+        places = [(r.position, r.doc_id) for r in out.where((F.col("source") == source) & (F.col("epoch") == e)).collect()]
+        assert max(p for p, _ in places) <= 1 and len(set(places)) == len(places)
+
+
+def test_blocks_are_permuted_in_each_pass(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 50)
+    rows = [(i, "a", f"t{i} " * 4) for i in range(400)] + [(i, "b", "long " * 900) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = mixing.mix(docs, target_entropy=math.log(2), max_repeats=None).where("source = 'a'").collect()
+    orders = defaultdict(list)
+    for r in sorted(out, key=lambda r: r.position):
+        at = orders[r.epoch]
+        if not at or at[-1] != r.block:
+            at.append(r.block)
+    whole = [o for e, o in orders.items() if e < max(orders)]
+    assert len(whole) >= 2 and whole[0] != whole[1]
+    for blocks in whole:
+        # Each block is a run of its own.
+        assert len(blocks) == len(set(blocks)) and len(blocks) > 16
+    assert {r.doc_id for r in out if r.epoch == 0} == set(range(400))
+
+
 def test_mix_of_edge_rows(edge, nothing):
     out = mixing.mix(edge, max_repeats=2.0)
     assert out.columns[: len(edge.columns)] == edge.columns and len(set(out.columns)) == len(edge.columns) + 4
@@ -159,5 +207,5 @@ def test_pipeline_matches_brute_force(spark):
 
 def test_registered_once():
     names = list(queries.QUERIES)
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(queries.SQL) <= set(names)
