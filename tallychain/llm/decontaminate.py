@@ -5,10 +5,13 @@ segment, holding a posting list (document number, word position) for each term.
 Searching never leaves a segment, so no text and no posting list of another
 segment is shuffled to it:
 
-1. Item windows are made from the benchmark; their terms are the vocabulary.
+1. Item windows are made from the benchmark; their terms are the vocabulary. A window is
+   named by a hash of its terms; which items have it is a table beside them.
 2. Terms are counted over all segments; a window's rarest term is its first.
 3. A window goes to the segments that have its rarest term, and there the lists of
    its terms, each shifted by the term's offset, are intersected from the rarest on.
+4. Documents that windows were found in are joined with the items of these, so that a
+   passage of a million items is one window wherever it is searched.
 
 Only postings of words that the benchmark may have are stored. They are told by a
 bit set of fixed size, whatever the size of the benchmark: a false positive costs
@@ -47,11 +50,11 @@ def _tokens(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(WORD_BYTES).split()
 
 
-def windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """(terms, items): each distinct window with the sorted ids, as strings, of the items that have it.
+def item_windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
+    """(item_id, window, terms): the distinct windows of each item; item_id as a string.
 
-    An item of fewer words is one window; one of none has no window. An item
-    without id has windows like any other, but is in no list.
+    ``window`` names the terms: their 128-bit hash. An item of fewer words is one window;
+    one of none has no window. An item without id has windows like any other.
     """
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -69,11 +72,14 @@ def windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
         )
 
     slim = items.select(F.col("item_id").cast("string"), "text")
-    return (
-        map_rows(slim, work, "item_id string, terms array<string>")
-        .groupBy("terms")
-        .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    )
+    # Words hold no blanks.
+    name = F.unhex(F.md5(F.array_join("terms", " "))).alias("window")
+    return map_rows(slim, work, "item_id string, terms array<string>").select("item_id", name, "terms").distinct()
+
+
+def windows(made: DataFrame) -> DataFrame:
+    """(window, terms): the distinct windows of ``item_windows``."""
+    return made.select("window", "terms").distinct()
 
 
 def vocabulary_filter(found: DataFrame) -> np.ndarray:
@@ -189,22 +195,19 @@ def _covered(starts: np.ndarray, ends: np.ndarray, n_docs: int) -> np.ndarray:
 
 
 _FOUND = (
-    "doc_id long, hash binary, n_words long, n_hit long, n_near long, items array<string>"
+    "segment long, number int, doc_id long, hash binary, n_words long, n_hit long, n_near long, windows array<binary>"
 )
 
 
 def search(index: DataFrame, found: DataFrame, slop: int = SLOP) -> DataFrame:
-    """A row for each indexed document: words hit by a window, by proximity, and the items found.
+    """A row for each indexed document: words hit by a window, by proximity, and the windows found.
 
-    ``found``: the ``windows``. A phrase match has every term in its place. A
+    ``found``: the ``windows``. ``number`` tells the documents of a segment. A phrase match has every term in its place. A
     proximity match has every term within ``slop`` words of its place around the
     rarest term; n_near counts the words such matches span, phrases included.
     """
     lists = index.filter("term is not null")
-    window = stored(
-        found.withColumn("window", F.monotonically_increasing_id()), "index-windows"
-    )
-    place = window.select("window", F.posexplode("terms").alias("offset", "term"))
+    place = found.select("window", F.posexplode("terms").alias("offset", "term"))
     counts = (
         lists.join(place.select("term").distinct(), "term", "left_semi")
         .groupBy("term")
@@ -218,10 +221,8 @@ def search(index: DataFrame, found: DataFrame, slop: int = SLOP) -> DataFrame:
         .filter("ranked[0].n > 0")
     )
     asked = stored(
-        window.select("window", "items")
-        .join(ranked, "window")
-        .select(
-            "items",
+        ranked.select(
+            "window",
             F.col("ranked.offset").alias("offsets"),
             F.col("ranked.term").alias("terms"),
         ),
@@ -231,7 +232,7 @@ def search(index: DataFrame, found: DataFrame, slop: int = SLOP) -> DataFrame:
     sent = (
         lists.select(F.col("segment").alias("at"), "term")
         .join(asked.withColumn("rarest", F.col("terms")[0]), F.col("term") == F.col("rarest"))
-        .select("at", "items", "offsets", "terms")
+        .select("at", "window", "offsets", "terms")
     )
 
     def run(own: pa.Table, queries: pa.Table) -> pa.Table:
@@ -246,9 +247,9 @@ def search(index: DataFrame, found: DataFrame, slop: int = SLOP) -> DataFrame:
         doc_ids, hashes, lengths = docs
         read: dict[str, np.ndarray] = {}
         exact, near = [], []
-        items: list[set] = [set() for _ in doc_ids]
-        for names, offsets, terms in zip(
-            *(queries.column(c).to_pylist() for c in ("items", "offsets", "terms"))
+        hit: list[set] = [set() for _ in doc_ids]
+        for window, offsets, terms in zip(
+            *(queries.column(c).to_pylist() for c in ("window", "offsets", "terms"))
         ):
             if any(t not in posting for t in terms):
                 continue
@@ -272,7 +273,7 @@ def search(index: DataFrame, found: DataFrame, slop: int = SLOP) -> DataFrame:
                 starts = starts[drift == 0]
                 exact.append((starts, starts + len(terms)))
                 for d in np.unique(starts >> 32):
-                    items[d].update(names)
+                    hit[d].add(window)
 
         def cover(found_at: list) -> np.ndarray:
             if not found_at:
@@ -283,12 +284,14 @@ def search(index: DataFrame, found: DataFrame, slop: int = SLOP) -> DataFrame:
 
         return pa.table(
             {
+                "segment": pa.array([own.column("segment")[0].as_py()] * len(doc_ids), pa.int64()),
+                "number": pa.array(range(len(doc_ids)), pa.int32()),
                 "doc_id": pa.array(doc_ids, pa.int64()),
                 "hash": pa.array(hashes, pa.binary()),
                 "n_words": pa.array(lengths),
                 "n_hit": pa.array(cover(exact)),
                 "n_near": pa.array(cover(near)),
-                "items": pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                "windows": pa.array([sorted(x) for x in hit], pa.list_(pa.binary())),
             }
         )
 
@@ -307,25 +310,37 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, s
     listed. An empty benchmark contaminates nothing, an empty table gives an empty
     result; other columns are ignored.
     """
-    return _found(docs, items, size, slop).select(
-        "doc_id",
-        "n_words",
-        "n_hit",
-        "n_near",
-        F.size("items").cast("long").alias("n_items"),
-        "items",
+    made = stored(item_windows(items, size), "index-items")
+    rows, row = stored(_found(docs, made, slop), "index-hits"), ["segment", "number"]
+    # A row that hits many windows of an item, and an item that is in many rows, are pairs once.
+    pairs = (
+        rows.select(*row, F.explode("windows").alias("window"))
+        .join(made.filter("item_id is not null").select("window", "item_id"), "window")
+        .select(*row, "item_id")
+        .distinct()
+        .groupBy(*row)
+        .agg(F.sort_array(F.collect_list("item_id")).alias("items"))
+    )
+    measures = ["doc_id", "n_words", "n_hit", "n_near"]
+    listed = rows.filter("size(windows) > 0").join(pairs, row, "left").select(*measures, "items")
+    clean = rows.filter("size(windows) = 0").select(*measures, F.lit(None).cast("array<string>").alias("items"))
+    named = F.coalesce("items", F.expr("cast(array() as array<string>)"))
+    return listed.unionByName(clean).select(
+        *measures,
+        F.size(named).cast("long").alias("n_items"),
+        named.alias("items"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 
-def _found(docs: DataFrame, items: DataFrame, size: int, slop: int) -> DataFrame:
-    found = stored(windows(items, size), "index-found")
+def _found(docs: DataFrame, made: DataFrame, slop: int) -> DataFrame:
+    found = stored(windows(made), "index-found")
     return search(build_index(docs, vocabulary_filter(found)), found, slop)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """The rows of ``docs`` without a hit word, all columns kept."""
     hit = stored(
-        _found(docs, items, size, 0).filter("n_hit > 0").select("hash").distinct(), "index-hit"
+        _found(docs, stored(item_windows(items, size), "index-items"), 0).filter("n_hit > 0").select("hash").distinct(), "index-hit"
     )
     return docs.join(hit, text_key("text") == hit["hash"], "left_anti")

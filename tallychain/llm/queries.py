@@ -47,6 +47,7 @@ def decontamination(spark: SparkSession, root: str) -> DataFrame:
         "n_items",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
+        "n_near",
     )
 
 
@@ -173,11 +174,31 @@ WITH doc AS (
 ), hit_items AS (
     SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
     FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+), places AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM doc
+), terms AS (
+    SELECT key, size, unnest(string_split(key, ' ')) AS term, unnest(range(size)) AS shift
+    FROM (SELECT DISTINCT size, key FROM item_windows)
+), rarest AS (
+    SELECT key, size, term, shift FROM terms LEFT JOIN (SELECT word AS term, count(*) AS n FROM places GROUP BY 1) USING (term)
+    QUALIFY row_number() OVER (PARTITION BY size, key ORDER BY coalesce(n, 0), shift) = 1
+), starts AS (
+    SELECT key, size, doc_id, place - shift AS start_word FROM rarest JOIN places ON word = term WHERE place > shift
+), near AS (
+    SELECT s.key, s.size, s.doc_id, s.start_word
+    FROM starts s JOIN terms t ON t.key = s.key AND t.size = s.size
+        JOIN places p ON p.doc_id = s.doc_id AND p.word = t.term
+            AND p.place BETWEEN s.start_word + t.shift - 1 AND s.start_word + t.shift + 1
+    GROUP BY ALL HAVING count(DISTINCT t.shift) = s.size
+), near_words AS (
+    SELECT doc_id, count(DISTINCT place) AS n_near
+    FROM (SELECT near.doc_id, unnest(range(start_word, least(start_word + size, len(words) + 1))) AS place
+          FROM near JOIN doc USING (doc_id)) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
     coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
-    coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+    coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id) LEFT JOIN near_words USING (doc_id)
 """,
     "op5_url_filter": f"""
 WITH rest AS (

@@ -78,10 +78,10 @@ def test_contamination_matches_brute_force(spark, edge, segment, monkeypatch):
 
 
 def test_a_full_index_finds_the_same(spark, edge):
-    found = decontaminate.stored(decontaminate.windows(_items(spark)), "test-windows")
+    found = decontaminate.stored(decontaminate.windows(decontaminate.item_windows(_items(spark))), "test-windows")
     part = decontaminate.search(decontaminate.build_index(edge, decontaminate.vocabulary_filter(found)), found)
     whole = decontaminate.search(decontaminate.build_index(edge), found)
-    rows = lambda df: Counter((r.doc_id, r.n_hit, r.n_near, tuple(r["items"])) for r in df.collect())
+    rows = lambda df: Counter((r.doc_id, r.n_hit, r.n_near, tuple(map(bytes, r["windows"]))) for r in df.collect())
     assert rows(part) == rows(whole)
 
 
@@ -92,6 +92,55 @@ def test_proximity_allows_a_word_out_of_place(spark):
     assert got[1][0] == 0 and got[1][1] > 0 and got[2] == (0, 0)
 
 
+def brute_near(docs, items, size=10, slop=1):
+    """Words under proximity matches of each document, by looking at every place of the rarest term."""
+    split = lambda t: WORD.findall((t or "").translate(LOWER))
+    texts = [(d, split(t)) for d, t in docs]
+    count = Counter(w for _, words in texts for w in words)
+    found = {
+        tuple(words[i : i + size])
+        for words in (split(t) for _, t in items) if words for i in range(max(1, len(words) - size + 1))
+    }
+    out = []
+    for d, words in texts:
+        under = set()
+        for terms in found:
+            rare = min(range(len(terms)), key=lambda k: (count[terms[k]], k))
+            for at in (i - rare for i, w in enumerate(words) if w == terms[rare] and i >= rare):
+                if all(t in words[max(0, at + k - slop) : at + k + slop + 1] for k, t in enumerate(terms)):
+                    under.update(range(at, min(at + len(terms), len(words))))
+        out.append((d, len(under)))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("segment", [64, 1 << 23])
+def test_proximity_matches_brute_force(spark, edge, segment, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SEGMENT_BYTES", segment)
+    moved = [
+        (20, "one two four three five six seven eight nine ten eleven twelve"),
+        (21, "two one three four five six seven eight nine eleven ten twelve tail"),
+        (22, "eleven ten one two x three four five"),
+        (23, "two one three " * 5),
+    ]
+    docs = edge.select("doc_id", "text").unionByName(spark.createDataFrame(moved, "doc_id long, text string"))
+    items = _items(spark)
+    got = Counter((r.doc_id, r.n_near) for r in decontaminate.contamination(docs, items).collect())
+    assert got == brute_near([tuple(r) for r in docs.collect()], [tuple(r) for r in items.collect()])
+    assert any(n > 0 for d, n in got if d in (20, 21))
+
+
+def test_a_passage_of_many_items_is_one_window(spark):
+    """No list of items goes to the segments; each row gets the ids in the end."""
+    shared = "the common start of all of these items is this one here"
+    items = spark.createDataFrame([(i, f"{shared} and then {i}") for i in range(3000)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"x {shared} y") for i in range(4)] + [(9, "clean")], "doc_id long, text string")
+    made = decontaminate.stored(decontaminate.item_windows(items), "test-items")
+    assert decontaminate.windows(made).count() < made.count()
+    got = {r.doc_id: (r.n_items, r["items"]) for r in decontaminate.contamination(docs, items).collect()}
+    everyone = sorted(map(str, range(3000)))
+    assert got == {**{i: (3000, everyone) for i in range(4)}, 9: (0, [])}
+
+
 def test_items_without_id_are_searched_too(spark):
     docs = spark.createDataFrame([(1, "a known answer here"), (2, "nothing")], "doc_id long, text string")
     items = spark.createDataFrame([(None, "known answer"), (7, "answer")], "item_id long, text string")
