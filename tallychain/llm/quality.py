@@ -4,6 +4,10 @@ Each rule votes good (1), bad (-1) or abstains (0). Expectation-maximisation ove
 the counts of vote patterns estimates how accurate each rule is and how many
 documents are good; the posterior probability of good replaces a filter that every
 rule must pass. There are at most 3^rules patterns, however many documents.
+
+Nothing bounds the estimates. EM runs from several starts side by side and the most
+likely outcome is taken. Which of the two classes is the good one is settled by one
+assumption: on average over rules and classes, rules are right more often than not.
 """
 
 from __future__ import annotations
@@ -18,12 +22,12 @@ from tallychain.llm.tables import stored
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-ROUNDS = 25
-SETTLED = 1e-6
+#: EM ends when no estimate moves by more than this; rounds at most, should it not.
+SETTLED, ROUNDS = 1e-4, 500
 #: Where EM starts: share of good documents, accuracy of a rule on good and on bad ones.
-PRIOR, ON_GOOD, ON_BAD, WEIGHT = 0.9, 0.98, 0.5, 8
-#: What the estimates may become.
-PRIOR_BOUNDS, GOOD_BOUNDS, BAD_BOUNDS = (0.5, 0.99), (0.95, 0.999), (0.2, 0.98)
+STARTS = ((0.9, 0.98, 0.5), (0.5, 0.9, 0.6), (0.8, 0.95, 0.9), (0.2, 0.8, 0.8))
+#: A rule counts as if it had voted on so many documents of each class, with these accuracies.
+WEIGHT, ON_GOOD, ON_BAD = 2.0, 0.9, 0.6
 
 #: (name, measure, good if, bad if); thresholds as in common web-text filters.
 RULES = (
@@ -139,52 +143,71 @@ def posterior(prior: float, accuracy: dict[str, tuple[float, float]]) -> Column:
     return 1 / (1 + F.exp(-log_odds))
 
 
+def _round(patterns: DataFrame, names: list[str], fits: list[tuple]) -> list:
+    """The sums of one EM round for every start, by start: documents, good ones, log likelihood,
+    and for each rule its right and all its votes on good and on bad documents."""
+    rows = [(i, float(prior), [g for g, _ in acc], [b for _, b in acc]) for i, (prior, acc) in enumerate(fits)]
+    # A row a start; the same plan in every round.
+    given = patterns.sparkSession.createDataFrame(
+        rows, "start int, prior double, on_good array<double>, on_bad array<double>"
+    )
+    good, bad = F.log("prior"), F.log(1 - F.col("prior"))
+    for i, c in enumerate(names):
+        g, b = F.get("on_good", F.lit(i)), F.get("on_bad", F.lit(i))
+        good += F.when(F.col(c) == 1, F.log(g)).when(F.col(c) == -1, F.log(1 - g)).otherwise(0.0)
+        bad += F.when(F.col(c) == 1, F.log(1 - b)).when(F.col(c) == -1, F.log(b)).otherwise(0.0)
+    n, p = F.col("n"), F.col("p")
+    top = F.greatest("good", "bad")
+    sums = [F.sum(n), F.sum(p * n), F.sum(n * (top + F.log(F.exp(F.col("good") - top) + F.exp(F.col("bad") - top))))]
+    for c in names:
+        voted_good, voted = F.col(c) == 1, F.col(c) != 0
+        sums += [
+            F.sum(F.when(voted_good, p * n).otherwise(0.0)),
+            F.sum(F.when(voted, p * n).otherwise(0.0)),
+            F.sum(F.when(voted & ~voted_good, (1 - p) * n).otherwise(0.0)),
+            F.sum(F.when(voted, (1 - p) * n).otherwise(0.0)),
+        ]
+    judged = (
+        patterns.join(F.broadcast(given), "start")
+        .withColumns({"good": good, "bad": bad})
+        .withColumn("p", 1 / (1 + F.exp(F.col("bad") - F.col("good"))))
+    )
+    return judged.groupBy("start").agg(*sums).orderBy("start").collect()
+
+
 def estimate(voted: DataFrame, rules=RULES) -> tuple[float, dict[str, tuple[float, float]]]:
     """(share of good documents, accuracies of each rule on good and on bad ones) by EM.
 
     A rule has two accuracies, as one that is nearly always right about good
     documents may miss most bad ones: its few bad votes then weigh much and its many
-    good votes little. Each round sums over vote patterns; counts of ``WEIGHT``
-    documents at the starting accuracies keep a rule that hardly votes where it
-    started. Accuracies stay within bounds whose sums exceed 1, so that a good vote
-    never speaks for bad and the classes can't change places.
+    good votes little. A round sums over vote patterns, for all ``STARTS`` at once;
+    ``WEIGHT`` imagined votes keep a rule that never votes from an accuracy of 0 or 1.
     """
     names = [f"vote_{r[0]}" for r in rules]
-    patterns = stored(voted.groupBy(*names).agg(F.count("*").alias("n")), "quality-patterns").coalesce(1)
-    prior, accuracy = PRIOR, dict.fromkeys(names, (ON_GOOD, ON_BAD))
-    p, n = F.col("p"), F.col("n")
+    counted = voted.groupBy(*names).agg(F.count("*").alias("n"))
+    starts = F.explode(F.array(*[F.lit(i) for i in range(len(STARTS))])).alias("start")
+    patterns = stored(counted.select("*", starts), "quality-patterns").coalesce(1)
+    fits = [(prior, [(g, b)] * len(names)) for prior, g, b in STARTS]
+    likely = [0.0] * len(fits)
     for _ in range(ROUNDS):
-        sums = [F.sum(n), F.sum(p * n)]
-        for c in names:
-            voted_good, voted_bad = F.col(c) == 1, F.col(c) == -1
-            sums += [
-                F.sum(F.when(voted_good, p * n).otherwise(0.0)),
-                F.sum(F.when(voted_good | voted_bad, p * n).otherwise(0.0)),
-                F.sum(F.when(voted_bad, (1 - p) * n).otherwise(0.0)),
-                F.sum(F.when(voted_good | voted_bad, (1 - p) * n).otherwise(0.0)),
-            ]
-        row = patterns.withColumn("p", posterior(prior, accuracy)).agg(*sums).first()
-        if not row[0]:
-            break
-        found = {}
-        for i, c in enumerate(names):
-            right_good, good, right_bad, bad = row[2 + 4 * i : 6 + 4 * i]
-            found[c] = (
-                _bounded((right_good + WEIGHT * ON_GOOD) / (good + WEIGHT), GOOD_BOUNDS),
-                _bounded((right_bad + WEIGHT * ON_BAD) / (bad + WEIGHT), BAD_BOUNDS),
-            )
-        share = _bounded(row[1] / row[0], PRIOR_BOUNDS)
-        moved = max(
-            abs(share - prior), *(abs(x - y) for c in names for x, y in zip(found[c], accuracy[c]))
-        )
-        prior, accuracy = share, found
+        moved = 0.0
+        for row in _round(patterns, names, fits):
+            old_prior, old = fits[row[0]]
+            prior = (row[2] + 1) / (row[1] + 2)
+            fit = []
+            for i in range(len(names)):
+                right_good, good, right_bad, bad = row[4 + 4 * i : 8 + 4 * i]
+                fit.append(
+                    ((right_good + WEIGHT * ON_GOOD) / (good + WEIGHT), (right_bad + WEIGHT * ON_BAD) / (bad + WEIGHT))
+                )
+            moved = max(moved, abs(prior - old_prior), *(abs(x - y) for u, v in zip(fit, old) for x, y in zip(u, v)))
+            fits[row[0]], likely[row[0]] = (prior, fit), row[3]
         if moved < SETTLED:
             break
-    return prior, accuracy
-
-
-def _bounded(value: float, bounds: tuple[float, float]) -> float:
-    return min(bounds[1], max(bounds[0], value))
+    prior, fit = fits[max(range(len(fits)), key=lambda i: likely[i])]
+    if sum(g + b for g, b in fit) < len(fit):  # the classes have changed places
+        prior, fit = 1 - prior, [(1 - b, 1 - g) for g, b in fit]
+    return prior, dict(zip(names, fit))
 
 
 def judge_quality(docs: DataFrame, rules=RULES, keep_from: float = 0.5) -> DataFrame:

@@ -1,6 +1,7 @@
 """Decontamination, token counts, language, urls, pseudonyms, quality against brute force."""
 
 import math
+import random
 import re
 import string
 from collections import Counter
@@ -450,34 +451,83 @@ def test_base_measures_match_brute_force(spark, edge, source):
         assert not (r.kept and r.base_failed) and r.kept == (not r.base_failed and r.quality >= 0.5)
 
 
+def plain_em(rows):
+    """(prior, accuracies) by EM over single documents, the best of all starts."""
+    found = []
+    for prior, g, b in quality.STARTS:
+        acc = [(g, b)] * len(rows[0])
+        for _ in range(quality.ROUNDS):
+            post, likely = [], 0.0
+            for votes in rows:
+                good, bad = prior, 1 - prior
+                for v, (x, y) in zip(votes, acc):
+                    good *= x if v == 1 else 1 - x if v == -1 else 1
+                    bad *= 1 - y if v == 1 else y if v == -1 else 1
+                post.append(good / (good + bad))
+                likely += math.log(good + bad)
+            new = []
+            for i in range(len(acc)):
+                cast = [(votes[i], p) for votes, p in zip(rows, post) if votes[i]]
+                on_good = (sum(p for v, p in cast if v == 1) + quality.WEIGHT * quality.ON_GOOD) / (sum(p for _, p in cast) + quality.WEIGHT)
+                on_bad = (sum(1 - p for v, p in cast if v == -1) + quality.WEIGHT * quality.ON_BAD) / (sum(1 - p for _, p in cast) + quality.WEIGHT)
+                new.append((on_good, on_bad))
+            share = (sum(post) + 1) / (len(rows) + 2)
+            moved = max(abs(share - prior), *(abs(x - y) for u, v in zip(new, acc) for x, y in zip(u, v)))
+            prior, acc = share, new
+            if moved < quality.SETTLED:
+                break
+        found.append((likely, prior, acc))
+    _, prior, acc = max(found, key=lambda f: f[0])
+    return prior, acc
+
+
 def test_estimates_match_a_plain_em(spark):
-    voted = quality.stored(quality.votes(quality.base_features(table(spark, "/root/testdata/sf0.01", "documents"))), "test-votes")
+    voted = quality.stored(quality.votes(quality.base_features(table(spark, SF, "documents"))), "test-votes")
     names = [f"vote_{r[0]}" for r in quality.RULES]
-    rows = [tuple(r) for r in voted.select(names).collect()]
-    clip = lambda x, bounds: min(bounds[1], max(bounds[0], x))
-    prior, acc = quality.PRIOR, [(quality.ON_GOOD, quality.ON_BAD)] * len(names)
-    for _ in range(quality.ROUNDS):
-        post = []
-        for v in rows:
-            good, bad = prior, 1 - prior
-            for x, (s, t) in zip(v, acc):
-                good *= {1: s, -1: 1 - s, 0: 1}[x]
-                bad *= {1: 1 - t, -1: t, 0: 1}[x]
-            post.append(good / (good + bad))
-        new = []
-        for j in range(len(names)):
-            cast = [(v[j], p) for v, p in zip(rows, post) if v[j]]
-            on_good = (sum(p for x, p in cast if x == 1) + quality.WEIGHT * quality.ON_GOOD) / (sum(p for _, p in cast) + quality.WEIGHT)
-            on_bad = (sum(1 - p for x, p in cast if x == -1) + quality.WEIGHT * quality.ON_BAD) / (sum(1 - p for _, p in cast) + quality.WEIGHT)
-            new.append((clip(on_good, quality.GOOD_BOUNDS), clip(on_bad, quality.BAD_BOUNDS)))
-        share = clip(sum(post) / len(rows), quality.PRIOR_BOUNDS)
-        moved = max(abs(share - prior), *(abs(x - y) for a, b in zip(new, acc) for x, y in zip(a, b)))
-        prior, acc = share, new
-        if moved < quality.SETTLED:
-            break
+    prior, acc = plain_em([tuple(r) for r in voted.select(names).collect()])
     got_prior, got = quality.estimate(voted)
-    assert got_prior == pytest.approx(prior, abs=1e-6)
-    assert [x for n in names for x in got[n]] == pytest.approx([x for a in acc for x in a], abs=1e-6)
+    assert got_prior == pytest.approx(prior, abs=1e-3)
+    assert [x for c in names for x in got[c]] == pytest.approx([x for pair in acc for x in pair], abs=5e-3)
+
+
+#: Accuracies of nine rules on good and bad documents; the last two are poor on good ones.
+TRUE = [(0.95, 0.8), (0.9, 0.7), (0.97, 0.6), (0.9, 0.9), (0.85, 0.75), (0.99, 0.5), (0.92, 0.7), (0.6, 0.65), (0.55, 0.7)]
+
+
+def _cast(spark, share, n=20_000):
+    draw = random.Random(int(share * 100))
+    names = [f"vote_{r[0]}" for r in quality.RULES]
+    rows, good = [], []
+    for _ in range(n):
+        is_good = draw.random() < share
+        right = [draw.random() < (g if is_good else b) for g, b in TRUE]
+        rows.append(tuple(0 if draw.random() < 0.1 else (1 if r == is_good else -1) for r in right))
+        good.append(is_good)
+    return names, rows, good, spark.createDataFrame(rows, ", ".join(f"{c} int" for c in names))
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.8])
+def test_share_and_accuracies_are_found_freely(spark, share):
+    names, _, good, voted = _cast(spark, share)
+    prior, acc = quality.estimate(voted)
+    assert prior == pytest.approx(sum(good) / len(good), abs=0.05)
+    for c, (g, b) in zip(names, TRUE):
+        assert acc[c] == (pytest.approx(g, abs=0.05), pytest.approx(b, abs=0.05)), c
+    # Verdicts are no count of votes: two bad votes of poor rules pass, one of a good rule fails.
+    weak = [0] * 7 + [-1, -1]
+    weak[0] = weak[2] = 1
+    strong = [0, 0, 0, -1] + [0] * 5
+    judged = spark.createDataFrame([tuple(weak), tuple(strong)], voted.schema).withColumn("p", quality.posterior(prior, acc))
+    p = {r[names[3]]: r.p for r in judged.collect()}
+    if share == 0.5:
+        assert p[0] >= 0.5 > p[-1]
+
+
+def test_no_estimate_of_the_given_documents_is_at_an_end(spark):
+    voted = quality.stored(quality.votes(quality.base_features(table(spark, "/root/testdata/sf0.01", "documents"))), "test-votes")
+    prior, acc = quality.estimate(voted)
+    assert 0.5 < prior < 0.99
+    assert all(0 < x < 1 for pair in acc.values() for x in pair)
 
 
 def test_quality_separates_labelled_documents(spark):
