@@ -594,15 +594,6 @@ def test_the_last_ledger_row_is_kept_whole(spark):
     }
 
 
-def test_the_sample_has_traced_orders_with_two_refunded_rows(spark):
-    """Else the SQL beside ``refund_trace`` would not show a mix of rows."""
-    chain = registry.Chain(spark, "/root/testdata/sf0.01")
-    twice = frames.group(chain.ledger.where("ledger_table = 'ledger_refunded'"), "order_id", "count(*) AS n")
-    traced = registry.run("refund_trace", chain).join(twice.where("n > 1"), "order_id")
-    assert traced.count() >= 2
-    assert traced.where("ledger_presence = 'NOT_FOUND'").count() == 0
-
-
 def test_deposits_of_any_gateway_reach_the_waterfall(spark):
     hub, sett, ledger, _ = small_chain(
         spark, [("o1", "t1", 100, "SUCCESS")], [("GW_A", "t1", "2026-01-02", 100, 2, "ACQUIRING")], []
