@@ -19,13 +19,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallychain.llm.tables import each_text, fresh, pieces
+from tallychain.llm.tables import STEP_BYTES, each_text, fresh, pieces
 
 UNKNOWN = "und"
 #: Trigram buckets of a language.
 BUCKETS = 1 << 16
 #: Labelled documents to learn from, for each language, at most (in expectation).
 SAMPLE_DOCS = 4000
+#: Languages learned at most, those with most labelled documents; bounds the model to 32 MiB.
+MAX_LANGUAGES = 128
+#: A document of which no language holds this share has no language of its own.
+LEAST_SHARE = 1 / 3
 #: Added to each bucket's count.
 SMOOTHING = 0.05
 ROUNDS = 12
@@ -62,21 +66,25 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
+def learn(docs: DataFrame, sample: int = SAMPLE_DOCS, languages: int = MAX_LANGUAGES) -> Model:
     """Count trigrams of labelled documents that are not held out.
 
-    Documents without id, text or lang teach nothing. The model is one number for
-    each language and bucket, which is all that reaches the driver.
+    Documents without id, text or lang teach nothing. Of more than ``languages``
+    labels those with most documents are learned, ties by name, so that a column
+    full of stray labels can't swell the model: one number for each language and
+    bucket, which is all that reaches the driver.
     """
     labelled = docs.select("doc_id", "text", "lang").filter(
         "doc_id is not null and text is not null and lang is not null"
     ).filter(~held_out(F.col("doc_id")))
-    sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
+    largest = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    sizes = {r[0]: r[1] for r in largest.collect()}
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0), dtype=np.float32))
     share = F.element_at(
         F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample / n))]), F.col("lang")
     )
+    # A label that is not learned has no share, and no lot is below it.
     lot = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 40)) / F.lit(1 << 40)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,11 +114,13 @@ def learn(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
         .agg(F.sum("n").alias("n"))
         .toArrow()
     )
-    languages = sorted(set(counted.column("lang").to_pylist()))
-    column = np.array([languages.index(x) for x in counted.column("lang").to_pylist()], dtype=np.int64)
-    totals = np.full((BUCKETS, len(languages)), SMOOTHING)
+    labels = counted.column("lang").combine_chunks().dictionary_encode()
+    names = sorted(labels.dictionary.to_pylist())
+    place = {x: i for i, x in enumerate(names)}
+    column = np.array([place[x] for x in labels.dictionary.to_pylist()], dtype=np.int64)[labels.indices.to_numpy()]
+    totals = np.full((BUCKETS, len(names)), SMOOTHING)
     np.add.at(totals, (counted.column("bucket").to_numpy(), column), counted.column("n").to_numpy())
-    return Model(languages, np.log(totals / totals.sum(axis=0)).astype(np.float32))
+    return Model(names, np.log(totals / totals.sum(axis=0)).astype(np.float32))
 
 
 def _word_scores(buffer: np.ndarray, scores: np.ndarray) -> np.ndarray:
@@ -187,11 +197,13 @@ def proportions(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def language_udf(model: Model):
     """text -> (lang, share, languages): the main language, its share, and all chosen ones."""
     languages, scores = model.languages, model.scores
+    # Likelihoods are words times languages.
+    limit = STEP_BYTES * 8 // max(8, len(languages))
 
     @arrow_udf("struct<lang: string, share: double, languages: map<string, double>>")
     def identify(texts: pa.Array) -> pa.Array:
         lang, share, sets = [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in range(len(texts))]
-        for start, end in pieces(texts) if languages else ():
+        for start, end in pieces(texts, limit) if languages else ():
             buffers = [letters_only(t) for t in texts.slice(start, end - start).to_pylist()]
             used = [i for i, b in enumerate(buffers) if b]
             if not used:
@@ -230,8 +242,21 @@ def identify_languages(docs: DataFrame, model: Model | None = None) -> DataFrame
     ).select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.share").alias("score"), "found.languages")
 
 
-def drop_unknown(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """The rows of ``docs`` whose language was found, all columns kept."""
+def keep_languages(
+    docs: DataFrame,
+    languages: list[str] | None = None,
+    least_share: float = LEAST_SHARE,
+    model: Model | None = None,
+) -> DataFrame:
+    """The rows of ``docs`` that are written in one of ``languages``, all columns kept.
+
+    A row goes if its text is null or has no letter, if no language holds
+    ``least_share`` of its words, or if the one that holds most is not among
+    ``languages`` (all that were learned, if not given). Where no language was
+    learned every row goes. Repeated rows stay as often as they come.
+    """
     name = fresh(docs, "found")
     found = docs.withColumn(name, language_udf(model or learn(docs))("text"))
-    return found.filter(F.col(f"{name}.lang") != UNKNOWN).select(docs.columns)
+    lang, share = F.col(f"{name}.lang"), F.col(f"{name}.share")
+    wanted = lang != UNKNOWN if languages is None else lang.isin(languages) & (lang != UNKNOWN)
+    return found.filter(wanted & (share >= least_share)).select(docs.columns)

@@ -8,11 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallychain.llm import mixing, queries, sharding
+from tallychain.llm import language_id, mixing, queries, sharding
 from tallychain.llm.tables import stored, table
 from tests.conftest import SF
 from tests.llm.test_dedup import brute_components
-from tests.llm.test_text import brute_hits
+from tests.llm.test_text import brute_hits, brute_language, brute_learn
 
 SF1 = "/root/testdata/sf0.01"
 
@@ -194,10 +194,11 @@ def test_pipeline_matches_brute_force(spark):
         assert docs.columns == table(spark, SF, "documents").columns
         kept.append([tuple(r) for r in docs.select("doc_id", "text", "source").collect()])
     given = [tuple(r) for r in table(spark, SF, "documents").select("doc_id", "text", "source").collect()]
-    lettered = [r for r in given if any(c.isalpha() for c in r[1] or "")]
-    assert sorted(kept[0]) == sorted(lettered)
-    leads = {c for _, _, c in brute_components([r[:2] for r in lettered])}
-    assert sorted(kept[1]) == sorted(r for r in lettered if r[0] in leads)
+    model = brute_learn([tuple(r) for r in table(spark, SF, "documents").select("doc_id", "text", "lang").collect()])
+    own = [r for r in given if brute_language(model, r[1])[1] >= language_id.LEAST_SHARE]
+    assert sorted(kept[0]) == sorted(own)
+    leads = {c for _, _, c in brute_components([r[:2] for r in own])}
+    assert sorted(kept[1]) == sorted(r for r in own if r[0] in leads)
     clean = {d for d, _, n, _ in brute_hits([r[:2] for r in kept[1]], items) if not n}
     assert sorted(kept[2]) == sorted(r for r in kept[1] if r[0] in clean)
     assert set(kept[3]) == set(kept[2])

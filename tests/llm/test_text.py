@@ -4,7 +4,8 @@ import math
 import random
 import re
 import string
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from datetime import date
 
 import pytest
@@ -225,6 +226,114 @@ def test_urls_match_brute_force(spark):
 # Language
 
 
+def brute_learn(rows):
+    """{language: {bucket: log-likelihood}} and the one of buckets not seen; rows of (doc_id, text, lang)."""
+    counts = {}
+    for doc, text, lang in rows:
+        if None not in (doc, text, lang) and zlib.crc32(str(doc).encode()) % 3 != 1:
+            for word in re.findall(r"[^\W\d_]+", text.lower()):
+                counts.setdefault(lang, Counter()).update(buckets_of(word))
+    out = {}
+    for lang, seen in sorted(counts.items()):
+        whole = sum(seen.values()) + language_id.SMOOTHING * language_id.BUCKETS
+        out[lang] = defaultdict(lambda whole=whole: math.log(language_id.SMOOTHING / whole))
+        out[lang].update({b: math.log((n + language_id.SMOOTHING) / whole) for b, n in seen.items()})
+    return out
+
+
+def buckets_of(word):
+    raw = f" {word} ".encode()
+    grams = (int.from_bytes(raw[i : i + 3], "little") for i in range(len(raw) - 2))
+    return [(g * 2654435761 & 0xFFFFFFFF) >> 16 for g in grams]
+
+
+def brute_em(like, weights):
+    for _ in range(language_id.ROUNDS):
+        sums = dict.fromkeys(weights, 0.0)
+        for word in like:
+            whole = sum(weights[x] * word[x] for x in weights)
+            for x in weights:
+                sums[x] += weights[x] * word[x] / whole
+        weights = {x: v / len(like) for x, v in sums.items()}
+    return weights, sum(math.log(sum(weights[x] * word[x] for x in weights)) for word in like)
+
+
+def brute_language(model, text):
+    """(language, share, {language: share}): every set tried, words and rounds one by one."""
+    logs = [
+        {x: sum(model[x][b] for b in buckets_of(w)) for x in model}
+        for w in re.findall(r"[^\W\d_]+", (text or "").lower())
+    ]
+    if not logs or not model:
+        return "und", 0.0, {}
+    like = [{x: max(math.exp(v - max(w.values())), 1e-30) for x, v in w.items()} for w in logs]
+    singles = {x: sum(w[x] - max(w.values()) for w in logs) for x in model}
+    main = max(sorted(singles), key=lambda x: singles[x])
+    best, found = singles[main], {main: 1.0}
+    full, _ = brute_em(like, dict.fromkeys(model, 1 / len(model)))
+    order = sorted(full, key=lambda x: -full[x])
+    for k in range(2, len(model) + 1):
+        start = {x: max(full[x], 1e-9) for x in order[:k]}
+        shares, value = brute_em(like, {x: v / sum(start.values()) for x, v in start.items()})
+        value -= 0.5 * math.log(len(like)) * (k - 1)
+        if value > best:
+            best, found = value, shares
+    main = max(sorted(found), key=lambda x: found[x])
+    return main, found[main], found
+
+
+def mixtures(spark):
+    """The documents of the small table, and texts made of one, two and all of the languages."""
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    by = defaultdict(list)
+    for r in docs.orderBy("doc_id").collect():
+        by[r.lang] += re.findall(r"\S+", r.text or "")[:60]
+    made = [
+        (10_000_000 + n, " ".join(w for x in names for w in by[x][n * 10 : n * 10 + size]), None)
+        for n, (names, size) in enumerate(
+            [(["en"], 8), (["de", "en"], 20), (["fr", "es"], 25), (["de", "en", "es"], 40), (["de", "en", "es", "fr"], 45)]
+        )
+    ]
+    return docs.unionByName(spark.createDataFrame(made, docs.schema))
+
+
+def test_languages_match_brute_force(spark):
+    docs = mixtures(spark)
+    model = brute_learn([tuple(r) for r in docs.collect()])
+    want = {r.doc_id: brute_language(model, r.text) for r in docs.collect()}
+    got = language_id.identify_languages(docs).collect()
+    assert len(got) == len(want) and any(len(w[2]) >= 3 for w in want.values())
+    for r in got:
+        lang, share, shares = want[r.doc_id]
+        assert (r.lang_pred, set(r.languages)) == (lang, set(shares))
+        assert r.score == pytest.approx(share, abs=1e-3)
+        assert all(r.languages[x] == pytest.approx(v, abs=1e-3) for x, v in shares.items())
+
+
+def test_documents_of_other_or_no_main_language_go(spark):
+    docs = mixtures(spark)
+    model = language_id.learn(docs)
+    by = {r.doc_id: r for r in language_id.identify_languages(docs, model).collect()}
+    for languages, least in [(None, language_id.LEAST_SHARE), (["de", "xx"], 0.0), (["en", "fr"], 0.9), ([], 0.0)]:
+        kept = {r.doc_id for r in language_id.keep_languages(docs, languages, least, model).collect()}
+        assert kept == {
+            i for i, r in by.items()
+            if r.lang_pred != "und" and r.score >= least and (languages is None or r.lang_pred in languages)
+        }
+    # Four languages side by side: none of them is the text's.
+    assert 10_000_004 not in {r.doc_id for r in language_id.keep_languages(docs, model=model).collect()}
+
+
+def test_stray_labels_do_not_swell_the_model(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    stray = spark.range(10**7, 10**7 + 3000).selectExpr("id AS doc_id", "concat('zzq ', id) AS text", "concat('x', id) AS lang")
+    known = language_id.learn(docs)
+    model = language_id.learn(docs.unionByName(stray), languages=len(known.languages))
+    assert model.languages == known.languages
+    assert model.scores.shape == known.scores.shape and (model.scores == known.scores).all()
+    assert len(language_id.learn(docs.unionByName(stray)).languages) == language_id.MAX_LANGUAGES
+
+
 def test_held_out_languages_are_found(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = language_id.identify_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
@@ -249,7 +358,7 @@ def test_language_of_edge_rows(spark, edge, nothing):
     rows = language_id.identify_languages(edge, model).collect()
     assert len(rows) == edge.count()
     assert all((r.lang_pred == "und") == (r.score == 0) for r in rows)
-    kept = language_id.drop_unknown(edge, model)
+    kept = language_id.keep_languages(edge, None, 0.0, model)
     assert kept.columns == edge.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "1", "2", "None", "7", "8", "9"])
     assert language_id.identify_languages(edge).count() == edge.count()
