@@ -8,9 +8,13 @@ from tallychain.llm import decontaminate, language_id, mixing, sharding, simhash
 from tallychain.llm.tables import stored, table
 
 
-def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found; those without a letter go."""
-    return language_id.drop_unknown(docs)
+#: Languages of the corpus; None for every language that the labelled documents teach.
+LANGUAGES: list[str] | None = None
+
+
+def of_the_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of ``LANGUAGES``; those without a letter or without a main language go."""
+    return language_id.keep_languages(docs, LANGUAGES, language_id.LEAST_SHARE)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +38,7 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language_id", known_language),
+    ("language_id", of_the_languages),
     ("simhash_near_dedup", without_near_copies),
     ("decontamination", without_benchmark),
     ("source_mixing", mixed),
