@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallychain.config import Period
 from tallychain.functions import dates, money, status, text
 from tallychain.functions.dates import month_label
-from tallychain.operators import inventory, matching, settlements, sketches
+from tallychain.operators import distincts, inventory, matching, settlements, sketches
 from tallychain.operators.bank import bank_daily_full, bank_monthly
 from tallychain.operators.base import ledger_lookup
 from tallychain.operators.frames import (
@@ -848,6 +848,41 @@ def agg_multi_distinct(c: Chain):
     )
 
 
+def _monthly_states(c: Chain):
+    """Stored states of the ids, batches and days that each gateway settles in each month."""
+    rows = c.settlement.where("settled_date IS NOT NULL").selectExpr(
+        "gateway", f"{month_label('settled_date')} AS month", "settlement_order_id", "sett_utr", "settled_date"
+    )
+    for column in ("settlement_order_id", "sett_utr"):
+        path = shared_dir(c.spark, f"numbers-{column}")
+        distincts.number_keys(rows, column).write.parquet(path)
+        rows = distincts.with_number(rows, column, c.spark.read.parquet(path), f"{column}_number")
+    path = shared_dir(c.spark, "distinct-states")
+    counted = {"ids": "settlement_order_id_number", "batches": "sett_utr_number", "days": "unix_date(settled_date)"}
+    distincts.distinct_store(distincts.distinct_states(rows, ["gateway", "month"], counted), path, "month")
+    return distincts.distinct_load(c.spark, path, "month")
+
+
+@query("agg_multi_distinct_states", """
+SELECT gateway, COUNT(DISTINCT settlement_order_id) AS ids, COUNT(DISTINCT sett_utr) AS batches,
+       COUNT(DISTINCT settled_date) AS days FROM settlement WHERE settled_date IS NOT NULL GROUP BY 1""")
+def agg_multi_distinct_states(c: Chain):
+    """Three distinct counts over all months from monthly bitmaps."""
+    return distincts.distinct_counts(_monthly_states(c), ["gateway"], ["ids", "batches", "days"])
+
+
+@query("agg_distinct_to_month", """
+WITH m AS (SELECT DISTINCT gateway, strftime(settled_date, '%Y-%m') AS month, settlement_order_id AS id
+           FROM settlement WHERE settled_date IS NOT NULL AND settlement_order_id IS NOT NULL),
+f AS (SELECT gateway, id, MIN(month) AS first_month FROM m GROUP BY 1, 2)
+SELECT g.gateway, g.month, COUNT(*) FILTER (f.first_month = g.month) AS new_keys, COUNT(*) AS keys_so_far
+FROM (SELECT DISTINCT gateway, month FROM m) g JOIN f ON f.gateway = g.gateway AND f.first_month <= g.month
+GROUP BY 1, 2""")
+def agg_distinct_to_month(c: Chain):
+    """Ids that a gateway settles for the first time in each month, and up to its end."""
+    return distincts.counts_to_month(_monthly_states(c), ["gateway"], "month", "ids")
+
+
 @query("agg_conditional", """
 SELECT gateway, COUNT(*) FILTER (is_forward) AS forward_rows, COUNT(*) FILTER (is_refund) AS refund_rows,
        SUM(CASE WHEN is_forward THEN sett_gross ELSE 0 END)::DOUBLE AS forward_gross,

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallychain.config import Period
-from tallychain.operators import base, partials, refresh, settlements, sketches
+from tallychain.operators import base, distincts, partials, refresh, settlements, sketches
 from tallychain.plans import registry
 from tallychain.session import shared_dir
 from tallychain.sources import base_store, deliveries, sinks
@@ -166,3 +166,63 @@ def test_sums_follow_a_refresh(spark, stored):
     partials.partials_store(sinks.read_base(spark, path), kept, months)
     expected = partials.partials(base.recon_base(*layers))
     assert rows(partials.partials_load(spark, kept).select(expected.columns)) == rows(expected)
+
+
+# --- distinct counts ---------------------------------------------------------------------
+
+
+def test_numbers_are_dense_and_extended(spark, monkeypatch):
+    monkeypatch.setattr(distincts, "LOTS", 7)
+    first = spark.createDataFrame([(f"k{i % 500}",) for i in range(2000)] + [(None,)], "k string")
+    numbers = distincts.number_keys(first, "k").collect()
+    assert sorted(r.number for r in numbers) == list(range(1, 501))
+    assert {tuple(r) for r in distincts.number_keys(first.repartition(5), "k").collect()} == {tuple(r) for r in numbers}
+    known = spark.createDataFrame(numbers)
+    later = spark.createDataFrame([(f"k{i}",) for i in range(400, 650)], "k string")
+    added = distincts.number_keys(later, "k", known).collect()
+    assert sorted(r.number for r in added) == list(range(501, 651))
+    assert {r.key for r in added} == {f"k{i}" for i in range(500, 650)}
+    none = first.limit(0)
+    assert distincts.number_keys(none, "k").count() == 0
+    fresh = distincts.number_keys(later, "k", spark.createDataFrame([], known.schema)).collect()
+    assert sorted(r.number for r in fresh) == list(range(1, 251))
+
+
+def test_bitmaps_count_what_distinct_counts(spark):
+    """Keys over several buckets, one group with most of the rows, nulls, months without new keys."""
+    rng = random.Random(3)
+    data = [
+        ("hot" if rng.random() < 0.7 else rng.choice("ab"), f"2026-0{rng.randint(1, 5)}", rng.randint(1, 90_000), rng.randint(-40, 40))
+        for _ in range(60_000)
+    ]
+    data += [("a", "2026-06", None, None), (None, "2026-01", 5, None), (None, "2026-07", 5, 1)]
+    df = spark.createDataFrame(data, "g string, month string, n long, day int").repartition(6)
+    states = distincts.distinct_states(df, ["g", "month"], {"keys": "n", "days": "day"})
+    assert "Expand" not in states._jdf.queryExecution().executedPlan().toString()
+    want = df.groupBy("g").agg(F.countDistinct("n").alias("keys"), F.countDistinct("day").alias("days"))
+    got = distincts.distinct_counts(states, ["g"], ["keys", "days"])
+    assert rows(got) == rows(want)
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    again = distincts.distinct_counts(distincts.merged(states, ["g"]), ["g"], ["keys", "days"])
+    assert rows(again) == rows(want)
+    first, months = {}, set()
+    for g, month, n, _ in data:
+        if n is not None:
+            first[g, n] = min(month, first.get((g, n), month))
+            months.add((g, month))
+    want = {
+        (g, m): (sum(f == m for (h, _), f in first.items() if h == g), sum(f <= m for (h, _), f in first.items() if h == g))
+        for g, m in months
+    }
+    got = distincts.counts_to_month(states, ["g"], "month", "keys").collect()
+    assert {(r.g, r.month): (r.new_keys, r.keys_so_far) for r in got} == want
+
+
+def test_stored_states_replace_their_months(spark):
+    df = spark.createDataFrame([("2026-01", 1), ("2026-01", 2), ("2026-02", 2), ("2026-02", 3)], "month string, n long")
+    path = shared_dir(spark, "test-states")
+    distincts.distinct_store(distincts.distinct_states(df, ["month"], {"keys": "n"}), path, "month")
+    late = spark.createDataFrame([("2026-02", 3), ("2026-02", 4), ("2026-02", 5)], "month string, n long")
+    distincts.distinct_store(distincts.distinct_states(late, ["month"], {"keys": "n"}), path, "month")
+    got = distincts.distinct_counts(distincts.distinct_load(spark, path, "month"), ["month"], ["keys"]).collect()
+    assert {tuple(r) for r in got} == {("2026-01", 2), ("2026-02", 3)}
