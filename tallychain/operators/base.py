@@ -79,6 +79,26 @@ def hub_traced(hub: DataFrame, ledger: DataFrame) -> DataFrame:
     return one_hub_row(hub).join(ledger_lookup(ledger), "order_id", "left")
 
 
+def traced_orders(hub: DataFrame, ledger: DataFrame) -> DataFrame:
+    """What the base table shows of an order, one row per gateway key."""
+    return hub_traced(hub, ledger).selectExpr(
+        "gateway AS hub_gateway",
+        "settle_key",
+        "order_id AS hub_order_id",
+        "hub_txn_id",
+        "amount AS hub_amount",
+        "status AS hub_status",
+        "created_date AS hub_created_date",
+        "source_month",
+        "ledger_txn_id",
+        "ledger_table",
+        "ledger_amount",
+        "CASE WHEN in_main THEN ledger_txn_id END AS main_txn_id",
+        "in_refunded",
+        "in_topup",
+    )
+
+
 def bank_daily(bank: DataFrame) -> DataFrame:
     """One row per gateway and day."""
     return group(
@@ -128,31 +148,16 @@ def recon_base(
     rows = settlement.where("is_forward")
     if period is not None:
         rows = rows.where(in_period("settled_date", period))
-    traced = hub_traced(hub, ledger).selectExpr(
-        "gateway AS hub_gateway",
-        "settle_key",
-        "order_id AS hub_order_id",
-        "hub_txn_id",
-        "amount AS hub_amount",
-        "status AS hub_status",
-        "created_date AS hub_created_date",
-        "source_month",
-        "ledger_txn_id",
-        "ledger_table",
-        "ledger_amount",
-        "CASE WHEN in_main THEN ledger_txn_id END AS main_txn_id",
-        "in_refunded",
-        "in_topup",
-    )
-    joined = with_deposits(
-        rows.join(
-            traced,
-            F.expr("gateway = hub_gateway AND settlement_order_id = settle_key"),
-            "left",
-        ),
-        bank,
-        period,
+    joined = rows.join(
+        traced_orders(hub, ledger),
+        F.expr("gateway = hub_gateway AND settlement_order_id = settle_key"),
+        "left",
     )
+    return classified(with_deposits(joined, bank, period))
+
+
+def classified(joined: DataFrame) -> DataFrame:
+    """The base table's columns, of settlement rows with their traced order and deposit."""
     hub_id, ledger_id, sett_id = "hub_order_id", "main_txn_id", "settlement_order_id"
     status = st.trace_status(
         "gateway",

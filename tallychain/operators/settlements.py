@@ -6,7 +6,7 @@ meet the hub. Amounts of the hub and the gateway are thus counted once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallychain.config import TOP_BATCHES, Period
@@ -61,8 +61,9 @@ def l3_settled(
 ) -> DataFrame:
     """Hub, gateway and settlement counts and amounts, fees, span and distinct batches.
 
-    Settlements are read once: summed per (id, batch), joined with the orders in scope,
-    and grouped both by id, where an order's amounts count once, and by batch.
+    Settlements are read once: summed per (id, batch) and joined with the orders in scope,
+    whose amounts count on the first batch of an id. Rows stay where the join put them until
+    they are summed up by gateway and batch, and none is expanded.
     """
     parts = group(
         keyed(settlement.where("is_forward")),
@@ -81,34 +82,23 @@ def l3_settled(
         .join(gateway_by_key(gateway_txn), KEY)
         .select(*KEY, "amount", "gw_amount")
     )
-    columns = ["gateway", "gw_key", "sett_utr"]
-    sums = ("n", "gross", "net", "fees", "tax")
-    both = (
-        orders.join(parts, KEY, "left")
-        .groupingSets([columns[:2], [columns[0], columns[2]]], *columns)
-        .agg(
-            F.expr("grouping(gw_key) = 0 AS by_id"),
-            F.expr("min(amount) AS amount"),
-            F.expr("min(gw_amount) AS gw_amount"),
-            *[F.expr(f"sum({m}) AS {m}") for m in sums],
-            F.expr("min(first_date) AS first_date"),
-            F.expr("max(last_date) AS last_date"),
-        )
-    )
+    # An id has at most a row a batch here, whatever the number of its settlement rows.
+    first = F.row_number().over(Window.partitionBy(*KEY).orderBy("sett_utr")) == 1
+    joined = orders.join(parts, KEY, "left").withColumn("first", first)
     return group(
-        both,
+        joined,
         "gateway",
-        "count_if(by_id) AS hub_txns",
-        f"{total('amount', 'by_id')} AS hub_amount",
-        f"{total('gw_amount', 'by_id')} AS gateway_amount",
-        "count_if(by_id AND n IS NOT NULL) AS settled_txns",
-        f"{total('gross', 'by_id')} AS gross",
-        f"{total('net', 'by_id')} AS net",
-        f"{total('fees - tax', 'by_id')} AS commission",
-        f"{total('tax', 'by_id')} AS tax",
+        "count_if(first) AS hub_txns",
+        f"{total('amount', 'first')} AS hub_amount",
+        f"{total('gw_amount', 'first')} AS gateway_amount",
+        "count_if(first AND n IS NOT NULL) AS settled_txns",
+        f"{total('gross')} AS gross",
+        f"{total('net')} AS net",
+        f"{total('fees - tax')} AS commission",
+        f"{total('tax')} AS tax",
         "min(first_date) AS first_date",
         "max(last_date) AS last_date",
-        "count_if(NOT by_id AND sett_utr IS NOT NULL) AS batches",
+        "count(DISTINCT sett_utr) AS batches",
     )
 
 

@@ -11,7 +11,7 @@ from tallychain.operators import partials, refresh, trace
 from tallychain.operators.frames import group
 from tallychain.plans.registry import Chain, body, query
 from tallychain.session import shared_dir
-from tallychain.sources import base_store, sinks
+from tallychain.sources import base_store, copartitioned, sinks
 
 MONTH = Period.month("1996-01")
 NEXT_MONTH = Period.month("1996-02")
@@ -383,6 +383,7 @@ _LATE = {
     "bank": "bank_date >= '1998-06-20' AND bank_date < '1998-08-01'",
 }
 _FOLDERS = 16
+_ALIKE_BUCKETS = 4
 
 
 @query("recon_base_refresh", body("recon_base"))
@@ -396,6 +397,16 @@ def recon_base_refresh(c: Chain):
     return sinks.read_base(c.spark, path)
 
 
+@query("recon_base_alike", body("recon_base"))
+def recon_base_alike(c: Chain):
+    """The base from settlements and traced orders that are stored alike, keys of four rows split."""
+    root = shared_dir(c.spark, "recon_base_alike")
+    layout = copartitioned.store_alike(
+        c.settlement, c.hub, c.ledger, root, _ALIKE_BUCKETS, rows_per_part=3
+    )
+    return copartitioned.recon_base_alike(c.spark, layout, c.bank)
+
+
 @query("recon_month_compare_sums", body("recon_month_compare"))
 def recon_month_compare_sums(c: Chain):
     """Two months compared from stored monthly sums."""
