@@ -162,6 +162,12 @@ def opened(spark: SparkSession, root: str, buckets: int = BUCKETS) -> Layout:
     )
 
 
+def forget(spark: SparkSession, layout: Layout) -> None:
+    """Take the tables' names out of the catalog, for one that outlives the session; files stay."""
+    for name in (layout.settlement, layout.orders):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def settled_orders(spark: SparkSession, layout: Layout, period: Period | None = None) -> DataFrame:
     """Every settlement row with its traced order, or nulls; neither side is shuffled.
 

@@ -110,3 +110,19 @@ def test_empty_tables(spark, stored):
     joined = alike.recon_base_alike(spark, layout, stored.bank)
     assert joined.count() == stored.settlement.where("is_forward").count()
     assert joined.where("hub_order_id IS NOT NULL").count() == 0
+
+
+def test_rows_without_a_date_stay(spark, stored):
+    undated = stored.settlement.withColumn(
+        "settled_date", F.expr("if(abs(hash(settlement_order_id)) % 50 = 0, NULL, settled_date)")
+    )
+    layout = alike.store_alike(undated, stored.hub, stored.ledger, shared_dir(spark, "alike-null"), 2)
+    expected = base.recon_base(undated, stored.hub, stored.ledger, stored.bank)
+    got = alike.recon_base_alike(spark, layout, stored.bank)
+    assert got.where("settled_date IS NULL").count() > 0
+    assert rows(got) == rows(expected)
+    alike.replace_months(spark, layout, undated.where("settled_date IS NULL"))
+    assert rows(alike.recon_base_alike(spark, layout, stored.bank)) == rows(expected)
+    alike.forget(spark, layout)
+    assert not spark.catalog.tableExists(layout.settlement)
+    assert rows(alike.recon_base_alike(spark, alike.opened(spark, layout.root, 2), stored.bank)) == rows(expected)
