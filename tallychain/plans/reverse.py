@@ -402,7 +402,8 @@ def recon_base_alike(c: Chain):
     """The base from settlements and traced orders that are stored alike, keys of four rows split."""
     root = shared_dir(c.spark, "recon_base_alike")
     layout = copartitioned.store_alike(
-        c.settlement, c.hub, c.ledger, root, _ALIKE_BUCKETS, rows_per_part=3
+        c.settlement, c.hub, c.ledger, root, _ALIKE_BUCKETS, rows_per_part=3,
+        rows_per_bucket=copartitioned.ROWS_PER_BUCKET,
     )
     return copartitioned.recon_base_alike(c.spark, layout, c.bank)
 

@@ -14,7 +14,8 @@ import uuid
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallychain.config import Period
@@ -30,6 +31,8 @@ MONTH = "file_month"
 ROWS_PER_PART = 1_000_000
 #: Files of each table and month. Both tables need the same number.
 BUCKETS = 1024
+#: Settlement rows of all months in a bucket, where buckets follow the rows: a task sorts one.
+ROWS_PER_BUCKET = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -116,13 +119,21 @@ def store_alike(
     buckets: int = BUCKETS,
     rows_per_part: int = ROWS_PER_PART,
     by: str | None = None,
+    rows_per_bucket: int | None = None,
 ) -> Layout:
     """Lay out forward settlements by month, and the orders traced to the ledgers, below ``root``.
 
     Filing costs one shuffle of each, once; every run after it joins them where they are.
+    Given ``rows_per_bucket``, there are as many buckets as the settlements then need, at
+    least ``buckets``, so that what a task sorts and joins does not grow with the tables. The
+    layout that is returned tells their number.
     """
     spark = settlement.sparkSession
-    split_keys(_forward(settlement), rows_per_part).write.parquet(f"{root}/split")
+    counted = Observation()
+    keys = _forward(settlement).select(KEY)
+    split_keys(keys.observe(counted, F.count(F.lit(1)).alias("n")), rows_per_part).write.parquet(f"{root}/split")
+    if rows_per_bucket is not None:
+        buckets = max(buckets, -(-_observed(counted, keys) // rows_per_bucket))
     split = spark.read.parquet(f"{root}/split")
     _bucketed(_filed(settlement, split, buckets, by), f"{root}/settlement", buckets, MONTH)
     orders = traced_orders(hub, ledger).withColumnsRenamed({"hub_gateway": "gateway", "settle_key": "gw_key"})
@@ -131,6 +142,14 @@ def store_alike(
     return opened(spark, root, buckets)
 
 
+def _observed(counted: Observation, rows: DataFrame) -> int:
+    """The count made while ``rows`` were written; of an empty table Spark may drop it with the plan."""
+    try:
+        return counted.get["n"]
+    except (Py4JJavaError, KeyError):
+        return rows.count()
+
+
 def _forward(settlement: DataFrame) -> DataFrame:
     return settlement.where("is_forward").withColumnRenamed("settlement_order_id", "gw_key")
 

@@ -126,3 +126,18 @@ def test_rows_without_a_date_stay(spark, stored):
     alike.forget(spark, layout)
     assert not spark.catalog.tableExists(layout.settlement)
     assert rows(alike.recon_base_alike(spark, alike.opened(spark, layout.root, 2), stored.bank)) == rows(expected)
+
+
+def test_buckets_follow_the_rows(spark, stored):
+    """A task sorts a bucket: a fixed number of them would grow with the tables."""
+    n = stored.settlement.where("is_forward").count()
+    root = shared_dir(spark, "alike-grown")
+    grown = alike.store_alike(
+        stored.settlement, stored.hub, stored.ledger, root, 4, rows_per_part=3, rows_per_bucket=n // 9
+    )
+    assert grown.buckets == -(-n // (n // 9)) > 4
+    expected = base.recon_base(stored.settlement, stored.hub, stored.ledger, stored.bank)
+    assert rows(alike.recon_base_alike(spark, grown, stored.bank)) == rows(expected)
+    none = stored.settlement.limit(0)
+    root = shared_dir(spark, "alike-few")
+    assert alike.store_alike(none, stored.hub, stored.ledger, root, 2, rows_per_bucket=10).buckets == 2
