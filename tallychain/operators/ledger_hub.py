@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallychain.config import LEDGER_TABLES, Period
@@ -489,23 +489,38 @@ def _member_counts(sides: list[Keys], links: Links) -> tuple[DataFrame, dict[tup
     """One row per id with the number of rows each member has under it.
 
     Every frame is read once, however many ids of it and links take part. There is
-    no join, and an id that fills a member is counted map-side.
+    no join, and an id that fills a member is counted map-side. That count keeps one
+    number an id and member; the many columns are laid side by side in a window, which
+    holds one id at a time, and not in a hash table of all ids.
     """
     members = sorted({(d, m) for d, left, right in links.values() for m in (left, right)})
+    domains = {d: i for i, d in enumerate(dict.fromkeys(d for d, _ in members))}
     column = {dm: f"c{i}" for i, dm in enumerate(members)}
     by_frame: dict[int, list[Keys]] = {}
     for x in sides:
-        by_frame.setdefault(id(x.rows), []).append(x)
-    stacked = union_all([_stacked(own) for own in by_frame.values()]).where("id IS NOT NULL")
-    counts = [
-        f"count_if(domain = '{d}' AND member = '{m}') AS {col}" for (d, m), col in column.items()
-    ]
-    return group(stacked, ["domain", "id"], *counts), column
+        if x.domain in domains:
+            by_frame.setdefault(id(x.rows), []).append(x)
+    stacked = union_all([_stacked(own, domains, members) for own in by_frame.values()])
+    counted = group(
+        stacked.where("id IS NOT NULL AND member IS NOT NULL"), ["domain", "id", "member"], "count(*) AS n"
+    )
+    own = Window.partitionBy("domain", "id")
+    side_by_side = {
+        col: F.coalesce(F.max(F.expr(f"CASE WHEN member = {i} THEN n END")).over(own), F.lit(0))
+        for i, col in enumerate(column.values())
+    }
+    rows = counted.withColumns({"_first": F.min("member").over(own), **side_by_side})
+    return rows.where("member = _first").select("domain", "id", *side_by_side), column
+
+
+def _stacked(own: list[Keys], domains: dict[str, int], members: list[tuple[str, str]]) -> DataFrame:
+    """All (domain, id, member) of one frame's rows, domains and members as their numbers; null if no link asks."""
 
+    def number(x: Keys) -> str:
+        known = " ".join(f"WHEN '{m}' THEN {i}Y" for i, (d, m) in enumerate(members) if d == x.domain)
+        return f"CASE {x.member} {known} END" if known else "CAST(NULL AS TINYINT)"
 
-def _stacked(own: list[Keys]) -> DataFrame:
-    """All (domain, id, member) of one frame's rows."""
-    ids = ", ".join(f"'{x.domain}', CAST({x.key} AS STRING), {x.member}" for x in own)
+    ids = ", ".join(f"{domains[x.domain]}Y, CAST({x.key} AS STRING), {number(x)}" for x in own)
     return own[0].rows.selectExpr(f"stack({len(own)}, {ids}) AS (domain, id, member)")
 
 

@@ -155,3 +155,10 @@ def test_a_lost_month_is_rewritten_and_others_stay(spark):
 
 def test_local_session_is_reused(spark):
     assert local_session(4).sparkContext.applicationId == spark.sparkContext.applicationId
+
+
+def test_key_coverage_hashes_one_count_an_id_and_member(derived):
+    """The columns of all members side by side are made in a window, not in a hash table of all ids."""
+    plan = plan_of(registry.run("key_link_coverage", derived))
+    hashed = [x for x in plan.splitlines() if "Aggregate(" in x and "id#" in x.split("functions")[0]]
+    assert hashed and all("functions=[count(1)]" in x or "functions=[partial_count(1)]" in x for x in hashed), hashed
