@@ -2,8 +2,8 @@
 
 A key gets a number once (``number_keys``, extended by later deliveries); a state is the bitmap
 of the numbers a group holds in one bucket of 32,768 of them. States of any months and columns
-merge by OR, so several distinct counts need neither an Expand of the rows nor a shuffle of keys:
-the map side sends bitmaps of 4 KB. They pay off for few groups with many keys; a group with a
+merge by OR, so several distinct counts over stored months need neither an Expand of the rows nor
+a shuffle of keys: they move bitmaps of 4 KB. They pay off for few groups with many keys; a group with a
 handful of keys in each bucket is smaller as a list.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallychain.operators.frames import group, union_all
+from tallychain.operators.frames import group
 
 #: Parts that keys are numbered in; each is sorted in one task, their sizes are summed in one.
 LOTS = 4096
@@ -53,19 +53,27 @@ def with_number(rows: DataFrame, column: str, numbers: DataFrame, name: str) ->
 def distinct_states(rows: DataFrame, by: list[str], counted: dict[str, str]) -> DataFrame:
     """(by..., counted, bucket, bitmap): which numbers each group holds.
 
-    ``counted`` names each count and the integer it counts, as SQL. A branch reads its own column
-    and ``by``. The bucket is part of the key, so a group that holds most of the rows is spread.
+    ``counted`` names each count and the integer it counts, as SQL. Rows are read once; a number
+    that a group repeats collapses map-side. Then each bucket's numbers are brought to one task,
+    which makes a bitmap a group and bucket: made where the rows happen to lie, every task would
+    send a bitmap for nearly every bucket, and tasks times buckets grow as the square of the rows.
+    A bucket has at most 32,768 numbers a group, so the group that holds most of the rows is spread.
     """
-    branches = [
-        rows.where(f"({number}) IS NOT NULL").selectExpr(
+    numbers = ", ".join(f"'{name}', CAST({number} AS BIGINT)" for name, number in counted.items())
+    held = (
+        rows.selectExpr(*by, f"stack({len(counted)}, {numbers}) AS (counted, _number)")
+        .where("_number IS NOT NULL")
+        .distinct()
+        .selectExpr(
             *by,
-            f"'{name}' AS counted",
-            f"bitmap_bucket_number({number}) AS bucket",
-            f"bitmap_bit_position({number}) AS _position",
+            "counted",
+            "bitmap_bucket_number(_number) AS bucket",
+            "bitmap_bit_position(_number) AS _position",
         )
-        for name, number in counted.items()
-    ]
-    return group(union_all(branches), [*by, "counted", "bucket"], "bitmap_construct_agg(_position) AS bitmap")
+    )
+    return group(
+        held.repartition("counted", "bucket"), [*by, "counted", "bucket"], "bitmap_construct_agg(_position) AS bitmap"
+    )
 
 
 def merged(states: DataFrame, by: list[str]) -> DataFrame:

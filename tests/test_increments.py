@@ -218,6 +218,14 @@ def test_bitmaps_count_what_distinct_counts(spark):
     assert {(r.g, r.month): (r.new_keys, r.keys_so_far) for r in got} == want
 
 
+def test_a_bucket_is_made_in_one_task(spark):
+    """Bitmaps are not sent by every task that holds some number of a bucket."""
+    df = spark.range(1000).selectExpr("'2026-01' AS month", "id % 300 AS n")
+    plan = distincts.distinct_states(df, ["month"], {"keys": "n"})._jdf.queryExecution().executedPlan().toString()
+    made, dealt = plan.index("partial_bitmap_construct_agg"), plan.index("Exchange")
+    assert made < dealt and "Exchange hashpartitioning(counted" in plan, plan
+
+
 def test_stored_states_replace_their_months(spark):
     df = spark.createDataFrame([("2026-01", 1), ("2026-01", 2), ("2026-02", 2), ("2026-02", 3)], "month string, n long")
     path = shared_dir(spark, "test-states")
