@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallychain.operators.frames import group
-from tallychain.plans.registry import Chain, FileChain, body, query
+from tallychain.plans.registry import Chain, FileChain, body, kept, query
 from tallychain.plans.sample_files import bank_file, refund_files, settlement_files, source_files, txn_files
 from tallychain.session import shared_dir
 from tallychain.sources import files, landed, relations, sinks
@@ -67,8 +67,9 @@ def bank_from_files(c: Chain):
 def recon_base_from_files(c: Chain):
     """All source files written as CSV, landed by header and traced like any other month."""
     root = shared_dir(c.spark, "landed")
-    sources = source_files(c)
+    # Four gateways' files and the bank's come from one feed.
+    sources = source_files(kept(c, f"{root}/feed", "settlement_feed"))
     for name, df in sources.items():
-        sinks.csv_export(df, f"{root}/files/{name}")
-    loaded = landed.land(c.spark, {n: f"{root}/files/{n}/*.csv" for n in sources}, f"{root}/tables")
+        sinks.csv_export(df, f"{root}/files/{name}", compression="gzip")
+    loaded = landed.land(c.spark, {n: f"{root}/files/{n}/*.csv.gz" for n in sources}, f"{root}/tables")
     return FileChain(c.spark, c.root, {n: part.rows for n, part in loaded.items()}).base

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from copy import copy
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,6 +126,20 @@ class FileChain(Chain):
         self.__dict__.update(landed.relations_of(tables))
 
 
+def kept(chain: Chain, path: str, *names: str) -> Chain:
+    """The chain with ``names`` derived once, in this order, and read from Parquet from then on.
+
+    For a query that asks for a relation several times: each time is a join of whole tables else.
+    """
+    # A plain chain may have derived others from them before.
+    known = Chain(chain.spark, chain.root) if type(chain) is Chain else copy(chain)
+    for name in names:
+        rows = getattr(known, name)
+        rows.write.parquet(f"{path}/{name}")
+        known.__dict__[name] = chain.spark.read.schema(rows.schema).parquet(f"{path}/{name}")
+    return known
+
+
 def store_chain(chain: Chain, path: str, by_month: bool = True) -> None:
     """Normalise the source files once and keep the relations as Parquet.
 

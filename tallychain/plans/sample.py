@@ -131,6 +131,7 @@ def gateway_txn_feed(spine: DataFrame) -> DataFrame:
 def settlement_feed(spine: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One settlement row per line, in each gateway's own conventions."""
     owner = spine.select("k", "order_id", "hub_txn_id", "gateway")
+    # Fees and date texts are made after the join: they would only widen its rows.
     lines = lineitem.selectExpr(
         "l_orderkey",
         "l_partkey AS part",
@@ -138,11 +139,16 @@ def settlement_feed(spine: DataFrame, lineitem: DataFrame) -> DataFrame:
         "l_returnflag = 'R' AS refund",
         "l_returnflag = 'A' AND l_linestatus = 'O' AND l_linenumber = 7 AS untyped",
         f"CAST(l_extendedprice AS {MONEY}) AS gross",
+        "CAST(l_tax AS DECIMAL(4,2)) AS rate",
+        "CAST(l_shipdate AS DATE) AS shipped",
+    )
+    joined = lines.join(owner, lines["l_orderkey"] == owner["k"]).selectExpr(
+        "*",
         # Decimal arithmetic: a double product can fall on either side of half a cent.
-        f"CAST(CAST(l_extendedprice AS {MONEY}) * CAST(l_tax AS DECIMAL(4,2)) * 0.01BD AS {MONEY}) AS fee",
-        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS day",
+        f"CAST(gross * rate * 0.01BD AS {MONEY}) AS fee",
+        "CAST(shipped AS STRING) AS day",
     )
-    rows = lines.join(owner, lines["l_orderkey"] == owner["k"]).selectExpr(
+    rows = joined.selectExpr(
         "*",
         f"CAST(fee * 0.18BD AS {MONEY}) AS tax",
         f"{_method('part')} AS method",

@@ -42,7 +42,10 @@ def read_base(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("recon_month", month)
 
 
-def csv_export(df: DataFrame, path: str, *order: str) -> None:
-    """CSV with a header, quotes doubled. ``order`` sorts over all files: part 0 holds the first rows."""
+def csv_export(df: DataFrame, path: str, *order: str, compression: str = "none") -> None:
+    """CSV with a header, quotes doubled. ``order`` sorts over all files: part 0 holds the first rows.
+
+    A compressed file is read by one task.
+    """
     out = df.orderBy(*ordering(order)) if order else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path, compression=compression)

@@ -13,7 +13,7 @@ from tallychain.operators import base, hub_gateway, settlements
 from tallychain.operators.frames import pick_first
 from tallychain.plans import registry
 from tallychain.session import local_session, shared_dir
-from tallychain.sources import warehouse
+from tallychain.sources import sinks, warehouse
 
 
 def plan_of(df) -> str:
@@ -162,3 +162,23 @@ def test_key_coverage_hashes_one_count_an_id_and_member(derived):
     plan = plan_of(registry.run("key_link_coverage", derived))
     hashed = [x for x in plan.splitlines() if "Aggregate(" in x and "id#" in x.split("functions")[0]]
     assert hashed and all("functions=[count(1)]" in x or "functions=[partial_count(1)]" in x for x in hashed), hashed
+
+
+def test_relations_are_kept_as_they_are(derived, tmp_path):
+    known = registry.kept(derived, str(tmp_path), "settlement", "bank")
+    assert "Join" not in plan_of(known.settlement) and "Join" not in plan_of(known.bank)
+    for name in ("settlement", "bank"):
+        was, now = getattr(derived, name), getattr(known, name)
+        assert now.columns == was.columns and now.exceptAll(was).count() == was.exceptAll(now).count() == 0
+
+
+def test_the_settlement_feed_is_joined_once_for_all_files(derived, monkeypatch):
+    plans, export = [], sinks.csv_export
+
+    def watched(df, path, **options):
+        plans.append(plan_of(df))
+        export(df, path, **options)
+
+    monkeypatch.setattr(sinks, "csv_export", watched)
+    registry.run("recon_base_from_files", derived)
+    assert plans and not [p for p in plans if "l_orderkey#" in p]
