@@ -112,16 +112,16 @@ def bank_daily(bank: DataFrame) -> DataFrame:
 def with_deposits(rows: DataFrame, bank: DataFrame, period: Period | None = None) -> DataFrame:
     """Add ``bank_date`` and ``bank_daily_deposit`` of the row's gateway and settled date.
 
-    The deposits are reduced to a row per gateway and day. Whether they are
-    broadcast is left to Spark, which knows their size; if not, a busy day is a
-    hot key between two plain exchanges, which AQE splits.
+    The deposits are reduced to a row per gateway and day, so few that they are
+    broadcast whatever the tables' size: left to itself, Spark may shuffle the rows,
+    by far the widest, before it knows how small the other side is.
     """
     days = bank_daily(bank.where("gateway IS NOT NULL"))
     if period is not None:
         days = days.where(in_period("bank_date", period))
     days = days.selectExpr("gateway AS bank_gateway", "bank_date", "bank_daily_deposit")
     return rows.join(
-        days,
+        F.broadcast(days),
         F.expr("gateway = bank_gateway AND settled_date = bank_date"),
         "left",
     ).drop("bank_gateway")

@@ -9,7 +9,7 @@ from tallychain.config import Period
 from tallychain.operators import base as ops
 from tallychain.operators import partials, refresh, trace
 from tallychain.operators.frames import group
-from tallychain.plans.registry import Chain, body, query
+from tallychain.plans.registry import Chain, body, kept, query
 from tallychain.session import shared_dir
 from tallychain.sources import base_store, copartitioned, sinks
 
@@ -390,6 +390,7 @@ _ALIKE_BUCKETS = 4
 def recon_base_refresh(c: Chain):
     """The base written without the late rows of every layer, then brought up to date with them."""
     path = shared_dir(c.spark, "recon_base_refresh")
+    c = kept(c, shared_dir(c.spark, "refresh-relations"), "hub", "settlement", "bank")
     first = {n: getattr(c, n).where(f"NOT coalesce({late}, false)") for n, late in _LATE.items()}
     sinks.recon_base_write(ops.recon_base(*first.values()), path)
     late = refresh.Late(**{n: getattr(c, n).where(cond) for n, cond in _LATE.items()})

@@ -164,6 +164,12 @@ def test_key_coverage_hashes_one_count_an_id_and_member(derived):
     assert hashed and all("functions=[count(1)]" in x or "functions=[partial_count(1)]" in x for x in hashed), hashed
 
 
+def test_deposits_are_broadcast_from_the_start(small_limits, stored):
+    """Unasked, Spark starts to shuffle the wide rows before it knows how few days there are."""
+    plan = plan_of(base.with_deposits(stored.settlement, stored.bank))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_relations_are_kept_as_they_are(derived, tmp_path):
     known = registry.kept(derived, str(tmp_path), "settlement", "bank")
     assert "Join" not in plan_of(known.settlement) and "Join" not in plan_of(known.bank)
