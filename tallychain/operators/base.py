@@ -20,6 +20,15 @@ from tallychain.functions.money import safe_pct, total
 from tallychain.functions.text import order_prefix
 from tallychain.operators.frames import group, pick_first, top_k, with_totals
 
+#: How the stored base table is filed.
+FILED_BY = ["recon_month", "gateway"]
+#: What the base table is made of when rows are dealt out; those with few values last, as in ``traced_orders``.
+_TO_FILE = [
+    "sett_gross", "sett_net", "sett_fee", "hub_amount", "ledger_amount", "settled_date", "hub_created_date",
+    "settlement_order_id", "hub_order_id", "hub_txn_id", "sett_utr", "source_month", *FILED_BY, "hub_gateway",
+    "sett_txn_type", "hub_status", "ledger_table", "in_ledger", "in_main", "in_refunded", "in_topup",
+]
+
 
 # A refunded row counts once the refund is done, which is that ledger's scope; top-ups
 # are looked up for their own id family only.
@@ -80,20 +89,25 @@ def hub_traced(hub: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def traced_orders(hub: DataFrame, ledger: DataFrame) -> DataFrame:
-    """What the base table shows of an order, one row per gateway key."""
+    """What the base table shows of an order, one row per gateway key.
+
+    A ledger knows an order by its own id: whether one does is told by flags, which
+    are narrower than the id again. Columns with few values stand last: side by side, they
+    all but vanish when rows are compressed for a shuffle.
+    """
     return hub_traced(hub, ledger).selectExpr(
-        "gateway AS hub_gateway",
+        "amount AS hub_amount",
+        "ledger_amount",
+        "created_date AS hub_created_date",
         "settle_key",
         "order_id AS hub_order_id",
         "hub_txn_id",
-        "amount AS hub_amount",
-        "status AS hub_status",
-        "created_date AS hub_created_date",
         "source_month",
-        "ledger_txn_id",
+        "gateway AS hub_gateway",
+        "status AS hub_status",
         "ledger_table",
-        "ledger_amount",
-        "CASE WHEN in_main THEN ledger_txn_id END AS main_txn_id",
+        "ledger_txn_id IS NOT NULL AS in_ledger",
+        "in_main",
         "in_refunded",
         "in_topup",
     )
@@ -133,6 +147,7 @@ def recon_base(
     ledger: DataFrame,
     bank: DataFrame,
     period: Period | None = None,
+    filed: bool = False,
 ) -> DataFrame:
     """One classified row per forward settlement row.
 
@@ -144,6 +159,9 @@ def recon_base(
     from the top-ups; ``l1_match`` tells matches in a main ledger only. Hub and
     ledger amounts stand on every settlement row of their order: reports on this
     table count them once per settlement id.
+
+    ``filed`` deals the rows out as the stored table is filed, for ``recon_base_write``:
+    before the deposits and the columns that follow from others widen them.
     """
     rows = settlement.where("is_forward")
     if period is not None:
@@ -153,12 +171,24 @@ def recon_base(
         F.expr("gateway = hub_gateway AND settlement_order_id = settle_key"),
         "left",
     )
+    if filed:
+        joined = dealt(joined.withColumn("recon_month", F.expr(month_label("settled_date"))).select(_TO_FILE))
     return classified(with_deposits(joined, bank, period))
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt out by month and gateway.
+
+    ``rebalance`` sizes the files: a gateway with most of a month's rows is split over
+    several writers, small ones are merged.
+    """
+    return rows.hint("rebalance", *[F.col(c) for c in FILED_BY])
+
+
 def classified(joined: DataFrame) -> DataFrame:
     """The base table's columns, of settlement rows with their traced order and deposit."""
-    hub_id, ledger_id, sett_id = "hub_order_id", "main_txn_id", "settlement_order_id"
+    hub_id, sett_id = "hub_order_id", "settlement_order_id"
+    ledger_id = f"CASE WHEN in_main AND in_ledger THEN {hub_id} END"
     status = st.trace_status(
         "gateway",
         sett_id,
@@ -186,7 +216,7 @@ def classified(joined: DataFrame) -> DataFrame:
         "hub_gateway",
         "hub_created_date",
         f"{st.l2_match(hub_id)} AS l2_match",
-        "ledger_txn_id",
+        f"CASE WHEN in_ledger THEN {hub_id} END AS ledger_txn_id",
         "ledger_table",
         "ledger_amount",
         f"{st.l1_match(hub_id, ledger_id)} AS l1_match",

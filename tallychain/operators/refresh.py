@@ -13,12 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallychain.functions.dates import month_label
-from tallychain.operators.base import recon_base, with_deposits
+from tallychain.operators.base import FILED_BY, dealt, recon_base, with_deposits
 from tallychain.operators.frames import key_set, union_all
+from tallychain.operators.key_filter import probed, semi_join
 
 ID = ["gateway", "settlement_order_id"]
-#: How the base table is filed.
-FILED_BY = ["recon_month", "gateway"]
 
 
 @dataclass(frozen=True)
@@ -49,15 +48,17 @@ def touched_ids(late: Late, hub: DataFrame) -> DataFrame | None:
     return key_set(union_all(found), *ID) if found else None
 
 
-def touched_months(late: Late, base: DataFrame, ids: DataFrame | None) -> list[tuple[str | None, str | None]]:
+def touched_months(
+    late: Late, base: DataFrame, ids: DataFrame | None, id_filter: DataFrame | None
+) -> list[tuple[str | None, str | None]]:
     """The (recon_month, gateway) to be written again: at most months times gateways, so a list.
 
     Of the base only ids are read. Settlement days that had no row yet are in the late
-    rows themselves.
+    rows themselves. ``id_filter`` is the filter (``key_filter``) of ``ids``.
     """
     found = []
     if ids is not None:
-        found.append(base.join(ids, ID, "left_semi").select(FILED_BY))
+        found.append(semi_join(base.select(*ID, "recon_month"), ids, ID, id_filter).select(FILED_BY))
     for rows, day in ((late.settlement, "settled_date"), (late.bank, "bank_date")):
         if rows is not None:
             found.append(rows.selectExpr(f"{month_label(day)} AS recon_month", "gateway"))
@@ -86,30 +87,43 @@ def refreshed(
     ledger: DataFrame,
     bank: DataFrame,
     ids: DataFrame | None,
+    id_filter: DataFrame | None,
     months: list[tuple[str | None, str | None]],
+    crowded: list[tuple[str | None, str | None]] | None = None,
 ) -> DataFrame:
-    """All base rows of ``months`` as a rebuild would give them.
+    """All base rows of ``months`` as a rebuild would give them, filed by month and gateway.
 
-    Rows of untouched ids are taken over and only get their deposits anew. ``settlement``
-    needs to hold the rows of ``months`` only. The joins on touched ids are small sides
-    where late rows are few; nothing else is joined.
+    Rows of untouched ids are taken over and only get their deposits anew. They stay where
+    they lie: a task reads a few files and writes a few. What ``id_filter`` can't tell from
+    touched ids, what is traced again and the rows of ``crowded`` months are dealt out by
+    month and gateway. ``settlement`` needs to hold the rows of ``months`` only. The joins
+    on touched ids are small sides where late rows are few; nothing else is joined.
     """
-    old = base.where(filed_in(months))
+    old = base.where(filed_in(months)).drop("bank_date", "bank_daily_deposit")
+
+    def complete(rows: DataFrame) -> DataFrame:
+        return with_deposits(rows, bank).select(base.columns)
+
+    moved = []
     if ids is None:
-        kept, traced = old, None
+        kept = old
     else:
         # Rows without an id meet nothing; they are taken from the settlements, late ones too.
         loose = "settlement_order_id IS NULL OR gateway IS NULL"
-        kept = old.where(f"NOT ({loose})").join(ids, ID, "left_anti")
+        asked = probed(old.where(f"NOT ({loose})"), ID, id_filter)
+        kept = asked.where("NOT _maybe").drop("_maybe")
+        moved.append(complete(asked.where("_maybe").drop("_maybe").join(ids, ID, "left_anti")))
         wanted = ids.withColumnRenamed("settlement_order_id", "settle_key")
-        hubs = hub.join(wanted, ["gateway", "settle_key"], "left_semi")
+        hubs = semi_join(hub, wanted, ["gateway", "settle_key"], id_filter)
         ledgers = ledger.join(key_set(hubs, "order_id"), "order_id", "left_semi")
         rows = (
             settlement.withColumn("_filed", F.expr(month_label("settled_date")))
             .where(filed_in(months, "_filed"))
             .drop("_filed")
         )
-        own = rows.join(ids, ID, "left_semi").unionByName(rows.where(loose))
-        traced = recon_base(own, hubs, ledgers, bank)
-    again = with_deposits(kept.drop("bank_date", "bank_daily_deposit"), bank).select(base.columns)
-    return again if traced is None else again.unionByName(traced.select(base.columns))
+        own = semi_join(rows, ids, ID, id_filter).unionByName(rows.where(loose))
+        moved.append(recon_base(own, hubs, ledgers, bank).select(base.columns))
+    if crowded:
+        moved.append(complete(kept.where(filed_in(crowded))))
+        kept = kept.where(~filed_in(crowded))
+    return union_all([complete(kept), dealt(union_all(moved))]) if moved else complete(kept)

@@ -16,6 +16,7 @@ from tallychain.config import Period
 from tallychain.functions.dates import in_period
 from tallychain.plans import sample
 from tallychain.plans.oracle import with_relations
+from tallychain.session import shuffles_freed
 from tallychain.sources import landed, relations, warehouse
 from tallychain.sources.tables import scan
 
@@ -126,16 +127,20 @@ class FileChain(Chain):
         self.__dict__.update(landed.relations_of(tables))
 
 
-def kept(chain: Chain, path: str, *names: str) -> Chain:
+def kept(chain: Chain, path: str, *names: str, columns: dict[str, list[str]] | None = None) -> Chain:
     """The chain with ``names`` derived once, in this order, and read from Parquet from then on.
 
     For a query that asks for a relation several times: each time is a join of whole tables else.
+    ``columns`` are those of a relation that the query asks for, if not all.
     """
     # A plain chain may have derived others from them before.
     known = Chain(chain.spark, chain.root) if type(chain) is Chain else copy(chain)
     for name in names:
         rows = getattr(known, name)
-        rows.write.parquet(f"{path}/{name}")
+        if columns and name in columns:
+            rows = rows.select(columns[name])
+        with shuffles_freed(chain.spark):
+            rows.write.parquet(f"{path}/{name}", compression="zstd")
         known.__dict__[name] = chain.spark.read.schema(rows.schema).parquet(f"{path}/{name}")
     return known
 

@@ -382,6 +382,12 @@ _LATE = {
     "ledger": "abs(hash(order_id, ledger_table)) % 500 = 0",
     "bank": "bank_date >= '1998-06-20' AND bank_date < '1998-08-01'",
 }
+#: Columns of the relations that the base table and the deposits are made of, those with few values last.
+_OF_BASE = {
+    "hub": ["amount", "created_date", "order_id", "hub_txn_id", "settle_key", "source_month", "gateway", "status"],
+    "settlement": ["sett_gross", "sett_net", "sett_fee", "settled_date", "settlement_order_id", "sett_utr",
+                   "sett_txn_type", "gateway", "is_forward", "is_refund"],
+}
 _FOLDERS = 16
 _ALIKE_BUCKETS = 4
 
@@ -390,9 +396,9 @@ _ALIKE_BUCKETS = 4
 def recon_base_refresh(c: Chain):
     """The base written without the late rows of every layer, then brought up to date with them."""
     path = shared_dir(c.spark, "recon_base_refresh")
-    c = kept(c, shared_dir(c.spark, "refresh-relations"), "hub", "settlement", "bank")
+    c = kept(c, shared_dir(c.spark, "refresh-relations"), "hub", "settlement", "bank", columns=_OF_BASE)
     first = {n: getattr(c, n).where(f"NOT coalesce({late}, false)") for n, late in _LATE.items()}
-    sinks.recon_base_write(ops.recon_base(*first.values()), path)
+    sinks.recon_base_write(ops.recon_base(*first.values(), filed=True), path, filed=True)
     late = refresh.Late(**{n: getattr(c, n).where(cond) for n, cond in _LATE.items()})
     base_store.refresh(c.spark, path, c.settlement, c.hub, c.ledger, c.bank, late)
     return sinks.read_base(c.spark, path)

@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,21 @@ def local_session(cpus: int | str = 8, app: str = "tallychain", **conf: str) ->
     return spark
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write in this block go when it ends.
+
+    Else they stay until the driver happens to collect its garbage, beside those of the next write.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir.
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallychain.operators.refresh import FILED_BY, Late, filed_in, refreshed, touched_ids, touched_months
+from tallychain.operators.base import FILED_BY
+from tallychain.operators.key_filter import bit_sets
+from tallychain.operators.refresh import ID, Late, filed_in, refreshed, touched_ids, touched_months
 from tallychain.operators.trace import trace_one
-from tallychain.session import shared_dir
-from tallychain.sources.sinks import BASE_IDS, read_base, recon_base_write
+from tallychain.session import shared_dir, shuffles_freed
+from tallychain.sources.sinks import BASE_IDS, crowded, read_base, recon_base_write
 
 #: Folders of the id index; a look-up opens one of them.
 INDEX_FOLDERS = 256
@@ -30,23 +32,27 @@ def refresh(
     The relations hold the late rows already. Months that no late row touches are neither
     read, but for their ids, nor written. ``index`` is the id index to be kept in step.
     """
-    ids = touched_ids(late, hub)
+    ids, id_filter = touched_ids(late, hub), None
     if ids is not None:
-        ids = _stored(ids, "refresh-ids")  # read by five joins
+        # Read by all joins on touched ids.
+        ids = _stored(ids, "refresh-ids")
+        id_filter = _stored(bit_sets(ids, ID), "refresh-filter")
     base = read_base(spark, path)
-    months = touched_months(late, base, ids)
+    months = touched_months(late, base, ids, id_filter)
     if months:
-        # Stored first: the partitions that are read here are the ones to be replaced.
-        rows = _stored(refreshed(base, settlement, hub, ledger, bank, ids, months), "refresh-rows")
-        recon_base_write(rows, path)
+        full = crowded(base.where(filed_in(months)))
+        rows = refreshed(base, settlement, hub, ledger, bank, ids, id_filter, months, full)
+        # The partitions that are read are the ones to be replaced; they are when all rows are written.
+        recon_base_write(rows, path, filed=True)
         if index is not None:
-            add_to_index(rows, index, folders)
+            add_to_index(read_base(spark, path).where(filed_in(months)), index, folders)
     return months
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,27 +10,14 @@ broke off halfway is simply run again under its name.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallychain.operators.frames import pick_first
+from tallychain.operators.key_filter import FILTER_BITS, bit_sets, probed
 from tallychain.session import shared_dir
 
-#: Bits of the filter: 16 MiB, whatever the number of keys. A full filter only makes more
-#: rows be compared exactly.
-FILTER_BITS = 1 << 27
-
-
-def _key(keys: list[str]) -> Column:
-    """Null is a value of a key like any other."""
-    return F.xxhash64(F.lit(3), *[F.struct(F.col(k).isNull(), F.col(k)) for k in keys])
-
-
-def _bit(keys: list[str], bits: int) -> Column:
-    """Counted from 1, as the ``bitmap_*`` functions do."""
-    return F.pmod(_key(keys), F.lit(bits)) + 1
-
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A part of the index; empty before the first delivery."""
@@ -64,36 +51,22 @@ def new_rows(
     """
     spark = rows.sparkSession
     once = pick_first(rows, keys, *(order or keys))
-    place = F.bitmap_bit_position("_bit")
-    byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10)
-    hit = byte.cast("int").bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0
-    # 16 MiB at most, by construction of the filter.
-    probed = (
-        once.withColumn("_bit", _bit(keys, bits))
-        .withColumn("bucket", F.bitmap_bucket_number("_bit"))
-        .join(F.broadcast(known_filter(spark, index, delivery)), "bucket", "left")
-        .withColumn("_maybe", F.coalesce(hit, F.lit(False)))
-        .drop("bucket", "bits", "_bit")
-    )
+    asked = probed(once, keys, known_filter(spark, index, delivery), bits)
     # Stored, so that the filter is asked once for both branches.
     path = shared_dir(spark, "delivery")
-    probed.write.partitionBy("_maybe").parquet(path)
+    asked.write.partitionBy("_maybe").parquet(path)
     schema = T.StructType([*rows.schema.fields, T.StructField("_maybe", T.BooleanType())])
-    probed = spark.read.schema(schema).parquet(path)
+    asked = spark.read.schema(schema).parquet(path)
     exact = _read(spark, f"{index}/keys", _key_schema(rows, keys)).where(F.col("delivery") != delivery)
     same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
-    unknown = probed.where("_maybe").alias("l").join(exact.alias("r"), same, "left_anti")
-    return probed.where("NOT _maybe").unionByName(unknown).drop("_maybe").select(rows.columns)
+    unknown = asked.where("_maybe").alias("l").join(exact.alias("r"), same, "left_anti")
+    return asked.where("NOT _maybe").unionByName(unknown).drop("_maybe").select(rows.columns)
 
 
 def record(rows: DataFrame, keys: list[str], index: str, delivery: str, bits: int = FILTER_BITS) -> None:
     """Enter the keys of a delivery's new rows into the index, in place of what it entered before."""
     tagged = rows.select(*keys, F.lit(delivery).alias("delivery"))
-    sets = (
-        tagged.select("delivery", _bit(keys, bits).alias("bit"))
-        .groupBy("delivery", F.bitmap_bucket_number("bit").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    )
+    sets = bit_sets(tagged, keys, "delivery", bits=bits)
     for part, df in (("keys", tagged), ("filter", sets)):
         (
             df.write.mode("overwrite")

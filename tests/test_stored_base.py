@@ -1,12 +1,13 @@
 """The stored base table: refreshed with late rows, looked up by id."""
 
+import time
 from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tallychain.operators import base, refresh
+from tallychain.operators import base, key_filter, refresh
 from tallychain.operators.trace import trace_one
 from tallychain.plans import registry
 from tallychain.session import shared_dir
@@ -118,6 +119,135 @@ def test_a_refresh_opens_only_touched_months(spark, written):
     assert _scanned(rows_of_month, "numPartitions") == 1
 
 
+# --- what a write and a refresh leave on disk ----------------------------------------------
+
+
+def _nodes(df):
+    """All nodes of the plan after it ran, those of its stages too."""
+    df = df.select("*")
+    executed = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    stack = [executed]
+    while stack:
+        node = stack.pop()
+        yield node
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            stack.append(node.plan())
+
+
+def _shuffled(df, least_columns=0):
+    """Rows that went through a shuffle, of those with so many columns."""
+    return sum(
+        n.metrics().apply("shuffleRecordsWritten").value() for n in _nodes(df)
+        if n.nodeName() == "Exchange" and n.output().size() >= least_columns
+    )
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """As with tables too large to be broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_refresh_shuffles_only_what_may_be_touched(no_broadcast, half, written):
+    spark, table = no_broadcast, sinks.read_base(no_broadcast, written[0])
+    late = refresh.Late(hub=half["hub"].where("abs(hash(order_id)) % 50 = 0"))
+    ids = refresh.touched_ids(late, half["hub"])
+    id_filter = key_filter.bit_sets(ids, refresh.ID)
+    months = refresh.touched_months(late, table, ids, id_filter)
+    found = refresh.refreshed(table, *half.values(), ids, id_filter, months)
+    expected = base.recon_base(*half.values()).where(refresh.filed_in(months)).select(table.columns)
+    assert rows(found) == rows(expected)
+    all_rows = table.where(refresh.filed_in(months)).count()
+    assert 0 < _shuffled(found, len(table.columns) - 2) < all_rows / 4
+
+
+def test_a_refresh_keeps_no_second_copy(spark, half):
+    conds = CASES["all"]
+    first = {n: df.where(f"NOT coalesce({conds[n]}, false)") for n, df in half.items()}
+    path = shared_dir(spark, "base")
+    sinks.recon_base_write(base.recon_base(*first.values(), filed=True), path, filed=True)
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.iterdir())
+    late = refresh.Late(**{n: half[n].where(cond) for n, cond in conds.items()})
+    base_store.refresh(spark, path, *half.values(), late)
+    found = sinks.read_base(spark, path)
+    assert rows(found) == rows(base.recon_base(*half.values()).select(found.columns))
+    more = {p.name.rpartition("-")[0].split("-")[1] for p in set(root.iterdir()) - before if p.name.startswith("refresh-")}
+    assert more == {"ids", "filter"}
+
+
+def test_a_crowded_month_is_filed_anew(spark):
+    hub, sett, ledger, bank = small_chain(
+        spark, [(f"o{i}", f"t{i}", 100, "SUCCESS") for i in range(13)],
+        [("GW_A", f"t{i}", "2026-01-02", 60, 1, "ACQUIRING") for i in range(13)], [("o1", "ledger_revenue", "99")],
+    )
+    path = shared_dir(spark, "base")
+    whole = base.recon_base(sett, hub, ledger, bank)
+    order = whole.select("settlement_order_id").orderBy("settlement_order_id").collect()
+    pieces = [whole.where(F.col("settlement_order_id") == r[0]) for r in order]
+    for piece in pieces[:-1]:
+        piece.write.mode("append").partitionBy(*sinks.FILED_BY).parquet(path)
+    assert len(files(path)) == 12 and sinks.crowded(sinks.read_base(spark, path)) == [("2026-01", "GW_A")]
+    late = refresh.Late(settlement=sett.where(F.col("settlement_order_id") == order[-1][0]))
+    base_store.refresh(spark, path, sett, hub, ledger, bank, late)
+    found = sinks.read_base(spark, path)
+    assert rows(found) == rows(whole.select(found.columns)) and len(files(path)) == 1
+
+
+def test_rows_are_dealt_out_before_they_are_widened(spark, half):
+    found = base.recon_base(*half.values(), filed=True)
+    dealt = [n for n in _nodes(found) if n.nodeName() == "Exchange" and "recon_month" in n.outputPartitioning().toString()]
+    assert len(dealt) == 1 and "REBALANCE" in dealt[0].toString().upper()
+    columns = dealt[0].output().mkString(",")
+    for made in ("trace_status", "l1_match", "bank_daily_deposit", "ledger_txn_id", "diff_hub_vs_sett"):
+        assert made in found.columns and made not in columns
+    assert rows(found) == rows(base.recon_base(*half.values()))
+
+
+def test_bloom_filters_are_as_large_as_the_ids_need(written):
+    stored = [pq.ParquetFile(p).metadata for p in Path(written[0]).rglob("*.parquet")]
+    assert max(m.num_rows for m in stored) < 2000
+    assert max(p.stat().st_size for p in Path(written[0]).rglob("*.parquet")) < 150_000
+
+
+def test_shuffle_files_go_with_the_write(spark, half):
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = blocks.getAllBlocks().mkString(",").split(",")
+        return {b for b in found if b.startswith("shuffle_")}
+
+    before = shuffles()
+    sinks.recon_base_write(base.recon_base(*half.values(), filed=True), shared_dir(spark, "base"), filed=True)
+    until = time.time() + 30
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+
+
+def test_a_filter_misses_no_key(spark):
+    keys = spark.range(0, 900, 3).selectExpr("CASE WHEN id > 0 THEN concat('k', id) END AS k", "id % 2 AS n")
+    asked = spark.range(900).selectExpr("CASE WHEN id > 0 THEN concat('k', id) END AS k", "id % 2 AS n", "id")
+    for bits in (1 << 12, key_filter.FILTER_BITS):
+        found = key_filter.bit_sets(keys, ["k", "n"], bits=bits)
+        told = {r.id: r._maybe for r in key_filter.probed(asked, ["k", "n"], found, bits).collect()}
+        assert len(told) == 900 and all(told[i] for i in range(0, 900, 3))
+        assert sum(told.values()) < 400
+    # Null is no key of a join.
+    assert key_filter.semi_join(asked, keys, ["k", "n"], key_filter.bit_sets(keys, ["k", "n"])).count() == 299
+
+
 # --- look-up -----------------------------------------------------------------------------
 
 
