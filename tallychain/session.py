@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,18 +33,24 @@ def local_session(cpus: int | str = 8, app: str = "tallychain", **conf: str) ->
 
 
 @contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for what runs in this block."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffles_freed(spark: SparkSession) -> AbstractContextManager[None]:
     """Shuffle files of a write in this block go when it ends.
 
     Else they stay until the driver happens to collect its garbage, beside those of the next write.
     """
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -9,11 +9,14 @@ from tallychain.operators.base import FILED_BY
 from tallychain.operators.key_filter import bit_sets
 from tallychain.operators.refresh import ID, Late, filed_in, refreshed, touched_ids, touched_months
 from tallychain.operators.trace import trace_one
-from tallychain.session import shared_dir, shuffles_freed
+from tallychain.session import settings, shared_dir, shuffles_freed
 from tallychain.sources.sinks import BASE_IDS, crowded, read_base, recon_base_write
 
 #: Folders of the id index; a look-up opens one of them.
 INDEX_FOLDERS = 256
+#: Stored rows that a task of a refresh reads, sorts and writes again: packed, they take a small part of
+#: what they take in memory.
+_READ_AT_ONCE = {"spark.sql.files.maxPartitionBytes": str(16 << 20), "spark.sql.files.openCostInBytes": str(1 << 20)}
 
 
 def refresh(
@@ -43,7 +46,8 @@ def refresh(
         full = crowded(base.where(filed_in(months)))
         rows = refreshed(base, settlement, hub, ledger, bank, ids, id_filter, months, full)
         # The partitions that are read are the ones to be replaced; they are when all rows are written.
-        recon_base_write(rows, path, filed=True)
+        with settings(spark, _READ_AT_ONCE):
+            recon_base_write(rows, path, filed=True)
         if index is not None:
             add_to_index(read_base(spark, path).where(filed_in(months)), index, folders)
     return months

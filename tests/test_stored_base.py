@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallychain.operators import base, key_filter, refresh
 from tallychain.operators.trace import trace_one
 from tallychain.plans import registry
-from tallychain.session import shared_dir
+from tallychain.session import settings, shared_dir
 from tallychain.sources import base_store, sinks
 from tests.oracle_check import rows_of
 from tests.test_traps import small_chain
@@ -315,3 +315,11 @@ def test_the_index_opens_one_folder_and_the_months_of_the_id(spark, written):
     other = shared_dir(spark, "index")
     base_store.add_to_index(hot, other, 4)
     assert spark.read.parquet(other).count() <= 3
+
+
+def test_settings_hold_for_a_block(spark):
+    before = {k: spark.conf.get(k, None) for k in base_store._READ_AT_ONCE}
+    with pytest.raises(ValueError), settings(spark, base_store._READ_AT_ONCE):
+        assert all(spark.conf.get(k) == v for k, v in base_store._READ_AT_ONCE.items())
+        raise ValueError
+    assert before == {k: spark.conf.get(k, None) for k in base_store._READ_AT_ONCE}
