@@ -441,7 +441,9 @@ def recon_cumulative(c: Chain):
 def trace_one_stored(c: Chain):
     """One id looked up in the stored base, through its index."""
     path, index = shared_dir(c.spark, "base"), shared_dir(c.spark, "base-index")
-    sinks.recon_base_write(c.base, path)
+    c = kept(c, shared_dir(c.spark, "base-relations"), "settlement", "bank", columns=_OF_BASE)
+    base = ops.recon_base(c.settlement, c.hub, c.ledger, c.bank, filed=True)
+    sinks.recon_base_write(base, path, filed=True)
     base_store.add_to_index(sinks.read_base(c.spark, path), index, _FOLDERS)
     return base_store.look_up(c.spark, path, index, "sub_22", _FOLDERS).select(
         "gateway", "settlement_order_id", "settled_date", "sett_gross", "hub_order_id",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallychain.operators.base import FILED_BY
+from tallychain.operators.frames import pick_first
 from tallychain.operators.key_filter import bit_sets
 from tallychain.operators.refresh import ID, Late, filed_in, refreshed, touched_ids, touched_months
 from tallychain.operators.trace import trace_one
@@ -17,6 +18,8 @@ INDEX_FOLDERS = 256
 #: Stored rows that a task of a refresh reads, sorts and writes again: packed, they take a small part of
 #: what they take in memory.
 _READ_AT_ONCE = {"spark.sql.files.maxPartitionBytes": str(16 << 20), "spark.sql.files.openCostInBytes": str(1 << 20)}
+#: Parts in which the rows of all folders, or of one folder at least, are filed.
+INDEX_PARTS, FOLDER_PARTS = 256, 4
 
 
 def refresh(
@@ -64,23 +67,31 @@ def _folder(any_id: Column, folders: int) -> Column:
     return F.pmod(F.xxhash64(any_id), F.lit(folders)).cast("int")
 
 
+def index_rows(base: DataFrame, folders: int = INDEX_FOLDERS) -> DataFrame:
+    """The ids of ``base`` rows with the month and gateway that hold them, as the index files them.
+
+    A row for each id and partition of the base. They are shuffled once, to where they are
+    filed, and equal ones meet there; parts tell the partitions of the base apart, so
+    that an id with a third of all rows lies in many of them.
+    """
+    each = F.explode(F.array_distinct(F.array(*[F.col(c) for c in BASE_IDS])))
+    ids = base.select(each.alias("any_id"), *FILED_BY).where("any_id IS NOT NULL")
+    part = F.pmod(F.hash("any_id", *FILED_BY), F.lit(max(FOLDER_PARTS, INDEX_PARTS // folders)))
+    dealt = ids.withColumns({"folder": _folder(F.col("any_id"), folders), "_part": part})
+    # One sort serves to find equal rows and to file them.
+    once = pick_first(dealt.repartition("folder", "_part"), ["folder", "any_id", *FILED_BY, "_part"], "any_id")
+    return once.drop("_part").sortWithinPartitions("folder", "any_id")
+
+
 def add_to_index(base: DataFrame, index: str, folders: int = INDEX_FOLDERS) -> None:
     """File the ids of ``base`` rows with the month and gateway that hold them.
 
-    A row for each id and partition of the base; a third of all rows under one id
-    collapse before the shuffle. Adding what is there already does no harm, and rows
-    that have left a partition cost a look-up in it.
+    Adding what is there already does no harm, and rows that have left a partition cost a
+    look-up in it.
     """
-    each = F.explode(F.array_distinct(F.array(*[F.col(c) for c in BASE_IDS])))
-    ids = base.select(each.alias("any_id"), *FILED_BY).where("any_id IS NOT NULL").distinct()
-    (
-        ids.withColumn("folder", _folder(F.col("any_id"), folders))
-        .hint("rebalance", F.col("folder"))
-        .sortWithinPartitions("folder", "any_id")
-        .write.mode("append")
-        .partitionBy("folder")
-        .parquet(index)
-    )
+    with shuffles_freed(base.sparkSession):
+        rows = index_rows(base, folders).write.mode("append")
+        rows.partitionBy("folder").parquet(index, compression="zstd")
 
 
 def look_up(

@@ -317,6 +317,16 @@ def test_the_index_opens_one_folder_and_the_months_of_the_id(spark, written):
     assert spark.read.parquet(other).count() <= 3
 
 
+def test_index_rows_are_shuffled_once(spark, written):
+    """Equal ones meet where they are filed."""
+    table = sinks.read_base(spark, written[0])
+    found = base_store.index_rows(table.unionByName(table), 4)
+    assert [n.nodeName() for n in _nodes(found)].count("Exchange") == 1
+    each = F.explode(F.array(*sinks.BASE_IDS)).alias("any_id")
+    expected = table.select(each, *sinks.FILED_BY).where("any_id IS NOT NULL").distinct()
+    assert rows(found.drop("folder")) == rows(expected)
+
+
 def test_settings_hold_for_a_block(spark):
     before = {k: spark.conf.get(k, None) for k in base_store._READ_AT_ONCE}
     with pytest.raises(ValueError), settings(spark, base_store._READ_AT_ONCE):
